@@ -49,29 +49,27 @@ def monthly_tables(
     interval_sec: int = 30,
     order: tuple[str, ...] = (),
     compat_collapse_days: bool = False,
+    only: tuple[str, ...] | None = None,
 ) -> dict[str, DataFrame]:
-    """The four monthly tables. Percentiles are taken over the pooled epochs, never
+    """The four monthly tables, or those named in `only`. Percentiles are taken over the pooled epochs, never
     averaged; completion divides by the days found."""
     pooled = with_period(epochs)
     timing = {"reset_sec": reset_sec, "interval_sec": interval_sec}
     windows = monthly_windows(
         pooled, limits=limits, order=order, compat_collapse_days=compat_collapse_days, **timing
     )
+    day, per_network = "date", windows
     if compat_collapse_days:
-        # Station completion is not divided by days there, the network gate is.
-        station = station_ttff(windows, keys=MONTH_KEYS, day=None, **timing)
+        # Station completion is then not divided by the days found, the network gate is.
         n_days = pooled.select("date").distinct().select(F.count(F.lit(1))).scalar()
-        scaled = windows.withColumn("n_obs_epochs", F.col("n_obs_epochs") / n_days)
-        network = network_ttff_cube(scaled, registry, keys=MONTH_KEYS, day=None, **timing)
-    else:
-        station = station_ttff(windows, keys=MONTH_KEYS, day="date", **timing)
-        network = network_ttff_cube(windows, registry, keys=MONTH_KEYS, day="date", **timing)
-    return {
-        "accuracy_monthly": station_accuracy(pooled, keys=MONTH_KEYS),
-        "accuracy_network_monthly": network_accuracy_cube(pooled, registry, keys=MONTH_KEYS),
-        "ttff_monthly": station,
-        "ttff_network_monthly": network,
+        day, per_network = None, windows.withColumn("n_obs_epochs", F.col("n_obs_epochs") / n_days)
+    makers: dict[str, Callable[[], DataFrame]] = {
+        "accuracy_monthly": lambda: station_accuracy(pooled, keys=MONTH_KEYS),
+        "accuracy_network_monthly": lambda: network_accuracy_cube(pooled, registry, keys=MONTH_KEYS),
+        "ttff_monthly": lambda: station_ttff(windows, keys=MONTH_KEYS, day=day, **timing),
+        "ttff_network_monthly": lambda: network_ttff_cube(per_network, registry, keys=MONTH_KEYS, day=day, **timing),
     }
+    return {name: make() for name, make in makers.items() if only is None or name in only}
 
 
 def run_monthly(

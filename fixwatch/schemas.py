@@ -2,56 +2,76 @@
 
 from pyspark.sql import types as T
 
-QC_HEADER = T.StructType.fromDDL(
-    "station string, rec_type string, rec_num string, rec_fw_ver string, ant_type string, "
-    "approx_pos_x double, approx_pos_y double, approx_pos_z double, visibility double, "
-    "epochs_w_obs int, date date, source_file string"
-)
-QC_LONG = T.StructType.fromDDL(
-    "station string, date date, metric string, bin_label string, bin_lo int, tot double, "
-    "slps_or_sig double, rms_or_mean double"
-)
-EXTRAS = T.StructType.fromDDL(
-    "reference_id string, subject string, condition string, signals_affected string, "
-    "naq_ss_signal string, event_description string, space_vehicle_id int"
-)
-RAW_NOTICES = T.StructType.fromDDL(
-    "notice_id string, constellation string, svn int, prn int, notice_type string, "
-    "published_at timestamp, effective_at timestamp, expires_at timestamp, body_text string, "
-    "source_url string, fetched_at timestamp, source_sha256 string"
-).add("extras", EXTRAS)
-EPOCH_ERRORS = T.StructType.fromDDL(
-    "date date, station string, mode string, engine_version string, epoch_idx int, "
-    "time_utc timestamp, quality tinyint, num_sat tinyint, e_m float, n_m float, u_m float, "
-    "horizontal_m float, vertical_m float, is_day boolean"
-)
-ASSIGNMENTS = T.StructType.fromDDL("rinex_id string, netid int, isinside boolean")
-STATION_PERIODS = T.StructType.fromDDL(
-    "rinex_id string, periods array<struct<from: date, to: date, fy_label: string, netid: int>>"
-)
-OUT_OF_SERVICE = T.StructType.fromDDL("rinex_id string, reason string, since date, until date")
-JUMPS = T.StructType.fromDDL("date date, fixed_station_id string, reason string, recorded_at string")
-ACQUISITION_LOG = T.StructType.fromDDL(
-    "source string, url string, path string, sha256 string, size_bytes long, "
-    "retrieved_at timestamp, skipped boolean, metadata map<string,string>"
-)
-PROCESSING_LOG = T.StructType.fromDDL(
-    "engine string, engine_version string, mode string, date string, started_at timestamp, "
-    "finished_at timestamp, wall_sec double, n_stations long, n_succeeded long, n_skipped long, "
-    "n_failed long, duration_total_sec double, duration_p50_sec double, duration_p95_sec double, "
-    "failed_stations array<string>"
-)
-QC_LOG = T.StructType.fromDDL(
-    "target_date string, tool string, n_stations long, n_failed long, failed_files array<string>, "
-    "parquet_path string, generated_at timestamp"
-)
-STATION_CONFIG_LOG = T.StructType.fromDDL(
-    "station string, date string, mode string, engine string, receiver string, antenna string, "
-    "file_sha256 map<string,string>, recorded_at timestamp"
-)
-NAQU_PAGE = T.StructType.fromDDL(
-    "JSON_CS_LIST array<struct<MODAL_TEXT: string, NAQ_NAQU_NUMBER: string, NAQ_SS_SIGNAL: string, "
-    "NAQ_TYPE: string, NAQ_CREATE_DATETIME: string>>, "
-    "JSON_CS_PAGING array<struct<DATA_MAX_PAGE: string>>"
-)
-RSS_ITEM = T.StructType.fromDDL("title string, link string, pubDate string, description string")
+_STRING, _INT, _LONG, _DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+_DATE, _TIME, _BOOL, _FLOAT, _BYTE = T.DateType(), T.TimestampType(), T.BooleanType(), T.FloatType(), T.ByteType()
+
+
+def _struct(fields: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+def _same(names: str, kind: T.DataType) -> dict[str, T.DataType]:
+    return dict.fromkeys(names.split(), kind)
+
+
+QC_HEADER = _struct(
+    _same("station rec_type rec_num rec_fw_ver ant_type", _STRING)
+    | _same("approx_pos_x approx_pos_y approx_pos_z visibility", _DOUBLE)
+    | {"epochs_w_obs": _INT, "date": _DATE, "source_file": _STRING}
+)
+QC_LONG = _struct(
+    {"station": _STRING, "date": _DATE, "metric": _STRING, "bin_label": _STRING, "bin_lo": _INT}
+    | _same("tot slps_or_sig rms_or_mean", _DOUBLE)
+)
+EXTRAS = _struct(
+    _same("reference_id subject condition signals_affected naq_ss_signal event_description", _STRING)
+    | {"space_vehicle_id": _INT}
+)
+RAW_NOTICES = _struct(
+    {"notice_id": _STRING, "constellation": _STRING, "svn": _INT, "prn": _INT, "notice_type": _STRING}
+    | _same("published_at effective_at expires_at", _TIME)
+    | {"body_text": _STRING, "source_url": _STRING, "fetched_at": _TIME, "source_sha256": _STRING, "extras": EXTRAS}
+)
+EPOCH_ERRORS = _struct(
+    {"date": _DATE, "station": _STRING, "mode": _STRING, "engine_version": _STRING, "epoch_idx": _INT}
+    | {"time_utc": _TIME, "quality": _BYTE, "num_sat": _BYTE}
+    | _same("e_m n_m u_m horizontal_m vertical_m", _FLOAT)
+    | {"is_day": _BOOL}
+)
+ASSIGNMENTS = _struct({"rinex_id": _STRING, "netid": _INT, "isinside": _BOOL})
+STATION_PERIODS = _struct(
+    {
+        "rinex_id": _STRING,
+        "periods": T.ArrayType(_struct({"from": _DATE, "to": _DATE, "fy_label": _STRING, "netid": _INT})),
+    }
+)
+OUT_OF_SERVICE = _struct({"rinex_id": _STRING, "reason": _STRING, "since": _DATE, "until": _DATE})
+JUMPS = _struct({"date": _DATE, "fixed_station_id": _STRING, "reason": _STRING, "recorded_at": _STRING})
+ACQUISITION_LOG = _struct(
+    _same("source url path sha256", _STRING)
+    | {"size_bytes": _LONG, "retrieved_at": _TIME, "skipped": _BOOL, "metadata": T.MapType(_STRING, _STRING)}
+)
+PROCESSING_LOG = _struct(
+    _same("engine engine_version mode date", _STRING)
+    | {"started_at": _TIME, "finished_at": _TIME, "wall_sec": _DOUBLE}
+    | _same("n_stations n_succeeded n_skipped n_failed", _LONG)
+    | _same("duration_total_sec duration_p50_sec duration_p95_sec", _DOUBLE)
+    | {"failed_stations": T.ArrayType(_STRING)}
+)
+QC_LOG = _struct(
+    {"target_date": _STRING, "tool": _STRING, "n_stations": _LONG, "n_failed": _LONG}
+    | {"failed_files": T.ArrayType(_STRING), "parquet_path": _STRING, "generated_at": _TIME}
+)
+STATION_CONFIG_LOG = _struct(
+    _same("station date mode engine receiver antenna", _STRING)
+    | {"file_sha256": T.MapType(_STRING, _STRING), "recorded_at": _TIME}
+)
+NAQU_PAGE = _struct(
+    {
+        "JSON_CS_LIST": T.ArrayType(
+            _struct(_same("MODAL_TEXT NAQ_NAQU_NUMBER NAQ_SS_SIGNAL NAQ_TYPE NAQ_CREATE_DATETIME", _STRING))
+        ),
+        "JSON_CS_PAGING": T.ArrayType(_struct({"DATA_MAX_PAGE": _STRING})),
+    }
+)
+RSS_ITEM = _struct(_same("title link pubDate description", _STRING))
