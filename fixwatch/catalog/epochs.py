@@ -68,6 +68,13 @@ def network_accuracy_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accuracy.network_accuracy_cube(epochs(spark, sf_dir), registry(spark, sf_dir), keys=DAY)
 
 
+@query("network_accuracy_cube_counted", tidy_sql(_cube_sql("period", _MONTHS), real=_ACC))
+def network_accuracy_cube_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cube by counting passes, as for groups too large for the direct path."""
+    pooled = with_period(epochs(spark, sf_dir))
+    return accuracy.network_accuracy_cube(pooled, registry(spark, sf_dir), keys=("period",), max_direct_rows=0)
+
+
 @query(
     "group_stats_by_quality",
     tidy_sql(

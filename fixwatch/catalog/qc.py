@@ -146,7 +146,7 @@ place AS (SELECT station, degrees(atan2(z + {geodesy.WGS84_EP2!r} * {geodesy.WGS
         f"{_DAYS_SQL}, {_PLACE} SELECT m.*, lat, lon, rec_type, ant_type FROM monthly AS m JOIN place AS p ON m.station = p.station",
         real=["data_availability", "visibility", *_SLIP_NAMES, *_SIGNALS, "lat", "lon"],
     ),
-)
+)
 def station_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     info = qc_report.station_info(qc_header(spark, sf_dir))
     return qc_report.station_monthly(_station_days(spark, sf_dir), info)

@@ -18,8 +18,8 @@ _BINS = "SELECT b.bin, {lower} AS lower, {upper} AS upper, count(v) AS n FROM ra
         """WITH r AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders),
         k AS (SELECT o_totalprice AS v, least(CAST(floor((o_totalprice - lo) / (hi - lo) * 40) AS BIGINT), 39) AS bin FROM orders, r) """
         + _BINS.format(n=40, lower="lo + (hi - lo) * b.bin / 40", upper="lo + (hi - lo) * (b.bin + 1) / 40"),
-        real=["lower", "upper"], digits=4,
-    ), digits=4,
+        real=["lower", "upper"], digits=6,
+    ), digits=6,
 )
 def histogram_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distributions.histogram(table(spark, sf_dir, "orders"), "o_totalprice")
@@ -32,8 +32,8 @@ def histogram_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
         r AS (SELECT log10(greatest(min(v), 1.0)) AS lo, log10(max(v)) AS hi FROM p),
         k AS (SELECT v, least(CAST(floor((log10(v) - lo) / (hi - lo) * 39) AS BIGINT), 38) AS bin FROM p, r WHERE log10(v) >= lo) """
         + _BINS.format(n=39, lower="pow(10.0, lo + (hi - lo) * b.bin / 39)", upper="pow(10.0, lo + (hi - lo) * (b.bin + 1) / 39)"),
-        real=["lower", "upper"], digits=4,
-    ), digits=4,
+        real=["lower", "upper"], digits=6,
+    ), digits=6,
 )
 def histogram_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distributions.log_histogram(table(spark, sf_dir, "customer"), "c_acctbal")
@@ -170,8 +170,8 @@ _RUNS = """runs AS (SELECT CAST(user_id % 3 AS VARCHAR) AS mode, CAST(ts AS DATE
           coalesce(quantile_cont(duration_sec, 0.95) FILTER (WHERE ran), 0.0) AS duration_p95_sec,
           (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 + 90 AS wall_sec FROM runs GROUP BY ALL)
         SELECT *, CASE WHEN n_succeeded > 0 AND wall_sec > 0 THEN duration_total_sec / wall_sec END AS speed_up FROM s""",
-        real=["duration_total_sec", "duration_p50_sec", "duration_p95_sec", "wall_sec", "speed_up"], date=["date"], digits=5,
-    ), digits=5,
+        real=["duration_total_sec", "duration_p50_sec", "duration_p95_sec", "wall_sec", "speed_up"], date=["date"], digits=6,
+    ), digits=6,
 )
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlogs.run_summary(_runs(spark, sf_dir), ["mode", "date"])

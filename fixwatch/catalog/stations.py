@@ -296,11 +296,11 @@ _BASE_DEG = "(c_nationkey * 2.0 + 5) AS lat0, (c_custkey % 80 + 5.0) AS lon0"
     tidy_sql(
         f"""WITH {EPOCHS}, base AS (SELECT CAST(c_custkey AS VARCHAR) AS station, {_BASE_DEG} FROM customer),
         n AS (SELECT *, radians(lat0) AS b, radians(lon0) AS l, {_A!r} / sqrt(1 - {_E2!r} * sin(radians(lat0))^2) AS nu FROM base),
-        m AS (SELECT *, nu * cos(b) * cos(l) AS bx, nu * cos(b) * sin(l) AS bY, nu * (1 - {_E2!r}) * sin(b) AS bz FROM n),
+        m AS (SELECT *, nu * cos(b) * cos(l) AS bx, nu * cos(b) * sin(l) AS b_y, nu * (1 - {_E2!r}) * sin(b) AS bz FROM n),
         rover AS (SELECT e.*, m.* EXCLUDE (station), radians(lat0 + vertical_m * 1e-5) AS rb, radians(lon0 + horizontal_m * 1e-6) AS rl,
           num_sat * 0.1 AS rh FROM epochs AS e JOIN m ON e.station = m.station),
         rxyz AS (SELECT *, {_A!r} / sqrt(1 - {_E2!r} * sin(rb)^2) AS rn FROM rover),
-        d AS (SELECT *, (rn + rh) * cos(rb) * cos(rl) - bx AS dx, (rn + rh) * cos(rb) * sin(rl) - bY AS dy,
+        d AS (SELECT *, (rn + rh) * cos(rb) * cos(rl) - bx AS dx, (rn + rh) * cos(rb) * sin(rl) - b_y AS dy,
           (rn * (1 - {_E2!r}) + rh) * sin(rb) - bz AS dz FROM rxyz),
         enu AS (SELECT *, -dx * sin(l) + dy * cos(l) AS e_m, -dx * cos(l) * sin(b) - dy * sin(l) * sin(b) + dz * cos(b) AS n_m,
           dx * cos(l) * cos(b) + dy * sin(l) * cos(b) + dz * sin(b) AS u_m FROM d)

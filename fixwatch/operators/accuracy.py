@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fixwatch.operators.cells import CELL, FLAGS, every_cell, spread_to_cells, with_windows
-from fixwatch.operators.guards import broadcast_if_small
+from fixwatch.operators.guards import at_most, broadcast_if_small, cut_lineage
 from fixwatch.operators.quantiles import (
     MAX_GROUP_ROWS,
+    direct_quantiles,
     exact_quantiles,
     interpolate,
     linear_ranks,
@@ -22,6 +23,8 @@ PROBS = {"p50": 0.50, "p95": 0.95, "p99": 0.99, "p999": 0.999}
 AXES = {"hor": "horizontal_m", "ver": "vertical_m"}
 FIXED = 4
 DAY_KEYS = ("date", "mode")
+# A row belongs to up to 36 cells; above this the cells are filled from counts.
+MAX_DIRECT_ROWS = 500_000
 
 
 def _sums() -> list[Column]:
@@ -86,17 +89,22 @@ def station_accuracy(
 
 
 def network_accuracy_cube(
-    epochs: DataFrame, registry: DataFrame, *, keys: Sequence[str] = DAY_KEYS
+    epochs: DataFrame,
+    registry: DataFrame,
+    *,
+    keys: Sequence[str] = DAY_KEYS,
+    max_direct_rows: int = MAX_DIRECT_ROWS,
 ) -> DataFrame:
     """The 468 overlapping cells per group of `keys`, empty ones included.
 
     The overlap is applied to aggregates: station sums and value counts are spread to
-    their cells, epochs never are.
+    their cells, epochs are not, except in small groups, where that is faster.
     """
     by = list(keys)
     flags = broadcast_if_small(registry.select(F.col("rinex_id").alias("station"), *FLAGS))
 
-    per_station = (
+    # One row per station and day flag; everything but the percentiles comes from it.
+    per_station = cut_lineage(
         epochs.groupBy(*by, "station", "is_day").agg(*_sums()).join(flags, "station")
     )
     sums = (
@@ -117,20 +125,42 @@ def network_accuracy_cube(
         .agg(*[F.sum(w).alias(w) for w in ("all", "day", "night")])
         .unpivot([*by, *CELL[:-1]], ["all", "day", "night"], "window", "n_stations")
     )
+    placed = epochs.select(*by, "station", "is_day", *AXES.values()).join(flags, "station")
+    sizes = per_station.groupBy(*by).agg(F.sum("n_epoch").alias("n"))
+    # The cell of everything holds a whole group of `keys`.
+    if at_most(sizes.where(F.col("n") > max_direct_rows), 0):
+        quantiles = _direct_cell_quantiles(placed, by, sizes.select(F.sum("n")))
+    else:
+        quantiles = _selected_cell_quantiles(placed, by)
+    joined = (
+        every_cell(per_station.select(*by).distinct())
+        .join(sums, [*by, *CELL], "left")
+        .join(stations, [*by, *CELL], "left")
+        .join(quantiles, [*by, *CELL], "left")
+    )
+    return joined.select(
+        *by,
+        *CELL,
+        F.coalesce("n_stations", F.lit(0)).alias("n_stations"),
+        *_metrics(),
+        *[f"{axis}_{label}" for axis in AXES for label in PROBS],
+    )
 
-    long = (
-        epochs.select(
-            *by,
-            "station",
-            "is_day",
-            F.explode(
-                F.array(
-                    *[F.struct(F.lit(a).alias("axis"), F.col(c).cast("double").alias("x")) for a, c in AXES.items()]
-                )
-            ).alias("s"),
-        )
-        .join(flags, "station")
-        .select(*by, *FLAGS, "is_day", "s.axis", "s.x")
+
+def _direct_cell_quantiles(placed: DataFrame, by: list[str], total: DataFrame) -> DataFrame:
+    """Native percentiles per cell, for groups checked to be small. Few rows arrive in few
+    partitions, so a small input is spread over the cores before it is multiplied."""
+    n = total.first()[0] or 0
+    if n <= MAX_DIRECT_ROWS:
+        placed = placed.repartition(placed.sparkSession.sparkContext.defaultParallelism)
+    return direct_quantiles(spread_to_cells(placed), [*by, *CELL], AXES, PROBS)
+
+
+def _selected_cell_quantiles(placed: DataFrame, by: list[str]) -> DataFrame:
+    """Ranks found by counting passes, both axes in one."""
+    axes = F.array(*[F.struct(F.lit(a).alias("axis"), F.col(c).cast("double").alias("x")) for a, c in AXES.items()])
+    long = placed.select(*by, *FLAGS, "is_day", F.explode(axes).alias("s")).select(
+        *by, *FLAGS, "is_day", "s.axis", "s.x"
     )
     picked = select_ranks(
         long,
@@ -140,7 +170,7 @@ def network_accuracy_cube(
         expand=spread_to_cells,
         out_keys=[*by, *CELL, "axis"],
     )
-    quantiles = (
+    return (
         interpolate(picked, [*by, *CELL, "axis"], PROBS)
         .groupBy(*by, *CELL)
         .agg(
@@ -151,19 +181,6 @@ def network_accuracy_cube(
             ]
         )
     )
-    cells = every_cell(per_station.select(*by).distinct())
-    joined = (
-        cells.join(sums, [*by, *CELL], "left")
-        .join(stations, [*by, *CELL], "left")
-        .join(quantiles, [*by, *CELL], "left")
-    )
-    return joined.select(
-        *by,
-        *CELL,
-        F.coalesce("n_stations", F.lit(0)).alias("n_stations"),
-        *_metrics(),
-        *[f"{axis}_{label}" for axis in AXES for label in PROBS],
-    )
 
 
 def epoch_stats(epochs: DataFrame, all_stations: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ narrowed in counting passes over an order-preserving code, a logarithmic slice:
    that one code gives the value itself.
 
 Groups may overlap: `expand` turns a counting table keyed by disjoint keys into one
-keyed by overlapping cells, so that the overlap multiplies counts, not rows.
+keyed by overlapping cells, so that the overlap multiplies counts, not rows; in the later
+passes a count meets only those of its cells that want its code.
 """
 
 from __future__ import annotations
@@ -74,19 +75,28 @@ def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) ->
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{k}" for k in keys])
 
 
+def _before(within: Sequence[str], order: str) -> Column:
+    window = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("n").over(window), F.lit(0))
+
+
+def _holds(rank: Column) -> Column:
+    return (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))
+
+
 def _wanted_here(counts: DataFrame, within: Sequence[str], order: str) -> DataFrame:
     """Keep the rows of a counting table that contain a wanted rank; the rank becomes
     relative to the row."""
-    window = Window.partitionBy(*within).orderBy(order)
-    before = F.coalesce(F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    held = counts.withColumn("before", before).withColumn(
-        "want",
-        F.filter("want", lambda w: (w["rank"] >= F.col("before")) & (w["rank"] < F.col("before") + F.col("n"))),
-    )
-    return held.where(F.size("want") > 0).withColumn(
+    held = counts.withColumn("before", _before(within, order)).where(F.exists("want", lambda w: _holds(w["rank"])))
+    return _relative(held)
+
+
+def _relative(held: DataFrame) -> DataFrame:
+    return held.withColumn(
         "want",
         F.transform(
-            "want", lambda w: F.struct(w["label"].alias("label"), (w["rank"] - F.col("before")).alias("rank"))
+            F.filter("want", lambda w: _holds(w["rank"])),
+            lambda w: F.struct(w["label"].alias("label"), (w["rank"] - F.col("before")).alias("rank")),
         ),
     )
 
@@ -109,9 +119,6 @@ def select_ranks(
 ) -> DataFrame:
     """(out_keys, total, label, value): the element at each rank, by counting passes."""
     out = list(out_keys if out_keys is not None else keys)
-    spread = expand or (lambda df: df)
-    shared = [k for k in keys if k in out]
-
     coded = (
         rows.select(*keys, F.col(value).cast("double").alias("v"))
         .where(F.col("v").isNotNull())
@@ -119,33 +126,52 @@ def select_ranks(
         .withColumn("coarse", F.shiftright("code", _COARSE_BITS))
     )
 
-    def counted(source: DataFrame, level: list[str]) -> DataFrame:
-        per_key = source.groupBy(*keys, *level).agg(F.count(F.lit(1)).alias("n"))
-        return spread(per_key).groupBy(*out, *level).agg(F.sum("n").alias("n"))
-
-    def narrowed(source: DataFrame, picks: DataFrame, level: str) -> DataFrame:
-        wanted = broadcast_if_small(picks.select(*shared, level).distinct())
-        return _match(source, wanted, [*shared, level], "left_semi")
-
-    # Pass 1: which coarse code holds each rank.
+    def tally(df: DataFrame, by: Sequence[str]) -> DataFrame:
+        return df.groupBy(*by).agg(F.sum("n").alias("n"))
+
+    # Pass 1: which coarse code holds each rank. Most rows hold none, so they are dropped by
+    # plain comparisons before any array is built.
+    first = coded.groupBy(*keys, "coarse").agg(F.count(F.lit(1)).alias("n"))
+    members = None
+    if expand is not None:
+        first = cut_lineage(first)
+        # (keys, out keys): which cells a disjoint group belongs to.
+        groups = first.select(*keys).distinct().withColumn("_own", F.struct(*keys))
+        members = expand(groups).select(F.col("_own"), *out)
+        first = expand(first)
     coarse = (
-        counted(coded, ["coarse"])
+        tally(first, [*out, "coarse"])
         .withColumn("total", F.sum("n").over(Window.partitionBy(*out)))
-        .withColumn("want", _want(ranks, F.col("total")))
+        .withColumn("before", _before(out, "coarse"))
     )
+    hits = [_holds(rank(F.col("total"))) for rank in ranks.values()]
+    coarse = coarse.where(reduce(lambda a, b: a | b, hits)).withColumn("want", _want(ranks, F.col("total")))
     level = "coarse"
-    picks = cut_lineage(_wanted_here(coarse, out, "coarse").select(*out, "coarse", "total", "want", "n"))
-    coded = narrowed(coded, picks, "coarse")
+    picks = cut_lineage(_relative(coarse).select(*out, "coarse", "total", "want", "n"))
+
+    def narrowed(source: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        """Rows with a code that some cell of theirs wants, and their counts by cell. Only
+        the cells that want the code are paired with it, not all the row belongs to."""
+        if members is None:
+            kept = _match(source, broadcast_if_small(picks.select(*keys, level)), [*keys, level], "left_semi")
+            return kept, kept.groupBy(*out, *by).agg(F.count(F.lit(1)).alias("n"))
+        wanting = picks.select(*out, level).join(members, out).select("_own.*", *[c for c in out if c not in keys], level)
+        wanting = cut_lineage(wanting)
+        codes = broadcast_if_small(wanting.select(*keys, level).distinct())
+        kept = _match(source, codes, [*keys, level], "left_semi")
+        counts = kept.groupBy(*keys, *by).agg(F.count(F.lit(1)).alias("n"))
+        return kept, tally(_match(counts, wanting, [*keys, level], "inner"), [*out, *by])
 
     # Pass 2, only where one coarse code alone is too much for a task.
     if not at_most(picks.where(F.col("n") > max_code_rows), 0):
-        fine = _match(counted(coded, ["coarse", "code"]), picks.drop("n"), [*out, "coarse"], "inner")
+        coded, fine = narrowed(coded, ["coarse", "code"])
+        fine = _match(fine, picks.drop("n"), [*out, "coarse"], "inner")
         level = "code"
         picks = cut_lineage(_wanted_here(fine, [*out, "coarse"], "code").select(*out, "code", "total", "want"))
-        coded = narrowed(coded, picks, "code")
 
     # Last pass: the distinct values inside the picked code.
-    values = _match(counted(coded, [level, "v"]), picks.select(*out, level, "total", "want"), [*out, level], "inner")
+    _, values = narrowed(coded, [level, "v"])
+    values = _match(values, picks.select(*out, level, "total", "want"), [*out, level], "inner")
     return (
         _wanted_here(values, [*out, level], "v")
         .select(*out, "total", F.explode("want").alias("w"), "v")

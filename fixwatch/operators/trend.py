@@ -18,7 +18,7 @@ def monthly_trend(monthly: DataFrame, values: Sequence[str], *, series: Sequence
     first, last = (monthly.groupBy(*keys).agg(f("month").alias(n)) for f, n in ((F.min, "a"), (F.max, "b")))
     bounds = first.join(last, keys) if keys else first.select("a", last.select("b").scalar().alias("b"))
     spine = bounds.select(
-        *keys, F.explode(F.sequence(F.col("a"), F.col("b"), F.expr("INTERVAL 1 MONTH"))).cast("date").alias("month")
+        *keys, F.explode(F.sequence(F.col("a"), F.col("b"), F.expr("INTERVAL 1 MONTH"))).alias("month")
     )
     complete = spine.join(monthly, [*keys, "month"], "left")
     by_month = Window.partitionBy(*keys).orderBy("month")
