@@ -120,7 +120,7 @@ METRICS = ("ION", "MP12", "MP21", "MP15", "MP51", "MP17", "MP71", "SN1", "SN2",
 
 
 def qc_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (station, date, metric, bin) from the line items. The odd divisors here and
+    """A QC row per line item. The odd divisors here and
     in the header keep averages away from rounding ties, where engines differ."""
     step = ((F.col("l_orderkey") + F.col("l_linenumber")) % 19).cast("int")
     bin_lo = F.when(step == 18, -1).otherwise(step * 5)
@@ -128,18 +128,22 @@ def qc_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(bin_lo == -1, "   <  0").otherwise(
         F.concat(F.lpad(bin_lo.cast("string"), 2, " "), F.lit(" - "), F.lpad((bin_lo + 5).cast("string"), 2, " "))
     )
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("station"),
+        F.to_date("l_shipdate").alias("date"),
+        metric.alias("metric"),
+        label.alias("bin_label"),
+        bin_lo.alias("bin_lo"),
+        F.col("l_quantity").alias("tot"),
+        F.round(F.col("l_tax") * 100).alias("slps_or_sig"),
+        (F.col("l_extendedprice") / 1003.7).alias("rms_or_mean"),
+    )
+
+
+def qc_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `qc_long` with one row per (station, date, metric, bin)."""
     return (
-        table(spark, sf_dir, "lineitem")
-        .select(
-            F.col("l_suppkey").cast("string").alias("station"),
-            F.to_date("l_shipdate").alias("date"),
-            metric.alias("metric"),
-            label.alias("bin_label"),
-            bin_lo.alias("bin_lo"),
-            F.col("l_quantity").alias("tot"),
-            F.round(F.col("l_tax") * 100).alias("slps_or_sig"),
-            (F.col("l_extendedprice") / 1003.7).alias("rms_or_mean"),
-        )
+        qc_long(spark, sf_dir)
         .groupBy("station", "date", "metric", "bin_label", "bin_lo")
         .agg(*[F.max(c).alias(c) for c in ("tot", "slps_or_sig", "rms_or_mean")])
     )
@@ -166,8 +170,8 @@ QC = """qc_long AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS station, CAST(l_shipdate AS DATE) AS date,
     ['ION','MP12','MP21','MP15','MP51','MP17','MP71','SN1','SN2','SN5','SN7'][l_partkey % 11 + 1] AS metric,
     CASE WHEN (l_orderkey + l_linenumber) % 19 = 18 THEN -1 ELSE (l_orderkey + l_linenumber) % 19 * 5 END AS bin_lo,
-    max(l_quantity) AS tot, max(round(l_tax * 100)) AS slps_or_sig, max(l_extendedprice / 1003.7::DOUBLE) AS rms_or_mean
-  FROM lineitem GROUP BY ALL),
+    l_quantity AS tot, round(l_tax * 100) AS slps_or_sig, l_extendedprice / 1003.7::DOUBLE AS rms_or_mean
+  FROM lineitem),
 header AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS station, CAST(l_shipdate AS DATE) AS date, (1 - max(l_discount)) / 1.0007::DOUBLE AS visibility,
     2880 - count(*) * 10 AS epochs_w_obs, max(l_extendedprice * 40 - 4e6) AS approx_pos_x,

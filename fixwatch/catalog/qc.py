@@ -17,6 +17,7 @@ from fixwatch.catalog.inputs import (
     periods,
     qc_header,
     qc_long,
+    qc_unique,
     table,
 )
 from fixwatch.catalog.registry import query, tidy_sql
@@ -198,7 +199,7 @@ def _wide_column(name: str) -> str:
     + f" FROM (SELECT station, date, {', '.join(_wide_column(n) for n in _WIDE)} FROM qc_long GROUP BY ALL) AS w",
 )
 def qc_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qc_report.to_wide(qc_long(spark, sf_dir), names=_WIDE)
+    return qc_report.to_wide(qc_unique(spark, sf_dir), names=_WIDE)
 
 
 @query(
@@ -212,5 +213,5 @@ def qc_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def qc_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide and back, for three of the metrics."""
     names = [n for n in qc_report.wide_names() if n.split("_", 1)[0] in ("ION", "SN1", "MP12")]
-    wide = qc_report.to_wide(qc_long(spark, sf_dir), names=names)
+    wide = qc_report.to_wide(qc_unique(spark, sf_dir), names=names)
     return qc_report.to_long(wide).drop("bin_label")

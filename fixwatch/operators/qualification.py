@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fixwatch.functions.labels import excursion_text
-from fixwatch.operators.quantiles import MAX_GROUP_ROWS, index_rank, pick_ranks
+from fixwatch.operators.guards import cut_lineage
+from fixwatch.operators.quantiles import index_rank, select_ranks
 from fixwatch.operators.registry import forced_stations
 
 # Metrics in the order they are examined, elevation mask, pooled share, NG ratio.
@@ -38,14 +39,28 @@ def window_days(df: DataFrame, ref_date: dt.date, days: int) -> DataFrame:
 
 def slip_sums(header: DataFrame, qc_long: DataFrame) -> DataFrame:
     """Slips per (station, date, bin), missing counted as 0, so every station-day of the
-    header has every bin. A union in place of an outer join: one shuffle, combined early."""
-    zero = header.select(
-        "station", "date", F.explode(F.array(*[F.lit(b) for b in _BINS])).alias("bin_lo"), F.lit(0.0).alias("slips")
+    header has every bin. The bins travel through one shuffle as columns of a station-day;
+    a union takes the place of an outer join."""
+    names = [f"b{b}" for b in _BINS]
+    zero = header.select("station", "date", *[F.lit(0.0).alias(n) for n in names])
+    counted = (
+        qc_long.where(F.col("metric").isin(*SLIP_METRICS) & (F.col("bin_lo") >= MASK_DEG))
+        .select(
+            "station",
+            "date",
+            *[
+                F.when(F.col("bin_lo") == b, F.coalesce("slps_or_sig", F.lit(0.0))).otherwise(0.0).alias(n)
+                for b, n in zip(_BINS, names, strict=True)
+            ],
+        )
     )
-    counted = qc_long.where(F.col("metric").isin(*SLIP_METRICS) & (F.col("bin_lo") >= MASK_DEG)).select(
-        "station", "date", "bin_lo", F.coalesce(F.col("slps_or_sig"), F.lit(0.0)).alias("slips")
+    # The one part of the QC cells that needs a shuffle is written once, before its bins
+    # become rows; thresholds and excursions both read it.
+    totals = cut_lineage(
+        zero.unionByName(counted).groupBy("station", "date").agg(*[F.sum(n).alias(n) for n in names])
     )
-    return zero.unionByName(counted).groupBy("station", "date", "bin_lo").agg(F.sum("slips").alias("slips"))
+    cells = F.array(*[F.struct(F.lit(b).alias("bin_lo"), F.col(n).alias("slips")) for b, n in zip(_BINS, names, strict=True)])
+    return totals.select("station", "date", F.explode(cells).alias("c")).select("station", "date", "c.*")
 
 
 def qc_cells(header: DataFrame, qc_long: DataFrame) -> DataFrame:
@@ -68,15 +83,11 @@ def lower_is_worse(metric: Column) -> Column:
     return (metric == "visibility") | metric.startswith("SN")
 
 
-def thresholds(cells: DataFrame, *, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def thresholds(cells: DataFrame) -> DataFrame:
     """The pooled limit of each (metric, bin), 121 at most, by sorted index. Each cell pools
-    1/121 of the data, so beyond `max_group_rows` the rank is found by counting passes."""
-    picked = pick_ranks(
-        cells,
-        CELL,
-        "value",
-        {"limit": index_rank(POOLED_SHARE, descending=lower_is_worse(F.col("metric")))},
-        max_group_rows=max_group_rows,
+    1/121 of the data whatever its size, so ranks are always found by counting passes."""
+    picked = select_ranks(
+        cells, CELL, "value", {"limit": index_rank(POOLED_SHARE, descending=lower_is_worse(F.col("metric")))}
     )
     return picked.select(
         "metric",
@@ -138,13 +149,12 @@ def qualify(
     days: int = 90,
     ng_days_max: int | None = None,
     limits: DataFrame | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """One row per station seen in the QC window."""
     header, qc_long = (window_days(df, ref_date, days) for df in (header, qc_long))
     cells = qc_cells(header, qc_long)
     if limits is None:
-        limits = thresholds(cells, max_group_rows=max_group_rows)
+        limits = thresholds(cells)
     loaded = header.select("date").distinct().select(F.count(F.lit(1)).alias("n"))
     allowed = (
         ng_days_allowed(loaded.scalar()) if ng_days_max is None else F.lit(ng_days_max)
