@@ -81,7 +81,10 @@ def read_eval_period_csv(spark: SparkSession, path: str) -> DataFrame:
         .select(F.col("_metadata.file_name").alias("name"), F.regexp_replace("value", "\r\n?", "\n").alias("value"))
         .where(~F.col("name").contains("_perf_"))
     )
-    numbered = lines.select("name", F.explode(F.slice(_filled("value"), 2, 2**31 - 1)).alias("row"), _filled("value")[0].alias("head"))
+    filled = F.filter(F.split("value", "\n"), lambda line: F.trim(line) != "")
+    numbered = lines.select("name", filled.alias("f")).select(
+        "name", F.explode(F.slice("f", F.lit(2), F.size("f"))).alias("row"), F.get("f", F.lit(0)).alias("head")
+    )
     cells = F.map_from_arrays(
         F.transform(F.split("head", ","), lambda c: F.trim(c)), _fit(F.split("row", ","), F.split("head", ","))
     )
@@ -96,10 +99,6 @@ def read_eval_period_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _filled(text: str):
-    return F.filter(F.split(text, "\n"), lambda line: F.trim(line) != "")
-
-
 def _fit(cells, head):
     """As many cells as the header has: short rows end in NULL, surplus cells are cut."""
     return F.transform(F.sequence(F.lit(0), F.size(head) - 1), lambda i: F.get(cells, i))
@@ -155,9 +154,10 @@ def read_network_info_csv(spark: SparkSession, path: str) -> DataFrame:
             number("lon").alias("lon"),
             number("dist").alias("dist_km"),
             _optional_int(F.col(f"index_{n}")).alias("index"),
+            F.lower(F.coalesce(F.trim(F.col(f"index_{n}")), F.lit(""))).alias("index_text"),
         )
 
-    usable = F.col("inet").isNotNull()
+    usable = F.col("inet").isNotNull() & (F.col("index").isNotNull() | F.col("index_text").isin("", "nan"))
     for c in ("weight", "lat", "lon", "dist_km"):
         usable = usable & F.col(c).isNotNull()
     return (
@@ -169,4 +169,5 @@ def read_network_info_csv(spark: SparkSession, path: str) -> DataFrame:
         )
         .select("rinex_id", "n_grids", "g.*")
         .where(usable)
+        .drop("index_text")
     )
