@@ -12,11 +12,14 @@ from fixwatch.operators.cells import CELL, FLAGS, every_cell, spread_to_cells, w
 from fixwatch.operators.guards import at_most, broadcast_if_small, cut_lineage
 from fixwatch.operators.quantiles import (
     MAX_GROUP_ROWS,
+    all_groups_small,
     direct_quantiles,
     exact_quantiles,
     interpolate,
     linear_ranks,
+    quantile_columns,
     select_ranks,
+    unpack_quantiles,
 )
 
 PROBS = {"p50": 0.50, "p95": 0.95, "p99": 0.99, "p999": 0.999}
@@ -38,6 +41,7 @@ def _sums() -> list[Column]:
     ]
 
 
+_QUANTILE_NAMES = [f"{axis}_{label}" for axis in AXES for label in PROBS]
 _SUM_NAMES = ("n_epoch", "sat_sum", "n_fix", "hor_sq", "ver_sq")
 
 
@@ -59,7 +63,12 @@ def _metrics() -> list[Column]:
 def group_stats(
     epochs: DataFrame, keys: Sequence[str], *, max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
-    """The metric kernel over arbitrary disjoint groups."""
+    """The metric kernel over arbitrary disjoint groups: one aggregation where every group
+    is small, counting passes for the percentiles of large ones."""
+    if all_groups_small(epochs, keys, max_group_rows):
+        grouped = epochs.groupBy(*keys).agg(*_sums(), *quantile_columns(AXES, PROBS))
+        wide = unpack_quantiles(grouped, AXES, PROBS)
+        return wide.select(*keys, *_metrics(), *_QUANTILE_NAMES)
     sums = epochs.groupBy(*keys).agg(*_sums()).select(*keys, *_metrics())
     quantiles = exact_quantiles(epochs, keys, AXES, PROBS, max_group_rows=max_group_rows)
     return sums.join(quantiles, list(keys))
@@ -79,11 +88,15 @@ def station_accuracy(
         F.explode(F.array(F.lit("all"), F.when(F.col("is_day"), "day").otherwise("night"))).alias("window"),
     )
     measured = group_stats(labelled, [*by, "window"], max_group_rows=max_group_rows)
-    # `all` exists for every station, so the spine needs no second pass over the epochs.
-    stations = epochs.select(*by).distinct()
+    # The two or three rows of a station become a map, from which all three are read.
+    stats = [c for c in measured.columns if c not in (*by, "window")]
+    packed = measured.groupBy(*by).agg(
+        F.map_from_entries(F.collect_list(F.struct("window", F.struct(*stats)))).alias("m")
+    )
     return (
-        with_windows(stations)
-        .join(measured, [*by, "window"], "left")
+        with_windows(packed)
+        .select(*by, "window", F.try_element_at("m", F.col("window")).alias("s"))
+        .select(*by, "window", "s.*")
         .withColumn("n_epoch", F.coalesce("n_epoch", F.lit(0)))
     )
 
@@ -143,7 +156,7 @@ def network_accuracy_cube(
         *CELL,
         F.coalesce("n_stations", F.lit(0)).alias("n_stations"),
         *_metrics(),
-        *[f"{axis}_{label}" for axis in AXES for label in PROBS],
+        *_QUANTILE_NAMES,
     )
 
 

@@ -197,6 +197,9 @@ def _split_by_size(
     df: DataFrame, keys: Sequence[str], max_group_rows: int
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """(rows of small groups, rows of large groups); either may be None."""
+    # A plain row count is the cheaper check and settles small inputs.
+    if max_group_rows and df.count() <= max_group_rows:
+        return df, None
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     large = sizes.where(F.col("n") > max_group_rows).select(*keys)
     if at_most(large, 0):
@@ -237,6 +240,10 @@ def interpolate(picked: DataFrame, keys: Sequence[str], probs: Mapping[str, floa
     return picked.groupBy(*keys).agg(*columns)
 
 
+def all_groups_small(df: DataFrame, keys: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> bool:
+    return _split_by_size(df, keys, max_group_rows)[1] is None
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -295,6 +302,13 @@ def direct_quantiles(
     return unpack_quantiles(df.groupBy(*keys).agg(*quantile_columns(values, probs)), values, probs)
 
 
+def array_quantile(values: Column, p: float) -> Column:
+    """Interpolated percentile of a sorted array without NULLs; NULL for an empty one."""
+    at = (F.size(values) - 1) * F.lit(p)
+    lo, hi = F.get(values, F.floor(at).cast("int")), F.get(values, F.ceil(at).cast("int"))
+    return lo + (hi - lo) * (at - F.floor(at))
+
+
 def running_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """(keys, value, n, before, total): how many values of the group lie below each
     distinct value. Three levels of running sums keep every window bounded."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fixwatch.functions.gnss_time import SECONDS_PER_DAY, day_window_indices
 from fixwatch.operators.cells import CELL, FLAGS, every_cell, spread_to_cells, with_windows
 from fixwatch.operators.guards import broadcast_if_small
-from fixwatch.operators.quantiles import index_rank, pick_ranks, quantile_columns, unpack_quantiles
+from fixwatch.operators.quantiles import array_quantile, index_rank, pick_ranks, unpack_quantiles
 
 PROBS = {"p50_sec": 0.50, "p90_sec": 0.90, "p95_sec": 0.95, "p99_sec": 0.99}
 TTFF = {"ttff": "ttff_sec"}
@@ -45,12 +45,13 @@ def station_windows(
     interval_sec: int = 30,
     order: Sequence[str] = (),
 ) -> DataFrame:
-    """(keys, station, n_obs_epochs, max_epoch, fixes): the first fix of each window.
+    """One row per (keys, station) with `n_obs_epochs`, `max_epoch` and the first fix of
+    each window: `fixes` maps a window to its TTFF, `day_fixes` and `night_fixes` hold the
+    same values by day flag. None has more entries than a day has windows.
 
     With `limits` a fix must also keep the horizontal and vertical limit. `order` names
     the columns that decide which of several rows of one epoch counts (the last one);
-    without it epochs are taken to be unique. `fixes` maps a window to its TTFF and has at
-    most one entry per reset window of a day.
+    without it epochs are taken to be unique.
     """
     per_window = _check(reset_sec, interval_sec)
     by = [*keys, "station"]
@@ -73,15 +74,25 @@ def station_windows(
         )
         .withColumn("ttff", ((F.col("first_fix") - F.col("window_idx") * per_window) * interval_sec).cast("double"))
     )
+    is_day = F.col("window_idx").isin(*day_window_indices(reset_sec))
+    in_day = F.col("window_idx").between(0, SECONDS_PER_DAY // reset_sec - 1)
     return first.groupBy(*by).agg(
         F.sum("n_rows").alias("n_obs_epochs"),
         F.max("max_epoch").alias("max_epoch"),
         F.map_from_entries(
             F.collect_list(F.when(F.col("ttff").isNotNull(), F.struct("window_idx", "ttff")))
         ).alias("fixes"),
+        F.collect_list(F.when(in_day & is_day, F.col("ttff"))).alias("day_fixes"),
+        F.collect_list(F.when(in_day & ~is_day, F.col("ttff"))).alias("night_fixes"),
     )
 
 
+def _windows_per_day(reset_sec: int) -> Column:
+    """Reset windows that count under a window label."""
+    total, day = SECONDS_PER_DAY // reset_sec, len(day_window_indices(reset_sec))
+    return F.when(F.col("window") == "all", total).when(F.col("window") == "day", day).otherwise(total - day)
+
+
 def ttff_events(
     windows: DataFrame, *, reset_sec: int = 900, interval_sec: int = 30, full_day: bool = True
 ) -> DataFrame:
@@ -92,7 +103,7 @@ def ttff_events(
         if full_day
         else F.floor(F.col("max_epoch") / _check(reset_sec, interval_sec)).cast("int")
     )
-    kept = [c for c in windows.columns if c not in ("max_epoch", "fixes")]
+    kept = [c for c in windows.columns if c not in ("max_epoch", "fixes", "day_fixes", "night_fixes")]
     return (
         windows.withColumn("window_idx", F.explode(F.sequence(F.lit(0), last)))
         .withColumn("ttff_sec", F.try_element_at("fixes", F.col("window_idx")))
@@ -146,31 +157,34 @@ def station_ttff(
     interval_sec: int = 30,
     min_completion: float = MIN_COMPLETION,
 ) -> DataFrame:
-    """One row per (keys, station, window label). A group holds at most the reset windows
-    of its days, so native percentiles are bounded."""
+    """One row per (keys, station, window label). The fixes of a group are as many as the
+    windows of its days, so they are gathered in arrays and read by position."""
     by = [*keys, "station"]
-    events = ttff_events(windows, reset_sec=reset_sec, interval_sec=interval_sec)
-    labels = F.array(F.lit("all"), F.when(F.col("is_day"), "day").otherwise("night"))
-    grouped = (
-        events.select(*by, "ttff_sec", F.explode(labels).alias("window"))
-        .groupBy(*by, "window")
-        .agg(
-            F.count(F.lit(1)).alias("n_windows"),
-            F.count("ttff_sec").alias("n_windows_fixed"),
-            *quantile_columns(TTFF, PROBS),
-        )
+    pooled = windows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_days_seen"),
+        F.flatten(F.collect_list("day_fixes")).alias("day"),
+        F.flatten(F.collect_list("night_fixes")).alias("night"),
+    )
+    labelled = with_windows(pooled).withColumn(
+        "fixed",
+        F.sort_array(
+            F.when(F.col("window") == "all", F.concat("day", "night"))
+            .when(F.col("window") == "day", F.col("day"))
+            .otherwise(F.col("night"))
+        ),
     )
     completion = _completion(windows, keys, _expected_epochs(reset_sec, interval_sec), day)
-    return unpack_quantiles(grouped.join(completion, by), TTFF, PROBS).select(
+    n_windows, n_fixed = F.col("n_days_seen") * _windows_per_day(reset_sec), F.size("fixed").cast("long")
+    return labelled.join(completion, by).select(
         *by,
         "window",
-        "n_windows",
-        "n_windows_fixed",
-        (F.col("n_windows_fixed") / F.col("n_windows")).alias("fix_success_rate"),
+        n_windows.alias("n_windows"),
+        n_fixed.alias("n_windows_fixed"),
+        (n_fixed / n_windows).alias("fix_success_rate"),
         "n_obs_epochs",
         "completion",
         (F.col("completion") >= min_completion).alias("passes_completion_gate"),
-        *[f"ttff_{label}" for label in PROBS],
+        *[array_quantile(F.col("fixed"), p).alias(f"ttff_{label}") for label, p in PROBS.items()],
     )
 
 
@@ -194,8 +208,13 @@ def network_ttff_cube(
     gate = _completion(windows, keys, _expected_epochs(reset_sec, interval_sec), day)
     passing = gate.where(F.col("completion") >= min_completion).select(*by, "station")
     kept = windows.join(passing, [*by, "station"], "left_semi").join(flags, "station")
+    sides = F.array(
+        F.struct(F.lit(True).alias("is_day"), F.col("day_fixes").alias("v")),
+        F.struct(F.lit(False).alias("is_day"), F.col("night_fixes").alias("v")),
+    )
     counts = (
-        ttff_events(kept, reset_sec=reset_sec, interval_sec=interval_sec)
+        kept.select(*by, *FLAGS, F.explode(sides).alias("s"))
+        .select(*by, *FLAGS, "s.is_day", F.explode("s.v").alias("ttff_sec"))
         .groupBy(*by, *FLAGS, "is_day", "ttff_sec")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -203,27 +222,30 @@ def network_ttff_cube(
         spread_to_cells(counts)
         .groupBy(*by, *CELL)
         .agg(
-            F.sum("n").alias("n_windows"),
-            F.sum(F.when(F.col("ttff_sec").isNotNull(), F.col("n"))).alias("n_windows_fixed"),
+            F.sum("n").alias("n_windows_fixed"),
             F.percentile(
                 "ttff_sec", F.array(*[F.lit(p) for p in PROBS.values()]), F.col("n")
             ).alias("_ttff"),
         )
     )
     # Every station has day and night windows, so its count holds for all three labels.
-    stations = kept.select(*by, "station", *FLAGS).distinct().groupBy(*by, *FLAGS).agg(F.count(F.lit(1)).alias("n"))
-    n_stations = with_windows(
-        spread_to_cells(stations).groupBy(*by, *CELL[:-1]).agg(F.sum("n").alias("n_stations"))
-    )
+    per_station = kept.groupBy(*by, "station", *FLAGS).agg(F.count(F.lit(1)).alias("days"))
+    stations = per_station.groupBy(*by, *FLAGS).agg(F.count(F.lit(1)).alias("n_stations"), F.sum("days").alias("days"))
+    present = with_windows(
+        spread_to_cells(stations)
+        .groupBy(*by, *CELL[:-1])
+        .agg(F.sum("n_stations").alias("n_stations"), F.sum("days").alias("days"))
+    ).withColumn("n_windows", F.col("days") * _windows_per_day(reset_sec))
     cells = every_cell(windows.select(*by).distinct())
-    joined = cells.join(per_cell, [*by, *CELL], "left").join(n_stations, [*by, *CELL], "left")
+    joined = cells.join(per_cell, [*by, *CELL], "left").join(present, [*by, *CELL], "left")
+    zero = F.lit(0)
     return unpack_quantiles(joined, TTFF, PROBS).select(
         *by,
         *CELL,
-        F.coalesce("n_stations", F.lit(0)).alias("n_stations"),
-        F.coalesce("n_windows", F.lit(0)).alias("n_windows"),
-        F.coalesce("n_windows_fixed", F.lit(0)).alias("n_windows_fixed"),
-        (F.coalesce("n_windows_fixed", F.lit(0)) / F.nullif(F.col("n_windows"), F.lit(0))).alias("fix_success_rate"),
+        F.coalesce("n_stations", zero).alias("n_stations"),
+        F.coalesce("n_windows", zero).alias("n_windows"),
+        F.coalesce("n_windows_fixed", zero).alias("n_windows_fixed"),
+        (F.coalesce("n_windows_fixed", zero) / F.nullif(F.col("n_windows"), zero)).alias("fix_success_rate"),
         *[f"ttff_{label}" for label in PROBS],
     )
 
