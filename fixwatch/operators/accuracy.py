@@ -18,7 +18,7 @@ from fixwatch.operators.quantiles import (
     interpolate,
     linear_ranks,
     quantile_columns,
-    select_ranks,
+    select_ranks_in_cells,
     unpack_quantiles,
 )
 
@@ -66,7 +66,7 @@ def group_stats(
     """The metric kernel over arbitrary disjoint groups: one aggregation where every group
     is small, counting passes for the percentiles of large ones."""
     if all_groups_small(epochs, keys, max_group_rows):
-        grouped = epochs.groupBy(*keys).agg(*_sums(), *quantile_columns(AXES, PROBS))
+        grouped = epochs.groupBy(*keys).agg(*_sums(), *quantile_columns(AXES))
         wide = unpack_quantiles(grouped, AXES, PROBS)
         return wide.select(*keys, *_metrics(), *_QUANTILE_NAMES)
     sums = epochs.groupBy(*keys).agg(*_sums()).select(*keys, *_metrics())
@@ -79,6 +79,17 @@ def station_accuracy(
 ) -> DataFrame:
     """One row per (keys, station, window), empty windows included."""
     by = [*keys, "station"]
+    if all_groups_small(epochs, by, max_group_rows):
+        # Day and night are gathered once; `all` is put together from the two.
+        halves = epochs.groupBy(*by, "is_day").agg(*_sums(), *[F.collect_list(c).alias(c) for c in AXES.values()])
+        names = [*_SUM_NAMES, *AXES.values()]
+        packed = halves.groupBy(*by).agg(
+            *[
+                F.max(F.when(F.col("is_day") == flag, F.struct(*names))).alias(side)
+                for side, flag in (("day", True), ("night", False))
+            ]
+        )
+        return _windows_of_halves(packed, by)
     # A row belongs to `all` and to one of day and night: two rows instead of three scans.
     labelled = epochs.select(
         *by,
@@ -101,6 +112,37 @@ def station_accuracy(
     )
 
 
+def _windows_of_halves(packed: DataFrame, by: list[str]) -> DataFrame:
+    """Window rows from the `day` and `night` aggregates of a station."""
+
+    def add(name: str) -> Column:
+        zero = F.lit(0)
+        return (F.coalesce(F.col(f"day.{name}"), zero) + F.coalesce(F.col(f"night.{name}"), zero)).alias(name)
+
+    def join_values(name: str) -> Column:
+        empty = F.array().cast("array<double>")
+        sides = [F.coalesce(F.col(f"{side}.{name}").cast("array<double>"), empty) for side in ("day", "night")]
+        return F.concat(*sides).alias(name)
+
+    both = F.struct(*[add(n) for n in _SUM_NAMES], *[join_values(c) for c in AXES.values()])
+    side_of = {
+        side: F.struct(
+            *[F.col(f"{side}.{n}").alias(n) for n in _SUM_NAMES],
+            *[F.col(f"{side}.{c}").cast("array<double>").alias(c) for c in AXES.values()],
+        )
+        for side in ("day", "night")
+    }
+    windows = F.array(
+        *[
+            F.struct(F.lit(label).alias("window"), stats.alias("s"))
+            for label, stats in (("all", both), ("day", side_of["day"]), ("night", side_of["night"]))
+        ]
+    )
+    rows = packed.select(*by, F.explode(windows).alias("w")).select(*by, "w.window", "w.s.*")
+    arrays = [F.sort_array(c).alias(f"_{axis}") for axis, c in AXES.items()]
+    return unpack_quantiles(rows.select(*by, "window", *_metrics(), *arrays), AXES, PROBS)
+
+
 def network_accuracy_cube(
     epochs: DataFrame,
     registry: DataFrame,
@@ -175,7 +217,7 @@ def _selected_cell_quantiles(placed: DataFrame, by: list[str]) -> DataFrame:
     long = placed.select(*by, *FLAGS, "is_day", F.explode(axes).alias("s")).select(
         *by, *FLAGS, "is_day", "s.axis", "s.x"
     )
-    picked = select_ranks(
+    picked = select_ranks_in_cells(
         long,
         [*by, *FLAGS, "is_day", "axis"],
         "x",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,24 +61,23 @@ def station_filter(df: DataFrame, station: str, ids: Sequence[str] = (), prefixe
     return df.where(keep)
 
 
-def _labels(names: Sequence[str], condition) -> Column:
-    return F.array_compact(F.array(*[F.when(condition(name), F.lit(name)) for name in names]))
+def _spread(df: DataFrame, column: str, labels: Sequence[Column]) -> DataFrame:
+    return df.withColumn(column, F.explode(F.array(*labels))).where(F.col(column).isNotNull())
 
 
 def spread_to_cells(df: DataFrame) -> DataFrame:
     """Replace the registry flags (and `is_day`, where present) of a counting table by
-    every cell the row belongs to, 36 at most. Meant for aggregated rows only."""
+    every cell the row belongs to, 36 at most. Meant for aggregated rows."""
+
+    def matching(names: Sequence[str], condition: Callable[[str], Column]) -> list[Column]:
+        return [F.when(condition(name), F.lit(name)) for name in names]
+
     individual = F.col("netid").cast("string")
-    networks = F.array_compact(
-        F.array(F.lit("all"), F.when(individual.isin(*NETWORK_IDS[:-1]), individual))
-    )
-    spread = (
-        df.withColumn("network_id", F.explode(networks))
-        .withColumn("scope", F.explode(_labels(SCOPES, scope_filter)))
-        .withColumn("station_set", F.explode(_labels(STATION_SETS, station_set_filter)))
-    )
+    spread = _spread(df, "network_id", [F.lit("all"), F.when(individual.isin(*NETWORK_IDS[:-1]), individual)])
+    spread = _spread(spread, "scope", matching(SCOPES, scope_filter))
+    spread = _spread(spread, "station_set", matching(STATION_SETS, station_set_filter))
     if "is_day" in df.columns:
-        spread = spread.withColumn("window", F.explode(_labels(WINDOWS, window_filter))).drop("is_day")
+        spread = _spread(spread, "window", matching(WINDOWS, window_filter)).drop("is_day")
     return spread.drop(*FLAGS)
 
 

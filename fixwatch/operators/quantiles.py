@@ -1,8 +1,8 @@
 """Exact order statistics that never sort or hash a whole group in one task.
 
-Spark's `percentile` keeps a value-to-count map per group. That is the fastest way for
-groups of bounded size (a station-day), and cannot work for a group that holds a large
-share of the data (a national month, a pooled threshold cell). For those the rank is
+Holding the values of a group, as a sorted array or in the map of Spark's `percentile`, is
+right for groups of bounded size (a station-day), and cannot work for a group that holds a
+large share of the data (a national month, a pooled threshold cell). For those the rank is
 narrowed in counting passes over an order-preserving code, a logarithmic slice:
 
 1. rows are counted per (group, coarse code) with map-side combine, a table of at most
@@ -107,78 +107,121 @@ def _want(ranks: Mapping[str, RankOf], total: Column) -> Column:
     )
 
 
-def select_ranks(
-    rows: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    ranks: Mapping[str, RankOf],
-    *,
-    expand: Expand | None = None,
-    out_keys: Sequence[str] | None = None,
-    max_code_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """(out_keys, total, label, value): the element at each rank, by counting passes."""
-    out = list(out_keys if out_keys is not None else keys)
-    coded = (
+def _coded(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    return (
         rows.select(*keys, F.col(value).cast("double").alias("v"))
         .where(F.col("v").isNotNull())
         .withColumn("code", order_code(F.col("v")))
         .withColumn("coarse", F.shiftright("code", _COARSE_BITS))
     )
 
-    def tally(df: DataFrame, by: Sequence[str]) -> DataFrame:
-        return df.groupBy(*by).agg(F.sum("n").alias("n"))
-
-    # Pass 1: which coarse code holds each rank. Most rows hold none, so they are dropped by
-    # plain comparisons before any array is built.
-    first = coded.groupBy(*keys, "coarse").agg(F.count(F.lit(1)).alias("n"))
-    members = None
-    if expand is not None:
-        first = cut_lineage(first)
-        # (keys, out keys): which cells a disjoint group belongs to.
-        groups = first.select(*keys).distinct().withColumn("_own", F.struct(*keys))
-        members = expand(groups).select(F.col("_own"), *out)
-        first = expand(first)
-    coarse = (
-        tally(first, [*out, "coarse"])
-        .withColumn("total", F.sum("n").over(Window.partitionBy(*out)))
-        .withColumn("before", _before(out, "coarse"))
+
+def _count(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _tally(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    return df.groupBy(*by).agg(F.sum("n").alias("n"))
+
+
+def _coarse_picks(counts: DataFrame, out: Sequence[str], ranks: Mapping[str, RankOf]) -> DataFrame:
+    """Which coarse code holds each rank. Most rows hold none, so they are dropped by plain
+    comparisons before any array is built."""
+    placed = counts.withColumn("total", F.sum("n").over(Window.partitionBy(*out))).withColumn(
+        "before", _before(out, "coarse")
     )
     hits = [_holds(rank(F.col("total"))) for rank in ranks.values()]
-    coarse = coarse.where(reduce(lambda a, b: a | b, hits)).withColumn("want", _want(ranks, F.col("total")))
-    level = "coarse"
-    picks = cut_lineage(_relative(coarse).select(*out, "coarse", "total", "want", "n"))
-
-    def narrowed(source: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-        """Rows with a code that some cell of theirs wants, and their counts by cell. Only
-        the cells that want the code are paired with it, not all the row belongs to."""
-        if members is None:
-            kept = _match(source, broadcast_if_small(picks.select(*keys, level)), [*keys, level], "left_semi")
-            return kept, kept.groupBy(*out, *by).agg(F.count(F.lit(1)).alias("n"))
-        wanting = picks.select(*out, level).join(members, out).select("_own.*", *[c for c in out if c not in keys], level)
-        wanting = cut_lineage(wanting)
-        codes = broadcast_if_small(wanting.select(*keys, level).distinct())
-        kept = _match(source, codes, [*keys, level], "left_semi")
-        counts = kept.groupBy(*keys, *by).agg(F.count(F.lit(1)).alias("n"))
-        return kept, tally(_match(counts, wanting, [*keys, level], "inner"), [*out, *by])
-
-    # Pass 2, only where one coarse code alone is too much for a task.
-    if not at_most(picks.where(F.col("n") > max_code_rows), 0):
-        coded, fine = narrowed(coded, ["coarse", "code"])
-        fine = _match(fine, picks.drop("n"), [*out, "coarse"], "inner")
-        level = "code"
-        picks = cut_lineage(_wanted_here(fine, [*out, "coarse"], "code").select(*out, "code", "total", "want"))
+    held = placed.where(reduce(lambda a, b: a | b, hits)).withColumn("want", _want(ranks, F.col("total")))
+    return cut_lineage(_relative(held).select(*out, "coarse", "total", "want", "n"))
+
 
-    # Last pass: the distinct values inside the picked code.
-    _, values = narrowed(coded, [level, "v"])
-    values = _match(values, picks.select(*out, level, "total", "want"), [*out, level], "inner")
+def _values_found(values: DataFrame, picks: DataFrame, out: Sequence[str], level: str) -> DataFrame:
+    wanted = _match(values, picks.select(*out, level, "total", "want"), [*out, level], "inner")
     return (
-        _wanted_here(values, [*out, level], "v")
+        _wanted_here(wanted, [*out, level], "v")
         .select(*out, "total", F.explode("want").alias("w"), "v")
         .select(*out, "total", F.col("w.label").alias("label"), F.col("v").alias("value"))
     )
 
 
+def _fine_picks(fine: DataFrame, picks: DataFrame, out: Sequence[str]) -> DataFrame:
+    matched = _match(fine, picks.drop("n"), [*out, "coarse"], "inner")
+    return cut_lineage(_wanted_here(matched, [*out, "coarse"], "code").select(*out, "code", "total", "want"))
+
+
+def select_ranks(
+    rows: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    ranks: Mapping[str, RankOf],
+    *,
+    max_code_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """(keys, total, label, value): the element at each rank, by counting passes."""
+    out, level = list(keys), "coarse"
+    coded = _coded(rows, out, value)
+    picks = _coarse_picks(_count(coded, [*out, "coarse"]), out, ranks)
+
+    def narrowed() -> DataFrame:
+        return _match(coded, broadcast_if_small(picks.select(*out, level)), [*out, level], "left_semi")
+
+    coded = narrowed()
+    # Only where one coarse code alone is too much for a task.
+    if not at_most(picks.where(F.col("n") > max_code_rows), 0):
+        picks = _fine_picks(_count(coded, [*out, "coarse", "code"]), picks, out)
+        level = "code"
+        coded = narrowed()
+    return _values_found(_count(coded, [*out, level, "v"]), picks, out, level)
+
+
+def select_ranks_in_cells(
+    rows: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    ranks: Mapping[str, RankOf],
+    *,
+    expand: Expand,
+    out_keys: Sequence[str],
+    max_code_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """As `select_ranks` over overlapping cells. `expand` maps a table of disjoint groups
+    to the cells each belongs to. Groups and cells get short ids, so that shuffles carry two
+    numbers in place of all keys, and a count is paired only with cells that want its code.
+    """
+    coded = _coded(rows, keys, value)
+    first = cut_lineage(_count(coded, [*keys, "coarse"]))
+    # Checkpointed, so the ids stay what they are.
+    groups = cut_lineage(first.select(*keys).distinct().withColumn("_g", F.monotonically_increasing_id()))
+    spread = expand(groups)
+    cells = cut_lineage(spread.select(*out_keys).distinct().withColumn("_c", F.monotonically_increasing_id()))
+    members = cut_lineage(_match(spread, cells, out_keys, "inner").select("_g", "_c"))
+    small_groups, small_members = broadcast_if_small(groups), broadcast_if_small(members)
+
+    own = _match(first, small_groups, keys, "inner").select("_g", "coarse", "n")
+    picks = _coarse_picks(_tally(own.join(small_members, "_g"), ["_c", "coarse"]), ["_c"], ranks)
+    coded = _match(coded, small_groups, keys, "inner").select("_g", "coarse", "code", "v")
+
+    def narrowed(level: str) -> tuple[DataFrame, DataFrame]:
+        """Rows with a code some cell of theirs wants, and (_g, level, _c) for who wants it."""
+        wanting = cut_lineage(picks.select("_c", level).join(small_members, "_c"))
+        codes = broadcast_if_small(wanting.select("_g", level).distinct())
+        return coded.join(codes, ["_g", level], "left_semi"), wanting
+
+    def by_cell(counts: DataFrame, wanting: DataFrame, by: Sequence[str]) -> DataFrame:
+        return _tally(counts.join(broadcast_if_small(wanting), ["_g", by[0]]), ["_c", *by])
+
+    level = "coarse"
+    coded, wanting = narrowed("coarse")
+    if not at_most(picks.where(F.col("n") > max_code_rows), 0):
+        fine = by_cell(_count(coded, ["_g", "coarse", "code"]), wanting, ["coarse", "code"])
+        picks = _fine_picks(fine, picks, ["_c"])
+        level = "code"
+        coded, wanting = narrowed("code")
+    values = by_cell(_count(coded, ["_g", level, "v"]), wanting, [level, "v"])
+    found = _values_found(values, picks, ["_c"], level)
+    return found.join(broadcast_if_small(cells), "_c").drop("_c")
+
+
 def _direct_ranks(rows: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, RankOf]) -> DataFrame:
     """As `select_ranks` for groups known to be small: one sort inside each group."""
     group = Window.partitionBy(*keys)
@@ -280,26 +323,24 @@ def exact_quantiles(
     return reduce(DataFrame.unionByName, parts)
 
 
-def quantile_columns(values: Mapping[str, str], probs: Mapping[str, float]) -> list[Column]:
-    """Native percentile aggregates, for groups bounded by construction."""
-    return [
-        F.percentile(F.col(column).cast("double"), F.array(*[F.lit(float(p)) for p in probs.values()])).alias(f"_{name}")
-        for name, column in values.items()
-    ]
+def quantile_columns(values: Mapping[str, str]) -> list[Column]:
+    """Sorted values per group, for groups of checked or bounded size. Reading several
+    percentiles off one sorted array costs less than Spark's value-to-count map."""
+    return [F.sort_array(F.collect_list(F.col(column).cast("double"))).alias(f"_{name}") for name, column in values.items()]
 
 
 def unpack_quantiles(df: DataFrame, values: Mapping[str, str], probs: Mapping[str, float]) -> DataFrame:
     kept = [c for c in df.columns if c not in {f"_{name}" for name in values}]
-    unpacked = [
-        F.col(f"_{name}")[i].alias(f"{name}_{label}") for name in values for i, label in enumerate(probs)
-    ]
-    return df.select(*kept, *unpacked)
+    return df.select(
+        *kept,
+        *[array_quantile(F.col(f"_{name}"), p).alias(f"{name}_{label}") for name in values for label, p in probs.items()],
+    )
 
 
 def direct_quantiles(
     df: DataFrame, keys: Sequence[str], values: Mapping[str, str], probs: Mapping[str, float]
 ) -> DataFrame:
-    return unpack_quantiles(df.groupBy(*keys).agg(*quantile_columns(values, probs)), values, probs)
+    return unpack_quantiles(df.groupBy(*keys).agg(*quantile_columns(values)), values, probs)
 
 
 def array_quantile(values: Column, p: float) -> Column:

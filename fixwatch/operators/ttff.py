@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from fixwatch.functions.gnss_time import SECONDS_PER_DAY, day_window_indices
 from fixwatch.operators.cells import CELL, FLAGS, every_cell, spread_to_cells, with_windows
 from fixwatch.operators.guards import broadcast_if_small
-from fixwatch.operators.quantiles import array_quantile, index_rank, pick_ranks, unpack_quantiles
+from fixwatch.operators.quantiles import array_quantile, index_rank, pick_ranks
 
 PROBS = {"p50_sec": 0.50, "p90_sec": 0.90, "p95_sec": 0.95, "p99_sec": 0.99}
-TTFF = {"ttff": "ttff_sec"}
 MIN_COMPLETION = 0.9
 DAY_KEYS = ("date", "mode")
 
@@ -223,9 +222,7 @@ def network_ttff_cube(
         .groupBy(*by, *CELL)
         .agg(
             F.sum("n").alias("n_windows_fixed"),
-            F.percentile(
-                "ttff_sec", F.array(*[F.lit(p) for p in PROBS.values()]), F.col("n")
-            ).alias("_ttff"),
+            F.percentile("ttff_sec", F.array(*[F.lit(p) for p in PROBS.values()]), F.col("n")).alias("q"),
         )
     )
     # Every station has day and night windows, so its count holds for all three labels.
@@ -239,14 +236,14 @@ def network_ttff_cube(
     cells = every_cell(windows.select(*by).distinct())
     joined = cells.join(per_cell, [*by, *CELL], "left").join(present, [*by, *CELL], "left")
     zero = F.lit(0)
-    return unpack_quantiles(joined, TTFF, PROBS).select(
+    return joined.select(
         *by,
         *CELL,
         F.coalesce("n_stations", zero).alias("n_stations"),
         F.coalesce("n_windows", zero).alias("n_windows"),
         F.coalesce("n_windows_fixed", zero).alias("n_windows_fixed"),
         (F.coalesce("n_windows_fixed", zero) / F.nullif(F.col("n_windows"), zero)).alias("fix_success_rate"),
-        *[f"ttff_{label}" for label in PROBS],
+        *[F.col("q")[i].alias(f"ttff_{label}") for i, label in enumerate(PROBS)],
     )
 
 
