@@ -12,8 +12,8 @@ ROWS_PER_FILE = 20_000_000
 
 
 def _replace(df: DataFrame, path: str, partitions: list[str]) -> None:
-    """Overwrite only the partitions present in `df`. Rows are laid out by partition first,
-    with a spread inside it, so that a day becomes a few files and a large day several."""
+    """Overwrite only the partitions present in `df`. A run covers one day, month or batch,
+    so each task writes to few partitions and no shuffle is needed before the write."""
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
