@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fixwatch.operators.guards import cut_lineage
 from fixwatch.operators.quantiles import exact_quantiles, running_counts
 
 _ECDF_CHUNK = 100_000
@@ -20,8 +21,8 @@ def _all_bins(counts: DataFrame, n_bins: int) -> DataFrame:
 def histogram(df: DataFrame, value: str, *, bins: int = 40) -> DataFrame:
     """Equal bins between minimum and maximum, the last closed on the right. A single
     distinct value is widened by half a unit on both sides."""
-    low = df.select(F.min(value)).scalar()
-    high = df.select(F.max(value)).scalar()
+    ends = df.select(F.struct(F.min(value).alias("a"), F.max(value).alias("b"))).scalar()
+    low, high = ends["a"], ends["b"]
     lo = F.when(low == high, low - 0.5).otherwise(low)
     hi = F.when(low == high, high + 0.5).otherwise(high)
     at = F.floor((F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
@@ -44,8 +45,10 @@ def log_histogram(df: DataFrame, value: str, *, edges: int = 40) -> DataFrame:
     edges make edges - 1 bins and values below the first edge are left out."""
     bins = edges - 1
     positive = df.where(F.col(value) > 0)
-    low = F.log10(F.greatest(positive.select(F.min(value)).scalar().cast("double"), F.lit(1.0)))
-    high = F.log10(positive.select(F.max(value)).scalar().cast("double"))
+    ends = positive.select(
+        F.struct(F.min(value).cast("double").alias("a"), F.max(value).cast("double").alias("b"))
+    ).scalar()
+    low, high = F.log10(F.greatest(ends["a"], F.lit(1.0))), F.log10(ends["b"])
     at = F.floor((F.log10(value) - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
     counts = (
         positive.select(value, low.alias("lo"), high.alias("hi"))
@@ -89,7 +92,8 @@ def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
 
 def equipment_combinations(df: DataFrame, receiver: str = "rec_type", antenna: str = "ant_type", k: int = 10) -> DataFrame:
     """Top combinations of trimmed names with the share of stations they cover."""
-    pairs = df.groupBy(receiver, antenna).agg(F.count(F.lit(1)).alias("n"))
+    # One row per distinct pair, read three times.
+    pairs = cut_lineage(df.groupBy(receiver, antenna).agg(F.count(F.lit(1)).alias("n")))
     stations = pairs.select(F.sum("n")).scalar()
     combined = F.concat(F.trim(receiver), F.lit(" | "), F.trim(antenna)).alias("combination")
     top = (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fixwatch.functions.geodesy import ecef_to_geodetic
 from fixwatch.functions.labels import data_availability
+from fixwatch.operators.guards import cut_lineage
 from fixwatch.operators.qualification import MASK_DEG
 from fixwatch.operators.quantiles import exact_quantiles
 
@@ -157,24 +158,32 @@ def station_monthly(days: DataFrame, info: DataFrame | None = None) -> DataFrame
 
 def executive_summary(daily: DataFrame, monthly: DataFrame) -> DataFrame:
     """One row: mean of the daily means, medians of the station-month values, counts."""
+    # Both are small results of a pass over the QC table; each is computed once.
+    daily = cut_lineage(daily.select("data_availability_mean", "visibility_mean"))
+    monthly = cut_lineage(monthly.select("MP12", "SN1"))
     medians = exact_quantiles(monthly, [], {"MP12": "MP12", "SN1": "SN1"}, {"median": 0.5})
+    means = daily.select(
+        F.struct(F.avg("data_availability_mean").alias("a"), F.avg("visibility_mean").alias("v"), F.count(F.lit(1)).alias("n"))
+    ).scalar()
     return medians.select(
-        daily.select(F.avg("data_availability_mean")).scalar().alias("data_availability"),
-        daily.select(F.avg("visibility_mean")).scalar().alias("visibility"),
+        means["a"].alias("data_availability"),
+        means["v"].alias("visibility"),
         "MP12_median",
         "SN1_median",
         monthly.select(F.count(F.lit(1))).scalar().alias("n_stations"),
-        daily.select(F.count(F.lit(1))).scalar().alias("n_days"),
+        means["n"].alias("n_days"),
     )
 
 
 def quantile_table(monthly: DataFrame, column: str) -> DataFrame:
     """p5, p50, p95, best and worst station of one station-month metric."""
+    monthly = cut_lineage(monthly.select(column))
     quantiles = exact_quantiles(monthly, [], {"q": column}, {"p5": 0.05, "p50": 0.50, "p95": 0.95})
+    ends = monthly.select(F.struct(F.max(column).alias("best"), F.min(column).alias("worst"))).scalar()
     return quantiles.select(
         F.col("q_p5").alias("p5"),
         F.col("q_p50").alias("p50"),
         F.col("q_p95").alias("p95"),
-        monthly.select(F.max(column)).scalar().alias("best"),
-        monthly.select(F.min(column)).scalar().alias("worst"),
+        ends["best"].alias("best"),
+        ends["worst"].alias("worst"),
     )

@@ -82,9 +82,8 @@ def forced_stations(periods: DataFrame, target: dt.date) -> DataFrame:
     """Stations of the periods covering the date; if none covers it, those of the period
     that ends last."""
     marked = periods.withColumn("covers", F.lit(target).between(F.col("from"), F.col("to")))
-    any_covers = marked.select(F.coalesce(F.bool_or("covers"), F.lit(False))).scalar()
-    last_end = marked.select(F.max("to")).scalar()
-    return marked.where(F.when(any_covers, F.col("covers")).otherwise(F.col("to") == last_end)).select("rinex_id").distinct()
+    known = marked.select(F.struct(F.bool_or("covers").alias("any"), F.max("to").alias("end"))).scalar()
+    return marked.where(F.when(known["any"], F.col("covers")).otherwise(F.col("to") == known["end"])).select("rinex_id").distinct()
 
 
 def resolve_variant(solutions: DataFrame, keys: list[str], *, variant: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fixwatch.functions.geodesy import Cartesian, distance_3d
+from fixwatch.operators.guards import cut_lineage
 from fixwatch.operators.quantiles import exact_quantiles
 
 # Default anchor, half window, days the anchor must have.
@@ -155,9 +156,7 @@ def variant_delta(solutions: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def variant_delta_summary(delta: DataFrame) -> DataFrame:
+    delta = cut_lineage(delta.select("distance_m"))
     quantiles = exact_quantiles(delta, [], {"distance": "distance_m"}, {"p50": 0.50, "p95": 0.95})
-    return quantiles.select(
-        delta.select(F.count(F.lit(1))).scalar().alias("n_pairs"),
-        "*",
-        delta.select(F.max("distance_m")).scalar().alias("distance_max"),
-    )
+    ends = delta.select(F.struct(F.count(F.lit(1)).alias("n"), F.max("distance_m").alias("m"))).scalar()
+    return quantiles.select(ends["n"].alias("n_pairs"), "*", ends["m"].alias("distance_max"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fixwatch.functions.gnss_time import SECONDS_PER_DAY, day_window_indices
 from fixwatch.operators.cells import CELL, FLAGS, every_cell, spread_to_cells, with_windows
-from fixwatch.operators.guards import broadcast_if_small
+from fixwatch.operators.guards import broadcast_if_small, cut_lineage
 from fixwatch.operators.quantiles import array_quantile, index_rank, pick_ranks
 
 PROBS = {"p50_sec": 0.50, "p90_sec": 0.90, "p95_sec": 0.95, "p99_sec": 0.99}
@@ -271,6 +271,8 @@ def ttff_summary(events: DataFrame, keys: Sequence[str]) -> DataFrame:
 def cross_station(summary: DataFrame) -> DataFrame:
     """One row over station summaries: fix-rate mean and range, and the upper median
     (element n div 2) and range of p50 and p95 among stations with a fix."""
+    # One row per station-day, read five times below.
+    summary = cut_lineage(summary)
     rates = summary.agg(
         F.count(F.lit(1)).alias("n_stations"),
         F.avg("fix_success_rate").alias("fix_rate_mean"),
