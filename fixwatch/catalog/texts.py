@@ -132,7 +132,7 @@ def _summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     slips = F.when(key % 2 == 0, "ION rms, m>").otherwise("MP12 rms, m>")
     text = F.concat(
         F.format_string("                    Quality Check (qc)\n4-character ID          : %04d\n", key % 10_000),
-        F.format_string("Receiver type           : TPS NETG5 (# = %05d) (fw = 5.2.%d,08/May/2020)\n", key, key % 9),
+        F.format_string("Receiver type           : ACME R9 (# = %05d) (fw = 1.4.%d,02/Jan/2021)\n", key, key % 9),
         F.concat(F.lit("Antenna type            : "), "c_mktsegment", F.lit("    NONE\n")),
         F.format_string("  antenna WGS 84 (xyz)  : %.4f %.4f %.4f (m)\n", -F.col("c_acctbal"), F.col("c_acctbal"), key + 0.5),
         F.format_string("Epochs w/ observations  : %6d\n", key % 2881),
@@ -147,8 +147,8 @@ def _summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "qc_summary_header",
     tidy_sql(
-        """SELECT CAST(c_custkey AS VARCHAR) AS file, format('{:04d}', c_custkey % 10000) AS station, 'TPS NETG5' AS rec_type,
-        format('{:05d}', c_custkey) AS rec_num, '5.2.' || c_custkey % 9 || ',08/May/2020' AS rec_fw_ver, c_mktsegment || '    NONE' AS ant_type,
+        """SELECT CAST(c_custkey AS VARCHAR) AS file, format('{:04d}', c_custkey % 10000) AS station, 'ACME R9' AS rec_type,
+        format('{:05d}', c_custkey) AS rec_num, '1.4.' || c_custkey % 9 || ',02/Jan/2021' AS rec_fw_ver, c_mktsegment || '    NONE' AS ant_type,
         -round(c_acctbal, 4) AS approx_pos_x, round(c_acctbal, 4) AS approx_pos_y, c_custkey + 0.5 AS approx_pos_z,
         CASE WHEN c_custkey % 7 = 0 THEN 0.0 ELSE (c_custkey % 7 * 900 + c_custkey % 7) / (c_custkey % 7 * 1000) END AS visibility,
         c_custkey % 2881 AS epochs_w_obs FROM customer""",

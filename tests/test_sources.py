@@ -60,7 +60,7 @@ def test_quality_only_reading(spark, tmp_path):
 
 def coordinate_text(frame="ITRF2014", extra=""):
     return (
-        "+SITE/INF\n ID           021098\n RINEX        1098\n J_NAME       南鳥島\n E_NAME       MINAMI TORISHIMA \n-SITE/INF\n"
+        "+SITE/INF\n ID           021098\n RINEX        1098\n J_NAME       北岬\n E_NAME       KITA MISAKI \n-SITE/INF\n"
         f"+SOLVER/INF\n SOLUTION_ID  X(GPS)\n{extra} COORDINATE   {frame}\n ELLIPSOID    GRS80\n-SOLVER/INF\n\n+DATA\n"
         "*yyyy mm dd HH:MM:SS  X (m)\n*----+--+--+\n"
         " 2026 03 01 12:00:00 -3.9000010000E+06   3.5000000000E+06   3.6000000000E+06   1.0   2.0   3.0\n"
@@ -76,7 +76,7 @@ def test_station_coordinates(spark, tmp_path):
     rows = coords.parse_coordinates(docs).orderBy("date").collect()
     assert [r.date.day for r in rows] == [1, 2]
     r = rows[1]
-    assert (r.f5_id, r.rinex_id, r.j_name, r.e_name, r.frame, r.ellipsoid) == ("021098", "1098", "南鳥島", "MINAMI TORISHIMA", "ITRF2014", "GRS80")
+    assert (r.f5_id, r.rinex_id, r.j_name, r.e_name, r.frame, r.ellipsoid) == ("021098", "1098", "北岬", "KITA MISAKI", "ITRF2014", "GRS80")
     assert (r.x_m, r.h_m) == (-3900002.0, 3.0)
     bad = coords.bad_coordinate_files(docs).collect()
     assert len(bad) == 1 and bad[0].file.endswith("bad.26.pos")
@@ -90,15 +90,15 @@ def qc_summary(station="0231"):
         return title + "\n" + "\n".join(f" {label}{row(i)}" for i, label in enumerate(ELEVATION_LABELS)) + "\n\n"
 
     return (
-        f"4-character ID          : {station}\nReceiver type           : TPS NETG5 (# = 00000) (fw = 5.2.6,08/May/2020)\n"
-        "Antenna type            : TRM159900.00    NONE\n  antenna WGS 84 (xyz)  : -3788392.1483 3263901.8805 3946051.6482 (m)\n"
-        "Epochs w/ observations  :   2880\nPossible obs >  10.0 deg:  44000\nComplete obs >  10.0 deg:  43000\n"
+        f"4-character ID          : {station}\nReceiver type           : ACME R9 (# = 00417) (fw = 1.4.2,02/Jan/2021)\n"
+        "Antenna type            : ANT7700.00      NONE\n  antenna WGS 84 (xyz)  : -3612345.5000 3498765.2500 3887654.1250 (m)\n"
+        "Epochs w/ observations  :   2880\nPossible obs >  10.0 deg:  44000\nComplete obs >  10.0 deg:  41800\n"
         "Observation interval :   30.000 sec\n\n"
         + block("elev (deg)  tot slps <ION rms, m>        5=%", lambda i: f"  {500 + i:5d} {i:4d} {0.0:10.6f}")
         + "mean MP12 rms        :  0.123 m\n"
         + block("elev (deg)  tot slps <MP12 rms, m>        5=%", lambda i: f"  {300 + i:5d} {0:4d} {0.18 + i / 1000:10.6f}")
         + block("elev (deg)  tot slps <MP99 rms, m>        5=%", lambda i: f"  {300 + i:5d} {0:4d} {0.18:10.6f}")
-        + block("elev (deg)  tot SN1 sig    mean          2|0", lambda i: f"  {290 + i:5d} {3.082:7.3f} {50.668:8.3f} ##|")
+        + block("elev (deg)  tot SN1 sig    mean          2|0", lambda i: f"  {290 + i:5d} {2.625:7.3f} {47.375:8.3f} ##|")
     )
 
 
@@ -109,14 +109,14 @@ def test_qc_summary_day(spark, tmp_path):
     h = header.collect()
     assert len(h) == 1
     h = h[0]
-    assert (h.station, h.rec_type, h.rec_num, h.rec_fw_ver, h.ant_type) == ("0231", "TPS NETG5", "00000", "5.2.6,08/May/2020", "TRM159900.00    NONE")
-    assert h.visibility == pytest.approx(43000 / 44000) and h.epochs_w_obs == 2880 and h.approx_pos_z == 3946051.6482
+    assert (h.station, h.rec_type, h.rec_num, h.rec_fw_ver, h.ant_type) == ("0231", "ACME R9", "00417", "1.4.2,02/Jan/2021", "ANT7700.00      NONE")
+    assert h.visibility == pytest.approx(41800 / 44000) and h.epochs_w_obs == 2880 and h.approx_pos_z == 3887654.1250
     assert h.source_file == "02310910.26S"
     rows = {(r.metric, r.bin_label): r for r in long.collect()}
     assert len(rows) == 57
     assert tuple(rows["ION", "85 - 90"][5:]) == (500.0, 0.0, 0.0)
     assert rows["MP12", "85 - 90"].rms_or_mean == pytest.approx(0.180)
-    assert (rows["SN1", "85 - 90"].slps_or_sig, rows["SN1", "   <  0"].bin_lo) == (3.082, -1)
+    assert (rows["SN1", "85 - 90"].slps_or_sig, rows["SN1", "   <  0"].bin_lo) == (2.625, -1)
     assert [r.file.split("/")[-1] for r in failed.collect()] == ["02320910.26S"]
 
 
@@ -174,7 +174,7 @@ def test_qzss_pages(spark, tmp_path):
 
 FEED = """<?xml version="1.0"?><rss><channel>
 <item><title>NOTICE ADVISORY TO GALILEO USERS (NAGU) 2026031</title><link> http://x/1 </link><pubDate>Tue, 12 May 2026 15:36:58 +0000</pubDate>
-<description>&lt;p&gt;NAGU TYPE: USABLE&lt;br&gt;NAGU NUMBER: 2026031&lt;br&gt;NAGU SUBJECT: USABLE AS FROM&lt;br&gt;NAGU REFERENCED TO: &lt;a href="y"&gt;2026030&lt;/a&gt;&lt;br&gt;START DATE EVENT (UTC): 2026-05-08 08:31&lt;br&gt;END DATE EVENT (UTC): N/A&lt;br&gt;SATELLITE AFFECTED: GSAT0219&lt;br&gt;SPACE VEHICLE ID: 36&lt;br&gt;SIGNAL(S) AFFECTED: ALL&lt;/p&gt;&lt;p&gt;EVENT DESCRIPTION: IS USABLE.&lt;/p&gt;</description></item>
+<description>&lt;p&gt;NAGU TYPE: USABLE&lt;br&gt;NAGU NUMBER: 2026031&lt;br&gt;NAGU SUBJECT: USABLE AS FROM&lt;br&gt;NAGU REFERENCED TO: &lt;a href="y"&gt;2026030&lt;/a&gt;&lt;br&gt;START DATE EVENT (UTC): 2026-02-03 04:05&lt;br&gt;END DATE EVENT (UTC): N/A&lt;br&gt;SATELLITE AFFECTED: GSAT0777&lt;br&gt;SPACE VEHICLE ID: 21&lt;br&gt;SIGNAL(S) AFFECTED: ALL&lt;/p&gt;&lt;p&gt;EVENT DESCRIPTION: IS USABLE.&lt;/p&gt;</description></item>
 <item><title>Press release</title><description>x</description></item>
 <item><title>NOTICE ADVISORY TO GALILEO USERS (NAGU) 2026032</title><description>nothing useful</description></item>
 </channel></rss>"""
@@ -186,11 +186,11 @@ def test_galileo_feed(spark, tmp_path):
     p = nt.parse_nagu(items).collect()
     assert len(p) == 1
     p = p[0]
-    assert (p.notice_type, p.reference_id, p.satellite_affected, p.space_vehicle_id, p.signals_affected) == ("USABLE", "2026030", "GSAT0219", 36, "ALL")
-    assert (p.effective_at, p.expires_at) == (dt.datetime(2026, 5, 8, 8, 31), None)
+    assert (p.notice_type, p.reference_id, p.satellite_affected, p.space_vehicle_id, p.signals_affected) == ("USABLE", "2026030", "GSAT0777", 21, "ALL")
+    assert (p.effective_at, p.expires_at) == (dt.datetime(2026, 2, 3, 4, 5), None)
     assert "NAGU NUMBER: 2026031" in p.body_text and "<" not in p.body_text
     r = nt.raw_nagu(items).first()
-    assert (r.notice_id, r.svn, r.prn, r.source_url, r.published_at) == ("NAGU 2026031", 36, None, "http://x/1", dt.datetime(2026, 5, 12, 15, 36, 58))
+    assert (r.notice_id, r.svn, r.prn, r.source_url, r.published_at) == ("NAGU 2026031", 21, None, "http://x/1", dt.datetime(2026, 5, 12, 15, 36, 58))
     assert r.extras.event_description == "IS USABLE."
 
 
@@ -258,7 +258,7 @@ def test_logs_and_configuration(spark, tmp_path):
 
 def test_equipment_headers_and_inventory(spark, tmp_path):
     head = (
-        f"{'00000':20}{'TPS NETG5':20}{'5.2.6':20}REC # / TYPE / VERS\n{'1234':20}{'TRM159900.00    DOME':20}{'':20}ANT # / TYPE\n"
+        f"{'00000':20}{'ACME R9':20}{'5.2.6':20}REC # / TYPE / VERS\n{'1234':20}{'ANT7700.00      DOME':20}{'':20}ANT # / TYPE\n"
         f"{'':60}END OF HEADER\n{'1':20}{'LATER':20}{'':20}REC # / TYPE / VERS\n"
     )
     (tmp_path / "a.26o").write_text(head)
@@ -267,6 +267,6 @@ def test_equipment_headers_and_inventory(spark, tmp_path):
     (tmp_path / "c.26o").write_text(head.replace("ANT # / TYPE", "COMMENT"))
     rows = logs.equipment_headers(text.lines(spark, str(tmp_path))).collect()
     assert len(rows) == 2
-    assert {(r.receiver.strip(), r.antenna) for r in rows} == {("TPS NETG5", "TRM159900.00    NONE")}
+    assert {(r.receiver.strip(), r.antenna) for r in rows} == {("ACME R9", "ANT7700.00      NONE")}
     found = {r.path[-5:]: r for r in logs.file_inventory(spark, str(tmp_path)).collect()}
     assert found["a.26o"].sha256 == hashlib.sha256(head.encode()).hexdigest() and found["a.26o"].size_bytes == len(head)
