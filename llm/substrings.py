@@ -318,9 +318,10 @@ def _found(row_id: np.ndarray, first: np.ndarray, last: np.ndarray, late: pa.Tab
     return pa.RecordBatch.from_arrays([*columns, late.column("anchor").combine_chunks(), late.column("bytes").combine_chunks()], names=["row_id", "first", "last", "anchor", "bytes"])
 
 
-def _sort_groups(regions: DataFrame, length: int, most: int) -> DataFrame:
+def _sort_groups(regions: DataFrame, length: int, most: int, whole: bool = False) -> DataFrame:
     """(row_id, first, last, anchor, bytes): repeated stretches, or, where an anchor has over
-    `most` regions, those regions as they came (anchor not null)."""
+    `most` regions, those regions as they came (anchor not null). With `whole`, every anchor
+    is sorted however many it has."""
 
     def late(rows: pa.Table) -> pa.RecordBatch:
         first = rows.column("first").to_numpy()
@@ -335,7 +336,7 @@ def _sort_groups(regions: DataFrame, length: int, most: int) -> DataFrame:
             starts = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys))
             at = 0
             for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                if keys[s] == large or e - s > most:
+                if not whole and (keys[s] == large or e - s > most):
                     if at < s:
                         yield _settle(rows.slice(at, s - at), length)
                     yield late(rows.slice(s, e - s))
@@ -359,7 +360,7 @@ def _sort_groups(regions: DataFrame, length: int, most: int) -> DataFrame:
             if last:
                 yield from settle(held.slice(0, last))
                 held = held.slice(last)
-            if len(held) > most or keys[-1] == large:
+            if not whole and (len(held) > most or keys[-1] == large):
                 large = keys[-1]
                 yield late(held)
                 held = None
@@ -386,8 +387,8 @@ def sorted_stretches(docs: DataFrame, shared: DataFrame, length: int, most: int)
     dealt = late.join(parts, "anchor").withColumn("part", F.pmod(F.xxhash64("row_id", "first"), F.col("parts")).cast("int"))
     pairs = F.explode(F.expr("transform(sequence(0, parts - 1), x -> xxhash64(anchor, least(x, part), greatest(x, part)))"))
     paired = dealt.select(pairs.alias("anchor"), "row_id", "first", "bytes")
-    # Parts are even by hash; twice `most` leaves room for chance.
-    more = _sort_groups(paired, length, 2 * most).filter("anchor is null").select("row_id", "first", "last")
+    # Parts are even by hash, so a pair of them holds about 0.8 * `most`.
+    more = _sort_groups(paired, length, most, whole=True).select("row_id", "first", "last")
     return found.union(more)
 
 
