@@ -67,7 +67,7 @@ def test_long_text_in_segments(spark, documents, monkeypatch):
 
 
 def test_repeated_rows_are_two_places(spark, documents):
-    text = "".join(random.Random(1).choice("abcdef") for _ in range(300))
+    text = "".join(random.Random(1).choices("abcdef", k=300))
     docs = documents([text]).union(documents([text])).coalesce(1)
     rows = remove_repeats(docs).collect()
     assert [bytes(r["kept"]) for r in rows] == [b"", b""]
