@@ -4,13 +4,13 @@ one occurrence kept per connected group."""
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.common import cut, membership, tasks
@@ -20,7 +20,8 @@ from llm.unions import forest
 MIN_WORDS = 6
 RADIUS = 3
 SIMILARITY = 0.9
-MEMBERS = 1024
+MEMBERS = 512
+HUBS = 8
 _GAP = re.compile(r"[^\w\n]+")
 
 
@@ -54,48 +55,48 @@ def line_hashes(lines: list[str]) -> np.ndarray:
 
 
 def within(a: str, b: str, most: int) -> bool:
-    """True if the edit distance of a and b is at most `most`: shared ends are cut off, the
-    rest goes through a banded table."""
+    """True if the edit distance of a and b is at most `most`.
+
+    Shared ends are cut off; lines of as many words that differ little word by word need no
+    more. Else the table of distances is filled a column at a time, a bit per row."""
     if abs(len(a) - len(b)) > most:
         return False
-    n = min(len(a), len(b))
-    x, y = np.frombuffer(a.encode("utf-32-le", "surrogatepass"), "<u4"), np.frombuffer(b.encode("utf-32-le", "surrogatepass"), "<u4")
+    x, y = (np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4") for t in (a, b))
+    n = min(len(x), len(y))
     differ = np.flatnonzero(x[:n] != y[:n])
     head = int(differ[0]) if len(differ) else n
-    x, y = x[head:], y[head:]
-    n = min(len(x), len(y))
+    n -= head
     differ = np.flatnonzero(x[len(x) - n :][::-1] != y[len(y) - n :][::-1])
     tail = int(differ[0]) if len(differ) else n
-    x, y = x[: len(x) - tail], y[: len(y) - tail]
-    if len(x) > len(y):
-        x, y = y, x
-    if not len(x):
-        return len(y) <= most
-    # Diagonals from -most to most: reach[d] is the furthest x position after e edits.
-    nx, ny = len(x), len(y)
-    mid = most + 1
-    reach = np.full(2 * most + 3, -2, np.int64)
-
-    def slide(i: int, d: int) -> int:
-        j = i + d
-        span = min(nx - i, ny - j)
-        if span <= 0:
-            return i
-        stop = np.flatnonzero(x[i : i + span] != y[j : j + span])
-        return i + (int(stop[0]) if len(stop) else span)
-
-    reach[mid] = slide(0, 0)
-    for edits in range(most + 1):
-        if edits:
-            previous = reach.copy()
-            for d in range(-edits, edits + 1):
-                best = max(previous[mid + d] + 1, previous[mid + d - 1], previous[mid + d + 1] + 1)
-                best = min(best, nx, ny - d)
-                if best >= 0 and best + d >= 0:
-                    reach[mid + d] = slide(int(best), d)
-        if abs(ny - nx) <= edits and reach[mid + ny - nx] >= nx:
-            return True
-    return False
+    a, b = a[head : len(a) - tail], b[head : len(b) - tail]
+    if max(len(a), len(b)) <= most:
+        return True
+    left, right = a.split(" "), b.split(" ")
+    if len(left) == len(right) and sum(max(len(v), len(w)) for v, w in zip(left, right) if v != w) <= most:
+        return True
+    return _distance(a, b) <= most
+
+
+def _distance(a: str, b: str) -> int:
+    """Edit distance; differences between neighbouring rows of a column are kept as bits."""
+    if not a or not b:
+        return max(len(a), len(b))
+    masks: dict[str, int] = {}
+    for k, c in enumerate(a):
+        masks[c] = masks.get(c, 0) | 1 << k
+    full, top = (1 << len(a)) - 1, 1 << len(a) - 1
+    plus, minus, score = full, 0, len(a)
+    for c in b:
+        match = masks.get(c, 0)
+        zero = ((match & plus) + plus ^ plus) | match | minus
+        up = minus | ~(zero | plus) & full
+        down = plus & zero
+        score += bool(up & top) - bool(down & top)
+        up = up << 1 | 1
+        down <<= 1
+        plus = (down | ~(zero | up)) & full
+        minus = zero & up & full
+    return score
 
 
 def similar(a: str, b: str, least: float) -> bool:
@@ -273,49 +274,109 @@ def _texts(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFrame:
     return joined.mapInArrow(run, "key binary, line string").dropDuplicates(["key"])
 
 
-def _verified(members: DataFrame, radius: int, least: float) -> DataFrame:
-    """Links (a, b) of keys whose fingerprints are within `radius` bits and whose lines are
-    similar. `members` is (group, key, fp, line); a group over MEMBERS lines is split into
-    parts, and every pair of parts is a task's work. Inside it, lines already connected are
-    not compared again, so a family of m variants costs about m comparisons, not m * m."""
-    parts = members.groupBy("group").agg(F.ceil(F.count("*") / (MEMBERS // 2)).cast("int").alias("parts"))
-    dealt = members.join(parts, "group").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
-    paired = dealt.select(
-        "key", "fp", "line", F.explode(F.expr("transform(sequence(0, parts - 1), x -> xxhash64(group, least(x, part), greatest(x, part)))")).alias("group")
-    )
-
-    def links(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
-        fps = np.array([r[1] for r in rows], np.int64).view(np.uint64)
-        root = list(range(len(rows)))
+def _connect(rows: list[tuple], radius: int, least: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Component of each of the rows (key, fp, line, ...) and the links that make them. Rows
+    already connected are not compared again, so a family of m variants costs about m
+    comparisons, not m * m."""
+    fps = np.array([r[1] for r in rows], np.int64).view(np.uint64)
+    root = np.arange(len(rows))
+    links = []
+    for i in range(1, len(rows)):
+        close = np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= radius)
+        while len(close := close[root[close] != root[i]]):
+            j = int(close[0])
+            close = close[1:]
+            if similar(rows[i][2], rows[j][2], least):
+                root[root == root[i]] = root[j]
+                links.append((i, j))
+    return root, links
 
-        def top(k: int) -> int:
-            while root[k] != k:
-                root[k] = root[root[k]]
-                k = root[k]
-            return k
 
-        for i in range(1, len(rows)):
-            for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= radius).tolist():
-                a, b = top(i), top(j)
-                if a != b and similar(rows[i][2], rows[j][2], least):
-                    root[max(a, b)] = min(a, b)
-                    yield rows[i][0], rows[j][0]
+def _by_group(rows: DataFrame, columns: list[str], work: Callable[[list[tuple]], list[tuple]], schema: pa.Schema, fields: str) -> DataFrame:
+    """work(rows) for the rows of each `unit`, in a task of sorted units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held = None, []
+        unit, held, out = None, [], []
         for batch in batches:
-            out = []
-            for g, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if g != group:
-                    out += links(held)
-                    group, held = g, []
+            for u, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if u != unit:
+                    out += work(held)
+                    unit, held = u, []
                 held.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
-        out = list(links(held))
-        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], f.type) for k, f in enumerate(schema)], schema=schema)
+            out = []
+        out = work(held)
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], f.type) for k, f in enumerate(schema)], schema=schema)
+
+    dealt = rows.repartition(tasks(rows.sparkSession), "unit").sortWithinPartitions("unit")
+    return dealt.select("unit", *columns).mapInArrow(run, fields)
+
+
+def _verified(members: DataFrame, radius: int, least: float) -> DataFrame:
+    """Links (a, b) of keys that connect exactly the keys whose fingerprints are within
+    `radius` bits and whose lines are similar. `members` is (group, key, fp, line).
+
+    A group over MEMBERS lines is split into parts, each with the same few HUBS lines of the
+    group added. Lines that reach the group's most reached hub are its main body, already
+    connected. Only pairs with a line outside the main body are left: parts of those lines
+    meet each other and every part of the main body. No pair is left out, and a large family
+    costs in proportion to its size, not to its square."""
+    order = F.row_number().over(Window.partitionBy("group").orderBy("key"))
+    sizes = members.groupBy("group").agg(F.count("*").alias("n"))
+    large = cut(sizes.filter(F.col("n") > MEMBERS).withColumn("parts", F.ceil(F.col("n") / MEMBERS).cast("int")), "large")
+    hubs = members.join(large, "group").withColumn("nth", order).filter(F.col("nth") <= HUBS)
+    hubs = hubs.select(F.explode(F.expr("transform(sequence(0, parts - 1), x -> xxhash64(group, x))")).alias("unit"), "group", "key", "fp", "line", (F.col("nth") - 1).alias("hub"))
+    part = F.pmod(F.xxhash64("key"), F.coalesce("parts", F.lit(1))).cast("int")
+    dealt = members.join(large, "group", "left").select(F.xxhash64("group", part).alias("unit"), "group", "key", "fp", "line", F.lit(None).cast("int").alias("hub"))
+
+    def reach(rows: list[tuple]) -> list[tuple]:
+        rows = [(r[1], r[2], r[3], r[0], r[4]) for r in sorted(rows, key=lambda r: (r[4] is None, r[4] or 0, r[1]))]
+        root, links = _connect(rows, radius, least)
+        label: dict[int, int] = {}
+        for k, r in enumerate(rows):
+            if r[4] is not None:
+                label.setdefault(int(root[k]), r[4])
+        out = [(rows[i][0], rows[j][0], None, None) for i, j in links]
+        if label or any(r[4] is not None for r in rows):
+            out += [(r[0], None, r[3], label.get(int(root[k]), -1)) for k, r in enumerate(rows) if r[4] is None]
+        return out
+
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("group", pa.int64()), ("label", pa.int32())])
+    one = cut(_by_group(hubs.unionByName(dealt), ["group", "key", "fp", "line", "hub"], reach, schema, "a binary, b binary, group long, label int"), "reached")
+    links = one.filter("b is not null").select("a", "b")
+    labels = one.filter("group is not null").select("group", F.col("a").alias("key"), "label")
+    if labels.isEmpty():
+        return links
+    best = labels.filter("label >= 0").groupBy("group", "label").agg(F.count("*").alias("n")).groupBy("group").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
+    sided = members.join(labels, ["group", "key"]).join(best, "group", "left").withColumn("stray", ~F.col("label").eqNullSafe(F.col("main")))
+    counts = sided.groupBy("group").agg(*(F.ceil(F.count_if(c) / MEMBERS).cast("int").alias(n) for c, n in ((F.col("stray"), "strays"), (~F.col("stray"), "mains"))))
+    sided = sided.join(counts.filter("strays > 0"), "group").withColumn("part", F.pmod(F.xxhash64("key"), F.when(F.col("stray"), F.col("strays")).otherwise(F.col("mains"))).cast("int"))
+    units = F.expr(
+        """CASE WHEN stray THEN concat(
+            transform(sequence(0, strays - 1), x -> xxhash64(group, 's', least(x, part), greatest(x, part))),
+            if(mains > 0, transform(sequence(0, greatest(mains, 1) - 1), x -> xxhash64(group, 'm', part, x)), cast(array() as array<bigint>)))
+        ELSE transform(sequence(0, strays - 1), x -> xxhash64(group, 'm', x, part)) END"""
+    )
+    # The main body's rows come first and count as connected, so only strays are compared.
+    spread = sided.select(F.explode(units).alias("unit"), "key", "fp", "line", "stray")
+
+    def settle(rows: list[tuple]) -> list[tuple]:
+        main = [r for r in rows if not r[3]]
+        strays = sorted((r for r in rows if r[3]), key=lambda r: r[0])
+        fps = np.array([r[1] for r in main], np.int64).view(np.uint64)
+        out = []
+        if not main:
+            _, found = _connect(strays, radius, least)
+            return [(strays[i][0], strays[j][0]) for i, j in found]
+        for r in strays:
+            for j in np.flatnonzero(np.bitwise_count(fps ^ np.int64(r[1]).view(np.uint64)) <= radius).tolist():
+                if similar(r[2], main[j][2], least):
+                    out.append((r[0], main[j][0]))
+                    break
+        return out
 
-    n = tasks(members.sparkSession)
-    return paired.repartition(n, "group").sortWithinPartitions("group").select("group", "key", "fp", "line").mapInArrow(run, "a binary, b binary")
+    pair = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    return links.union(_by_group(spread, ["key", "fp", "line", "stray"], settle, pair, "a binary, b binary"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, radius: int = RADIUS, least: float = SIMILARITY) -> DataFrame:
@@ -338,7 +399,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, radius: int = RADIU
     alike = groups.unionByName(by_fp.filter("n > 1").select("fp", F.col("fp").alias("group")).join(groups.select("fp"), "fp", "left_anti"))
     members = cut(unique.join(alike, "fp").select("key", "fp", "group", "first"), "members")
     texts = _texts(docs, members.select("first.doc_id", "first.line_no", "key"), min_words)
-    roots = components(cut(_verified(members.join(texts, "key").select("group", "key", "fp", "line"), radius, least), "verified"))
+    spelled = cut(members.join(texts, "key").select("group", "key", "fp", "line"), "spelled")
+    roots = components(cut(_verified(spelled, radius, least), "verified"))
     grouped = unique.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "n", "first", F.coalesce("root", "key").alias("root"), F.col("root").isNotNull().alias("linked"))
     alone = grouped.filter("not linked and n > 1").select("key", F.col("first").alias("kept"))
     linked = cut(grouped.filter("linked"), "linked")

@@ -85,15 +85,15 @@ class Model(NamedTuple):
         return 1 / (1 + np.exp(np.clip(self.thresholds - score, -50, 50)))
 
 
-def fit(rows: list[dict[int, float]], grades: np.ndarray, levels: int, rounds: int = 300, ridge: float = 0.02) -> Model:
-    """Penalised maximum likelihood by Adam. Features of fewer than LEAST_ROWS rows keep
-    weight 0. Thresholds are a first value and positive steps, so they stay ordered."""
-    slots = np.concatenate([np.fromiter(r, np.int64, len(r)) for r in rows]) if rows else np.zeros(0, np.int64)
-    values = np.concatenate([np.fromiter(r.values(), np.float64, len(r)) for r in rows]) if rows else np.zeros(0)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+def fit(slots: np.ndarray, values: np.ndarray, sizes: np.ndarray, grades: np.ndarray, levels: int, rounds: int = 250, ridge: float = 0.5) -> Model:
+    """Penalised maximum likelihood by Adam; row k has the next sizes[k] slots and values.
+    Features of fewer than LEAST_ROWS rows keep weight 0. Thresholds are a first value and
+    positive steps, so they stay ordered."""
+    rows = len(sizes)
+    row = np.repeat(np.arange(rows, dtype=np.int32), sizes)
     kept = np.bincount(slots, minlength=SLOTS)[slots] >= LEAST_ROWS
     slots, values, row = slots[kept], values[kept], row[kept]
-    n = max(len(rows), 1)
+    n = max(rows, 1)
     below = np.array([np.mean(grades <= k) if len(grades) else 0.5 for k in range(levels - 1)]).clip(0.5 / n, 1 - 0.5 / n)
     start = np.log(below / (1 - below))
     steps = np.log(np.maximum(np.diff(start), 1e-2))
@@ -106,7 +106,7 @@ def fit(rows: list[dict[int, float]], grades: np.ndarray, levels: int, rounds: i
     for t in range(1, rounds + 1 if rows else 1):
         w = theta[:SLOTS]
         cuts = np.concatenate([[-np.inf], theta[SLOTS] + np.concatenate([[0], np.cumsum(np.exp(theta[SLOTS + 1 :]))]), [np.inf]])
-        score = np.bincount(row, values * w[slots], minlength=len(rows))
+        score = np.bincount(row, values * w[slots], minlength=rows)
         upper = 1 / (1 + np.exp(np.clip(score - cuts[grades + 1], -50, 50)))
         lower = 1 / (1 + np.exp(np.clip(score - cuts[grades], -50, 50)))
         p = np.maximum(upper - lower, 1e-9)
@@ -149,8 +149,9 @@ def train(docs: DataFrame, ratings: DataFrame, levels: int = 3, most: int = MAX_
     got = sample.select("doc_id", "text", "grade").mapInArrow(run, "doc_id long, slots array<int>, shares array<float>, grade int")
     # A repeated doc_id would exceed the bound: the first `most` rows in a fixed order are used.
     rows = got.orderBy("doc_id", F.xxhash64("slots")).limit(most).toArrow()
-    found = [dict(zip(s.as_py(), v.as_py())) for s, v in zip(rows.column("slots"), rows.column("shares"))]
-    return fit(found, rows.column("grade").to_numpy().astype(np.int64), levels)
+    slots, shares = (rows.column(c).combine_chunks() for c in ("slots", "shares"))
+    sizes = slots.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return fit(slots.flatten().to_numpy(), shares.flatten().to_numpy(), sizes, rows.column("grade").to_numpy().astype(np.int64), levels)
 
 
 def score(docs: DataFrame, model: Model, least_tail: float = 0.5) -> DataFrame:
