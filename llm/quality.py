@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLOTS = 1 << 18
-MAX_TRAINING_ROWS = 8_000
-LEAST_ROWS = 3
+MAX_TRAINING_ROWS = 10_000
+LEAST_ROWS = 5
+LEAST_EVIDENCE = 3.0
 CACHED_TOKENS = 150_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1+", re.DOTALL)
@@ -71,6 +72,19 @@ def features(text: str) -> dict[int, float]:
     return out
 
 
+def _telling(slots: np.ndarray, values: np.ndarray, row_grades: np.ndarray, grades: np.ndarray) -> np.ndarray:
+    """Slots in LEAST_ROWS rows or more whose correlation with the grade is LEAST_EVIDENCE
+    standard errors from 0; all others keep weight 0, so long texts gather no noise."""
+    n = max(len(grades), 1)
+    times = np.bincount(slots, minlength=SLOTS)
+    total = np.bincount(slots, values, minlength=SLOTS)
+    spread = np.bincount(slots, values**2, minlength=SLOTS) / n - (total / n) ** 2
+    mean = grades.mean() if len(grades) else 0.0
+    shared = np.bincount(slots, values * (row_grades - mean), minlength=SLOTS) / n
+    scale = np.sqrt(np.maximum(spread, 1e-12)) * max(grades.std() if len(grades) else 0.0, 1e-6)
+    return (times >= LEAST_ROWS) & (np.abs(shared) * n**0.5 >= LEAST_EVIDENCE * scale)
+
+
 class Model(NamedTuple):
     """P(grade <= k) = 1 / (1 + exp(score - thresholds[k])); weights are shared by all grades."""
 
@@ -85,13 +99,13 @@ class Model(NamedTuple):
         return 1 / (1 + np.exp(np.clip(self.thresholds - score, -50, 50)))
 
 
-def fit(slots: np.ndarray, values: np.ndarray, sizes: np.ndarray, grades: np.ndarray, levels: int, rounds: int = 250, ridge: float = 0.5) -> Model:
+def fit(slots: np.ndarray, values: np.ndarray, sizes: np.ndarray, grades: np.ndarray, levels: int, rounds: int = 300, ridge: float = 0.1) -> Model:
     """Penalised maximum likelihood by Adam; row k has the next sizes[k] slots and values.
-    Features of fewer than LEAST_ROWS rows keep weight 0. Thresholds are a first value and
+    Thresholds are a first value and
     positive steps, so they stay ordered."""
     rows = len(sizes)
     row = np.repeat(np.arange(rows, dtype=np.int32), sizes)
-    kept = np.bincount(slots, minlength=SLOTS)[slots] >= LEAST_ROWS
+    kept = _telling(slots, values, grades[row] if rows else grades, grades)[slots]
     slots, values, row = slots[kept], values[kept], row[kept]
     n = max(rows, 1)
     below = np.array([np.mean(grades <= k) if len(grades) else 0.5 for k in range(levels - 1)]).clip(0.5 / n, 1 - 0.5 / n)
@@ -121,7 +135,7 @@ def fit(slots: np.ndarray, values: np.ndarray, sizes: np.ndarray, grades: np.nda
                 g[SLOTS + 1 + j] += d_cut * np.exp(theta[SLOTS + 1 + j])
         mean = 0.9 * mean + 0.1 * g
         square = 0.99 * square + 0.01 * g * g
-        rate = 0.1 * (1 - 0.9 * t / rounds)
+        rate = 0.2 * (1 - 0.95 * t / rounds)
         theta = theta - rate * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.99**t)) + 1e-8)
     return Model(theta[:SLOTS].astype(np.float64), theta[SLOTS] + np.concatenate([[0], np.cumsum(np.exp(theta[SLOTS + 1 :]))]))
 
