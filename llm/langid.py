@@ -69,7 +69,8 @@ def automaton(codes: list[int]) -> list[dict[int, int]]:
 class Parser:
     """All languages' automata in one table. A step that no automaton state allows ends a
     phrase and starts the next one with the same letter, so entries hold both the next state
-    and whether a phrase ended."""
+    and whether a phrase ended. A letter that a sample lacks ends the phrase before it and is
+    part of it; with none open, it is a phrase by itself."""
 
     def __init__(self, samples: tuple[tuple[str, str], ...]) -> None:
         self.languages = [lang for lang, _ in samples]
@@ -83,7 +84,7 @@ class Parser:
         base = 0
         for codes in coded:
             nexts = automaton(self.symbols[codes].tolist())
-            start = np.full(width, base * width * 2 + 1, np.int64)  # unknown letter: a phrase by itself
+            start = np.full(width, base * width * 2 + 1, np.int64)  # a letter the sample lacks
             for c, state in nexts[0].items():
                 start[c] = (base + state) * width * 2 + 1
             table = np.tile(start, (len(nexts), 1))
