@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +61,18 @@ def matrix(rows: list[tuple[int, list[tuple]]], limit: int) -> dict[str, np.ndar
     }
 
 
+def _narrow(raw: bytes) -> bytes:
+    """Ids as compressed 16-bit numbers: that is what the shuffle carries."""
+    values = np.frombuffer(raw, "<u4")
+    if len(values) and values.max() > 65535:
+        raise ValueError("an id needs more than 16 bits")
+    return zstandard.compress(values.astype("<u2").tobytes(), 3)
+
+
+def _widen(raw: bytes) -> bytes:
+    return np.frombuffer(zstandard.decompress(raw), "<u2").astype("<u4").tobytes()
+
+
 def write(placed: DataFrame, folder: str, limit: int) -> DataFrame:
     """Write pieces (doc_id, piece, start, ids, sequence_id, offset) as shards below `folder`;
     returns (shard, sequences). A shard is named after its first sequence and appears when it
@@ -75,7 +88,7 @@ def write(placed: DataFrame, folder: str, limit: int) -> DataFrame:
 
         def close() -> None:
             buffer = io.BytesIO()
-            np.savez(buffer, **matrix(rows, limit))
+            np.savez_compressed(buffer, **matrix(rows, limit))
             hidden = f"{root}/.shard-{shard:09d}.{attempt}"
             with store.open_output_stream(hidden) as out:
                 out.write(buffer.getvalue())
@@ -91,13 +104,19 @@ def write(placed: DataFrame, folder: str, limit: int) -> DataFrame:
                     shard, rows = sequence // SHARD, []
                 if not rows or rows[-1][0] != sequence:
                     rows.append((sequence, []))
-                rows[-1][1].append((offset.as_py(), doc_id.as_py(), piece.as_py(), start.as_py(), ids.as_py()))
+                rows[-1][1].append((offset.as_py(), doc_id.as_py(), piece.as_py(), start.as_py(), _widen(ids.as_py())))
         if rows:
             close()
         yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.int64()) for k in (0, 1)], names=["shard", "sequences"])
 
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = pa.array([_narrow(x.as_py()) for x in batch.column("ids")], pa.binary())
+            yield batch.set_column(batch.schema.get_field_index("ids"), "ids", ids)
+
     shard = F.floor(F.col("sequence_id") / SHARD)
-    dealt = placed.repartition(tasks(placed.sparkSession), shard).sortWithinPartitions("sequence_id", "offset")
+    columns = placed.select("sequence_id", "offset", "doc_id", "piece", "start", "ids")
+    dealt = columns.mapInArrow(narrow, columns.schema).repartition(tasks(placed.sparkSession), shard).sortWithinPartitions("sequence_id", "offset")
     return cut(dealt.mapInArrow(run, "shard long, sequences long"), "shards")
 
 
