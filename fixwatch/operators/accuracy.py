@@ -17,6 +17,7 @@ from fixwatch.operators.quantiles import (
     exact_quantiles,
     interpolate,
     linear_ranks,
+    measured,
     quantile_columns,
     select_ranks_in_cells,
     unpack_quantiles,
@@ -81,7 +82,7 @@ def station_accuracy(
     by = [*keys, "station"]
     if all_groups_small(epochs, by, max_group_rows):
         # Day and night are gathered once; `all` is put together from the two.
-        halves = epochs.groupBy(*by, "is_day").agg(*_sums(), *[F.collect_list(c).alias(c) for c in AXES.values()])
+        halves = epochs.groupBy(*by, "is_day").agg(*_sums(), *[F.collect_list(measured(c)).alias(c) for c in AXES.values()])
         names = [*_SUM_NAMES, *AXES.values()]
         packed = halves.groupBy(*by).agg(
             *[

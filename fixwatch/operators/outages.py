@@ -16,9 +16,6 @@ from fixwatch.functions.notices import (
 )
 from fixwatch.operators.guards import cut_lineage
 
-# A chain is a handful of notices; beyond this many the member list stays in long form.
-MAX_LISTED = 10_000
-
 
 def latest_notices(raw: DataFrame, order: str = "fetched_at") -> DataFrame:
     """One row per notice_id, the one fetched last."""
@@ -139,23 +136,32 @@ def outage_events(members: DataFrame) -> DataFrame:
     )
 
 
-def with_member_ids(events: DataFrame, members: DataFrame, *, max_listed: int = MAX_LISTED) -> DataFrame:
-    """Adds `source_notice_ids` in published order. Chains with more than `max_listed`
-    members are not collected; they get NULL here and keep their complete membership in
-    `chain_members`."""
-    short = events.where(F.col("n_notices") <= max_listed).select("root")
+def event_members(events: DataFrame, members: DataFrame) -> DataFrame:
+    """(event_id, notice_id, published_at): the membership of every chain, whatever its
+    length, one row per notice. The order of a chain is (published_at, notice_id)."""
+    return members.select("root", "notice_id", "published_at").join(events.select("root", "event_id"), "root").drop("root")
+
+
+def with_member_ids(events: DataFrame, members: DataFrame) -> DataFrame:
+    """Adds `source_notice_ids`, every member of the chain in published order. The list is
+    one value of a published row; `event_members` holds the same without lists."""
     listed = (
-        members.join(short, "root", "left_semi")
-        .groupBy("root")
+        members.groupBy("root")
         .agg(F.sort_array(F.collect_list(F.struct("published_at", "notice_id"))).alias("m"))
         .select("root", F.col("m.notice_id").alias("source_notice_ids"))
     )
     return events.join(listed, "root", "left")
 
 
+def events_and_members(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Raw notices to ordered outage events and their membership in long form."""
+    notices = cut_lineage(latest_notices(raw))
+    members = cut_lineage(chain_members(notices, chain_roots(notice_links(notices))))
+    events = outage_events(members)
+    ordered = with_member_ids(events, members).drop("root", "n_notices").orderBy("first_published_at", "constellation", "svn")
+    return ordered, event_members(events, members)
+
+
 def normalise(raw: DataFrame) -> DataFrame:
     """Raw notices to ordered outage events."""
-    notices = cut_lineage(latest_notices(raw))
-    members = chain_members(notices, chain_roots(notice_links(notices)))
-    events = with_member_ids(outage_events(members), members)
-    return events.drop("root", "n_notices").orderBy("first_published_at", "constellation", "svn")
+    return events_and_members(raw)[0]

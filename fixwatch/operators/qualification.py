@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fixwatch.functions.labels import excursion_text
+from fixwatch.functions.labels import excursion_text, nan_to_null
 from fixwatch.operators.guards import cut_lineage
 from fixwatch.operators.quantiles import index_rank, select_ranks
 from fixwatch.operators.registry import forced_stations
@@ -49,7 +49,7 @@ def slip_sums(header: DataFrame, qc_long: DataFrame) -> DataFrame:
             "station",
             "date",
             *[
-                F.when(F.col("bin_lo") == b, F.coalesce("slps_or_sig", F.lit(0.0))).otherwise(0.0).alias(n)
+                F.when(F.col("bin_lo") == b, F.coalesce(nan_to_null(F.col("slps_or_sig")), F.lit(0.0))).otherwise(0.0).alias(n)
                 for b, n in zip(_BINS, names, strict=True)
             ],
         )
@@ -64,7 +64,8 @@ def slip_sums(header: DataFrame, qc_long: DataFrame) -> DataFrame:
 
 
 def qc_cells(header: DataFrame, qc_long: DataFrame) -> DataFrame:
-    """(station, date, metric, bin_lo, value): every examined value; NULLs are dropped."""
+    """(station, date, metric, bin_lo, value): every examined value; NULL and NaN are dropped, so
+    they neither enter a pool nor count as excursions."""
     masked = F.col("bin_lo") >= MASK_DEG
     visibility = header.select(
         "station", "date", F.lit("visibility").alias("metric"), F.lit(None).cast("int").alias("bin_lo"),
@@ -76,7 +77,8 @@ def qc_cells(header: DataFrame, qc_long: DataFrame) -> DataFrame:
     slips = slip_sums(header, qc_long).select(
         "station", "date", F.lit("CS").alias("metric"), "bin_lo", F.col("slips").alias("value")
     )
-    return visibility.unionByName(signals).unionByName(slips).where(F.col("value").isNotNull())
+    cells = visibility.unionByName(signals).unionByName(slips)
+    return cells.withColumn("value", nan_to_null(F.col("value"))).where(F.col("value").isNotNull())
 
 
 def lower_is_worse(metric: Column) -> Column:

@@ -16,6 +16,9 @@ narrowed in counting passes over an order-preserving code, a logarithmic slice:
 Groups may overlap: `expand` turns a counting table keyed by disjoint keys into one
 keyed by overlapping cells, so that the overlap multiplies counts, not rows; in the later
 passes a count meets only those of its cells that want its code.
+
+Both paths take the same values: NULL and NaN are missing, infinities are the outermost
+values of their side.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fixwatch.functions.labels import nan_to_null
 from fixwatch.operators.guards import BROADCAST_ROWS, at_most, broadcast_if_small, cut_lineage
 
 # One task holds at most this many values of a group on the direct path.
@@ -35,6 +39,8 @@ MAX_GROUP_ROWS = 2_000_000
 _SLICES = 409_600
 _COARSE_BITS = 12
 _OFFSET = 500_000_000
+# Beyond the code of the largest finite double.
+_INFINITE = 1 << 30
 
 RankOf = Callable[[Column], Column]
 Expand = Callable[[DataFrame], DataFrame]
@@ -42,12 +48,26 @@ Expand = Callable[[DataFrame], DataFrame]
 
 def order_code(value: Column) -> Column:
     """Monotone map of a double to a long; equal codes mean nearly equal values."""
-    magnitude = (F.floor(F.ln(F.abs(value)) * _SLICES) + _OFFSET).cast("long")
+    size = F.abs(value)
+    finite = (F.floor(F.ln(F.when(size < F.lit(float("inf")), size)) * _SLICES) + _OFFSET).cast("long")
+    magnitude = F.coalesce(finite, F.lit(_INFINITE).cast("long"))
     return (
         F.when(value > 0, magnitude).when(value < 0, -magnitude).when(value == 0, F.lit(0).cast("long"))
     )
 
 
+def measured(column: str) -> Column:
+    """A value column as a double, NULL for NaN."""
+    return nan_to_null(F.col(column).cast("double"))
+
+
+def between(lo: Column, hi: Column, share: Column) -> Column:
+    """The point at `share` of the way from lo to hi, also where one of them is infinite;
+    NULL half way between both infinities."""
+    weighted = nan_to_null(lo * (1 - share) + hi * share)
+    return F.when((lo == hi) | (share == 0), lo).when(lo == F.lit(float("-inf")), weighted).otherwise(lo + (hi - lo) * share)
+
+
 def linear_ranks(probs: Mapping[str, float]) -> dict[str, RankOf]:
     """Lower and upper neighbour of each interpolated percentile."""
     ranks: dict[str, RankOf] = {}
@@ -109,7 +129,7 @@ def _want(ranks: Mapping[str, RankOf], total: Column) -> Column:
 
 def _coded(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return (
-        rows.select(*keys, F.col(value).cast("double").alias("v"))
+        rows.select(*keys, measured(value).alias("v"))
         .where(F.col("v").isNotNull())
         .withColumn("code", order_code(F.col("v")))
         .withColumn("coarse", F.shiftright("code", _COARSE_BITS))
@@ -226,7 +246,7 @@ def _direct_ranks(rows: DataFrame, keys: Sequence[str], value: str, ranks: Mappi
     """As `select_ranks` for groups known to be small: one sort inside each group."""
     group = Window.partitionBy(*keys)
     return (
-        rows.select(*keys, F.col(value).cast("double").alias("value"))
+        rows.select(*keys, measured(value).alias("value"))
         .where(F.col("value").isNotNull())
         .withColumn("at", F.row_number().over(group.orderBy("value")) - 1)
         .withColumn("total", F.count(F.lit(1)).over(group))
@@ -279,7 +299,7 @@ def interpolate(picked: DataFrame, keys: Sequence[str], probs: Mapping[str, floa
         lo = F.max(F.when(F.col("label") == f"{label}.lo", F.col("value")))
         hi = F.max(F.when(F.col("label") == f"{label}.hi", F.col("value")))
         at = (F.max("total") - 1) * F.lit(p)
-        columns.append((lo + (hi - lo) * (at - F.floor(at))).alias(f"{prefix}{label}"))
+        columns.append(between(lo, hi, at - F.floor(at)).alias(f"{prefix}{label}"))
     return picked.groupBy(*keys).agg(*columns)
 
 
@@ -305,7 +325,7 @@ def exact_quantiles(
         long = large.select(
             *keys,
             F.explode(
-                F.array(*[F.struct(F.lit(n).alias("axis"), F.col(c).cast("double").alias("x")) for n, c in values.items()])
+                F.array(*[F.struct(F.lit(n).alias("axis"), measured(c).alias("x")) for n, c in values.items()])
             ).alias("s"),
         ).select(*keys, "s.axis", "s.x")
         picked = select_ranks(long, [*keys, "axis"], "x", linear_ranks(probs))
@@ -326,7 +346,7 @@ def exact_quantiles(
 def quantile_columns(values: Mapping[str, str]) -> list[Column]:
     """Sorted values per group, for groups of checked or bounded size. Reading several
     percentiles off one sorted array costs less than Spark's value-to-count map."""
-    return [F.sort_array(F.collect_list(F.col(column).cast("double"))).alias(f"_{name}") for name, column in values.items()]
+    return [F.sort_array(F.collect_list(measured(column))).alias(f"_{name}") for name, column in values.items()]
 
 
 def unpack_quantiles(df: DataFrame, values: Mapping[str, str], probs: Mapping[str, float]) -> DataFrame:
@@ -347,7 +367,7 @@ def array_quantile(values: Column, p: float) -> Column:
     """Interpolated percentile of a sorted array without NULLs; NULL for an empty one."""
     at = (F.size(values) - 1) * F.lit(p)
     lo, hi = F.get(values, F.floor(at).cast("int")), F.get(values, F.ceil(at).cast("int"))
-    return lo + (hi - lo) * (at - F.floor(at))
+    return between(lo, hi, at - F.floor(at))
 
 
 def running_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -356,7 +376,7 @@ def running_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     keyed = list(keys) or ["_all"]
     source = df if keys else df.withColumn("_all", F.lit(0))
     distinct = (
-        source.select(*keyed, F.col(value).cast("double").alias("value"))
+        source.select(*keyed, measured(value).alias("value"))
         .where(F.col("value").isNotNull())
         .groupBy(*keyed, "value")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -6,7 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fixwatch.operators.outages import normalise
+from fixwatch.operators.guards import cut_lineage
+from fixwatch.operators.outages import events_and_members
 from fixwatch.sinks import write_events, write_raw_notices
 from fixwatch.sources.notices import raw_nagu, raw_nanu, raw_naqu, read_naqu_pages, read_rss_items
 from fixwatch.sources.text import documents
@@ -26,8 +27,11 @@ def read_notices(
 
 
 def run_outages(spark: SparkSession, output_root: str, **paths: str) -> DataFrame:
-    """Writes both tables; returns the raw row counts per constellation and month."""
-    raw = read_notices(spark, **paths)
+    """Writes raw notices, events and the membership of each event; returns the raw row
+    counts per constellation and month. The landed files are parsed once."""
+    raw = cut_lineage(read_notices(spark, **paths))
     counts = write_raw_notices(raw, f"{output_root}/raw_notices")
-    write_events(normalise(raw), f"{output_root}/events")
+    events, members = events_and_members(raw)
+    write_events(events, f"{output_root}/events")
+    write_events(members, f"{output_root}/event_members")
     return counts

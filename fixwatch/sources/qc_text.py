@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fixwatch.functions.labels import bin_lower_bound
+from fixwatch.functions.labels import bin_lower_bound, nan_to_null
 from fixwatch.operators.qc_report import ELEVATION_LABELS, MP_CORE, MP_EXTRA, SN_ALL
 from fixwatch.sources.text import carry_forward, document_lines, field
 
@@ -44,10 +44,30 @@ def parse_header(docs: DataFrame, keys: Sequence[str] = ("file",)) -> DataFrame:
     )
 
 
+def bad_headers(docs: DataFrame, keys: Sequence[str] = ("file",)) -> DataFrame:
+    """(keys, n_bad_rows): files with header lines whose number does not parse. A line that
+    is missing is no error."""
+    head = docs.select(*keys, F.split(F.regexp_replace("value", "\r\n?", "\n"), _END_OF_HEADER, 2)[0].alias("header"))
+    xyz = F.split(F.trim(F.regexp_extract("header", r"antenna WGS 84 \(xyz\)[^:\n]*:([^:\n]*)", 1)), r"\s+")
+    numbers = {label: F.trim(_after_colon(label)).try_cast("long") for label in (r"Epochs w/ observations", r"Possible obs >  10\.0 deg", r"Complete obs >  10\.0 deg")}
+    checks = [F.col("header").rlike(label) & value.isNull() for label, value in numbers.items()]
+    placed = [F.get(xyz, F.lit(i)).try_cast("double").isNull() for i in range(3)]
+    checks.append(F.col("header").contains("antenna WGS 84 (xyz)") & (placed[0] | placed[1] | placed[2]))
+    n_bad = sum((c.cast("long") for c in checks), F.lit(0))
+    return head.select(*keys, n_bad.alias("n_bad_rows")).where(F.col("n_bad_rows") > 0)
+
+
 def parse_blocks(docs: DataFrame, keys: Sequence[str] = ("file",)) -> DataFrame:
     """(keys, metric, bin_label, bin_lo, tot, slps_or_sig, rms_or_mean), in long form."""
+    return _placed_blocks(docs, keys).drop("block_at", "line_no")
+
+
+def _placed_blocks(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of `parse_blocks` with the line of their block's head and their own."""
     body = docs.select(*keys, F.get(F.split(F.regexp_replace("value", "\r\n?", "\n"), _END_OF_HEADER, 2), F.lit(1)).alias("value"))
-    rows = document_lines(body.where(F.col("value").isNotNull()), keys)
+    # The end of the last line starts no further row.
+    body = body.where(F.col("value").isNotNull()).withColumn("value", F.regexp_replace("value", r"\n\z", ""))
+    rows = document_lines(body, keys)
     text = F.col("value")
     mp, sn = F.trim(field(text, 22, 26)), F.trim(field(text, 16, 19))
     metric = (
@@ -71,6 +91,8 @@ def parse_blocks(docs: DataFrame, keys: Sequence[str] = ("file",)) -> DataFrame:
     return inside.select(
         *keys,
         F.col("b.metric").alias("metric"),
+        F.col("b.at").alias("block_at"),
+        "line_no",
         label.alias("bin_label"),
         bin_lower_bound(label).alias("bin_lo"),
         number((10, 15), (10, 15)).alias("tot"),
@@ -86,15 +108,18 @@ def bad_files(blocks: DataFrame, keys: Sequence[str] = ("file",)) -> DataFrame:
 
 
 def read_day(docs: DataFrame, date: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(header, long, failed) of a directory of summaries, `date` applied to every row."""
-    blocks = parse_blocks(docs)
-    failed = bad_files(blocks)
+    """(header, long, failed) of a directory of summaries, `date` applied to every row. A
+    file with a header number or an elevation row that does not parse is left out of both
+    tables and named in `failed`. NaN becomes NULL."""
+    blocks = _placed_blocks(docs, ["file"])
+    failed = bad_files(blocks).unionByName(bad_headers(docs)).groupBy("file").agg(F.sum("n_bad_rows").alias("n_bad_rows"))
     header = parse_header(docs).join(failed.select("file"), "file", "left_anti").withColumn("date", date)
     header = header.withColumn("source_file", F.element_at(F.split("file", "/"), -1))
-    # Station comes from the text, not from the file name. A file's last row of a bin wins.
-    unique = blocks.groupBy("file", "metric", "bin_label", "bin_lo").agg(
-        F.max(F.struct("tot", "slps_or_sig", "rms_or_mean")).alias("v")
-    )
+    # Station comes from the text, not from the file name. A metric's last block of a file
+    # replaces earlier ones as a whole, and in it the last row of a bin wins.
+    last = blocks.withColumn("last", F.max("block_at").over(Window.partitionBy("file", "metric"))).where("block_at = last")
+    values = F.struct(*[nan_to_null(F.col(c)).alias(c) for c in ("tot", "slps_or_sig", "rms_or_mean")])
+    unique = last.groupBy("file", "metric", "bin_label", "bin_lo").agg(F.max_by(values, "line_no").alias("v"))
     long = (
         unique.join(header.select("file", "station", "date"), "file")
         .select("station", "date", "metric", "bin_label", "bin_lo", "v.*")

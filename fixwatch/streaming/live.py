@@ -57,14 +57,16 @@ def stream_notices(
     *,
     lateness: str = "7 days",
 ) -> StreamingQuery:
-    """Deduplicate arriving notices, append them through `store` and publish the events of
-    everything `stored` returns. Replayed batches are harmless: notices are keyed by id."""
+    """Append arriving notices through `store` and publish the events of everything `stored`
+    returns. Every version of a notice is stored and the one fetched last decides, so a
+    correction replaces what it corrects; only a version fetched at the same moment is a
+    repetition. Replayed batches are harmless for the same reason."""
 
     def apply(batch: DataFrame, _: int) -> None:
         store(batch)
         publish(normalise(stored()))
 
-    unique = notices.withWatermark("fetched_at", lateness).dropDuplicatesWithinWatermark(["notice_id"])
+    unique = notices.withWatermark("fetched_at", lateness).dropDuplicatesWithinWatermark(["notice_id", "fetched_at"])
     return (
         unique.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

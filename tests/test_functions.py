@@ -1,4 +1,5 @@
 import datetime as dt
+import html
 
 import numpy as np
 import pytest
@@ -205,6 +206,16 @@ def test_html_to_text(spark):
     assert one(spark, t=fn.html_to_text(F.lit(html))).t == "A: 1\nB &amp; C\n\nx"
 
 
+def test_entities_match_the_standard(spark):
+    texts = [
+        "&#8217; &eacute; &#x41; &ndash;", "&amp;lt; &lt;b&gt;", "a & b &", "&;&#;&#x;", "&#128;&#x9f;", "&#0;&#xD800;&#1114112;&#99999999999999999999;",
+        "&copy2026 &notit; &ampx", "&#65 &#x1F6F0;", "&NotEqualTilde;", "&unknown; &quot;q&apos;", "", "&#7;x&#127;y", "R&D &Uuml;ber&nbsp;x",
+    ]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, t string").select("i", fn.unescape_html(F.col("t")).alias("p"))
+    got = {r.i: r.p for r in rows.collect()}
+    assert got == {**{i: html.unescape(t) for i, t in enumerate(texts)}, len(texts): None}
+
+
 def test_sections(spark):
     text = "1. A\n\n2.  CONDITION: first line\n    3 more\n\n3.  POC: x\n"
     row = one(spark, b=fn.section_text(F.lit(text), 2), c=fn.section_text(F.lit(text), 3), d=fn.section_text(F.lit(text), 4))

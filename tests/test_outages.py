@@ -85,9 +85,13 @@ def test_open_missing_and_unanchored_events(events):
     assert (general.svn, general.event_type, general.severity, general.reason) == (0, "other", "informational", None)
 
 
-def test_long_chains_stay_in_long_form(spark):
-    raw = frame(spark, *[notice(f"{2026001 + i}", ref=f"{2026000 + i}" if i else None, hours=i, svn=1) for i in range(6)])
-    members = outages.chain_members(raw, outages.chain_roots(outages.notice_links(raw)))
-    listed = outages.with_member_ids(outages.outage_events(members), members, max_listed=3).first()
-    assert listed.n_notices == 6 and listed.source_notice_ids is None
-    assert members.where("root = 'NAQU 2026001'").count() == 6
+def test_membership_is_complete_at_any_length(spark):
+    n = 12_000
+    long = [notice(f"{3000000 + i}", ref="3000000" if i else None, hours=i, svn=1) for i in range(n)]
+    raw = frame(spark, *long, notice("2026001", hours=2, svn=5))
+    events, members = outages.events_and_members(raw)
+    by_id = {r.event_id: r.source_notice_ids for r in events.collect()}
+    assert by_id["qzs:001:20260101:3000000"] == [f"NAQU {3000000 + i}" for i in range(n)]
+    assert by_id["qzs:005:20260101:2026001"] == ["NAQU 2026001"]
+    counts = {r.event_id: r["count"] for r in members.groupBy("event_id").count().collect()}
+    assert counts == {"qzs:001:20260101:3000000": n, "qzs:005:20260101:2026001": 1}

@@ -123,3 +123,34 @@ def test_log_histogram(spark):
     assert len(got) == 39 and sum(r.n for r in got) == 4
     assert got[0].n == 1 and got[38].n == 1
     assert got[38].upper == pytest.approx(1000.0)
+
+
+@pytest.fixture(scope="module")
+def strange(spark):
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "nan": [0.1, 0.2, 0.3, 2.0, 3.0, nan],
+        "top": [1.0, 2.0, inf, inf],
+        "both": [-inf, 1.0, 2.0, inf],
+        "ends": [-inf, inf],
+        "none": [nan, nan],
+    }
+    return spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, x double")
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_nan_is_missing_and_infinity_outermost_on_either_path(strange, limit):
+    inf = float("inf")
+    probs = {"p25": 0.25, "p50": 0.5, "p95": 0.95}
+    rows = q.exact_quantiles(strange, ["k"], {"x": "x"}, probs, max_group_rows=limit).collect()
+    got = {r.k: [r.x_p25, r.x_p50, r.x_p95] for r in rows}
+    assert got["nan"] == pytest.approx([0.2, 0.3, 2.8])
+    assert got["top"] == [1.75, inf, inf]
+    assert got["both"] == [-inf, 1.5, inf]
+    assert got["ends"] == [None] * 3 and got["none"] == [None] * 3
+
+
+def test_ecdf_with_nan_and_infinity(strange):
+    rows = distributions.ecdf(strange.where("k IN ('nan', 'both')"), "x", ["k"]).collect()
+    got = {k: [r.value for r in sorted(rows, key=lambda r: r.i) if r.k == k] for k in ("nan", "both")}
+    assert got == {"nan": [0.1, 0.2, 0.3, 2.0, 3.0], "both": [float("-inf"), 1.0, 2.0, float("inf")]}

@@ -57,3 +57,9 @@ def test_notices_are_published_once(spark, tmp_path):
     assert spark.read.parquet(table).count() == 2
     (event,) = spark.read.parquet(out).collect()
     assert event.source_notice_ids == ["NAQU 2026001", "NAQU 2026002"] and event.end_at.hour == 9
+    # A correction fetched later replaces its notice, one fetched earlier does not.
+    late, early = (notice("2026002", ref="2026001", hours=2, fetched=f, svn=3, stop=s) for f, s in ((5, 11), (0, 22)))
+    spark.createDataFrame([late, early], RAW_NOTICES).write.mode("append").parquet(src)
+    go()
+    (event,) = spark.read.parquet(out).collect()
+    assert event.source_notice_ids == ["NAQU 2026001", "NAQU 2026002"] and event.end_at.hour == 11
