@@ -74,8 +74,8 @@ def ecdf(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     # Spreads the chunks of a very frequent value; each row stands for up to 100,000.
     chunks = chunks.repartition(*[F.col(k) for k in keys], "value", "start")
     upto = F.least(F.col("start") + _ECDF_CHUNK, F.col("n")) - 1
-    rows = chunks.withColumn("k", F.explode(F.sequence(F.col("start"), upto)))
-    i = F.col("before") + F.col("k") + 1
+    rows = chunks.withColumn("_k", F.explode(F.sequence(F.col("start"), upto)))
+    i = F.col("before") + F.col("_k") + 1
     return rows.select(*keys, "value", i.alias("i"), (i / F.col("total")).alias("share"))
 
 
