@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fixwatch.operators.cells import CELL, FLAGS, every_cell, spread_to_cells, with_windows
-from fixwatch.operators.guards import at_most, broadcast_if_small, cut_lineage
+from fixwatch.operators.guards import broadcast_if_small, cut_lineage
 from fixwatch.operators.quantiles import (
     MAX_GROUP_ROWS,
     all_groups_small,
@@ -27,7 +27,8 @@ PROBS = {"p50": 0.50, "p95": 0.95, "p99": 0.99, "p999": 0.999}
 AXES = {"hor": "horizontal_m", "ver": "vertical_m"}
 FIXED = 4
 DAY_KEYS = ("date", "mode")
-# A row belongs to up to 36 cells; above this the cells are filled from counts.
+# A row belongs to up to 36 cells; above this many rows in all, whatever the size of their
+# groups, the cells are filled from counts.
 MAX_DIRECT_ROWS = 500_000
 
 
@@ -99,10 +100,10 @@ def station_accuracy(
         *AXES.values(),
         F.explode(F.array(F.lit("all"), F.when(F.col("is_day"), "day").otherwise("night"))).alias("window"),
     )
-    measured = group_stats(labelled, [*by, "window"], max_group_rows=max_group_rows)
+    rows = group_stats(labelled, [*by, "window"], max_group_rows=max_group_rows)
     # The two or three rows of a station become a map, from which all three are read.
-    stats = [c for c in measured.columns if c not in (*by, "window")]
-    packed = measured.groupBy(*by).agg(
+    stats = [c for c in rows.columns if c not in (*by, "window")]
+    packed = rows.groupBy(*by).agg(
         F.map_from_entries(F.collect_list(F.struct("window", F.struct(*stats)))).alias("m")
     )
     return (
@@ -154,7 +155,7 @@ def network_accuracy_cube(
     """The 468 overlapping cells per group of `keys`, empty ones included.
 
     The overlap is applied to aggregates: station sums and value counts are spread to
-    their cells, epochs are not, except in small groups, where that is faster.
+    their cells, epochs are not, except in a small table, where that is faster.
     """
     by = list(keys)
     flags = broadcast_if_small(registry.select(F.col("rinex_id").alias("station"), *FLAGS))
@@ -182,10 +183,8 @@ def network_accuracy_cube(
         .unpivot([*by, *CELL[:-1]], ["all", "day", "night"], "window", "n_stations")
     )
     placed = epochs.select(*by, "station", "is_day", *AXES.values()).join(flags, "station")
-    sizes = per_station.groupBy(*by).agg(F.sum("n_epoch").alias("n"))
-    # The cell of everything holds a whole group of `keys`.
-    if at_most(sizes.where(F.col("n") > max_direct_rows), 0):
-        quantiles = _direct_cell_quantiles(placed, by, sizes.select(F.sum("n")))
+    if (per_station.select(F.sum("n_epoch")).first()[0] or 0) <= max_direct_rows:
+        quantiles = _direct_cell_quantiles(placed, by)
     else:
         quantiles = _selected_cell_quantiles(placed, by)
     joined = (
@@ -203,12 +202,10 @@ def network_accuracy_cube(
     )
 
 
-def _direct_cell_quantiles(placed: DataFrame, by: list[str], total: DataFrame) -> DataFrame:
-    """Native percentiles per cell, for groups checked to be small. Few rows arrive in few
-    partitions, so a small input is spread over the cores before it is multiplied."""
-    n = total.first()[0] or 0
-    if n <= MAX_DIRECT_ROWS:
-        placed = placed.repartition(placed.sparkSession.sparkContext.defaultParallelism)
+def _direct_cell_quantiles(placed: DataFrame, by: list[str]) -> DataFrame:
+    """Native percentiles per cell, for a table checked to be small. Few rows arrive in few
+    partitions, so they are spread over the cores before they are multiplied."""
+    placed = placed.repartition(placed.sparkSession.sparkContext.defaultParallelism)
     return direct_quantiles(spread_to_cells(placed), [*by, *CELL], AXES, PROBS)
 
 

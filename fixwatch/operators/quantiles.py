@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 from fixwatch.functions.labels import nan_to_null
 from fixwatch.operators.guards import BROADCAST_ROWS, at_most, broadcast_if_small, cut_lineage
 
-# One task holds at most this many values of a group on the direct path.
-MAX_GROUP_ROWS = 2_000_000
+# One task holds at most this many values of a group on the direct path (a station has some
+# 90,000 a month).
+MAX_GROUP_ROWS = 250_000
 
 # Slices per factor e, and the bits by which a code is shortened to a coarse code.
 _SLICES = 409_600
