@@ -25,14 +25,16 @@ def _check(reset_sec: int, interval_sec: int) -> int:
     return reset_sec // interval_sec
 
 
-def last_wins(epochs: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per `keys`, the last by `order`, with the number of rows it stands for."""
-    kept = [c for c in epochs.columns if c not in keys and c not in order]
-    return (
-        epochs.groupBy(*keys)
-        .agg(F.max_by(F.struct(*kept), F.struct(*order)).alias("s"), F.count(F.lit(1)).alias("n_rows"))
-        .select(*keys, "s.*", "n_rows")
-    )
+def last_wins(epochs: DataFrame, keys: Sequence[str], value: str, order: Sequence[str]) -> DataFrame:
+    """One row per `keys` with `value` of the last row by `order` and the number of rows it
+    stands for. A row without any order value decides only where no other does.
+
+    With one order column all buffers are primitive, so the epochs are hashed, not sorted."""
+    if len(order) > 1:
+        last = F.max_by(value, F.struct(*order))
+    else:
+        last = F.coalesce(F.max_by(value, order[0]), F.max(F.when(F.col(order[0]).isNull(), F.col(value))))
+    return epochs.groupBy(*keys).agg(last.alias(value), F.count(F.lit(1)).alias("n_rows"))
 
 
 def station_windows(
@@ -55,19 +57,20 @@ def station_windows(
     per_window = _check(reset_sec, interval_sec)
     by = [*keys, "station"]
     ok = F.col("quality") == 4
-    needed = [*by, "epoch_idx", "quality"]
     if limits is not None:
         ok = ok & (F.col("horizontal_m") <= limits[0]) & (F.col("vertical_m") <= limits[1])
-        needed += ["horizontal_m", "vertical_m"]
+    seen = epochs.select(
+        *by, "epoch_idx", F.coalesce(ok, F.lit(False)).alias("ok"), *[c for c in order if c not in (*by, "epoch_idx")]
+    )
     if order:
-        rows = last_wins(epochs.select(*needed, *[c for c in order if c not in needed]), [*by, "epoch_idx"], order)
+        rows = last_wins(seen, [*by, "epoch_idx"], "ok", order)
     else:
-        rows = epochs.select(*needed, F.lit(1).alias("n_rows"))
+        rows = seen.withColumn("n_rows", F.lit(1))
     window_idx = F.floor(F.col("epoch_idx") / per_window).cast("int")
     first = (
         rows.groupBy(*by, window_idx.alias("window_idx"))
         .agg(
-            F.min(F.when(ok, F.col("epoch_idx"))).alias("first_fix"),
+            F.min(F.when(F.col("ok"), F.col("epoch_idx"))).alias("first_fix"),
             F.max("epoch_idx").alias("max_epoch"),
             F.sum("n_rows").alias("n_rows"),
         )
@@ -75,7 +78,7 @@ def station_windows(
     )
     is_day = F.col("window_idx").isin(*day_window_indices(reset_sec))
     in_day = F.col("window_idx").between(0, SECONDS_PER_DAY // reset_sec - 1)
-    return first.groupBy(*by).agg(
+    windows = first.groupBy(*by).agg(
         F.sum("n_rows").alias("n_obs_epochs"),
         F.max("max_epoch").alias("max_epoch"),
         F.map_from_entries(
@@ -84,6 +87,8 @@ def station_windows(
         F.collect_list(F.when(in_day & is_day, F.col("ttff"))).alias("day_fixes"),
         F.collect_list(F.when(in_day & ~is_day, F.col("ttff"))).alias("night_fixes"),
     )
+    # One small row per station-day, read several times by each table made of it.
+    return cut_lineage(windows)
 
 
 def _windows_per_day(reset_sec: int) -> Column:
