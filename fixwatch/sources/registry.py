@@ -6,7 +6,7 @@ import datetime as dt
 import tomllib
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixwatch.functions.gnss_time import period_bounds
@@ -69,39 +69,43 @@ def _optional_int(column):
     return F.when(F.lower(text) != "nan", text).try_cast("double").cast("int")
 
 
-def read_eval_period_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Periods from `fy*_*_h.csv` files; the label is the file name, `_perf_` files are left
-    out, leading blank lines do not matter and the network column may be nid or netid.
-
-    Files differ in their columns, so they are read as lines and each is paired with its
-    own header by name.
-    """
-    lines = (
-        spark.read.text(path, wholetext=True)
-        .select(F.col("_metadata.file_name").alias("name"), F.regexp_replace("value", "\r\n?", "\n").alias("value"))
-        .where(~F.col("name").contains("_perf_"))
-    )
-    filled = F.filter(F.split("value", "\n"), lambda line: F.trim(line) != "")
-    numbered = lines.select("name", filled.alias("f")).select(
-        "name", F.explode(F.slice("f", F.lit(2), F.size("f"))).alias("row"), F.get("f", F.lit(0)).alias("head")
-    )
-    cells = F.map_from_arrays(
-        F.transform(F.split("head", ","), lambda c: F.trim(c)), _fit(F.split("row", ","), F.split("head", ","))
-    )
-    rows = numbered.select(F.regexp_replace("name", r"\.csv$", "").alias("fy_label"), cells.alias("c"))
-    start, end = period_bounds(F.try_element_at("c", F.lit("from")), F.try_element_at("c", F.lit("to")))
-    station = F.trim(F.try_element_at("c", F.lit("id")))
-    netid = F.coalesce(
-        F.nullif(F.try_element_at("c", F.lit("nid")), F.lit("")), F.try_element_at("c", F.lit("netid"))
-    )
-    return rows.where(station != "").select(
-        station.alias("rinex_id"), start.alias("from"), end.alias("to"), "fy_label", _optional_int(netid).alias("netid")
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, value) of hand-kept files of a station-year or a network, small by definition."""
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+
+
+def _records(texts: DataFrame) -> DataFrame:
+    """(file, head, cells) of every row of delimited texts (file, value). Files differ in
+    their columns, so each row keeps the header of its own file. Blank lines do not matter."""
+    clean = lambda c: F.regexp_replace(F.trim(c), '^"(.*)"$', "$1")
+    plain = F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), "\r\n?", "\n")
+    filled = texts.select("file", F.filter(F.split(plain, "\n"), lambda line: F.trim(line) != "").alias("f"))
+    rows = filled.select("file", F.get("f", F.lit(0)).alias("head"), F.explode(F.slice("f", F.lit(2), F.size("f"))).alias("row"))
+    return rows.select("file", *[F.transform(F.split(c, ","), clean).alias(n) for c, n in (("head", "head"), ("row", "cells"))])
+
+
+def _cell(name: str) -> Column:
+    """The cell below a header name; NULL where the file or the row lacks it."""
+    return F.get("cells", (F.array_position("head", F.lit(name)) - 1).cast("int"))
+
+
+def parse_eval_periods(texts: DataFrame) -> DataFrame:
+    """Periods of `fy*_*_h.csv` texts (file, value); the label is the file name, `_perf_`
+    files are left out and the network column may be nid or netid."""
+    name = F.substring_index("file", "/", -1)
+    start, end = period_bounds(_cell("from"), _cell("to"))
+    netid = F.coalesce(F.nullif(_cell("nid"), F.lit("")), _cell("netid"))
+    return _records(texts.where(~name.contains("_perf_"))).where(_cell("id") != "").select(
+        _cell("id").alias("rinex_id"),
+        start.alias("from"),
+        end.alias("to"),
+        F.regexp_replace(name, r"\.csv$", "").alias("fy_label"),
+        _optional_int(netid).alias("netid"),
     )
 
 
-def _fit(cells, head):
-    """As many cells as the header has: short rows end in NULL, surplus cells are cut."""
-    return F.transform(F.sequence(F.lit(0), F.size(head) - 1), lambda i: F.get(cells, i))
+def read_eval_period_csv(spark: SparkSession, path: str) -> DataFrame:
+    return parse_eval_periods(_files(spark, path))
 
 
 def collect_periods(periods: DataFrame) -> DataFrame:
@@ -118,53 +122,50 @@ def collect_periods(periods: DataFrame) -> DataFrame:
     )
 
 
-def read_station_ng_csv(spark: SparkSession, path: str) -> DataFrame:
-    """(year, rinex_id, netid, isinside) from `{year}/station_ng.csv`. The files have one
-    column set; fields are matched to it by name."""
-    rows = spark.read.csv(path, header=True, enforceSchema=False, schema=_header_schema(spark, path))
-    return rows.where(F.trim("id") != "").select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4})/[^/]*$", 1).cast("int").alias("year"),
-        F.trim("id").alias("rinex_id"),
-        _optional_int(F.col("netid")).alias("netid"),
-        (F.lower(F.trim("isinside")) == "true").alias("isinside"),
+def parse_station_ng(texts: DataFrame) -> DataFrame:
+    """(year, rinex_id, netid, isinside) of `{year}/station_ng.csv` texts (file, value)."""
+    return _records(texts).where(_cell("id") != "").select(
+        F.regexp_extract("file", r"/(\d{4})/[^/]*$", 1).cast("int").alias("year"),
+        _cell("id").alias("rinex_id"),
+        _optional_int(_cell("netid")).alias("netid"),
+        (F.lower(_cell("isinside")) == "true").alias("isinside"),
     )
 
 
-def _header_schema(spark: SparkSession, path: str):
-    """All-string schema from the header line; reads one line."""
-    from pyspark.sql import types as T
-
-    head = spark.read.text(path).where(F.trim("value") != "").first()
-    names = [c.strip() for c in head["value"].split(",")] if head else []
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+def read_station_ng_csv(spark: SparkSession, path: str) -> DataFrame:
+    return parse_station_ng(_files(spark, path))
 
 
 def read_network_info_csv(spark: SparkSession, path: str) -> DataFrame:
+    return parse_network_info(_files(spark, path))
+
+
+def parse_network_info(texts: DataFrame) -> DataFrame:
     """Up to four grid rows per station from the wide columns inet_1..4, weight_1..4 and so
     on. A slot with a blank or nan inet, or with a number that does not parse, is skipped."""
-    rows = spark.read.csv(path, header=True, schema=_header_schema(spark, path))
 
     def slot(n: int):
-        number = lambda c: F.trim(F.col(f"{c}_{n}")).try_cast("double")
+        number = lambda c: _cell(f"{c}_{n}").try_cast("double")
         return F.struct(
             F.lit(n).alias("slot"),
-            _optional_int(F.col(f"inet_{n}")).alias("inet"),
+            _optional_int(_cell(f"inet_{n}")).alias("inet"),
             number("weight").alias("weight"),
             number("lat").alias("lat"),
             number("lon").alias("lon"),
             number("dist").alias("dist_km"),
-            _optional_int(F.col(f"index_{n}")).alias("index"),
-            F.lower(F.coalesce(F.trim(F.col(f"index_{n}")), F.lit(""))).alias("index_text"),
+            _optional_int(_cell(f"index_{n}")).alias("index"),
+            F.lower(F.coalesce(_cell(f"index_{n}"), F.lit(""))).alias("index_text"),
         )
 
     usable = F.col("inet").isNotNull() & (F.col("index").isNotNull() | F.col("index_text").isin("", "nan"))
     for c in ("weight", "lat", "lon", "dist_km"):
         usable = usable & F.col(c).isNotNull()
     return (
-        rows.where(F.trim("id") != "")
+        _records(texts)
+        .where(_cell("id") != "")
         .select(
-            F.trim("id").alias("rinex_id"),
-            _optional_int(F.col("n_grids")).alias("n_grids"),
+            _cell("id").alias("rinex_id"),
+            _optional_int(_cell("n_grids")).alias("n_grids"),
             F.explode(F.array(*[slot(n) for n in (1, 2, 3, 4)])).alias("g"),
         )
         .select("rinex_id", "n_grids", "g.*")
