@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fixwatch.catalog.inputs import CELLS, EPOCHS, IN_CELL, REGISTRY, epochs, registry
+from fixwatch import sinks
+from fixwatch.catalog.inputs import CELLS, EPOCHS, IN_CELL, REGISTRY, epochs, landing, registry
 from fixwatch.catalog.registry import query, tidy_sql
 from fixwatch.operators import accuracy, distributions, quantiles, ttff
 from fixwatch.operators.cells import (
@@ -411,3 +412,34 @@ def two_pass_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
     probs = {"p50": 0.5, "p95": 0.95, "p999": 0.999}
     values = {"price": "l_extendedprice", "discount": "l_discount"}
     return quantiles.exact_quantiles(lineitem, ["l_returnflag"], values, probs, max_group_rows=0)
+
+
+# --- tables ------------------------------------------------------------------------------
+
+
+def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _month_epochs(spark, sf_dir).groupBy("mode", "date", "station").agg(F.count(F.lit(1)).alias("n_epoch"))
+
+
+@query(
+    "daily_table_replaced",
+    tidy_sql(f"WITH {EPOCHS} SELECT 'kinematic' AS mode, date, station, count(*) AS n_epoch FROM epochs GROUP BY ALL", date=["date"]),
+)
+def daily_table_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day that is run again replaces its partition: of two writes the second is found."""
+    days, path = _counted(spark, sf_dir), landing(spark, "daily")
+    sinks.write_daily(days.withColumn("n_epoch", F.col("n_epoch") + 1), path)
+    sinks.write_daily(days, path)
+    return spark.read.schema(days.schema).parquet(path).select(days.columns)
+
+
+@query(
+    "monthly_table_replaced",
+    tidy_sql(f"WITH {EPOCHS} SELECT 'kinematic' AS mode, strftime(date, '%Y-%m') AS period, station, count(*) AS n_epoch FROM epochs GROUP BY ALL"),
+)
+def monthly_table_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    months = with_period(_counted(spark, sf_dir)).groupBy("mode", "period", "station").agg(F.sum("n_epoch").alias("n_epoch"))
+    path = landing(spark, "monthly")
+    sinks.write_monthly(months.withColumn("n_epoch", F.col("n_epoch") + 1), path)
+    sinks.write_monthly(months, path)
+    return spark.read.schema(months.schema).parquet(path).select(months.columns)

@@ -9,10 +9,13 @@ conversations notices, each turn referring to the one before
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixwatch.functions.gnss_time import gps_date, gps_epoch_index, is_day_epoch
+from fixwatch.session import ensure_checkpoint_dir
 
 MODE = "kinematic"
 
@@ -28,6 +31,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def landing(spark: SparkSession, what: str) -> str:
+    """A new path in the shared folder, for queries that write through a sink."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
 # --- epochs --------------------------------------------------------------------------
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fixwatch.catalog.inputs import CHAINS, NOTICES, notices, table
+from fixwatch import sinks
+from fixwatch.catalog.inputs import CHAINS, NOTICES, landing, notices, table
 from fixwatch.catalog.registry import query, tidy_sql
 from fixwatch.functions import notices as fn
 from fixwatch.operators import outages
@@ -93,5 +94,18 @@ def latest_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {NOTICES} SELECT constellation, strftime(published_at, '%Y-%m') AS ym, count(*) AS n_rows FROM notices GROUP BY ALL",
 )
 def raw_notice_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = notices(spark, sf_dir).withColumn("ym", F.date_format("published_at", "yyyy-MM"))
-    return keyed.groupBy("constellation", "ym").agg(F.count(F.lit(1)).alias("n_rows"))
+    """What the sink reports of its partitions."""
+    return sinks.write_raw_notices(notices(spark, sf_dir), landing(spark, "raw-notices"))
+
+
+@query(
+    "raw_notices_replaced",
+    f"WITH {NOTICES} SELECT constellation, strftime(published_at, '%Y-%m') AS ym, notice_id, notice_type FROM notices",
+)
+def raw_notices_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written twice, as by a run that is repeated, and read back."""
+    path = landing(spark, "raw-notices")
+    for _ in range(2):
+        sinks.write_raw_notices(notices(spark, sf_dir), path)
+    stored = spark.read.option("basePath", path).schema("notice_id string, notice_type string, constellation string, ym string")
+    return stored.parquet(path).select("constellation", "ym", "notice_id", "notice_type")

@@ -179,7 +179,7 @@ def quantile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qc_report.quantile_table(qc_report.station_monthly(_station_days(spark, sf_dir)), "visibility")
 
 
-_WIDE = ("MP12_85_-_90_rms", "MP12_15_-_20_tot", "ION__5_-_10_slps", "SN1____<__0_mean", "SN5_30_-_35_sig", "MP71__0_-__5_rms")
+_WIDE = qc_report.wide_names()
 
 
 def _wide_column(name: str) -> str:
@@ -199,19 +199,17 @@ def _wide_column(name: str) -> str:
     + f" FROM (SELECT station, date, {', '.join(_wide_column(n) for n in _WIDE)} FROM qc_long GROUP BY ALL) AS w",
 )
 def qc_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qc_report.to_wide(qc_unique(spark, sf_dir), names=_WIDE)
+    return qc_report.to_wide(qc_unique(spark, sf_dir))
 
 
 @query(
     "qc_unpivot",
     tidy_sql(
         f"""WITH {QC} SELECT station, date, metric, bin_lo, max(tot) AS tot, max(slps_or_sig) AS slps_or_sig, max(rms_or_mean) AS rms_or_mean
-        FROM qc_long WHERE metric IN ('ION', 'SN1', 'MP12') GROUP BY ALL""",
+        FROM qc_long GROUP BY ALL""",
         real=["tot", "slps_or_sig", "rms_or_mean"], date=["date"],
     ),
 )
 def qc_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide and back, for three of the metrics."""
-    names = [n for n in qc_report.wide_names() if n.split("_", 1)[0] in ("ION", "SN1", "MP12")]
-    wide = qc_report.to_wide(qc_unique(spark, sf_dir), names=names)
-    return qc_report.to_long(wide).drop("bin_label")
+    """Wide and back."""
+    return qc_report.to_long(qc_report.to_wide(qc_unique(spark, sf_dir))).drop("bin_label")

@@ -204,7 +204,7 @@ def latest_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("first_failures", "SELECT event_id FROM events WHERE event_type = 'error' ORDER BY ts, event_id LIMIT 50")
 def first_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runlogs.failures(_runs(spark, sf_dir), "started_at").select("event_id")
+    return runlogs.failures(_runs(spark, sf_dir), "started_at", "event_id").select("event_id")
 
 
 @query(

@@ -30,7 +30,7 @@ from fixwatch.plans.daily import epoch_errors
 AT = dt.date(1998, 6, 30)
 AFTER = dt.date(2005, 1, 1)
 # Every two weeks, so that the 15-day windows cover the whole series.
-TARGETS = [dt.date(1995, 1, 9) + dt.timedelta(days=14 * i) for i in range(178)]
+TARGETS = [dt.date(1995, 1, 9) + dt.timedelta(days=14 * i) for i in range(179)]
 
 _AT_DATE = f"""WITH {REGISTRY}, {ASSIGNMENTS}, {PERIODS},
 evals AS (SELECT rinex_id, bool_or(DATE '{AT}' BETWEEN "from" AND "to") AS e FROM periods GROUP BY ALL),

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixwatch.catalog.inputs import spread, table
 from fixwatch.catalog.registry import query, tidy_sql
 from fixwatch.functions import notices as fn
-from fixwatch.sources import coords, logs, nmea, qc_text
+from fixwatch.sources import coords, logs, nmea, qc_text, registry
 from fixwatch.sources import notices as notice_text
 
 # --- position sentences --------------------------------------------------------------
@@ -306,3 +306,101 @@ def equipment_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def inventory_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.text_inventory(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+# --- registry files ------------------------------------------------------------------
+
+
+def _file_texts(rows: DataFrame, file: Column, head: Column, row: Column) -> DataFrame:
+    """(file, value): one text per file, its header and then its rows."""
+    lines = rows.groupBy(file.alias("file"), head.alias("head")).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    return lines.select("file", F.concat_ws("\n", "head", "rows").alias("value"))
+
+
+@query(
+    "eval_period_files",
+    tidy_sql(
+        """SELECT CAST(s_suppkey AS VARCHAR) AS rinex_id,
+        CASE WHEN s_suppkey % 5 = 0 THEN DATE '1970-01-01' ELSE DATE '2020-01-01' + CAST(s_suppkey % 300 AS INTEGER) END AS "from",
+        CASE WHEN s_suppkey % 7 = 0 THEN DATE '9999-12-31' ELSE DATE '2020-06-29' + CAST(s_suppkey % 300 AS INTEGER) END AS "to",
+        'fy' || (2000 + s_nationkey) || '_1st_h' AS fy_label, CASE WHEN s_suppkey % 11 <> 0 THEN s_suppkey % 13 END AS netid
+        FROM supplier WHERE s_nationkey <> 24""",
+        whole=["netid"], date=['"from"', '"to"'],
+    ),
+)
+def eval_period_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file per nation; files differ in column order and in the name of the network column."""
+    key, nation = F.col("s_suppkey"), F.col("s_nationkey")
+    day = F.date_add(F.to_date(F.lit("2020-01-01")), (key % 300).cast("int"))
+    start = F.when(key % 5 == 0, "").otherwise(F.date_format(day, "yyyy/MM/dd"))
+    end = F.when(key % 7 == 0, "").otherwise(F.date_format(F.date_add(day, 180), "yyyy-MM-dd"))
+    netid, station = F.when(key % 11 == 0, "nan").otherwise((key % 13).cast("string")), key.cast("string")
+    odd = nation % 2 == 1
+    texts = _file_texts(
+        table(spark, sf_dir, "supplier"),
+        F.concat(F.lit("/registry/fy"), (nation + 2000).cast("string"), F.when(nation == 24, "_perf").otherwise(""), F.lit("_1st_h.csv")),
+        F.when(odd, "netid,to,from,id").otherwise("\nid,from,to,nid"),
+        F.when(odd, F.concat_ws(",", netid, end, start, station)).otherwise(F.concat_ws(",", station, start, end, netid)),
+    )
+    return registry.parse_eval_periods(texts)
+
+
+@query(
+    "station_grid_files",
+    tidy_sql(
+        """SELECT 2020 + c_custkey % 5 AS year, CAST(c_custkey AS VARCHAR) AS rinex_id,
+        CASE WHEN c_custkey % 4 <> 0 THEN c_nationkey END AS netid, c_acctbal > 0 AS isinside FROM customer""",
+        whole=["year", "netid"],
+    ),
+)
+def station_grid_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file per year; odd years have another column order."""
+    key = F.col("c_custkey")
+    year, station = key % 5 + 2020, key.cast("string")
+    netid = F.when(key % 4 == 0, "").otherwise(F.col("c_nationkey").cast("string"))
+    inside = F.when(F.col("c_acctbal") > 0, "True").otherwise("False")
+    odd = year % 2 == 1
+    texts = _file_texts(
+        table(spark, sf_dir, "customer"),
+        F.concat(F.lit("/grid/"), year.cast("string"), F.lit("/station_ng.csv")),
+        F.when(odd, "isinside,id,netid").otherwise("id,netid,isinside"),
+        F.when(odd, F.concat_ws(",", inside, station, netid)).otherwise(F.concat_ws(",", station, netid, inside)),
+    )
+    return registry.parse_station_ng(texts)
+
+
+_GRID = ("inet", "weight", "lat", "lon", "dist", "index")
+
+
+@query(
+    "network_info_files",
+    tidy_sql(
+        """SELECT CAST(p_partkey AS VARCHAR) AS rinex_id, 4 AS n_grids, n AS slot, p_partkey % 20 AS inet, p_size / 64.0 AS weight,
+        30.0 + p_partkey % 15 AS lat, 130.0 + n AS lon, p_partkey % 50 + 0.5 AS dist_km, CASE WHEN p_partkey % 2 = 1 THEN n END AS "index"
+        FROM part CROSS JOIN range(1, 5) AS r(n) WHERE (p_partkey + n) % 3 <> 0 AND (p_partkey + n) % 7 <> 0""",
+        real=["weight", "lat", "lon", "dist_km"], whole=["n_grids", "slot", "inet", '"index"'],
+    ),
+)
+def network_info_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four slots a station; some lack the grid, some have a weight that is no number."""
+    key = F.col("p_partkey")
+
+    def slot(n: int) -> list[Column]:
+        return [
+            F.when((key + n) % 3 == 0, "nan").otherwise((key % 20).cast("string")),
+            F.when((key + n) % 7 == 0, "x").otherwise((F.col("p_size") / 64).cast("string")),
+            (key % 15 + 30).cast("string"),
+            F.lit(str(130 + n)),
+            F.format_string("%d.5", key % 50),
+            F.when(key % 2 == 1, str(n)).otherwise(""),
+        ]
+
+    names = ["id", "n_grids", *[f"{c}_{n}" for n in (1, 2, 3, 4) for c in _GRID]]
+    cells = [key.cast("string"), F.lit("4"), *[c for n in (1, 2, 3, 4) for c in slot(n)]]
+    texts = _file_texts(
+        table(spark, sf_dir, "part"),
+        F.concat(F.lit("/grid/network_"), (key % 100).cast("string"), F.lit(".csv")),
+        F.when(key % 100 < 50, ",".join(names)).otherwise(",".join(reversed(names))),
+        F.when(key % 100 < 50, F.concat_ws(",", *cells)).otherwise(F.concat_ws(",", *reversed(cells))),
+    )
+    return registry.parse_network_info(texts)

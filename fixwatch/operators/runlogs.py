@@ -70,6 +70,7 @@ def latest_by_path(log: DataFrame, path: str = "path", at: str = "retrieved_at")
     return log.groupBy(path).agg(newest).select(path, "r.*")
 
 
-def failures(log: DataFrame, at: str, limit: int = 50) -> DataFrame:
-    """The first failures of a log, as listed in a run record."""
-    return log.where(F.col("failed")).orderBy(at).limit(limit)
+def failures(log: DataFrame, at: str, ties: str, limit: int = 50) -> DataFrame:
+    """The first failures of a log, as listed in a run record; `ties` names the id that
+    orders failures of one instant."""
+    return log.where(F.col("failed")).orderBy(at, ties).limit(limit)
