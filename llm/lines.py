@@ -274,19 +274,30 @@ def _texts(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFrame:
     return joined.mapInArrow(run, "key binary, line string").dropDuplicates(["key"])
 
 
-def _connect(rows: list[tuple], radius: int, least: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
+def matrix(fps: list) -> np.ndarray:
+    """Fingerprints, 64-bit integers or multiples of 8 bytes, as rows of 64-bit words."""
+    if fps and isinstance(fps[0], bytes):
+        return np.frombuffer(b"".join(fps), np.uint64).reshape(len(fps), -1)
+    return np.array(fps, np.int64).view(np.uint64).reshape(-1, 1)
+
+
+def _distances(fps: np.ndarray, fp: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(fps ^ fp).sum(axis=1, dtype=np.int32)
+
+
+def _connect(rows: list[tuple], radius: int, alike: Callable) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Component of each of the rows (key, fp, line, ...) and the links that make them. Rows
     already connected are not compared again, so a family of m variants costs about m
     comparisons, not m * m."""
-    fps = np.array([r[1] for r in rows], np.int64).view(np.uint64)
+    fps = matrix([r[1] for r in rows])
     root = np.arange(len(rows))
     links = []
     for i in range(1, len(rows)):
-        close = np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= radius)
+        close = np.flatnonzero(_distances(fps[:i], fps[i]) <= radius)
         while len(close := close[root[close] != root[i]]):
             j = int(close[0])
             close = close[1:]
-            if similar(rows[i][2], rows[j][2], least):
+            if alike(rows[i][2], rows[j][2]):
                 root[root == root[i]] = root[j]
                 links.append((i, j))
     return root, links
@@ -312,9 +323,10 @@ def _by_group(rows: DataFrame, columns: list[str], work: Callable[[list[tuple]],
     return dealt.select("unit", *columns).mapInArrow(run, fields)
 
 
-def _verified(members: DataFrame, radius: int, least: float) -> DataFrame:
+def verified(members: DataFrame, radius: int, alike: Callable) -> DataFrame:
     """Links (a, b) of keys that connect exactly the keys whose fingerprints are within
-    `radius` bits and whose lines are similar. `members` is (group, key, fp, line).
+    `radius` bits and whose lines are `alike`. `members` is (group, key, fp, line), a line in
+    any form that `alike` takes.
 
     A group over MEMBERS lines is split into parts, each with the same few HUBS lines of the
     group added. Lines that reach the group's most reached hub are its main body, already
@@ -331,7 +343,7 @@ def _verified(members: DataFrame, radius: int, least: float) -> DataFrame:
 
     def reach(rows: list[tuple]) -> list[tuple]:
         rows = [(r[1], r[2], r[3], r[0], r[4]) for r in sorted(rows, key=lambda r: (r[4] is None, r[4] or 0, r[1]))]
-        root, links = _connect(rows, radius, least)
+        root, links = _connect(rows, radius, alike)
         label: dict[int, int] = {}
         for k, r in enumerate(rows):
             if r[4] is not None:
@@ -363,14 +375,14 @@ def _verified(members: DataFrame, radius: int, least: float) -> DataFrame:
     def settle(rows: list[tuple]) -> list[tuple]:
         main = [r for r in rows if not r[3]]
         strays = sorted((r for r in rows if r[3]), key=lambda r: r[0])
-        fps = np.array([r[1] for r in main], np.int64).view(np.uint64)
+        fps = matrix([r[1] for r in main])
         out = []
         if not main:
-            _, found = _connect(strays, radius, least)
+            _, found = _connect(strays, radius, alike)
             return [(strays[i][0], strays[j][0]) for i, j in found]
         for r in strays:
-            for j in np.flatnonzero(np.bitwise_count(fps ^ np.int64(r[1]).view(np.uint64)) <= radius).tolist():
-                if similar(r[2], main[j][2], least):
+            for j in np.flatnonzero(_distances(fps, matrix([r[1]])) <= radius).tolist():
+                if alike(r[2], main[j][2]):
                     out.append((r[0], main[j][0]))
                     break
         return out
@@ -400,7 +412,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, radius: int = RADIU
     members = cut(unique.join(alike, "fp").select("key", "fp", "group", "first"), "members")
     texts = _texts(docs, members.select("first.doc_id", "first.line_no", "key"), min_words)
     spelled = cut(members.join(texts, "key").select("group", "key", "fp", "line"), "spelled")
-    roots = components(cut(_verified(spelled, radius, least), "verified"))
+    roots = components(cut(verified(spelled, radius, lambda a, b: similar(a, b, least)), "verified"))
     grouped = unique.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "n", "first", F.coalesce("root", "key").alias("root"), F.col("root").isNotNull().alias("linked"))
     alone = grouped.filter("not linked and n > 1").select("key", F.col("first").alias("kept"))
     linked = cut(grouped.filter("linked"), "linked")

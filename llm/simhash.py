@@ -15,8 +15,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import cut, tasks
+from llm.common import cut, membership, tasks
 from llm.components import components
+from llm.lines import verified
 from llm.unions import forest
 
 TILE = 8192
@@ -165,3 +166,60 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, lanes: int
     named = unique.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
     known = marked.filter("doc_id is not null").join(named, "fp").select("doc_id", "fp", "component_id")
     return known.unionByName(marked.filter("doc_id is null").withColumn("component_id", F.lit(None).cast("long")))
+
+
+def shingle_set(text: str | None, words: int) -> bytes:
+    """The distinct 64-bit shingle hashes of a text in order."""
+    parts = shingles(text, words)
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(p, SEED) for p in parts), np.uint64, len(parts))).tobytes()
+
+
+def jaccard(a: bytes, b: bytes) -> float:
+    """Similarity of two shingle sets; two empty ones are equal."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
+
+
+def similar_documents(docs: DataFrame, words: int, radius: int, lanes: int, least: float) -> DataFrame:
+    """(doc_id, component_id) of every row of `docs` that has a doc_id.
+
+    Documents link when the Jaccard similarity of their sets of word shingles is at least
+    `least`; component_id is the smallest doc_id reachable. Fingerprints within `radius` bits
+    only name the pairs to compare: every such pair is compared on the whole sets, unless
+    links already connect it. Equal sets are one node.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            fps = [fingerprint(t, words, lanes) for t in texts]
+            keys = [xxhash.xxh3_128_digest(shingle_set(t, words)) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(fps, pa.binary())], names=["doc_id", "key", "fp"])
+
+    texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    keyed = cut(texts.mapInArrow(run, "doc_id long, key binary, fp binary"), "shingle-keys")
+    first = F.min(F.struct("doc_id", "fp"))
+    unique = cut(keyed.groupBy("key").agg(first.alias("first")).select("key", F.col("first.doc_id").alias("rep"), F.col("first.fp").alias("fp")), "unique")
+    by_fp = cut(unique.groupBy("fp").agg(F.min("rep").alias("node"), F.count("*").alias("n")), "by-fp")
+    near = components(cut(close_links(by_fp.select("fp", F.col("node").alias("rep")), radius, lanes), "close"))
+    groups = by_fp.join(near, "node", "left").filter("root is not null or n > 1").select("fp", F.coalesce("root", "node").alias("group"))
+    members = cut(unique.join(groups, "fp").select("key", "fp", "group", "rep"), "members")
+    wanted = members.select(F.col("rep").alias("doc_id"), "key", "fp", "group")
+    maybe = membership(texts, "doc_id", wanted.select("doc_id")).filter("maybe").select("doc_id", "text")
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), words) for t in batch.column("text")]
+            # A doc_id may repeat with another text: the key says whose set it is.
+            own = pa.array([xxhash.xxh3_128_digest(s) == k.as_py() for s, k in zip(sets, batch.column("key"))], pa.bool_())
+            batch = batch.select(["group", "key", "fp"]).append_column("line", pa.array(sets, pa.binary()))
+            yield batch.filter(own)
+
+    fields = "group long, key binary, fp binary, line binary"
+    spelled = maybe.join(wanted, "doc_id").select("group", "key", "fp", "text").mapInArrow(spell, fields).dropDuplicates(["key"])
+    links = verified(cut(spelled, "sets"), radius, lambda a, b: jaccard(a, b) >= least)
+    roots = components(cut(links, "verified")).withColumnRenamed("node", "key")
+    named = unique.join(roots, "key", "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
+    smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
+    return keyed.select("doc_id", "key").join(named.join(smallest, "root").select("key", "component_id"), "key").select("doc_id", "component_id")
