@@ -18,6 +18,8 @@ from llm.components import components
 from llm.unions import forest
 
 MIN_WORDS = 6
+# Shorter lines allow no edit at similarity 0.9: they are equal or they are not alike.
+MIN_CHARS = 10
 RADIUS = 3
 SIMILARITY = 0.9
 MEMBERS = 512
@@ -104,16 +106,17 @@ def similar(a: str, b: str, least: float) -> bool:
     return within(a, b, int((1 - least) * max(len(a), len(b)) + 1e-9))
 
 
-def _keyed_lines(docs: DataFrame, min_words: int) -> DataFrame:
+def _keyed_lines(docs: DataFrame, min_words: int, min_chars: int | None) -> DataFrame:
     """(doc_id, line_no, key, fp) of every line of at least `min_words` words; `key` is the
-    128-bit hash of the normalised line."""
+    128-bit hash of the normalised line. With `min_chars`, of every line that is not empty;
+    `fp` is null for shorter ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, numbers, kept = [], [], []
             for k, text in enumerate(batch.column(1)):
                 for number, line in enumerate(normalise(text.as_py() or "")):
-                    if line and line.count(" ") + 1 >= min_words:
+                    if line and (min_chars is not None or line.count(" ") + 1 >= min_words):
                         ids.append(k)
                         numbers.append(number)
                         kept.append(line)
@@ -123,7 +126,7 @@ def _keyed_lines(docs: DataFrame, min_words: int) -> DataFrame:
                             batch.column(0).take(pa.array(ids, pa.int64())),
                             pa.array(numbers, pa.int64()),
                             pa.array([xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in kept], pa.binary()),
-                            pa.array(line_hashes(kept).view(np.int64)),
+                            pa.array(line_hashes(kept).view(np.int64), mask=np.fromiter((len(x) < (min_chars or 0) for x in kept), bool, len(kept))),
                         ],
                         names=["doc_id", "line_no", "key", "fp"],
                     )
@@ -391,22 +394,23 @@ def verified(members: DataFrame, radius: int, alike: Callable) -> DataFrame:
     return links.union(_by_group(spread, ["key", "fp", "line", "stray"], settle, pair, "a binary, b binary"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, radius: int = RADIUS, least: float = SIMILARITY) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, radius: int = RADIUS, least: float = SIMILARITY, min_chars: int | None = None) -> DataFrame:
     """`docs` with repeated lines taken out of `text`, plus n_lines and n_removed.
 
     Lines are split at line feeds and normalised (lower case, words only). Lines of fewer
-    than `min_words` words always stay. Two lines link when they are equal after
-    normalisation, or when their SimHashes differ in at most `radius` bits and 1 - edit
+    than `min_words` words always stay; with `min_chars`, words don't count: only empty lines
+    always stay, and lines of fewer characters link only when equal. Two lines link when they
+    are equal after normalisation, or when their SimHashes differ in at most `radius` bits and 1 - edit
     distance / longer length is at least `least`. Of each connected group the occurrence
     with the smallest (doc_id, line number) stays and all others go, in the same document
     too. Null text stays null with 0 lines; an empty text has one (empty) line, which stays.
     Rows without a doc_id keep every line. If a doc_id repeats, its rows lose the same line
     numbers. Other columns pass through.
     """
-    keyed = cut(_keyed_lines(docs.filter("doc_id is not null"), min_words), "lines")
+    keyed = cut(_keyed_lines(docs.filter("doc_id is not null"), min_words, min_chars), "lines")
     place = F.struct("doc_id", "line_no")
     unique = cut(keyed.groupBy("key", "fp").agg(F.min(place).alias("first"), F.count("*").alias("n")), "line-keys")
-    by_fp = unique.groupBy("fp").agg(F.count("*").alias("n"))
+    by_fp = unique.filter("fp is not null").groupBy("fp").agg(F.count("*").alias("n"))
     groups = components(cut(fingerprint_links(by_fp.select("fp"), radius), "line-links")).withColumnRenamed("node", "fp").withColumnRenamed("root", "group")
     alike = groups.unionByName(by_fp.filter("n > 1").select("fp", F.col("fp").alias("group")).join(groups.select("fp"), "fp", "left_anti"))
     members = cut(unique.join(alike, "fp").select("key", "fp", "group", "first"), "members")

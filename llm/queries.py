@@ -56,7 +56,8 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs, min_chars=lines.MIN_CHARS).select("doc_id", "n_lines", "n_removed", "text")
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
