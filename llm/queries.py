@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontam, hilbert, langid, lines, matrices, packing, quality, simhash, substrings, tokens, warc
+from llm import codes, decontam, hilbert, langid, lines, matrices, packing, quality, simhash, substrings, tokens, warc
 from llm.common import cut, table
 
 SEQUENCE = 2048
@@ -89,12 +89,58 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = codes.encode(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash, op2_packing, op3_quality, op4_language, op5_lines, op6_warc, op7_token_matrices, op8_decontamination, op9_substrings, op10_neighbours)
+    for f in (op1_simhash, op2_packing, op3_quality, op4_language, op5_lines, op6_warc, op7_token_matrices, op8_decontamination, op9_substrings, op10_neighbours, op13_codes)
 }
 
+_NEAREST = """
+    SELECT x.part, x.row, arg_min(e.entry, {{'d': d, 'e': e.entry}}) AS entry, min(d) AS d
+    FROM x JOIN {book} e USING (part), LATERAL (SELECT list_sum(list_transform(range(1, len(x.v) + 1), lambda i: (x.v[i] - e.c[i]) * (x.v[i] - e.c[i]))) AS d)
+    GROUP BY ALL
+"""
+_MOVED = """
+    SELECT e.part, e.entry, coalesce(m.c, e.c) AS c
+    FROM {book} e LEFT JOIN (
+        SELECT part, entry, list(CASE WHEN s < 0 THEN -((n - 1 - s) // n) ELSE s // n END ORDER BY pos) AS c
+        FROM (
+            SELECT part, entry, pos, count(*) AS n, CAST(sum(value) AS BIGINT) AS s
+            FROM (SELECT a.part, a.entry, unnest(x.v) AS value, generate_subscripts(x.v, 1) AS pos FROM {codes} a JOIN x USING (part, row))
+            GROUP BY ALL
+        ) GROUP BY ALL
+    ) m USING (part, entry)
+"""
+
 ORACLE = {
+    "op13_codes": f"""
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label,
+                list_transform(embedding, lambda v: CAST(floor(CAST(v AS DOUBLE) * 256) AS BIGINT)) AS whole
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+        ), x AS MATERIALIZED (
+            SELECT row, part, whole[part * (len(whole) // 16) + 1 : (part + 1) * (len(whole) // 16)] AS v
+            FROM kept, range(16) r(part)
+        ), book0 AS MATERIALIZED (
+            SELECT part, row - 1 AS entry, v AS c FROM x WHERE row <= 64
+        ), codes0 AS MATERIALIZED ({_NEAREST.format(book="book0")}
+        ), book1 AS MATERIALIZED ({_MOVED.format(book="book0", codes="codes0")}
+        ), codes1 AS MATERIALIZED ({_NEAREST.format(book="book1")}
+        ), book2 AS MATERIALIZED ({_MOVED.format(book="book1", codes="codes1")}
+        ), codes2 AS MATERIALIZED ({_NEAREST.format(book="book2")}
+        ), coded AS (
+            SELECT row, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+            FROM codes2 GROUP BY row
+        )
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+            (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM book2) AS codebooks_sha256
+        FROM coded JOIN kept USING (row)
+    """,
     "op6_warc": """
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
