@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import codes, decontam, hilbert, langid, lines, matrices, packing, quality, simhash, substrings, tokens, warc
+from llm import codes, decontam, divergence, hilbert, langid, lines, matrices, packing, quality, simhash, substrings, tokens, warc
 from llm.common import cut, table
 
 SEQUENCE = 2048
@@ -89,6 +89,10 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = codes.encode(table(spark, sf_dir, "embeddings"))
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
@@ -96,7 +100,7 @@ def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash, op2_packing, op3_quality, op4_language, op5_lines, op6_warc, op7_token_matrices, op8_decontamination, op9_substrings, op10_neighbours, op13_codes)
+    for f in (op1_simhash, op2_packing, op3_quality, op4_language, op5_lines, op6_warc, op7_token_matrices, op8_decontamination, op9_substrings, op10_neighbours, op12_divergence, op13_codes)
 }
 
 _NEAREST = """
@@ -117,6 +121,47 @@ _MOVED = """
 """
 
 ORACLE = {
+    "op12_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), t AS (
+            SELECT row, lang, source, unnest(terms) AS term FROM d
+        ), kept AS MATERIALIZED (
+            SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT row) >= 30
+        ), n AS MATERIALIZED (
+            SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL
+        ), sizes AS (
+            SELECT lang, count(*) AS v FROM kept GROUP BY lang
+        ), g AS (
+            SELECT lang, source, coalesce(total, 0) AS total, coalesce(v, 0) AS v
+            FROM (SELECT DISTINCT lang, source FROM d)
+            LEFT JOIN (SELECT lang, source, sum(n) AS total FROM n GROUP BY ALL) USING (lang, source)
+            LEFT JOIN sizes USING (lang)
+        ), p AS MATERIALIZED (
+            SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n,
+                1 + CAST(1000000000 AS HUGEINT) * (coalesce(n.n, 0) + 5) // (g.total + 5 * g.v) AS p
+            FROM g JOIN kept k USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term
+        ), q AS (
+            SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (n + 5) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q
+            FROM (SELECT lang, term, sum(n) AS n FROM n GROUP BY ALL) JOIN sizes USING (lang)
+        ), found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(CAST(s.value AS BIGINT), 0) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN (
+                SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p)) AS value
+                FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL
+            ) s ON s.lang = a.lang AND s.source = a.source AND s.other = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+        )
+        SELECT lang, source, part, item, value,
+            CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+        FROM found
+        QUALIFY part = 'pair' OR rank <= 50
+    """,
     "op13_codes": f"""
         WITH kept AS MATERIALIZED (
             SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label,
