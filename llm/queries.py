@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import codes, decontam, divergence, hilbert, langid, lines, matrices, packing, quality, simhash, substrings, tokens, warc
+from llm import codes, decontam, divergence, hilbert, langid, lines, matrices, overlap, packing, quality, simhash, substrings, tokens, warc
 from llm.common import cut, table
 
 SEQUENCE = 2048
@@ -89,6 +89,10 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.similar_sets(table(spark, sf_dir, "documents"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
@@ -100,7 +104,7 @@ def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash, op2_packing, op3_quality, op4_language, op5_lines, op6_warc, op7_token_matrices, op8_decontamination, op9_substrings, op10_neighbours, op12_divergence, op13_codes)
+    for f in (op1_simhash, op2_packing, op3_quality, op4_language, op5_lines, op6_warc, op7_token_matrices, op8_decontamination, op9_substrings, op10_neighbours, op11_overlap, op12_divergence, op13_codes)
 }
 
 _NEAREST = """
