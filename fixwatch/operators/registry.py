@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from fixwatch.operators.cells import SOUTHERN_NETIDS
 from fixwatch.operators.guards import require_columns
+from fixwatch.operators.intervals import stab, union_of
 
 # Preference of solution variants, final before rapid.
 VARIANT_ORDER = ("f5_1", "f5", "r5_1", "r5")
 
+DAYS_PER_BLOCK = 4096
+DAYS_PER_BUCKET = 32
+
 
 def explode_periods(stations: DataFrame) -> DataFrame:
     """One row per (rinex_id, period) from the nested dimension."""
@@ -26,16 +30,15 @@ def eval_flags(periods: DataFrame, target: dt.date) -> DataFrame:
 
 
 def eval_flags_by_date(dates: DataFrame, periods: DataFrame) -> DataFrame:
-    """`dates` (rinex_id, date) with `is_eval`, for many dates at once: an equi-join on
-    the station with the range as residual condition."""
-    d, p = dates.alias("d"), periods.alias("p")
-    covered = (
-        (F.col("d.rinex_id") == F.col("p.rinex_id"))
-        & (F.col("p.from") <= F.col("d.date"))
-        & (F.col("d.date") <= F.col("p.to"))
-    )
-    hits = d.join(p, covered, "left_semi").select("rinex_id", "date").distinct().withColumn("is_eval", F.lit(True))
-    return dates.join(hits, ["rinex_id", "date"], "left").withColumn("is_eval", F.coalesce("is_eval", F.lit(False)))
+    """Distinct `dates` (rinex_id, date) with `is_eval`, for many dates at once: the periods of
+    a station are merged into disjoint spans of days, and a date finds the span that holds it
+    by buckets. A period that ends before it starts covers nothing."""
+    days = F.unix_date(F.col("from")).cast("long"), F.unix_date(F.date_add("to", 1)).cast("long")
+    bounded = periods.where("from IS NOT NULL AND to IS NOT NULL")
+    covered = union_of(bounded.select("rinex_id", days[0].alias("start"), days[1].alias("end")), ["rinex_id"], DAYS_PER_BLOCK)
+    asked = dates.select("rinex_id", F.unix_date("date").cast("long").alias("at"))
+    found = stab(asked, covered, ["rinex_id"], DAYS_PER_BUCKET)
+    return found.select("rinex_id", F.date_from_unix_date(F.col("at").cast("int")).alias("date"), F.col("start").isNotNull().alias("is_eval"))
 
 
 def registry_at(assignments: DataFrame, periods: DataFrame, target: dt.date) -> DataFrame:

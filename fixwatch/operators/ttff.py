@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fixwatch.functions.gnss_time import SECONDS_PER_DAY, day_window_indices
 from fixwatch.operators.cells import CELL, FLAGS, every_cell, spread_to_cells, with_windows
 from fixwatch.operators.guards import broadcast_if_small, cut_lineage
+from fixwatch.operators.intervals import carry_last, with_next
 from fixwatch.operators.quantiles import array_quantile, index_rank, pick_ranks
 
 PROBS = {"p50_sec": 0.50, "p90_sec": 0.90, "p95_sec": 0.95, "p99_sec": 0.99}
@@ -91,6 +92,46 @@ def station_windows(
     return cut_lineage(windows)
 
 
+def ttff_on_schedule(
+    epochs: DataFrame,
+    resets: DataFrame,
+    *,
+    limits: tuple[float, float] | None = None,
+    order: Sequence[str] = (),
+) -> DataFrame:
+    """Time to first fix after each reset of an explicit schedule, as even or uneven as it is.
+
+    `epochs` has (station, at, quality, horizontal_m, vertical_m), `resets` (station, at), both
+    in seconds of one time scale. One row per station and distinct reset: `reset_at`,
+    `next_reset_at` (NULL for the last), `n_epochs` and `ttff_sec`, NULL where no epoch up to
+    the next reset is fixed. Epochs before the first reset belong to none. An epoch at the
+    instant of a reset belongs to it. `order` as in `station_windows`.
+
+    Epochs and resets are merged into one line per station, and the last reset is carried
+    forward inside day blocks and from block to block."""
+    ok = F.col("quality") == 4
+    if limits is not None:
+        ok = ok & (F.col("horizontal_m") <= limits[0]) & (F.col("vertical_m") <= limits[1])
+    kept = [c for c in order if c not in ("station", "at")]
+    seen = epochs.select("station", F.col("at").cast("long").alias("at"), F.coalesce(ok, F.lit(False)).alias("ok"), *kept)
+    seen = seen.where(F.col("station").isNotNull() & F.col("at").isNotNull())
+    if order:
+        seen = last_wins(seen, ["station", "at"], "ok", order)
+    else:
+        seen = seen.withColumn("n_rows", F.lit(1).cast("long"))
+    schedule = resets.select("station", F.col("at").cast("long").alias("at")).where("station IS NOT NULL AND at IS NOT NULL").distinct()
+    marks = schedule.select("station", "at", F.lit(None).cast("boolean").alias("ok"), F.lit(0).cast("long").alias("n_rows"), F.col("at").alias("mark"))
+    line = seen.select("station", "at", "ok", "n_rows", F.lit(None).cast("long").alias("mark")).unionByName(marks)
+    dealt = carry_last(line, ["station"]).where("last_mark IS NOT NULL")
+    first = dealt.groupBy("station", F.col("last_mark").alias("at")).agg(
+        (F.min(F.when(F.col("ok"), F.col("at"))) - F.first("last_mark")).cast("double").alias("ttff_sec"),
+        F.sum("n_rows").alias("n_epochs"),
+    )
+    return with_next(first, ["station"]).select(
+        "station", F.col("at").alias("reset_at"), F.col("next_at").alias("next_reset_at"), "ttff_sec", "n_epochs"
+    )
+
+
 def _windows_per_day(reset_sec: int) -> Column:
     """Reset windows that count under a window label."""
     total, day = SECONDS_PER_DAY // reset_sec, len(day_window_indices(reset_sec))
