@@ -244,8 +244,10 @@ def nagu_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ENTITIES = "html"
-for _entity, _plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+for _entity, _plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7")):
     _ENTITIES = f"replace({_ENTITIES}, '{_entity}', '{_plain}')"
+# Decoded last, so that what an ampersand starts is not decoded again; the semicolon may lack.
+_ENTITIES = f"regexp_replace({_ENTITIES}, '&amp;?', '&', 'g')"
 _TEXT = f"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_ENTITIES}, '<br\\s*/?>', chr(10), 'g'),
   '</?p[^>]*>', chr(10), 'g'), '<[^>]+>', '', 'g'), '\\n\\s*\\n+', chr(10) || chr(10), 'g'), '^[\\s\\x{{a0}}]+|[\\s\\x{{a0}}]+$', '', 'g')"""
 
@@ -311,9 +313,15 @@ def inventory_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- registry files ------------------------------------------------------------------
 
 
-def _file_texts(rows: DataFrame, file: Column, head: Column, row: Column) -> DataFrame:
-    """(file, value): one text per file, its header and then its rows."""
-    lines = rows.groupBy(file.alias("file"), head.alias("head")).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+ROWS_PER_FOLDER = 1_000
+
+
+def _file_texts(rows: DataFrame, key: Column, folder: str, file: Column, head: Column, row: Column) -> DataFrame:
+    """(file, value): one text per file, its header and then its rows. A folder takes a
+    bounded range of keys, so a larger table makes more files, not larger ones."""
+    part = F.floor(key / ROWS_PER_FOLDER).cast("string")
+    path = F.concat(F.lit(f"{folder}/"), part, F.lit("/"), file)
+    lines = rows.groupBy(path.alias("file"), head.alias("head")).agg(F.array_sort(F.collect_list(row)).alias("rows"))
     return lines.select("file", F.concat_ws("\n", "head", "rows").alias("value"))
 
 
@@ -338,7 +346,9 @@ def eval_period_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = nation % 2 == 1
     texts = _file_texts(
         table(spark, sf_dir, "supplier"),
-        F.concat(F.lit("/registry/fy"), (nation + 2000).cast("string"), F.when(nation == 24, "_perf").otherwise(""), F.lit("_1st_h.csv")),
+        key,
+        "/registry",
+        F.concat(F.lit("fy"), (nation + 2000).cast("string"), F.when(nation == 24, "_perf").otherwise(""), F.lit("_1st_h.csv")),
         F.when(odd, "netid,to,from,id").otherwise("\nid,from,to,nid"),
         F.when(odd, F.concat_ws(",", netid, end, start, station)).otherwise(F.concat_ws(",", station, start, end, netid)),
     )
@@ -354,17 +364,20 @@ def eval_period_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def station_grid_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file per year; odd years have another column order."""
+    """A file per year; odd years have another column order. Names hold commas and quotes."""
     key = F.col("c_custkey")
+    name = F.format_string('"Post ""%d"", %s"', key, F.col("c_mktsegment"))
     year, station = key % 5 + 2020, key.cast("string")
     netid = F.when(key % 4 == 0, "").otherwise(F.col("c_nationkey").cast("string"))
     inside = F.when(F.col("c_acctbal") > 0, "True").otherwise("False")
     odd = year % 2 == 1
     texts = _file_texts(
         table(spark, sf_dir, "customer"),
-        F.concat(F.lit("/grid/"), year.cast("string"), F.lit("/station_ng.csv")),
-        F.when(odd, "isinside,id,netid").otherwise("id,netid,isinside"),
-        F.when(odd, F.concat_ws(",", inside, station, netid)).otherwise(F.concat_ws(",", station, netid, inside)),
+        key,
+        "/grid",
+        F.concat(year.cast("string"), F.lit("/station_ng.csv")),
+        F.when(odd, "isinside,name,id,netid").otherwise("id,name,netid,isinside"),
+        F.when(odd, F.concat_ws(",", inside, name, station, netid)).otherwise(F.concat_ws(",", station, name, netid, inside)),
     )
     return registry.parse_station_ng(texts)
 
@@ -399,7 +412,9 @@ def network_info_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = [key.cast("string"), F.lit("4"), *[c for n in (1, 2, 3, 4) for c in slot(n)]]
     texts = _file_texts(
         table(spark, sf_dir, "part"),
-        F.concat(F.lit("/grid/network_"), (key % 100).cast("string"), F.lit(".csv")),
+        key,
+        "/grid",
+        F.concat(F.lit("network_"), (key % 100).cast("string"), F.lit(".csv")),
         F.when(key % 100 < 50, ",".join(names)).otherwise(",".join(reversed(names))),
         F.when(key % 100 < 50, F.concat_ws(",", *cells)).otherwise(F.concat_ws(",", *reversed(cells))),
     )

@@ -74,14 +74,31 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
+# Rows end at line feeds outside quotes; inside them two quotes stand for one.
+_ROW = r'(?:[^"\n]++|"(?:[^"]++|"")*+"|")++'
+_CELL = r',(?:[^\S\n]*"(?:[^"]++|"")*+"[^,]*|[^,]*)'
+
+
+def _cells(row: Column) -> Column:
+    """The cells of a delimited row, trimmed, without their quotes."""
+
+    def plain(cell: Column) -> Column:
+        text = F.trim(F.substring(cell, 2, 2**31 - 1))
+        inner = F.replace(F.regexp_extract(text, r'(?s)^"(.*)"[^"]*$', 1), F.lit('""'), F.lit('"'))
+        return F.when(text.startswith('"') & text.rlike(r'(?s)^".*"[^"]*$'), inner).otherwise(text)
+
+    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), row), F.lit(_CELL), F.lit(0)), plain)
+
+
 def _records(texts: DataFrame) -> DataFrame:
     """(file, head, cells) of every row of delimited texts (file, value). Files differ in
-    their columns, so each row keeps the header of its own file. Blank lines do not matter."""
-    clean = lambda c: F.regexp_replace(F.trim(c), '^"(.*)"$', "$1")
+    their columns, so each row keeps the header of its own file. Blank lines do not matter;
+    quoted cells may hold commas, quotes and line feeds."""
     plain = F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), "\r\n?", "\n")
-    filled = texts.select("file", F.filter(F.split(plain, "\n"), lambda line: F.trim(line) != "").alias("f"))
-    rows = filled.select("file", F.get("f", F.lit(0)).alias("head"), F.explode(F.slice("f", F.lit(2), F.size("f"))).alias("row"))
-    return rows.select("file", *[F.transform(F.split(c, ","), clean).alias(n) for c, n in (("head", "head"), ("row", "cells"))])
+    found = F.regexp_extract_all(plain, F.lit(_ROW), F.lit(0))
+    filled = texts.select("file", F.filter(found, lambda row: F.trim(row) != "").alias("f"))
+    rows = filled.select("file", _cells(F.get("f", F.lit(0))).alias("head"), F.explode(F.slice("f", F.lit(2), F.size("f"))).alias("row"))
+    return rows.select("file", "head", _cells(F.col("row")).alias("cells"))
 
 
 def _cell(name: str) -> Column:

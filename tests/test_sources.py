@@ -232,6 +232,15 @@ def test_registry_files(spark, tmp_path):
     assert registry.read_assignments(spark, str(tmp_path / "none.toml")).count() == 0
 
 
+def test_quoted_cells(spark):
+    body = 'id,name,netid,isinside\n0001,"Town, North",3,True\n0002,"a ""b"", c\nd",4,False\n0003, "x" ,"5",True\n0004,in"ch,6,True\n\n0005,"",,\n'
+    texts = spark.createDataFrame([("/grid/2024/station_ng.csv", body), ("/grid/2025/station_ng.csv", '"id","netid",isinside\n"0006",7,True')], "file string, value string")
+    got = {r.rinex_id: (r.year, r.netid, r.isinside) for r in registry.parse_station_ng(texts).collect()}
+    assert got == {"0001": (2024, 3, True), "0002": (2024, 4, False), "0003": (2024, 5, True), "0004": (2024, 6, True), "0005": (2024, None, False), "0006": (2025, 7, True)}
+    names = registry._records(texts).select(registry._cell("name").alias("n")).where("n IS NOT NULL").collect()
+    assert [r.n for r in names] == ["Town, North", 'a "b", c\nd', "x", 'in"ch', ""]
+
+
 def test_older_csv_layouts(spark, tmp_path):
     (tmp_path / "fy2021_1st_h.csv").write_text("\n\nid,from,to,nid\n0007,2021/04/01,2021/09/30,10\n ,x,y,1\n0008,,,nan\n")
     (tmp_path / "fy2021_2nd_h.csv").write_text("netid,id,to,from\n10.0,0007,2022-03-31,2021-10-01\n")
