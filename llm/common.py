@@ -27,7 +27,17 @@ def cut(df: DataFrame, what: str) -> DataFrame:
     columns, and lost executors don't cost a recomputation of what lies before."""
     path = shared_path(df.sparkSession, what)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `cut` wrote. Whatever was made of them must be written by now."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def tasks(spark: SparkSession) -> int:

@@ -1,5 +1,13 @@
-"""Fuzzy line dedup: SimHash of normalised lines, pigeonhole join, edit-similarity check,
-one occurrence kept per connected group."""
+"""Fuzzy line dedup: block-wise SimHash of normalised lines, pigeonhole join, edit-similarity
+check, one occurrence kept per connected group.
+
+A line's words are dealt to blocks by their hash, and every block is the SimHash of its own
+words. A changed word touches two blocks at most, so lines that differ in few words agree on
+whole blocks whatever the words are; a single SimHash of all words would scatter the change
+over all its bits. Blocks hold four to eight words in long lines; in shorter ones, keys are made
+of the blocks that are left when three or four of six are taken away, and in the shortest, of
+the words that are left when one or two are.
+"""
 
 from __future__ import annotations
 
@@ -10,20 +18,27 @@ from itertools import chain, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import cut, membership, tasks
+from llm.common import cut, discard, membership, tasks
 from llm.components import components
 from llm.unions import forest
 
-MIN_WORDS = 6
 # Shorter lines allow no edit at similarity 0.9: they are equal or they are not alike.
 MIN_CHARS = 10
-RADIUS = 3
 SIMILARITY = 0.9
 MEMBERS = 512
 HUBS = 8
+# Lists of a key up to this length are paired; longer ones are families, tied to hubs.
+LONG = 64
+FLUSH_LINES = 20_000
+PAIRS = 1 << 20
+BLOCKS = 6
+FEW_WORDS = range(3, 9)
+# (blocks in a key, fewest and most words of a line); a key holds three words at least.
+SHORT = ((3, 8, 12), (2, 11, 24))
+BITMAP_BITS = 1 << 23
 _GAP = re.compile(r"[^\w\n]+")
 
 
@@ -32,28 +47,111 @@ def normalise(text: str) -> list[str]:
     return [line.strip(" ") for line in _GAP.sub(" ", text.lower()).split("\n")]
 
 
-def line_hashes(lines: list[str]) -> np.ndarray:
-    """64-bit SimHash of each normalised line over its words, repeats included; a bit is 1
-    if set in over half of the words."""
-    out = np.zeros(len(lines), np.uint64)
-    split = [line.encode("utf-8", "surrogatepass").split(b" ") if line else [] for line in lines]
-    counts = np.fromiter(map(len, split), np.int64, len(split))
-    total = int(counts.sum())
-    if not total:
-        return out
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(split)), np.uint64, total)
-    starts = np.cumsum(counts) - counts
-    full = counts > 0
-    for i in range(0, 16):  # four 16-bit counters at a time
+def majorities(hashes: np.ndarray, slots: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit SimHash of the hashes in each of `size` slots, repeats included, and their
+    number; a bit is 1 if it is set in over half of them."""
+    counts = np.bincount(slots, minlength=size)
+    out = np.zeros(size, np.uint64)
+    full = np.flatnonzero(counts)
+    if not len(full):
+        return out, counts
+    hashes = hashes[np.argsort(slots, kind="stable")]
+    counts_full = counts[full]
+    starts = np.cumsum(counts_full) - counts_full
+    for i in range(16):  # four 16-bit counters at a time
         lanes = (hashes >> np.uint64(i)) & np.uint64(0x0001000100010001)
-        sums = np.add.reduceat(lanes, starts[full]) if counts.max() < 65536 else None
+        sums = np.add.reduceat(lanes, starts) if counts_full.max() < 65536 else None
         for k in range(4):
             if sums is None:
-                ones = np.add.reduceat((lanes >> np.uint64(16 * k)) & np.uint64(1), starts[full]).astype(np.int64)
+                ones = np.add.reduceat((lanes >> np.uint64(16 * k)) & np.uint64(1), starts).astype(np.int64)
             else:
                 ones = ((sums >> np.uint64(16 * k)) & np.uint64(0xFFFF)).astype(np.int64)
-            out[full] |= (ones * 2 > counts[full]).astype(np.uint64) << np.uint64(16 * k + i)
-    return out
+            out[full] |= (ones * 2 > counts_full).astype(np.uint64) << np.uint64(16 * k + i)
+    return out, counts
+
+
+def _mix(key: np.ndarray | int, value: np.ndarray) -> np.ndarray:
+    """Another 64-bit hash from a key and a value."""
+    x = np.asarray(key, np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ value
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def block_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of the pigeonhole keys of normalised lines, in order of the line."""
+    split = [line.encode("utf-8", "surrogatepass").split(b" ") if line else [] for line in lines]
+    counts = np.fromiter(map(len, split), np.int64, len(split))
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(split)), np.uint64, int(counts.sum()))
+    owner = np.repeat(np.arange(len(lines)), counts)
+    owners, keys = [], []
+
+    def prints(chosen: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+        place = np.full(len(lines), -1)
+        place[chosen] = np.arange(len(chosen))
+        words = place[owner] >= 0
+        slots = place[owner[words]] * blocks + ((hashes[words] >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
+        fps, n = majorities(hashes[words], slots, len(chosen) * blocks)
+        return fps.reshape(-1, blocks), n.reshape(-1, blocks)
+
+    tiny = np.flatnonzero((counts > 0) & (counts <= 3)).tolist()
+    for k in tiny:
+        # One edit leaves the first or the last half as it is, in lengths that it can lead to.
+        line = lines[k].encode("utf-32-le", "surrogatepass")
+        for length in (len(lines[k]) - 1, len(lines[k]), len(lines[k]) + 1):
+            half = 4 * (length // 2)
+            owners.append(np.full(2, k))
+            keys.append(np.array([xxhash.xxh64_intdigest(part, seed) for part, seed in ((line[:half], length), (line[len(line) - half :], ~length & 0xFFFF_FFFF))], np.uint64))
+    starts = np.cumsum(counts) - counts
+    for few in FEW_WORDS:
+        chosen = np.flatnonzero(counts == few)
+        words = hashes[starts[chosen][:, None] + np.arange(few)]
+        for gone in chain.from_iterable(combinations(range(few), n) for n in range(3)):
+            left = np.delete(words, gone, axis=1)
+            fps, _ = majorities(left.ravel(), np.repeat(np.arange(len(chosen)), left.shape[1]), len(chosen))
+            owners.append(chosen)
+            keys.append(_mix(few - len(gone), fps))
+    for kind, (taken, least, most) in enumerate(SHORT):
+        chosen = np.flatnonzero((counts >= least) & (counts <= most))
+        if not len(chosen):
+            continue
+        fps, n = prints(chosen, BLOCKS)
+        for number, blocks in enumerate(combinations(range(BLOCKS), taken)):
+            good = n[:, list(blocks)].sum(axis=1) >= 3
+            key = np.full(len(chosen), 1000 * (kind + 1) + number, np.uint64)
+            for b in blocks:
+                key = _mix(key, fps[:, b])
+            owners.append(chosen[good])
+            keys.append(key[good])
+    top = int(counts.max(initial=0))
+    for level in range(2, max(2, top.bit_length())):
+        # Near the limits of a level a line has the keys of both sides.
+        blocks = 1 << level
+        chosen = np.flatnonzero((counts >= 3.6 * blocks) & (counts < 8.8 * blocks))
+        if not len(chosen):
+            continue
+        fps, n = prints(chosen, blocks)
+        key = _mix(np.arange(blocks, dtype=np.uint64) + np.uint64(10_000 * level), fps)
+        words = n.copy()
+        for step in range(1, blocks):
+            few = words < 3
+            if not few.any():
+                break
+            key[few] = _mix(key[few], np.roll(fps, -step, axis=1)[few])
+            words[few] += np.roll(n, -step, axis=1)[few]
+        owners.append(np.repeat(chosen, blocks))
+        keys.append(key.ravel())
+    if not owners:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at, flat = np.concatenate(owners), np.concatenate(keys).view(np.int64)
+    order = np.argsort(at, kind="stable")
+    return at[order], flat[order]
+
+
+def keys_due(words: np.ndarray) -> np.ndarray:
+    """Common keys that make two lines of so many words a pair worth checking: lines of 64
+    words have eight blocks and more, of which near copies share several."""
+    return np.where(words >= 64, 2, 1)
 
 
 def within(a: str, b: str, most: int) -> bool:
@@ -106,175 +204,174 @@ def similar(a: str, b: str, least: float) -> bool:
     return within(a, b, int((1 - least) * max(len(a), len(b)) + 1e-9))
 
 
-def _keyed_lines(docs: DataFrame, min_words: int, min_chars: int | None) -> DataFrame:
-    """(doc_id, line_no, key, fp) of every line of at least `min_words` words; `key` is the
-    128-bit hash of the normalised line. With `min_chars`, of every line that is not empty;
-    `fp` is null for shorter ones."""
+def _digest(line: str) -> bytes:
+    return xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
+
+
+def _handles(digests: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(digests), np.int64)[::2]
+
+
+def _keyed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
+    """(doc_id, line_no, key, handle, size, blocks) of every line that is not empty: `key` is
+    the 128-bit hash of the normalised line, `handle` its first half, `size` its characters
+    and words. `blocks` are the pigeonhole keys, at one of the line's occurrences in a batch
+    at least; null for lines under `min_chars`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, numbers, kept = [], [], []
             for k, text in enumerate(batch.column(1)):
                 for number, line in enumerate(normalise(text.as_py() or "")):
-                    if line and (min_chars is not None or line.count(" ") + 1 >= min_words):
+                    if line:
                         ids.append(k)
                         numbers.append(number)
                         kept.append(line)
-                if len(kept) > 20_000 or k + 1 == batch.num_rows:
+                if len(kept) > FLUSH_LINES or k + 1 == batch.num_rows:
+                    digests = [_digest(x) for x in kept]
+                    handles = _handles(digests)
+                    first = np.zeros(len(kept), bool)
+                    first[np.unique(handles, return_index=True)[1]] = True
+                    keyed = [n for n in np.flatnonzero(first).tolist() if len(kept[n]) >= min_chars]
+                    at, keys = block_keys([kept[n] for n in keyed])
+                    counts = np.zeros(len(kept), np.int64)
+                    counts[keyed] = np.bincount(at, minlength=len(keyed))
+                    offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), mask=np.append(counts == 0, False))
+                    sizes = [len(x) << 32 | x.count(" ") + 1 for x in kept]
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).take(pa.array(ids, pa.int64())),
                             pa.array(numbers, pa.int64()),
-                            pa.array([xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in kept], pa.binary()),
-                            pa.array(line_hashes(kept).view(np.int64), mask=np.fromiter((len(x) < (min_chars or 0) for x in kept), bool, len(kept))),
+                            pa.array(digests, pa.binary()),
+                            pa.array(handles),
+                            pa.array(sizes, pa.int64()),
+                            pa.ListArray.from_arrays(offsets, pa.array(keys)),
                         ],
-                        names=["doc_id", "line_no", "key", "fp"],
+                        names=["doc_id", "line_no", "key", "handle", "size", "blocks"],
                     )
                     ids, numbers, kept = [], [], []
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, line_no long, key binary, fp long")
-
-
-def block_keys(radius: int, lines: int) -> list[list[tuple[int, int]]]:
-    """Bit ranges (start, width) of each pigeonhole key: with more blocks than `radius`, two
-    fingerprints within the radius agree on some choice of the untouched blocks. More lines
-    take more blocks and so longer keys, about 250 fingerprints or fewer to a key."""
-    blocks = radius + 1
-    while (blocks - radius) * (64 // blocks) < np.log2(max(lines, 1) / 250) and blocks < radius + 4:
-        blocks += 1
-    edges = [64 * k // blocks for k in range(blocks + 1)]
-    ranges = [(edges[k], edges[k + 1] - edges[k]) for k in range(blocks)]
-    return [list(c) for c in combinations(ranges, blocks - radius)]
-
-
-def _key_columns(choices: list[list[tuple[int, int]]]) -> Column:
-    keys = []
-    for number, choice in enumerate(choices):
-        bits = F.array(*[F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1)) for s, w in choice])
-        keys.append(F.xxhash64(F.lit(number), bits))
-    return F.array(*keys)
+    fields = "doc_id long, line_no long, key binary, handle long, size long, blocks array<long>"
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, fields)
 
 
 def _runs(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
 
 
-def _block_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning forest of the fingerprints within `radius` bits of each other."""
-    n = len(fps)
-    step = max(1, 65536 // n)
-    a, b = [], []
-    for i in range(0, n, step):
-        x, y = np.nonzero(np.bitwise_count(fps[i : i + step, None] ^ fps[None, i:]) <= radius)
-        x, y = x + i, y + i
-        a.append(x[x < y])
-        b.append(y[x < y])
-        if sum(map(len, a)) > 4 * n + 100_000:
-            root = forest(np.concatenate(a), np.concatenate(b), n)
-            moved = np.flatnonzero(root != np.arange(n))
-            a, b = [root[moved]], [moved]
-    return np.concatenate(a), np.concatenate(b)
-
-
-def fingerprint_links(fps: DataFrame, radius: int, most: int = 20_000) -> DataFrame:
-    """Links (a, b) between distinct fingerprints that share a pigeonhole key and are within
-    `radius` bits; a key's links are reduced to a spanning forest.
-
-    A key with over `most` fingerprints is split into parts, and every pair of its parts is
-    compared in a task of its own."""
-    n = fps.count()
-    keyed = fps.select("fp", F.explode(_key_columns(block_keys(radius, n))).alias("key"))
-    spark = fps.sparkSession
+def _pair_lists(block: np.ndarray, handle: np.ndarray, size: np.ndarray, slack: float) -> Iterator[list[np.ndarray]]:
+    """[a, b, due] of the pairs in the lists of equal `block` whose lengths allow a link."""
+    starts = _runs(block)
+    lengths = np.diff(np.append(starts, len(block)))
+    for k in np.unique(lengths[lengths > 1]).tolist():
+        firsts = starts[lengths == k]
+        i, j = np.triu_indices(k, 1)
+        step = max(1, PAIRS // len(i))
+        for f in range(0, len(firsts), step):
+            x, y = ((firsts[f : f + step, None] + side).ravel() for side in (i, j))
+            long, short = np.maximum(size[x] >> 32, size[y] >> 32), np.minimum(size[x] >> 32, size[y] >> 32)
+            fit = long - short <= slack * long + 1e-9
+            x, y = x[fit], y[fit]
+            if len(x):
+                words = [size[z] & 0xFFFF_FFFF for z in (x, y)]
+                yield [handle[x], handle[y], np.minimum(*map(keys_due, words))]
+
+
+def _candidates(keyed: DataFrame, least: float) -> DataFrame:
+    """Pairs of handles (a, b, shared, due) by lists of a pigeonhole key of up to LONG lines;
+    of longer lists the rows themselves, with b null: a, and the key and size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(keys: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
-            starts = _runs(keys)
-            ends = np.append(starts[1:], len(keys))
-            out_a, out_b, over = [], [], []
-            for s, e in zip(starts[ends - starts > 1], ends[ends - starts > 1]):
-                if e - s > most:
-                    over.append(np.arange(s, e))
-                    continue
-                x, y = _block_links(values[s:e], radius)
-                out_a.append(values[s:e][x])
-                out_b.append(values[s:e][y])
-            a, b = (np.concatenate(v) if v else np.zeros(0, np.uint64) for v in (out_a, out_b))
-            late = np.concatenate(over) if over else np.zeros(0, np.int64)
-            flag = np.concatenate([np.zeros(len(a), bool), np.ones(len(late), bool)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([a, values[late]]).view(np.int64)), pa.array(np.concatenate([b.view(np.int64), keys[late]])), pa.array(flag)], names=["a", "b", "over"]
-            )
-
-        keys, values = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        names = ["a", "b", "shared", "due", "block", "size"]
+
+        def paired(found: list[list[np.ndarray]]) -> pa.RecordBatch:
+            a, b, due = (np.concatenate(c) for c in zip(*found))
+            order = np.lexsort((b, a))
+            a, b, due = a[order], b[order], due[order]
+            new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+            empty = pa.nulls(len(new), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.array(np.diff(np.append(new, len(a)))), pa.array(due[new].astype(np.int64)), empty, empty], names=names)
+
+        def family(block: np.ndarray, handle: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+            empty = pa.nulls(len(block), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(handle), empty, empty, empty, pa.array(block), pa.array(size)], names=names)
+
+        held = [np.zeros(0, np.int64)] * 3
+        out, n, open_family = [], 0, None
         for batch in batches:
-            keys = np.concatenate([keys, batch.column(0).to_numpy()])
-            values = np.concatenate([values, batch.column(1).to_numpy().view(np.uint64)])
-            if len(keys) < 100_000:
+            held = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns)]
+            # A line comes once for each batch of lines that holds it.
+            new = np.ones(len(held[0]), bool)
+            new[1:] = (held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1])
+            held = [h[new] for h in held]
+            if not len(held[0]):
                 continue
-            last = int(_runs(keys)[-1])
-            if last:
-                yield from emit(keys[:last], values[:last])
-                keys, values = keys[last:], values[last:]
-        if len(keys):
-            yield from emit(keys, values)
-
-    first = cut(
-        keyed.repartition(tasks(spark), "key").sortWithinPartitions("key").select("key", "fp").mapInArrow(run, "a long, b long, over boolean"),
-        "blocks",
-    )
-    links = first.filter("not over").select("a", "b")
-    over = first.filter("over").select(F.col("b").alias("key"), F.col("a").alias("fp"))
-    if over.isEmpty():
-        return links
-    half = most // 2
-    parts = over.groupBy("key").agg(F.ceil(F.count("*") / half).cast("int").alias("parts"))
-    dealt = over.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("fp", F.lit(7)), F.col("parts")).cast("int"))
-    paired = dealt.select(
-        "fp", F.explode(F.expr("transform(sequence(0, parts - 1), x -> xxhash64(key, least(x, part), greatest(x, part)))")).alias("key")
-    )
-    return links.union(_split_links(paired, radius))
-
-
-def _split_links(paired: DataFrame, radius: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(values: np.ndarray) -> pa.RecordBatch:
-            x, y = _block_links(values, radius)
-            return pa.RecordBatch.from_arrays([pa.array(values[x].view(np.int64)), pa.array(values[y].view(np.int64))], names=["a", "b"])
-
-        key, held = None, np.zeros(0, np.uint64)
+            starts = _runs(held[0])
+            lengths = np.diff(np.append(starts, len(held[0])))
+            big = lengths > LONG
+            if open_family is not None:
+                big |= held[0][starts] == open_family
+            rows = np.repeat(big, lengths)
+            # The last list may go on in the next batch; a family need not wait for its end.
+            ready = (np.arange(len(rows)) < starts[-1]) | rows
+            open_family = held[0][-1] if big[-1] else None
+            if rows.any():
+                yield family(*(h[rows] for h in held))
+            short = ready & ~rows
+            for found in _pair_lists(*(h[short] for h in held), 1 - least) if short.any() else ():
+                out.append(found)
+                n += len(found[0])
+                if n >= PAIRS:
+                    yield paired(out)
+                    out, n = [], 0
+            held = [h[~ready] for h in held]
+        if len(held[0]):
+            out += _pair_lists(*held, 1 - least)
+        if out:
+            yield paired(out)
+
+    spread = keyed.filter("blocks is not null").select(F.explode("blocks").alias("block"), "handle", "size")
+    spread = spread.repartition(tasks(keyed.sparkSession), "block").sortWithinPartitions("block", "handle")
+    return spread.mapInArrow(run, "a long, b long, shared long, due long, block long, size long")
+
+
+def _slots(handles: np.ndarray) -> np.ndarray:
+    return (_mix(1, handles.view(np.uint64)) % np.uint64(BITMAP_BITS)).astype(np.int64)
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(handle, key, line) of the lines whose handle is `wanted`, once each. A bitmap of fixed
+    size, gathered as at most BITMAP_BITS / 64 words, keeps most other lines in their task."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(BITMAP_BITS, bool)
         for batch in batches:
-            keys, values = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
-            starts = _runs(keys) if len(keys) else []
-            for s, e in zip(starts, [*starts[1:], len(keys)]):
-                if keys[s] != key:
-                    if len(held) > 1:
-                        yield emit(held)
-                    key, held = keys[s], np.zeros(0, np.uint64)
-                held = np.concatenate([held, values[s:e]])
-        if len(held) > 1:
-            yield emit(held)
-
-    n = tasks(paired.sparkSession)
-    return paired.repartition(n, "key").sortWithinPartitions("key").select("key", "fp").mapInArrow(run, "a long, b long")
-
-
-def _texts(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFrame:
-    """(key, line) of the wanted (doc_id, line_no, key): only documents that may hold one
-    are read again in full and shuffled."""
-    per_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "key")).alias("wanted"))
-    near = membership(docs.select("doc_id", "text"), "doc_id", per_doc.select("doc_id")).filter("maybe").select("doc_id", "text")
-    joined = near.join(per_doc, "doc_id").select("text", "wanted.line_no", "wanted.key")
+            bits[_slots(batch.column(0).to_numpy())] = True
+        words = np.packbits(bits, bitorder="little").view(np.int64)
+        at = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at])], names=["word", "bits"])
+
+    rows = wanted.mapInArrow(mark, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(BITMAP_BITS // 64, np.int64)
+    words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    bitmap = np.packbits(np.unpackbits(words.view(np.uint8), bitorder="little"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(bitmap).view(bool)
         for batch in batches:
-            for text, numbers, keys in zip(batch.column(0), batch.column(1), batch.column(2)):
-                lines = normalise(text.as_py() or "")
-                # A doc_id may repeat with another text: the key says whose line it is.
-                found = {k: lines[n] for n, k in zip(numbers.as_py(), keys.as_py()) if n < len(lines)}
-                found = {k: v for k, v in found.items() if xxhash.xxh3_128_digest(v.encode("utf-8", "surrogatepass")) == k}
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.string())], names=["key", "line"])
+            held: list[str] = []
+            for k, text in enumerate(batch.column(0)):
+                held += [line for line in normalise(text.as_py() or "") if line]
+                if len(held) > FLUSH_LINES or k + 1 == batch.num_rows:
+                    held = list(dict.fromkeys(held))
+                    digests = [_digest(x) for x in held]
+                    handles = _handles(digests)
+                    at = np.flatnonzero(bits[_slots(handles)])
+                    yield pa.RecordBatch.from_arrays([pa.array(handles[at]), pa.array([digests[i] for i in at], pa.binary()), pa.array([held[i] for i in at], pa.string())], names=["handle", "key", "line"])
+                    held = []
 
-    return joined.mapInArrow(run, "key binary, line string").dropDuplicates(["key"])
+    lines = docs.select(F.col("text").cast("string")).mapInArrow(run, "handle long, key binary, line string")
+    return lines.join(wanted, "handle").dropDuplicates(["key"])
 
 
 def matrix(fps: list) -> np.ndarray:
@@ -394,29 +491,61 @@ def verified(members: DataFrame, radius: int, alike: Callable) -> DataFrame:
     return links.union(_by_group(spread, ["key", "fp", "line", "stray"], settle, pair, "a binary, b binary"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, radius: int = RADIUS, least: float = SIMILARITY, min_chars: int | None = None) -> DataFrame:
+def _families(rows: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links inside the lists of over LONG lines: lines of a list meet only those of nearly
+    the same length, in groups that `verified` ties to hubs."""
+    base = F.log(F.shiftrightunsigned("size", 32).cast("double")) / float(-np.log(least))
+    # Lengths that allow a link lie in the same step or in the next one.
+    steps = F.array(F.floor(base), F.floor(base) + 1)
+    grouped = rows.select(F.col("a").alias("handle"), "block", F.explode(steps).alias("step"))
+    members = grouped.select("handle", F.xxhash64("block", "step").alias("group")).distinct().join(texts, "handle")
+    return verified(members.select("group", "key", F.lit(0).cast("long").alias("fp"), "line"), 0, lambda a, b: similar(a, b, least))
+
+
+def _links(docs: DataFrame, keyed: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) of the keys of lines that differ and are alike."""
+    found = cut(_candidates(keyed, least), "line-candidates")
+    pairs = found.filter("b is not null").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("due").alias("due")).filter("shared >= due").select("a", "b")
+    pairs = cut(pairs, "line-pairs")
+    rows = found.filter("b is null").select("a", "block", "size")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("handle")).unionByName(rows.select(F.col("a").alias("handle"))).distinct()
+    ends = cut(ends, "line-ends")
+    texts = cut(_texts(docs, ends), "line-texts")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
+            good = pa.array([similar(a, b, least) for a, b in zip(left, right)], pa.bool_())
+            yield batch.select(["a", "b"]).filter(good)
+
+    left, right = (texts.select(F.col("handle").alias(h), F.col("key").alias(k), F.col("line").alias(t)) for h, k, t in (("ha", "a", "left"), ("hb", "b", "right")))
+    both = pairs.select(F.col("a").alias("ha"), F.col("b").alias("hb")).join(left, "ha").join(right, "hb")
+    links = both.select("a", "b", "left", "right").mapInArrow(check, "a binary, b binary")
+    if not rows.isEmpty():
+        links = links.unionByName(_families(rows, texts, least))
+    links = cut(links, "verified")
+    discard(found, pairs, ends, texts)
+    return links
+
+
+def dedup_lines(docs: DataFrame, least: float = SIMILARITY, min_chars: int = MIN_CHARS) -> DataFrame:
     """`docs` with repeated lines taken out of `text`, plus n_lines and n_removed.
 
-    Lines are split at line feeds and normalised (lower case, words only). Lines of fewer
-    than `min_words` words always stay; with `min_chars`, words don't count: only empty lines
-    always stay, and lines of fewer characters link only when equal. Two lines link when they
-    are equal after normalisation, or when their SimHashes differ in at most `radius` bits and 1 - edit
+    Lines are split at line feeds and normalised (lower case, words only). Empty lines always
+    stay, and lines under `min_chars` characters link only when equal. Other lines link when
+    they are equal after normalisation, or when they share pigeonhole keys and 1 - edit
     distance / longer length is at least `least`. Of each connected group the occurrence
     with the smallest (doc_id, line number) stays and all others go, in the same document
     too. Null text stays null with 0 lines; an empty text has one (empty) line, which stays.
     Rows without a doc_id keep every line. If a doc_id repeats, its rows lose the same line
-    numbers. Other columns pass through.
+    numbers. Other columns pass through, whatever their names; n_lines and n_removed are
+    replaced.
     """
-    keyed = cut(_keyed_lines(docs.filter("doc_id is not null"), min_words, min_chars), "lines")
+    held = docs.select("doc_id", "text").filter("doc_id is not null")
+    keyed = cut(_keyed_lines(held, min_chars), "lines")
+    roots = components(_links(held, keyed, least))
     place = F.struct("doc_id", "line_no")
-    unique = cut(keyed.groupBy("key", "fp").agg(F.min(place).alias("first"), F.count("*").alias("n")), "line-keys")
-    by_fp = unique.filter("fp is not null").groupBy("fp").agg(F.count("*").alias("n"))
-    groups = components(cut(fingerprint_links(by_fp.select("fp"), radius), "line-links")).withColumnRenamed("node", "fp").withColumnRenamed("root", "group")
-    alike = groups.unionByName(by_fp.filter("n > 1").select("fp", F.col("fp").alias("group")).join(groups.select("fp"), "fp", "left_anti"))
-    members = cut(unique.join(alike, "fp").select("key", "fp", "group", "first"), "members")
-    texts = _texts(docs, members.select("first.doc_id", "first.line_no", "key"), min_words)
-    spelled = cut(members.join(texts, "key").select("group", "key", "fp", "line"), "spelled")
-    roots = components(cut(verified(spelled, radius, lambda a, b: similar(a, b, least)), "verified"))
+    unique = cut(keyed.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("n")), "line-keys")
     grouped = unique.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "n", "first", F.coalesce("root", "key").alias("root"), F.col("root").isNotNull().alias("linked"))
     alone = grouped.filter("not linked and n > 1").select("key", F.col("first").alias("kept"))
     linked = cut(grouped.filter("linked"), "linked")
@@ -426,15 +555,21 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, radius: int = RADIU
         keyed.join(repeated, "key")
         .filter((F.col("doc_id") != F.col("kept.doc_id")) | (F.col("line_no") != F.col("kept.line_no")))
         .groupBy("doc_id")
-        .agg(F.collect_set("line_no").alias("_lines")),
+        .agg(F.collect_set("line_no").alias("lines")),
         "removed",
     )
-    marked = membership(docs, "doc_id", removed.select("doc_id"))
+    discard(keyed, unique, linked)
+    # The other columns wait in one struct, so that no name of theirs can clash.
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = membership(docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), rest.alias("rest")), "doc_id", removed.select("doc_id"))
     lines = F.split("text", "\n", -1)
     count = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
-    whole = marked.filter("not maybe").drop("maybe").withColumns({"n_lines": count, "n_removed": F.lit(0)})
-    some = marked.filter("maybe").drop("maybe").join(removed, "doc_id", "left")
-    cleaned = F.expr("array_join(filter(split(text, '\\n', -1), (x, i) -> not array_contains(_lines, cast(i as bigint))), '\\n')")
-    gone = F.expr("size(filter(_lines, n -> n < size(split(text, '\\n', -1))))")
-    some = some.withColumns({"n_lines": count, "n_removed": F.when(F.col("_lines").isNull() | F.col("text").isNull(), 0).otherwise(gone), "text": F.when(F.col("_lines").isNull(), F.col("text")).otherwise(cleaned)})
-    return whole.unionByName(some.select(*whole.columns))
+    whole = marked.filter("not maybe").select("rest", "text", count.alias("n_lines"), F.lit(0).alias("n_removed"))
+    some = marked.filter("maybe").join(removed, "doc_id", "left")
+    cleaned = F.expr("array_join(filter(split(text, '\\n', -1), (x, i) -> not array_contains(lines, cast(i as bigint))), '\\n')")
+    gone = F.expr("size(filter(lines, n -> n < size(split(text, '\\n', -1))))")
+    untouched = F.col("lines").isNull() | F.col("text").isNull()
+    some = some.select("rest", F.when(untouched, F.col("text")).otherwise(cleaned).alias("text"), count.alias("n_lines"), F.when(untouched, 0).otherwise(gone).alias("n_removed"))
+    done = whole.unionByName(some)
+    columns = [F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return done.select(*columns, "n_lines", "n_removed")

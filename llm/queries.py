@@ -57,7 +57,7 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lines.dedup_lines(docs, min_chars=lines.MIN_CHARS).select("doc_id", "n_lines", "n_removed", "text")
+    return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
