@@ -84,6 +84,14 @@ def block_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     counts = np.fromiter(map(len, split), np.int64, len(split))
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(split)), np.uint64, int(counts.sum()))
     owner = np.repeat(np.arange(len(lines)), counts)
+    # The second time a word comes it is another feature, so no frequent word outvotes a block.
+    order = np.lexsort((hashes, owner))
+    new = np.ones(len(order), bool)
+    new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+    first = np.flatnonzero(new)
+    time = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+    again = order[time > 0]
+    hashes[again] = _mix(time[time > 0], hashes[again])
     owners, keys = [], []
 
     def prints(chosen: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
