@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice
 from operator import eq
 from typing import NamedTuple
@@ -20,6 +21,7 @@ MAX_TRAINING_ROWS = 10_000
 LEAST_ROWS = 5
 LEAST_EVIDENCE = 3.0
 CACHED_TOKENS = 150_000
+STEM = 4
 _LETTERS = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1+", re.DOTALL)
 
@@ -28,13 +30,18 @@ def _slot(kind: str, name: str) -> int:
     return zlib.crc32((kind + name).encode("utf-8", "surrogatepass")) % SLOTS
 
 
+def _word_slots(word: str) -> tuple[int, ...]:
+    """The word and, in a longer one, its stem: forms too rare to be known share it."""
+    return (_slot("w", word), _slot("p", word[:STEM])) if len(word) > STEM else (_slot("w", word),)
+
+
 class _Tokens(dict):
     """Token -> (slot of its shape, slots of its lower-cased words); bounded. The shape has
     upper-case letters as A, others as a, digits as 0, and runs merged."""
 
     def __missing__(self, token: str) -> tuple[int, tuple[int, ...]]:
         if token.isalpha() and (token.islower() or token.istitle() and len(token) > 1):
-            found = _LOWER if token.islower() else _TITLE, (_slot("w", token.lower()),)
+            found = _LOWER if token.islower() else _TITLE, _word_slots(token.lower())
         else:
             found = self._other(token)
         if len(self) < CACHED_TOKENS:
@@ -42,8 +49,8 @@ class _Tokens(dict):
         return found
 
     def _other(self, token: str) -> tuple[int, tuple[int, ...]]:
-        marks = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token[:64])
-        return _slot("s", _RUN.sub(r"\1", marks)), tuple(_slot("w", w) for w in _LETTERS.findall(token.lower()))
+        marks = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token)
+        return _slot("s", _RUN.sub(r"\1", marks)), tuple(s for w in _LETTERS.findall(token.lower()) for s in _word_slots(w))
 
 
 _LOWER, _TITLE = _slot("s", "a"), _slot("s", "Aa")
@@ -51,7 +58,7 @@ _TOKENS = _Tokens()
 
 
 def features(text: str) -> dict[int, float]:
-    """Hashed features of a whole text: words it has (1 each), the share of each word shape,
+    """Hashed features of a whole text: words and stems it has (1 each), the share of each word shape,
     of words equal to the one before, and of different words among all (square roots)."""
     tokens = text.split()
     if not tokens:
@@ -99,24 +106,30 @@ class Model(NamedTuple):
         return 1 / (1 + np.exp(np.clip(self.thresholds - score, -50, 50)))
 
 
-def fit(slots: np.ndarray, values: np.ndarray, sizes: np.ndarray, grades: np.ndarray, levels: int, rounds: int = 300, ridge: float = 0.1) -> Model:
+def fit(
+    slots: np.ndarray, values: np.ndarray, sizes: np.ndarray, grades: np.ndarray, levels: int, rounds: int = 300, ridge: float = 0.1, population: np.ndarray | None = None
+) -> Model:
     """Penalised maximum likelihood by Adam; row k has the next sizes[k] slots and values.
-    Thresholds are a first value and
-    positive steps, so they stay ordered."""
+    `population` is the number of rows of each grade that the sample stands for; rows are
+    weighed so that grades count as there. Thresholds are a first value and positive steps,
+    so they stay ordered."""
     rows = len(sizes)
     row = np.repeat(np.arange(rows, dtype=np.int32), sizes)
     kept = _telling(slots, values, grades[row] if rows else grades, grades)[slots]
     slots, values, row = slots[kept], values[kept], row[kept]
     n = max(rows, 1)
-    below = np.array([np.mean(grades <= k) if len(grades) else 0.5 for k in range(levels - 1)]).clip(0.5 / n, 1 - 0.5 / n)
+    taken = np.bincount(grades, minlength=levels) if len(grades) else np.ones(levels)
+    share = taken / taken.sum() if population is None else population / population.sum()
+    weight = (share / np.maximum(taken, 1) * n)[grades] if len(grades) else np.zeros(0)
+    below = np.cumsum(share)[:-1].clip(0.5 / n, 1 - 0.5 / n) if len(grades) else np.full(levels - 1, 0.5)
     start = np.log(below / (1 - below))
     steps = np.log(np.maximum(np.diff(start), 1e-2))
     theta = np.concatenate([np.zeros(SLOTS), [start[0]], steps])
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
     # Rare grades count as much as half of their even share would.
-    share = np.bincount(grades, minlength=levels) / n if len(grades) else np.ones(levels)
     cost = (1 / np.maximum(share, 1 / n)) ** 0.5
-    cost = cost[grades] / cost[grades].mean() if len(grades) else np.zeros(0)
+    cost = weight * cost[grades]
+    cost = cost / max(cost.mean(), 1e-12) if len(grades) else cost
     for t in range(1, rounds + 1 if rows else 1):
         w = theta[:SLOTS]
         cuts = np.concatenate([[-np.inf], theta[SLOTS] + np.concatenate([[0], np.cumsum(np.exp(theta[SLOTS + 1 :]))]), [np.inf]])
@@ -145,11 +158,27 @@ def grade(quality: Column, toxic: Column) -> Column:
     return F.when(quality.isNull(), None).when(quality == 0, 0).when(F.coalesce(toxic, F.lit(0)) == 1, 1).otherwise(2)
 
 
+def _sample(ratings: DataFrame, levels: int, most: int) -> tuple[DataFrame, np.ndarray]:
+    """At most `most` rated (doc_id, grade), those of each grade whose hashed ids come first,
+    and the number of rated rows of each grade. Grades share the bound evenly; what a rare
+    one leaves goes to the others."""
+    rated = ratings.filter(f"doc_id is not null and grade between 0 and {levels - 1}").groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
+    population = np.zeros(levels)
+    for r in rated.groupBy("grade").count().collect():
+        population[r["grade"]] = r["count"]
+    left, parts = most, []
+    for nth, g in enumerate(np.argsort(population, kind="stable").tolist()):
+        quota = int(min(population[g], left // (levels - nth)))
+        left -= quota
+        parts.append(rated.filter(F.col("grade") == g).orderBy(F.xxhash64("doc_id"), "doc_id").limit(quota))
+    return reduce(DataFrame.unionByName, parts), population
+
+
 def train(docs: DataFrame, ratings: DataFrame, levels: int = 3, most: int = MAX_TRAINING_ROWS) -> Model:
-    """Fit on at most `most` rated documents (ratings: doc_id, grade), those whose hashed ids
-    come first. Only their features reach the driver, and their number bounds it."""
-    rated = ratings.filter(f"grade between 0 and {levels - 1}").groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
-    chosen = rated.filter("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    """Fit on at most `most` rated documents (ratings: doc_id, grade), as many of each grade as
+    there is room for. One task fits the model on their features, whose number bounds it;
+    only weights reach the driver."""
+    chosen, population = _sample(ratings, levels, most)
     sample = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,12 +189,29 @@ def train(docs: DataFrame, ratings: DataFrame, levels: int = 3, most: int = MAX_
                 names=["doc_id", "slots", "shares", "grade"],
             )
 
-    got = sample.select("doc_id", "text", "grade").mapInArrow(run, "doc_id long, slots array<int>, shares array<float>, grade int")
-    # A repeated doc_id would exceed the bound: the first `most` rows in a fixed order are used.
-    rows = got.orderBy("doc_id", F.xxhash64("slots")).limit(most).toArrow()
-    slots, shares = (rows.column(c).combine_chunks() for c in ("slots", "shares"))
-    sizes = slots.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    return fit(slots.flatten().to_numpy(), shares.flatten().to_numpy(), sizes, rows.column("grade").to_numpy().astype(np.int64), levels)
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots, shares, sizes, grades, rows = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        for batch in batches:
+            # A repeated doc_id would exceed the bound: the first rows in order are used.
+            batch = batch.slice(0, most - rows)
+            rows += batch.num_rows
+            slots.append(batch.column(0).flatten().to_numpy())
+            shares.append(batch.column(1).flatten().to_numpy())
+            sizes.append(batch.column(0).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+            grades.append(batch.column(2).to_numpy().astype(np.int64))
+        model = fit(*map(np.concatenate, (slots, shares, sizes, grades)), levels, population=population if population.any() else None)
+        at = np.flatnonzero(model.weights)
+        values = np.concatenate([model.weights[at], model.thresholds])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([at, SLOTS + np.arange(levels - 1)])), pa.array(values)], names=["at", "value"])
+
+    rows = sample.select("doc_id", "text", "grade").mapInArrow(run, "doc_id long, slots array<int>, shares array<float>, grade int")
+    ordered = rows.repartition(1).sortWithinPartitions("doc_id", F.xxhash64("slots")).select("slots", "shares", "grade")
+    got = ordered.mapInArrow(learn, "at long, value double").toArrow()
+    theta = np.zeros(SLOTS + levels - 1)
+    theta[got.column("at").to_numpy()] = got.column("value").to_numpy()
+    if not got.num_rows:
+        return fit(*(np.zeros(0, np.int64) for _ in range(4)), levels)
+    return Model(theta[:SLOTS], theta[SLOTS:])
 
 
 def score(docs: DataFrame, model: Model, least_tail: float = 0.5) -> DataFrame:
@@ -174,18 +220,18 @@ def score(docs: DataFrame, model: Model, least_tail: float = 0.5) -> DataFrame:
     Other columns, of any name but these three, pass through."""
     added = ["expected_grade", "p_top", "keep"]
     docs = docs.drop(*added)
-    sure = docs.withColumn("_text", F.col("text").cast("string"))
     fields = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             expected, top = [], []
-            for text in batch.column(batch.num_columns - 1):
+            for text in batch.column(at):
                 text = text.as_py()
                 tails = model.tails(text) if text and not text.isspace() else None
                 expected.append(None if tails is None else float(tails.sum()))
                 top.append(None if tails is None else float(tails[-1]))
-            columns = [*batch.columns[:-1], pa.array(expected, pa.float64()), pa.array(top, pa.float64()), pa.array([p is not None and p >= least_tail for p in top], pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], *added])
+            columns = [*batch.columns, pa.array(expected, pa.float64()), pa.array(top, pa.float64()), pa.array([p is not None and p >= least_tail for p in top], pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *added])
 
-    return sure.mapInArrow(run, f"{fields}, expected_grade double, p_top double, keep boolean")
+    return docs.mapInArrow(run, f"{fields}, expected_grade double, p_top double, keep boolean")
