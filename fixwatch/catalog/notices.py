@@ -30,9 +30,7 @@ def notice_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outages.chain_roots(outages.notice_links(notices(spark, sf_dir)))
 
 
-@query(
-    "outage_events",
-    f"""WITH RECURSIVE {NOTICES}, {CHAINS}, m AS (SELECT n.*, w.root, row_number() OVER (PARTITION BY w.root ORDER BY published_at, notice_id) AS i,
+OUTAGE_EVENTS = f"""WITH RECURSIVE {NOTICES}, {CHAINS}, m AS (SELECT n.*, w.root, row_number() OVER (PARTITION BY w.root ORDER BY published_at, notice_id) AS i,
       row_number() OVER (PARTITION BY w.root ORDER BY published_at DESC, notice_id DESC) AS j FROM notices AS n JOIN walk AS w ON n.notice_id = w.id),
     g AS (SELECT root, arg_min(svn, i) FILTER (WHERE svn IS NOT NULL) AS svn0, arg_min(vehicle, i) FILTER (WHERE vehicle IS NOT NULL) AS veh,
       arg_min(prn, i) FILTER (WHERE prn IS NOT NULL) AS prn, min(effective_at) AS eff, max(expires_at) AS fin,
@@ -44,8 +42,10 @@ def notice_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
       {_AFFECTED.format(s="t.signals", h="t.hint")} AS affected_signals, coalesce(t.condition, t.subject) AS reason,
       strftime(h.published_at, '%Y-%m-%d %H:%M:%S') AS first_published_at, strftime(t.published_at, '%Y-%m-%d %H:%M:%S') AS last_updated_at,
       (fin IS NULL OR t.expires_at IS NULL) AS is_active_at_publish, source_notice_ids
-    FROM g JOIN m AS h ON h.root = g.root AND h.i = 1 JOIN m AS t ON t.root = g.root AND t.j = 1""",
-)
+    FROM g JOIN m AS h ON h.root = g.root AND h.i = 1 JOIN m AS t ON t.root = g.root AND t.j = 1"""
+
+
+@query("outage_events", OUTAGE_EVENTS)
 def outage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         outages.normalise(notices(spark, sf_dir))

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fixwatch.functions.gnss_time import gps_time
 from fixwatch.operators.outages import normalise
+from fixwatch.streaming.windows import check_reset
 
 LATENESS = "30 minutes"
 
@@ -22,7 +23,9 @@ def stream_ttff(
     lateness: str = LATENESS,
 ) -> DataFrame:
     """First fix per station and reset window. Windows start at the GPS day because the
-    reset period divides it; state is dropped once the watermark passes a window."""
+    reset period divides it; state is dropped once the watermark passes a window, and with it
+    the rows that come later: `windows.stream_windows` keeps those."""
+    check_reset(reset_sec)
     ok = F.col("quality") == 4
     if limits is not None:
         ok = ok & (F.col("horizontal_m") <= limits[0]) & (F.col("vertical_m") <= limits[1])
@@ -39,7 +42,8 @@ def stream_ttff(
 
 
 def stream_fix_rate(epochs: DataFrame, *, window_sec: int = 900, lateness: str = LATENESS) -> DataFrame:
-    """Share of fixed epochs per station and window."""
+    """Share of fixed epochs per station and window; rows behind the watermark are lost."""
+    check_reset(window_sec)
     timed = epochs.withColumn("time_gpst", gps_time(F.col("time_utc"))).withWatermark("time_gpst", lateness)
     return (
         timed.groupBy("station", F.window("time_gpst", f"{window_sec} seconds").alias("w"))
@@ -60,7 +64,8 @@ def stream_notices(
     """Append arriving notices through `store` and publish the events of everything `stored`
     returns. Every version of a notice is stored and the one fetched last decides, so a
     correction replaces what it corrects; only a version fetched at the same moment is a
-    repetition. Replayed batches are harmless for the same reason."""
+    repetition. Replayed batches are harmless for the same reason. Every batch settles the
+    whole history again; `chains.stream_chains` settles only the chains it touches."""
 
     def apply(batch: DataFrame, _: int) -> None:
         store(batch)
