@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import cut
+from llm.common import cut, discard
 
 
 def _flatten(parents: DataFrame) -> DataFrame:
-    """Pointer jumping: every node ends at the root of its tree."""
+    """Pointer jumping: every node ends at the root of its tree. `parents` was cut."""
     while True:
         up = parents.select(F.col("node").alias("parent"), F.col("parent").alias("over"))
         jumped = cut(
@@ -20,9 +20,10 @@ def _flatten(parents: DataFrame) -> DataFrame:
             ),
             "jump",
         )
-        parents = jumped.select("node", "parent")
+        discard(parents)
+        parents = jumped
         if jumped.filter("moved").isEmpty():
-            return parents
+            return jumped
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -36,25 +37,26 @@ def components(links: DataFrame) -> DataFrame:
     Null ends are ignored; an empty table gives no rows.
     """
     links = links.select("a", "b").filter("a != b")
-    found = None
+    found, own = None, None
     while True:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooks = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
-        parents = _flatten(cut(hooks.select("node", F.least("node", "least").alias("parent")), "hook"))
+        flat = _flatten(cut(hooks.select("node", F.least("node", "least").alias("parent")), "hook"))
+        parents = flat.select("node", "parent")
+        left = parents.select(F.col("node").alias("a"), F.col("parent").alias("ra"))
+        right = parents.select(F.col("node").alias("b"), F.col("parent").alias("rb"))
+        between = links.join(left, "a").join(right, "b").filter("ra != rb")
+        links = cut(between.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "links")
+        if own is not None:
+            discard(own)
+        own = links
         if found is None:
-            found = parents
+            found = flat
         else:
             later = parents.select(F.col("node").alias("parent"), F.col("parent").alias("over"))
-            found = cut(found.join(later, "parent", "left").select("node", F.coalesce("over", "parent").alias("parent")), "roots")
-        left = parents.select(F.col("node").alias("a"), F.col("parent").alias("ra"))
-        right = parents.select(F.col("node").alias("b"), F.col("parent").alias("rb"))
-        links = cut(
-            links.join(left, "a")
-            .join(right, "b")
-            .filter("ra != rb")
-            .select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-            .distinct(),
-            "links",
-        )
+            joined = cut(found.join(later, "parent", "left").select("node", F.coalesce("over", "parent").alias("parent")), "roots")
+            discard(found, flat)
+            found = joined
         if links.isEmpty():
+            discard(links)
             return found.select("node", F.col("parent").alias("root"))

@@ -35,6 +35,8 @@ LONG = 64
 FLUSH_LINES = 20_000
 PAIRS = 1 << 20
 BLOCKS = 6
+# Of 128 bits; a fifth of the words changed moves about 26 bits, give or take 5.
+RADIUS = 46
 FEW_WORDS = range(3, 9)
 # (blocks in a key, fewest and most words of a line); a key holds three words at least.
 SHORT = ((3, 8, 12), (2, 11, 24))
@@ -78,8 +80,8 @@ def _mix(key: np.ndarray | int, value: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def block_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(line, key) of the pigeonhole keys of normalised lines, in order of the line."""
+def _words(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of all lines, the line of each, and the words in each line."""
     split = [line.encode("utf-8", "surrogatepass").split(b" ") if line else [] for line in lines]
     counts = np.fromiter(map(len, split), np.int64, len(split))
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(split)), np.uint64, int(counts.sum()))
@@ -92,6 +94,19 @@ def block_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     time = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
     again = order[time > 0]
     hashes[again] = _mix(time[time > 0], hashes[again])
+    return hashes, owner, counts
+
+
+def line_prints(lines: list[str]) -> list[bytes]:
+    """128-bit SimHash of the words of each normalised line."""
+    hashes, owner, _ = _words(lines)
+    lanes = [majorities(h, owner, len(lines))[0] for h in (hashes, _mix(1, hashes))]
+    return [row.tobytes() for row in np.stack(lanes, axis=1)]
+
+
+def block_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of the pigeonhole keys of normalised lines, in order of the line."""
+    hashes, owner, counts = _words(lines)
     owners, keys = [], []
 
     def prints(chosen: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
@@ -501,13 +516,21 @@ def verified(members: DataFrame, radius: int, alike: Callable) -> DataFrame:
 
 def _families(rows: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Links inside the lists of over LONG lines: lines of a list meet only those of nearly
-    the same length, in groups that `verified` ties to hubs."""
+    the same length whose whole SimHashes are within RADIUS bits, in groups that `verified`
+    ties to hubs. Lines that share one block of frequent words are about 60 bits apart."""
     base = F.log(F.shiftrightunsigned("size", 32).cast("double")) / float(-np.log(least))
     # Lengths that allow a link lie in the same step or in the next one.
     steps = F.array(F.floor(base), F.floor(base) + 1)
     grouped = rows.select(F.col("a").alias("handle"), "block", F.explode(steps).alias("step"))
     members = grouped.select("handle", F.xxhash64("block", "step").alias("group")).distinct().join(texts, "handle")
-    return verified(members.select("group", "key", F.lit(0).cast("long").alias("fp"), "line"), 0, lambda a, b: similar(a, b, least))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = pa.array(line_prints(batch.column("line").to_pylist()), pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, prints], names=[*batch.schema.names, "fp"])
+
+    members = members.select("group", "key", "line").mapInArrow(add, "group long, key binary, line string, fp binary")
+    return verified(cut(members, "families"), RADIUS, lambda a, b: similar(a, b, least))
 
 
 def _links(docs: DataFrame, keyed: DataFrame, least: float) -> DataFrame:

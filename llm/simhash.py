@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import cut, membership, tasks
+from llm.common import cut, discard, membership, tasks
 from llm.components import components
 from llm.lines import verified
 from llm.unions import forest
@@ -149,7 +149,9 @@ def close_links(unique: DataFrame, radius: int, lanes: int, tile: int = TILE) ->
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(reps[a]), pa.array(reps[b])], names=["a", "b"])
 
-    return joined.mapInArrow(run, "a long, b long")
+    links = cut(joined.mapInArrow(run, "a long, b long"), "close")
+    discard(tiles)
+    return links
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, lanes: int = 1) -> DataFrame:
@@ -162,7 +164,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, lanes: int
     """
     marked = cut(fingerprints(docs, words, lanes), "fingerprints")
     unique = cut(marked.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "unique")
-    roots = components(cut(close_links(unique, radius, lanes), "close"))
+    roots = components(close_links(unique, radius, lanes))
     named = unique.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
     known = marked.filter("doc_id is not null").join(named, "fp").select("doc_id", "fp", "component_id")
     return known.unionByName(marked.filter("doc_id is null").withColumn("component_id", F.lit(None).cast("long")))
@@ -202,7 +204,7 @@ def similar_documents(docs: DataFrame, words: int, radius: int, lanes: int, leas
     first = F.min(F.struct("doc_id", "fp"))
     unique = cut(keyed.groupBy("key").agg(first.alias("first")).select("key", F.col("first.doc_id").alias("rep"), F.col("first.fp").alias("fp")), "unique")
     by_fp = cut(unique.groupBy("fp").agg(F.min("rep").alias("node"), F.count("*").alias("n")), "by-fp")
-    near = components(cut(close_links(by_fp.select("fp", F.col("node").alias("rep")), radius, lanes), "close"))
+    near = components(close_links(by_fp.select("fp", F.col("node").alias("rep")), radius, lanes))
     groups = by_fp.join(near, "node", "left").filter("root is not null or n > 1").select("fp", F.coalesce("root", "node").alias("group"))
     members = cut(unique.join(groups, "fp").select("key", "fp", "group", "rep"), "members")
     wanted = members.select(F.col("rep").alias("doc_id"), "key", "fp", "group")
@@ -218,8 +220,10 @@ def similar_documents(docs: DataFrame, words: int, radius: int, lanes: int, leas
 
     fields = "group long, key binary, fp binary, line binary"
     spelled = maybe.join(wanted, "doc_id").select("group", "key", "fp", "text").mapInArrow(spell, fields).dropDuplicates(["key"])
-    links = verified(cut(spelled, "sets"), radius, lambda a, b: jaccard(a, b) >= least)
-    roots = components(cut(links, "verified")).withColumnRenamed("node", "key")
+    sets = cut(spelled, "sets")
+    links = cut(verified(sets, radius, lambda a, b: jaccard(a, b) >= least), "verified")
+    discard(sets, members, by_fp)
+    roots = components(links).withColumnRenamed("node", "key")
     named = unique.join(roots, "key", "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
     smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     return keyed.select("doc_id", "key").join(named.join(smallest, "root").select("key", "component_id"), "key").select("doc_id", "component_id")
