@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fixwatch.catalog.inputs import spread, table
+from fixwatch import sinks
+from fixwatch.catalog.inputs import landing, spread, table
 from fixwatch.catalog.registry import query, tidy_sql
 from fixwatch.functions import notices as fn
 from fixwatch.sources import coords, logs, nmea, qc_text, registry
@@ -81,19 +84,38 @@ def quality_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nmea.quality_histogram(_sentences(spark, sf_dir))
 
 
-# --- coordinate files ----------------------------------------------------------------
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sentences, some cut short, some with a letter in the latitude or in the hour."""
+    event = F.floor(F.col("line_no") / 2)
+    gga = F.col("value").startswith("$GPGGA")
+    value = (
+        F.when(gga & (event % 41 == 0), F.substring_index("value", ",", 9))
+        .when(gga & (event % 43 == 0), F.regexp_replace("value", r"^(\$GPGGA,[^,]*,\d)", "$1x"))
+        .when(gga & (event % 47 == 0), F.regexp_replace("value", r"^\$GPGGA,\d", r"\$GPGGA,x"))
+    )
+    return _sentences(spark, sf_dir).withColumn("value", F.coalesce(value, "value"))
 
 
 @query(
-    "station_coordinates",
-    tidy_sql(
-        """SELECT format('{:06d}', l_suppkey) AS f5_id, format('{:04d}', l_suppkey) AS rinex_id, 'Site ' || l_suppkey AS j_name, 'ITRF2014' AS frame,
-        CAST(l_shipdate AS DATE) AS date, round(max(l_extendedprice), 2) AS x_m, -round(max(l_quantity), 2) AS y_m, round(count(*), 2) AS z_m
-        FROM lineitem WHERE l_suppkey % 10 <> 9 GROUP BY ALL""",
-        real=["x_m", "y_m", "z_m"], date=["date"],
-    ),
-)
-def station_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    "position_rejects",
+    f"""WITH {_SENTENCES}, judged AS (SELECT CAST(user_id AS VARCHAR) AS file, event_id * 2 + 1 AS line_no, CASE WHEN event_id % 41 = 0 THEN 'fields missing'
+      WHEN rmc_date IS NULL THEN 'no date before it' WHEN event_id % 50 = 0 THEN 'field empty' WHEN event_id % 43 <> 0 AND event_id % 47 = 0 THEN 'bad date or time'
+      WHEN event_id % 43 = 0 THEN 'bad number' END AS reason FROM q)
+    SELECT file, coalesce(reason, 'good') AS reason, count(*) AS n, (SELECT count(*) FILTER (reason IS NULL) FROM judged) AS good, (SELECT count(reason) FROM judged) AS rejected
+    FROM judged GROUP BY ALL""",
+)
+def position_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and rejected lines written in one pass, read back and counted, beside the counts
+    that were taken on the way."""
+    good, bad, counts = sinks.write_judged(nmea.judge_positions(_damaged(spark, sf_dir)), landing(spark, "positions"))
+    both = good.select("file", F.lit("good").alias("reason")).unionByName(bad.select("file", "reason"))
+    return both.groupBy("file", "reason").agg(F.count(F.lit(1)).alias("n")).withColumns({k: F.lit(v) for k, v in counts.items()})
+
+
+# --- coordinate files ----------------------------------------------------------------
+
+
+def _coordinate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text per supplier and year; suppliers ending in 9 lack the frame and give nothing."""
     day = F.to_date("l_shipdate")
     daily = (
@@ -112,13 +134,43 @@ def station_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(" SOLUTION_ID  X(GPS)\n-SITE/INF\n"), F.when(supplier % 10 == 9, "").otherwise(" COORDINATE   ITRF2014\n"),
         F.lit("+DATA\n*yyyy mm dd\n*----+--\n"),
     )
-    docs = texts.select(
+    return texts.select(
         F.concat_ws("/", "year", "l_suppkey").alias("file"),
         F.concat(head, F.array_join("lines", "\n"), F.lit("\n*----\n-DATA\n")).alias("value"),
     )
+
+
+@query(
+    "station_coordinates",
+    tidy_sql(
+        """SELECT format('{:06d}', l_suppkey) AS f5_id, format('{:04d}', l_suppkey) AS rinex_id, 'Site ' || l_suppkey AS j_name, 'ITRF2014' AS frame,
+        CAST(l_shipdate AS DATE) AS date, round(max(l_extendedprice), 2) AS x_m, -round(max(l_quantity), 2) AS y_m, round(count(*), 2) AS z_m
+        FROM lineitem WHERE l_suppkey % 10 <> 9 GROUP BY ALL""",
+        real=["x_m", "y_m", "z_m"], date=["date"],
+    ),
+)
+def station_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _coordinate_files(spark, sf_dir)
     return coords.parse_coordinates(docs).select("f5_id", "rinex_id", "j_name", "frame", "date", "x_m", "y_m", "z_m")
 
 
+@query(
+    "coordinate_rejects",
+    """WITH days AS (SELECT DISTINCT l_suppkey, CAST(l_shipdate AS DATE) AS d FROM lineitem),
+    judged AS (SELECT year(d) || '/' || l_suppkey AS file, CASE WHEN month(d) = 2 AND day(d) = 3 THEN 'bad date' WHEN day(d) = 17 THEN 'bad number' END AS reason FROM days WHERE l_suppkey % 10 <> 9
+      UNION ALL SELECT DISTINCT year(d) || '/' || l_suppkey, 'file lacks frame' FROM days WHERE l_suppkey % 10 = 9)
+    SELECT file, coalesce(reason, 'good') AS reason, count(*) AS n, (SELECT count(*) FILTER (reason IS NULL) FROM judged) AS good, (SELECT count(reason) FROM judged) AS rejected
+    FROM judged GROUP BY ALL""",
+)
+def coordinate_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days that do not exist and coordinates that are no numbers, beside files without frame."""
+    docs = _coordinate_files(spark, sf_dir)
+    damaged = F.regexp_replace(F.regexp_replace("value", r"(?m)^ (\d{4}) 02 03 ", " $1 02 31 "), r"(?m)^( \d{4} \d\d 17 \S+  )", "$1x")
+    good, bad, counts = sinks.write_judged(coords.judge_coordinates(docs.withColumn("value", damaged)), landing(spark, "coordinates"))
+    both = good.select("file", F.lit("good").alias("reason")).unionByName(bad.select("file", "reason"))
+    return both.groupBy("file", "reason").agg(F.count(F.lit(1)).alias("n")).withColumns({k: F.lit(v) for k, v in counts.items()})
+
+
 # --- QC summaries --------------------------------------------------------------------
 
 
@@ -174,6 +226,51 @@ def qc_summary_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qc_text.parse_blocks(_summaries(spark, sf_dir))
 
 
+@query(
+    "qc_failed_files",
+    """SELECT '2024-05-06' AS date, CAST(c_custkey AS VARCHAR) AS file, CASE WHEN c_custkey % 6 = 0 THEN 2 ELSE 1 END AS n_bad_rows FROM customer WHERE c_custkey % 3 = 0
+    UNION ALL SELECT '2024-05-07', CAST(c_custkey AS VARCHAR), 1 FROM customer WHERE c_custkey % 5 = 0""",
+)
+def qc_failed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries of two days with numbers that do not parse. The first run of the second day
+    has all files broken; the second run replaces it."""
+    docs, path = _summaries(spark, sf_dir), landing(spark, "qc")
+    key = F.col("file").cast("long")
+
+    def broken(row: Column, header: Column) -> DataFrame:
+        text = F.when(row, F.regexp_replace("value", r"(?m)^( 10 - 15  ) *\d+( +\d+ +\S+)$", "$1     x$2")).otherwise(F.col("value"))
+        return docs.withColumn("value", F.when(header, F.regexp_replace(text, r"(Epochs w/ observations  : *)\d+", "$1many")).otherwise(text))
+
+    runs = (
+        (dt.date(2024, 5, 6), broken(key % 3 == 0, key % 6 == 0)),
+        (dt.date(2024, 5, 7), broken(F.lit(True), F.lit(True))),
+        (dt.date(2024, 5, 7), broken(F.lit(False), key % 5 == 0)),
+    )
+    for date, texts in runs:
+        sinks.write_qc_summary(*qc_text.read_day(texts, F.lit(date)), path, date)
+    return spark.read.parquet(f"{path}/failed").select("date", "file", "n_bad_rows")
+
+
+@query(
+    "qc_day_tables",
+    tidy_sql(
+        """WITH c AS (SELECT *, format('{:04d}', c_custkey % 10000) AS station FROM customer WHERE c_custkey % 3 <> 0)
+        SELECT station, c_custkey % 2881 AS epochs_w_obs, CASE WHEN c_custkey % 2 = 0 THEN 'ION' ELSE 'MP12' END AS metric, 19 AS n_bins,
+          sum(c_custkey % 9000 + i)::DOUBLE AS tot FROM c, range(19) AS r(i) GROUP BY ALL
+        UNION ALL SELECT station, c_custkey % 2881, 'SN1', 19, sum(c_custkey % 9000 + i)::DOUBLE FROM c, range(19) AS r(i) GROUP BY c_custkey, station""",
+        real=["tot"], whole=["epochs_w_obs", "n_bins"],
+    ),
+)
+def qc_day_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header and long table of a day, every third file left out for a bad row."""
+    docs = _summaries(spark, sf_dir)
+    bad = F.regexp_replace("value", r"(?m)^( 10 - 15  ) *\d+", "$1     x")
+    texts = docs.withColumn("value", F.when(F.col("file").cast("long") % 3 == 0, bad).otherwise(F.col("value")))
+    header, long, _ = qc_text.read_day(texts, F.lit(dt.date(2024, 5, 6)))
+    sums = long.groupBy("station", "metric").agg(F.count(F.lit(1)).alias("n_bins"), F.sum("tot").alias("tot"))
+    return header.select("station", "epochs_w_obs").join(sums, "station")
+
+
 # --- notices -------------------------------------------------------------------------
 
 

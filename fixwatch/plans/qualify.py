@@ -16,7 +16,7 @@ from fixwatch.sources.text import documents
 
 def run_qc_summary(spark: SparkSession, summary_files: str, output: str, *, date: dt.date) -> None:
     header, long, failed = read_day(documents(spark, summary_files), F.lit(date))
-    write_qc_summary(header, long, failed, output)
+    write_qc_summary(header, long, failed, output, date)
 
 
 def run_qualification(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Rows that one output file should hold at most.
@@ -48,11 +48,22 @@ def write_events(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_qc_summary(header: DataFrame, qc_long: DataFrame, failed: DataFrame, path: str) -> None:
-    """Header and long tables per date, and the files that did not parse."""
-    _replace(header, f"{path}/header", ["date"])
-    _replace(qc_long, f"{path}/long", ["date"])
-    failed.write.mode("append").json(f"{path}/failed")
+def write_judged(df: DataFrame, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Good rows (`reason` is NULL) and rejected ones to two tables below `path`, in one pass;
+    both read back, and how many there are, counted while they are written."""
+    seen = Observation()
+    rejected = F.col("reason").isNotNull()
+    counted = df.withColumn("rejected", rejected).observe(seen, F.count_if(~rejected).alias("good"), F.count_if(rejected).alias("rejected"))
+    counted.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    stored = df.sparkSession.read.schema(counted.schema).parquet(path)
+    return stored.where("not rejected").drop("rejected", "reason"), stored.where("rejected").drop("rejected"), seen.get
+
+
+def write_qc_summary(header: DataFrame, qc_long: DataFrame, failed: DataFrame, path: str, date: dt.date) -> None:
+    """Header and long tables of one date, and the files that did not parse. The date's
+    folders are replaced, so a run that mends files leaves no failures behind."""
+    for name, df in (("header", header), ("long", qc_long), ("failed", failed)):
+        df.drop("date").write.mode("overwrite").parquet(f"{path}/{name}/date={date:%Y-%m-%d}")
 
 
 def append_provenance(spark: SparkSession, path: str, **record: object) -> None:

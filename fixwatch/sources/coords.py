@@ -19,24 +19,30 @@ _REQUIRED = ("f5_id", "rinex_id", "frame")
 _COLUMNS = ("x_m", "y_m", "z_m", "lat_deg", "lon_deg", "h_m")
 
 
-def parse_coordinates(docs: DataFrame, keys: Sequence[str] = ("file",)) -> DataFrame:
-    """One row per file and day from whole texts (a file is one station-year). A file
-    without id, short id, frame or data marker gives no row; see `bad_coordinate_files`."""
-    parsed = _with_header(docs, keys).where(_usable())
-    rows = parsed.withColumn("line", F.explode(F.split(F.col("data"), "\n"))).where(
-        ~F.col("line").startswith("*") & (F.trim("line") != "")
-    )
+def judge_coordinates(docs: DataFrame, keys: Sequence[str] = ("file",)) -> DataFrame:
+    """Every data row of whole texts (a file is one station-year) with `reason`, NULL for a
+    good one: `bad date`, or `bad number` where x, y or z does not parse. A file without id,
+    short id, frame or data marker gives one row, with `file` and what it lacks."""
+    lacks = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in (*_REQUIRED, "data")]))
+    whole = F.when(F.size(lacks) > 0, F.concat(F.lit("file lacks "), F.array_join(lacks, ", ")))
+    found = F.filter(F.split(F.coalesce("data", F.lit("")), "\n"), lambda line: ~line.startswith("*") & (F.trim(line) != ""))
+    line = F.explode(F.when(whole.isNull(), found).otherwise(F.array(F.lit(None).cast("string"))))
+    rows = _with_header(docs, keys).select(*keys, *_HEADER, whole.alias("whole"), line.alias("line"))
     cells = F.split(F.trim("line"), r"\s+")
-    return rows.select(
-        *keys,
-        *_HEADER,
-        F.try_to_date(F.concat_ws("-", *[F.get(cells, F.lit(i)) for i in range(3)]), "yyyy-M-d").alias("date"),
-        *[F.get(cells, F.lit(4 + i)).try_cast("double").alias(c) for i, c in enumerate(_COLUMNS)],
-    ).where(F.col("date").isNotNull())
+    date = F.try_to_date(F.concat_ws("-", *[F.get(cells, F.lit(i)) for i in range(3)]), "yyyy-M-d")
+    numbers = {c: F.get(cells, F.lit(4 + i)).try_cast("double") for i, c in enumerate(_COLUMNS)}
+    bad = numbers["x_m"].isNull() | numbers["y_m"].isNull() | numbers["z_m"].isNull()
+    reason = F.coalesce("whole", F.when(date.isNull(), F.lit("bad date")), F.when(bad, F.lit("bad number")))
+    return rows.select(*keys, *_HEADER, F.when(F.col("whole").isNull(), date).alias("date"), *[v.alias(c) for c, v in numbers.items()], reason.alias("reason"))
+
+
+def parse_coordinates(docs: DataFrame, keys: Sequence[str] = ("file",)) -> DataFrame:
+    """One row per file and day: the good rows of `judge_coordinates`."""
+    return judge_coordinates(docs, keys).where("reason IS NULL").drop("reason")
 
 
 def bad_coordinate_files(docs: DataFrame, keys: Sequence[str] = ("file",)) -> DataFrame:
-    return _with_header(docs, keys).where(~_usable()).select(*keys)
+    return judge_coordinates(docs, keys).where(F.col("reason").startswith("file lacks")).select(*keys)
 
 
 def _with_header(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -52,9 +58,3 @@ def _with_header(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
         {c: F.coalesce(c, F.lit("")) for c in ("j_name", "e_name", "ellipsoid")}
     )
 
-
-def _usable() -> Column:
-    ok = F.col("data").isNotNull()
-    for c in _REQUIRED:
-        ok = ok & F.col(c).isNotNull()
-    return ok

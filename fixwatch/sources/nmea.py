@@ -19,21 +19,21 @@ def station_of(file: Column) -> Column:
     return F.left(F.element_at(F.split(file, "/"), -1), F.lit(4))
 
 
-def parse_positions(lines: DataFrame, keys: Sequence[str] = ("file",), interval_sec: int = 30) -> DataFrame:
-    """Epochs of `lines` (keys, block, line_no, value). A GGA before the first RMC of its
-    file, with fewer than 12 fields or with an empty required field gives no row."""
+# Why a GGA line gives no epoch, in the order in which it is asked.
+REASONS = ("fields missing", "no date before it", "field empty", "bad date or time", "bad number")
+
+
+def judge_positions(lines: DataFrame, keys: Sequence[str] = ("file",), interval_sec: int = 30) -> DataFrame:
+    """Every GGA line of `lines` (keys, block, line_no, value): its epoch, and `reason`, NULL
+    for a good one. A line before the first RMC of its file has no date."""
     sentences = lines.where(F.col("value").startswith("$GPRMC") | F.col("value").startswith("$GPGGA"))
     parts = F.split(F.rtrim("value"), ",")
     sentences = sentences.select(*keys, "block", "line_no", F.col("value").startswith("$GPGGA").alias("gga"), parts.alias("f"))
     rmc_date = F.when(~F.col("gga") & (F.size("f") >= 10), F.get("f", F.lit(9)))
-    dated = carry_forward(sentences, rmc_date, "ddmmyy", keys).where(
-        F.col("gga") & F.col("ddmmyy").isNotNull() & (F.size("f") >= 12)
-    )
+    dated = carry_forward(sentences, rmc_date, "ddmmyy", keys).where("gga")
     at = {name: F.get("f", F.lit(i)) for i, name in enumerate(
         ("tag", "hms", "lat", "ns", "lon", "ew", "q", "nsat", "hdop", "alt", "alt_unit", "geoid")
     )}
-    for required in ("hms", "lat", "lon", "q", "nsat"):
-        dated = dated.where(at[required] != "")
     # ddMMyy needs a pivot year: two-digit years 69-99 are 19xx, the rest 20xx.
     yy = F.substring("ddmmyy", 5, 2).try_cast("int")
     date = F.try_to_timestamp(
@@ -46,20 +46,37 @@ def parse_positions(lines: DataFrame, keys: Sequence[str] = ("file",), interval_
         + F.substring(at["hms"], 5, 20).try_cast("double")
     )
     time_utc = F.timestamp_micros((F.unix_micros(date) + F.round(seconds * 1_000_000)).cast("long"))
-    height = at["alt"].try_cast("double") + F.coalesce(F.nullif(at["geoid"], F.lit("")).try_cast("double"), F.lit(0.0))
+    geoid = F.nullif(at["geoid"], F.lit(""))
+    height = at["alt"].try_cast("double") + F.when(geoid.isNull(), 0.0).otherwise(geoid.try_cast("double"))
+    parsed = {
+        "lat_deg": dm_to_degrees(at["lat"].try_cast("double"), at["ns"]),
+        "lon_deg": dm_to_degrees(at["lon"].try_cast("double"), at["ew"]),
+        "alt_m": height,
+        "quality": at["q"].try_cast("tinyint"),
+        "num_sat": at["nsat"].try_cast("tinyint"),
+    }
+    empty, bad = F.lit(False), F.lit(False)
+    for required in ("hms", "lat", "lon", "q", "nsat"):
+        empty = empty | (at[required] == "")
+    for value in parsed.values():
+        bad = bad | value.isNull()
+    checks = (F.size("f") < 12, F.col("ddmmyy").isNull(), empty, time_utc.isNull(), bad)
+    reason = F.coalesce(*[F.when(check, F.lit(name)) for check, name in zip(checks, REASONS)])
     return dated.select(
         *keys,
         "block",
         "line_no",
         time_utc.alias("time_utc"),
         gps_time(time_utc).alias("time_gpst"),
-        dm_to_degrees(at["lat"].try_cast("double"), at["ns"]).alias("lat_deg"),
-        dm_to_degrees(at["lon"].try_cast("double"), at["ew"]).alias("lon_deg"),
-        height.alias("alt_m"),
-        at["q"].try_cast("tinyint").alias("quality"),
-        at["nsat"].try_cast("tinyint").alias("num_sat"),
+        *[value.alias(name) for name, value in parsed.items()],
         gps_epoch_index(time_utc, interval_sec).alias("epoch_idx"),
-    ).where(F.col("time_utc").isNotNull())
+        reason.alias("reason"),
+    )
+
+
+def parse_positions(lines: DataFrame, keys: Sequence[str] = ("file",), interval_sec: int = 30) -> DataFrame:
+    """The good epochs of `judge_positions`."""
+    return judge_positions(lines, keys, interval_sec).where("reason IS NULL").drop("reason")
 
 
 def _quality_rows(lines: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from fixwatch import sinks
 from fixwatch.operators.qc_report import ELEVATION_LABELS
 from fixwatch.sources import coords, logs, nmea, qc_text, registry, text
 from fixwatch.sources import notices as nt
@@ -299,3 +300,36 @@ def test_equipment_headers_and_inventory(spark, tmp_path):
     assert {(r.receiver.strip(), r.antenna) for r in rows} == {("ACME R9", "ANT7700.00      NONE")}
     found = {r.path[-5:]: r for r in logs.file_inventory(spark, str(tmp_path)).collect()}
     assert found["a.26o"].sha256 == hashlib.sha256(head.encode()).hexdigest() and found["a.26o"].size_bytes == len(head)
+
+
+def test_every_line_is_an_epoch_or_a_reject(spark, tmp_path):
+    good = "$GPGGA,000100.00,3500.0000,N,13900.0000,E,4,9,1.0,50.5,M,36.5,M,,*00"
+    rows = [
+        good,  # before any date
+        "$GPRMC,000000.00,A,3500.0,N,13900.0,E,0,0,020426,,*00",
+        good,
+        good.replace("50.5", "5o.5"),
+        good.replace(",4,9,", ",4,,"),
+        good.replace("000100.00", "0x0100.00"),
+        good[:40],
+        good.replace("36.5", ""),
+        good.replace("36.5", "none"),
+    ]
+    lines = spark.createDataFrame([("f", 0, k, v) for k, v in enumerate(rows)], "file string, block long, line_no long, value string")
+    kept, rejected, counts = sinks.write_judged(nmea.judge_positions(lines), str(tmp_path / "out"))
+    assert counts == {"good": 2, "rejected": 6}
+    assert sorted(r.line_no for r in kept.collect()) == [2, 7] and "reason" not in kept.columns
+    assert {r.line_no: r.reason for r in rejected.collect()} == {0: "no date before it", 3: "bad number", 4: "field empty", 5: "bad date or time", 6: "fields missing", 8: "bad number"}
+    assert nmea.parse_positions(lines).count() == 2
+    none, all_bad, counts = sinks.write_judged(nmea.judge_positions(lines.where("line_no = 0")), str(tmp_path / "bad"))
+    assert (none.count(), all_bad.count(), counts["good"]) == (0, 1, 0)
+
+
+def test_coordinate_rejects_name_their_reason(spark):
+    head = " ID 000001\n RINEX 0001\n COORDINATE ITRF2014\n"
+    data = "+DATA\n 2025 01 02 12:00:00 1 2 3\n 2025 13 02 12:00:00 1 2 3\n 2025 01 03 12:00:00 1 two 3\n 2025 01 04 12:00:00 1 2\n-DATA\n"
+    texts = [("good", head + data), ("anonymous", data), ("nothing", ""), ("cut", head)]
+    judged = coords.judge_coordinates(spark.createDataFrame(texts, "file string, value string"))
+    got = sorted((r.file, r.reason) for r in judged.where("reason IS NOT NULL").collect())
+    assert got == [("anonymous", "file lacks f5_id, rinex_id, frame"), ("cut", "file lacks data"), ("good", "bad date"), ("good", "bad number"), ("good", "bad number"), ("nothing", "file lacks f5_id, rinex_id, frame, data")]
+    assert [r.x_m for r in judged.where("reason IS NULL").collect()] == [1.0]
