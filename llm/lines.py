@@ -35,7 +35,8 @@ LONG = 64
 FLUSH_LINES = 20_000
 PAIRS = 1 << 20
 BLOCKS = 6
-# Words that a key of a long line holds: fewer would often be the same frequent ones.
+# Words that a key of a line with over eight blocks holds: of its many blocks, some with
+# fewer would hold nothing but frequent words.
 HELD = 6
 # Of 128 bits; a fifth of the words changed moves about 26 bits, give or take 5.
 RADIUS = 46
@@ -159,7 +160,7 @@ def block_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         key = _mix(np.arange(blocks, dtype=np.uint64) + np.uint64(10_000 * level), fps)
         words = n.copy()
         for step in range(1, blocks):
-            few = words < HELD
+            few = words < (HELD if blocks > 8 else 3)
             if not few.any():
                 break
             key[few] = _mix(key[few], np.roll(fps, -step, axis=1)[few])
