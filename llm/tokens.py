@@ -14,20 +14,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GROUP_BYTES = 1_000_000
+# The added tokens of the vocabulary, which are cut out before anything else.
+ADDED = {"<|endoftext|>": 50256}
 
 
 class Encoder:
     """Byte-level BPE by a rank file. Its ids equal those of the `tokenizers` file of the
-    same vocabulary with the special strings taken as ordinary text, in a third of the time.
-    """
+    same vocabulary, added tokens included, in a third of the time."""
 
-    def __init__(self, ranks_path: str, pattern: str) -> None:
+    def __init__(self, ranks_path: str, pattern: str, added: dict[str, int] = ADDED) -> None:
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self._encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self._added = added
+        self._encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids."""
+        if any(token in text for token in self._added):
+            return array("I", self._encoding.encode(text, allowed_special="all")).tobytes()
         return array("I", self._encoding.encode_ordinary(text)).tobytes()
 
 

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 from llm.common import cut
 from llm.matrices import matrix, read, write, written
 from llm.packing import best_fit_decreasing, check_plan, fullest, length_counts, minimum_slack, place
-from llm.tokens import cut_points, encoder, pieces
+from llm.tokens import ADDED, cut_points, encoder, pieces
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 ODD = ["", None, "a", "two words", "  spaces  and\ttabs\r\n\n x", "Été ñ ß 日本語 🙂", "<|endoftext|> in text", "1234 it's", "line\nbreaks\n\nhere ", " x y"]
@@ -18,9 +18,10 @@ ODD = ["", None, "a", "two words", "  spaces  and\ttabs\r\n\n x", "Été ñ ß 
 
 def test_ids_equal_those_of_the_json_vocabulary():
     reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    reference.encode_special_tokens = True
     own = encoder(RANKS, PATTERN)
-    for text in [t for t in ODD if t] + ["word " * 3000]:
+    assert {t.content: k for k, t in reference.get_added_tokens_decoder().items()} == ADDED
+    added = ["<|endoftext|>", "a<|endoftext|>b <|endoftext|><|endoftext|>\n x", "<|endoftext|", " <|endoftext|> "]
+    for text in [t for t in ODD if t] + ["word " * 3000, *added]:
         assert np.frombuffer(own.encode(text), "<u4").tolist() == reference.encode(text, add_special_tokens=False).ids
 
 
