@@ -94,22 +94,36 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy().astype(np.float64).reshape(len(column), -1)
 
 
+def _points(rows: DataFrame, every: int, k: int) -> tuple[DataFrame, DataFrame]:
+    """(point, least, ids, embedding, asks) of the distinct vectors with their k + 1 smallest
+    ids, and (query_id, point) of the rows that ask."""
+    nth = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
+    firsts = rows.withColumn("nth", nth).filter(F.col("nth") <= k + 1).groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    asking = rows.filter(F.col("vec_id") % every == 0)
+    asked = asking.select("embedding").distinct().withColumn("asks", F.lit(True))
+    named = firsts.join(asked, "embedding", "left").select(F.monotonically_increasing_id().alias("point"), F.col("ids")[0].alias("least"), "ids", "embedding", F.coalesce("asks", F.lit(False)).alias("asks"))
+    points = cut(named, "points")
+    return points, asking.join(points.select("point", "embedding"), "embedding").select(F.col("vec_id").alias("query_id"), "point")
+
+
 def nearest(vectors: DataFrame, every: int = 100, k: int = 10, curves: int = CURVES, window: int = WINDOW, window_share: float = WINDOW_SHARE) -> DataFrame:
     """(query_id, rank, vec_id, score): the `k` nearest found of each vector whose id is
     divisible by `every`, among all others, by Euclidean distance; ties to the smaller id.
 
-    Every vector gets a place on each curve; Spark range-partitions and sorts (curve, place),
-    and rows are numbered in that order. The candidates of a query are the `window` rows, or
-    `window_share` of all if that is more, before and after it on each curve; they are merged and ranked by exact distance in double
-    precision. Places hold all rows, and equal places are taken in order of id, so a crowd of
-    equal vectors is cut by id like any other tie. A vec_id that repeats is a candidate once,
+    Equal vectors are one point, which carries its k + 1 smallest ids: no crowd of any size
+    takes more than one place in a window. Every point gets a place on each curve; Spark
+    range-partitions and sorts (curve, place), and points are numbered in that order. The
+    candidates of a query are the `window` points, or `window_share` of all if that is more,
+    before and after it on each curve; they are merged and ranked by exact distance in double
+    precision, and only then spelled out in ids. A vec_id that repeats is a candidate once,
     at its smallest distance, and asks once for each different vector it has; a query with
-    fewer than `k` others gets them all.
+    fewer than `k` others gets them all. Columns other than vec_id and embedding are ignored.
     """
-    rows = cut(valid(vectors).dropDuplicates(), "vectors")
+    points, asking = _points(valid(vectors).dropDuplicates(), every, k)
+    rows = points.select("point", "embedding")
     spark = vectors.sparkSession
     result = "query_id long, rank int, vec_id long, score double"
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).select("embedding").toArrow().column(0).combine_chunks()
+    sample = points.orderBy(F.xxhash64("least"), "least", "point").limit(FIT_ROWS).select("embedding").toArrow().column(0).combine_chunks()
     if not len(sample):
         return spark.createDataFrame([], result)
     kind = rows.schema["embedding"].dataType.simpleString()
@@ -120,43 +134,50 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, curves: int = CUR
         for batch in batches:
             x = _matrix(batch.column(1))
             for c in range(curves):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), c, np.int32)), pa.array(fitted.keys(x, c)), batch.column(0), batch.column(1)], names=["curve", "place", "vec_id", "embedding"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), c, np.int32)), pa.array(fitted.keys(x, c)), batch.column(0), batch.column(1)], names=["curve", "place", "point", "embedding"])
 
-    placed = rows.mapInArrow(place, f"curve int, place long, vec_id long, embedding {kind}")
+    placed = rows.mapInArrow(place, f"curve int, place long, point long, embedding {kind}")
     # Range partitions and the order inside them give every row its number on its curve.
     ordered = cut(
-        placed.repartitionByRange(tasks(spark), "curve", "place", "vec_id").sortWithinPartitions("curve", "place", "vec_id").withColumn("part", F.spark_partition_id()).withColumn("seq", F.monotonically_increasing_id()),
+        placed.repartitionByRange(tasks(spark), "curve", "place", "point").sortWithinPartitions("curve", "place", "point").withColumn("part", F.spark_partition_id()).withColumn("seq", F.monotonically_increasing_id()),
         "ordered",
     )
     counts = ordered.groupBy("curve", "part").agg(F.count("*").alias("n"), F.min("seq").alias("start"))
     before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("start")).select("curve", "part", "base")
-    numbered = ordered.join(bases, ["curve", "part"]).withColumn("at", F.col("seq") + F.col("base")).select("curve", "at", "vec_id", "embedding")
+    numbered = ordered.join(bases, ["curve", "part"]).withColumn("at", F.col("seq") + F.col("base")).select("curve", "at", "point", "embedding")
+    numbered = numbered.join(points.select("point", "least", "asks"), "point")
     blocks = (
         numbered.withColumn("block", F.floor(F.col("at") / BLOCK))
         .groupBy("curve", "block")
-        .agg(F.collect_list("at").alias("ats"), F.collect_list("vec_id").alias("ids"), F.flatten(F.collect_list("embedding")).alias("flat"))
+        .agg(F.collect_list("at").alias("ats"), F.collect_list("point").alias("ids"), F.collect_list("least").alias("leasts"), F.flatten(F.collect_list("embedding")).alias("flat"))
     )
     reach = F.expr(f"sequence(cast(floor(greatest(at - {window}, 0) / {BLOCK}) as bigint), cast(floor((at + {window}) / {BLOCK}) as bigint))")
-    queries = numbered.filter(F.col("vec_id") % every == 0).select("curve", F.explode(reach).alias("block"), F.col("at"), F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    queries = numbered.filter("asks").select("curve", F.explode(reach).alias("block"), F.col("at"), F.col("point").alias("query_id"), F.col("embedding").alias("query"))
     grouped = queries.groupBy("curve", "block").agg(F.collect_list("at").alias("q_at"), F.collect_list("query_id").alias("q_id"), F.flatten(F.collect_list("query")).alias("q_flat"))
-    met = grouped.join(blocks, ["curve", "block"]).select("q_at", "q_id", "q_flat", "ats", "ids", "flat")
+    met = grouped.join(blocks, ["curve", "block"]).select("q_at", "q_id", "q_flat", "ats", "ids", "leasts", "flat")
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                q_at, q_id, q, at, ids, x = (batch.column(c)[r].values.to_numpy() for c in range(6))
+                q_at, q_id, q, at, ids, leasts, x = (batch.column(c)[r].values.to_numpy() for c in range(7))
                 q, x = q.astype(np.float64).reshape(len(q_id), -1), x.astype(np.float64).reshape(len(ids), -1)
                 out: list[tuple[np.ndarray, ...]] = []
                 for n in range(len(q_id)):
-                    near = np.flatnonzero((np.abs(at - q_at[n]) <= window) & (ids != q_id[n]))
+                    near = np.flatnonzero(np.abs(at - q_at[n]) <= window)
                     d = x[near] - q[n]
                     score = np.sqrt((d * d).sum(axis=1))
-                    best = np.lexsort((ids[near], score))[: k + 1]
+                    best = np.lexsort((leasts[near], score))
+                    # Points under one id fill one place.
+                    best = best[np.sort(np.unique(leasts[near][best], return_index=True)[1])][: k + 1]
                     out.append((np.full(len(best), q_id[n]), ids[near][best], score[best]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query_id", "vec_id", "score"])
 
-    scored = met.mapInArrow(rank, "query_id long, vec_id long, score double")
-    once = scored.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    scored = met.mapInArrow(rank, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    first = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "least"))
+    near = scored.withColumnRenamed("vec_id", "point").join(points.select("point", "least", "ids"), "point")
+    near = near.withColumn("nth", first).filter(F.col("nth") <= k + 1).select(F.col("query_id").alias("point"), "ids", "score")
+    spelled = asking.join(near, "point").select("query_id", F.explode("ids").alias("vec_id"), "score").filter("query_id != vec_id")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    ranked = spelled.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")).withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")

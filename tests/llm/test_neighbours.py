@@ -24,3 +24,19 @@ def test_recall_and_exact_scores(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "vec_id long, embedding array<double>")
     assert [(r["query_id"], r["vec_id"]) for r in nearest(few).collect()] == [(0, 1)]
     assert nearest(few.limit(0)).count() == 0
+
+
+def test_crowds_of_equal_vectors_keep_the_smallest_ids(spark):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((4000, 16)).astype(np.float32)
+    x[1000:3000] = x[1000]
+    x[3500] = x[1000] + np.float32(1e-3)  # beside the crowd
+    rows = [(k, v.tolist(), "clash") for k, v in enumerate(x)] + [(77, x[50].tolist(), "again"), (50, x[50].tolist(), "row repeated")]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>, point string")).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    assert set(found) == set(range(0, 4000, 100)) and all(sorted(v) == list(range(1, 11)) for v in found.values())
+    for q in (1000, 2500):
+        assert [found[q][n] for n in range(1, 11)] == [(i, 0.0) for i in range(1000, 1011) if i != q][:10]
+    assert [found[3500][n][0] for n in range(1, 11)] == list(range(1000, 1010))
