@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fixwatch import sinks
 from fixwatch.catalog.inputs import (
     ANCHOR,
     ASSIGNMENTS,
@@ -17,6 +18,7 @@ from fixwatch.catalog.inputs import (
     assignments,
     coordinate_series,
     epochs,
+    landing,
     periods,
     registry,
     table,
@@ -96,6 +98,43 @@ def eval_flags_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reg.eval_flags_by_date(days, periods(spark, sf_dir))
 
 
+_CHANGES = """changes AS (SELECT CAST(o_custkey AS VARCHAR) AS rinex_id, CAST(o_orderdate AS DATE) AS valid_from,
+    max({'n': CAST(CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 12 + 1 ELSE -1 END AS BIGINT), 'i': o_totalprice > 150000}) AS v
+  FROM orders WHERE o_orderkey % 3 = 0 GROUP BY ALL),
+dimension AS (SELECT rinex_id, valid_from, lead(valid_from) OVER (PARTITION BY rinex_id ORDER BY valid_from) AS valid_to, nullif(v.n, -1) AS netid, v.i AS isinside FROM changes)"""
+
+
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third order moves its customer's station to another network."""
+    netid = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey") % 12 + 1).cast("int")
+    orders = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0")
+    return orders.select(F.col("o_custkey").cast("string").alias("rinex_id"), F.to_date("o_orderdate").alias("valid_from"), netid.alias("netid"), (F.col("o_totalprice") > 150000).alias("isinside"))
+
+
+@query("registry_valid_times", tidy_sql(f"WITH {_CHANGES} SELECT * FROM dimension", whole=["netid"], date=["valid_from", "valid_to"]))
+def registry_valid_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sinks.write_dimension(reg.valid_times(_changes(spark, sf_dir)), landing(spark, "registry"))
+
+
+@query(
+    "registry_at_dates",
+    tidy_sql(
+        f"""WITH {_CHANGES}, {PERIODS}, asked AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS rinex_id, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INTEGER) - 200 AS date FROM orders)
+        SELECT a.rinex_id, a.date, netid, coalesce(isinside, false) AS isinside,
+          EXISTS (SELECT 1 FROM periods AS p WHERE p.rinex_id = a.rinex_id AND a.date BETWEEN p."from" AND p."to") AS is_eval,
+          coalesce(netid IN (1, 2, 12), false) AS is_southern
+        FROM asked AS a LEFT JOIN dimension AS d ON d.rinex_id = a.rinex_id AND d.valid_from <= a.date AND (d.valid_to IS NULL OR a.date < d.valid_to)""",
+        whole=["netid"], date=["date"],
+    ),
+)
+def registry_at_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry as of many days at once, from the stored dimension."""
+    dimension = sinks.write_dimension(reg.valid_times(_changes(spark, sf_dir)), landing(spark, "registry"))
+    day = F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 400 - 200).cast("int"))
+    asked = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("rinex_id"), day.alias("date"))
+    return reg.registry_at_dates(dimension, periods(spark, sf_dir), asked)
+
+
 @query("force_eval_covering", f"""WITH {PERIODS} SELECT DISTINCT rinex_id FROM periods WHERE DATE '{AT}' BETWEEN "from" AND "to" """)
 def force_eval_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reg.forced_stations(periods(spark, sf_dir), AT)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fixwatch.operators.cells import SOUTHERN_NETIDS
 from fixwatch.operators.guards import require_columns
-from fixwatch.operators.intervals import stab, union_of
+from fixwatch.operators.intervals import stab, union_of, with_next
 
 # Preference of solution variants, final before rapid.
 VARIANT_ORDER = ("f5_1", "f5", "r5_1", "r5")
@@ -81,6 +81,40 @@ def override_with_qualification(registry: DataFrame, qualification: DataFrame) -
     )
 
 
+def valid_times(changes: DataFrame) -> DataFrame:
+    """The assignment dimension over time: `changes` (rinex_id, valid_from, netid, isinside)
+    with `valid_to`, the day of the station's next change, NULL for the current row. Of several
+    changes on one day the one with the largest values stands."""
+    known = changes.where("rinex_id IS NOT NULL AND valid_from IS NOT NULL")
+    once = known.groupBy("rinex_id", "valid_from").agg(F.max(F.struct("netid", "isinside")).alias("v"))
+    placed = once.select("rinex_id", F.unix_date("valid_from").cast("long").alias("at"), "v.netid", "v.isinside")
+    day = lambda c: F.date_from_unix_date(F.col(c).cast("int"))
+    return with_next(placed, ["rinex_id"], DAYS_PER_BLOCK).select(
+        "rinex_id", day("at").alias("valid_from"), day("next_at").alias("valid_to"), "netid", "isinside"
+    )
+
+
+def registry_at_dates(dimension: DataFrame, periods: DataFrame, dates: DataFrame) -> DataFrame:
+    """One row per distinct (rinex_id, date) of `dates`: the assignment valid on that day, and
+    whether an evaluation period covers it, for as many dates as there are. A day before a
+    station's first change has no network and counts as outside."""
+    start = F.unix_date("valid_from").cast("long")
+    spans = dimension.select("rinex_id", start.alias("start"), F.unix_date("valid_to").cast("long").alias("end"))
+    asked = dates.select("rinex_id", F.unix_date("date").cast("long").alias("at"))
+    found = stab(asked, spans, ["rinex_id"], DAYS_PER_BUCKET).select("rinex_id", "at", "start")
+    valid = dimension.select("rinex_id", start.alias("start"), "netid", "isinside")
+    placed = found.join(valid, ["rinex_id", "start"], "left").withColumn("date", F.date_from_unix_date(F.col("at").cast("int")))
+    flags = eval_flags_by_date(dates, periods)
+    return placed.join(flags, ["rinex_id", "date"]).select(
+        "rinex_id",
+        "date",
+        F.col("netid").cast("int").alias("netid"),
+        F.coalesce("isinside", F.lit(False)).alias("isinside"),
+        "is_eval",
+        F.coalesce(F.col("netid").isin(*SOUTHERN_NETIDS), F.lit(False)).alias("is_southern"),
+    )
+
+
 def forced_stations(periods: DataFrame, target: dt.date) -> DataFrame:
     """Stations of the periods covering the date; if none covers it, those of the period
     that ends last."""

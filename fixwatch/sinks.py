@@ -48,6 +48,12 @@ def write_events(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_dimension(df: DataFrame, path: str) -> DataFrame:
+    """Replace a dimension as a whole and read it back."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_judged(df: DataFrame, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
     """Good rows (`reason` is NULL) and rejected ones to two tables below `path`, in one pass;
     both read back, and how many there are, counted while they are written."""
