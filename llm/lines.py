@@ -38,8 +38,9 @@ BLOCKS = 6
 # Words that a key of a line with over eight blocks holds: of its many blocks, some with
 # fewer would hold nothing but frequent words.
 HELD = 6
-# Of 128 bits; a fifth of the words changed moves about 26 bits, give or take 5.
-RADIUS = 46
+# Of 128 bits. Lines of similarity 0.9 in the tables were all within 30; lines that share
+# only a key are about 45 to 60 apart.
+RADIUS = 34
 FEW_WORDS = range(3, 9)
 # (blocks in a key, fewest and most words of a line); a key holds three words at least.
 SHORT = ((3, 8, 12), (2, 11, 24))
@@ -366,7 +367,7 @@ def _slots(handles: np.ndarray) -> np.ndarray:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(handle, key, line) of the lines whose handle is `wanted`, once each. A bitmap of fixed
+    """(handle, key, fp, line) of the lines whose handle is `wanted`, once each. A bitmap of fixed
     size, gathered as at most BITMAP_BITS / 64 words, keeps most other lines in their task."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -393,10 +394,11 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     digests = [_digest(x) for x in held]
                     handles = _handles(digests)
                     at = np.flatnonzero(bits[_slots(handles)])
-                    yield pa.RecordBatch.from_arrays([pa.array(handles[at]), pa.array([digests[i] for i in at], pa.binary()), pa.array([held[i] for i in at], pa.string())], names=["handle", "key", "line"])
+                    held = [held[i] for i in at]
+                    yield pa.RecordBatch.from_arrays([pa.array(handles[at]), pa.array([digests[i] for i in at], pa.binary()), pa.array(line_prints(held), pa.binary()), pa.array(held, pa.string())], names=["handle", "key", "fp", "line"])
                     held = []
 
-    lines = docs.select(F.col("text").cast("string")).mapInArrow(run, "handle long, key binary, line string")
+    lines = docs.select(F.col("text").cast("string")).mapInArrow(run, "handle long, key binary, fp binary, line string")
     return lines.join(wanted, "handle").dropDuplicates(["key"])
 
 
@@ -526,13 +528,7 @@ def _families(rows: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     steps = F.array(F.floor(base), F.floor(base) + 1)
     grouped = rows.select(F.col("a").alias("handle"), "block", F.explode(steps).alias("step"))
     members = grouped.select("handle", F.xxhash64("block", "step").alias("group")).distinct().join(texts, "handle")
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints = pa.array(line_prints(batch.column("line").to_pylist()), pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, prints], names=[*batch.schema.names, "fp"])
-
-    members = members.select("group", "key", "line").mapInArrow(add, "group long, key binary, line string, fp binary")
+    members = members.select("group", "key", "fp", "line")
     return verified(cut(members, "families"), RADIUS, lambda a, b: similar(a, b, least))
 
 
@@ -548,13 +544,15 @@ def _links(docs: DataFrame, keyed: DataFrame, least: float) -> DataFrame:
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            left, right = (matrix(batch.column(c).to_pylist()) for c in ("fa", "fb"))
+            batch = batch.filter(pa.array(np.bitwise_count(left ^ right).sum(axis=1) <= RADIUS))
             left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
             good = pa.array([similar(a, b, least) for a, b in zip(left, right)], pa.bool_())
             yield batch.select(["a", "b"]).filter(good)
 
-    left, right = (texts.select(F.col("handle").alias(h), F.col("key").alias(k), F.col("line").alias(t)) for h, k, t in (("ha", "a", "left"), ("hb", "b", "right")))
+    left, right = (texts.select(F.col("handle").alias(f"h{k}"), F.col("key").alias(k), F.col("fp").alias(f"f{k}"), F.col("line").alias(t)) for k, t in (("a", "left"), ("b", "right")))
     both = pairs.select(F.col("a").alias("ha"), F.col("b").alias("hb")).join(left, "ha").join(right, "hb")
-    links = both.select("a", "b", "left", "right").mapInArrow(check, "a binary, b binary")
+    links = both.select("a", "b", "fa", "fb", "left", "right").mapInArrow(check, "a binary, b binary")
     if not rows.isEmpty():
         links = links.unionByName(_families(rows, texts, least))
     links = cut(links, "verified")
