@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fixwatch.catalog.inputs import EPOCHS, epochs, table
+from fixwatch.catalog.inputs import EPOCHS, epochs, landing, table
 from fixwatch.catalog.registry import query, tidy_sql
 from fixwatch.operators import intervals
 from fixwatch.operators.divergence import divergence_events
 from fixwatch.operators.ttff import ttff_on_schedule
+from fixwatch.plans.finalise import run_days
 
 _SECOND = "CAST(floor(epoch(ts)) AS BIGINT)"
 _LIMITS = (0.5, 0.6)
@@ -129,3 +130,36 @@ def found_divergences(spark: SparkSession, sf_dir: str) -> DataFrame:
         share=_SHARE, days=_DAYS, width=_WIDTH, absolute=_ABSOLUTE, step=intervals.DAY, sustained=_SUSTAINED,
         block=64 * intervals.DAY,
     )
+
+
+def _solutions(spark: SparkSession, sf_dir: str, final: bool) -> DataFrame:
+    """A rapid solution for every station and day; the final one for every third day."""
+    days = epochs(spark, sf_dir).select("station", "date").distinct()
+    rapid = days.select("station", "date", F.lit("r5_1").alias("variant"), F.lit(0.125).alias("offset_m"))
+    if not final:
+        return rapid
+    done = days.where(F.dayofmonth("date") % 3 == 0)
+    return rapid.unionByName(done.select("station", "date", F.lit("f5_1").alias("variant"), F.lit(0.25).alias("offset_m")))
+
+
+@query(
+    "rapid_then_final",
+    tidy_sql(
+        f"""WITH {EPOCHS} SELECT date, station, CASE WHEN day(date) % 3 = 0 THEN 'f5_1' ELSE 'r5_1' END AS variant, CASE WHEN day(date) % 3 = 0 THEN 2 ELSE 1 END AS run,
+          n_epochs, worst - CASE WHEN day(date) % 3 = 0 THEN 0.25 ELSE 0.125 END AS worst_m
+        FROM (SELECT date, station, count(*) AS n_epochs, max(horizontal_m) AS worst FROM epochs GROUP BY ALL) AS g""",
+        real=["worst_m"], whole=["run"], date=["date"],
+    ),
+)
+def rapid_then_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written with rapid solutions, then again when some days are final: only those change."""
+    path = landing(spark, "errors")
+    for run, final in ((1, False), (2, True)):
+
+        def compute(rows: DataFrame, chosen: DataFrame, run: int = run) -> DataFrame:
+            worst = rows.groupBy("station", "date").agg(F.count(F.lit(1)).alias("n_epochs"), F.max("horizontal_m").alias("worst"))
+            joined = worst.join(chosen, ["station", "date"]).withColumn("worst_m", F.col("worst") - F.col("offset_m"))
+            return joined.select("station", "date", "variant", "n_epochs", "worst_m", F.lit(run).alias("run"), F.lit("kinematic").alias("mode"))
+
+        run_days(spark, epochs(spark, sf_dir), _solutions(spark, sf_dir, final), path, compute)
+    return spark.read.parquet(path).drop("mode")
