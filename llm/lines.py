@@ -201,11 +201,12 @@ def within(a: str, b: str, most: int) -> bool:
     left, right = a.split(" "), b.split(" ")
     if len(left) == len(right) and sum(max(len(v), len(w)) for v, w in zip(left, right) if v != w) <= most:
         return True
-    return _distance(a, b) <= most
+    return _distance(a, b, most) <= most
 
 
-def _distance(a: str, b: str) -> int:
-    """Edit distance; differences between neighbouring rows of a column are kept as bits."""
+def _distance(a: str, b: str, most: int) -> int:
+    """Edit distance, or some number over `most` once it must be larger; differences between
+    neighbouring rows of a column are kept as bits."""
     if not a or not b:
         return max(len(a), len(b))
     masks: dict[str, int] = {}
@@ -213,7 +214,12 @@ def _distance(a: str, b: str) -> int:
         masks[c] = masks.get(c, 0) | 1 << k
     full, top = (1 << len(a)) - 1, 1 << len(a) - 1
     plus, minus, score = full, 0, len(a)
+    # The last row falls by one a column at most.
+    least = most + len(b)
     for c in b:
+        if score > least:
+            return score
+        least -= 1
         match = masks.get(c, 0)
         zero = ((match & plus) + plus ^ plus) | match | minus
         up = minus | ~(zero | plus) & full
