@@ -143,7 +143,7 @@ PERIODS = "rinex_id string, `from` date, `to` date, fy_label string, netid int"
 
 @pytest.fixture(scope="module")
 def sources(spark):
-    assignments = spark.createDataFrame([("0231", 7, True), ("1098", None, False), ("0500", 1, True)], "rinex_id string, netid int, isinside boolean")
+    assignments = spark.createDataFrame([("7301", 7, True), ("6415", None, False), ("0500", 1, True)], "rinex_id string, netid int, isinside boolean")
     periods = spark.createDataFrame(
         [
             ("0500", dt.date(2024, 1, 1), dt.date(2024, 6, 30), "a", 1),
@@ -161,21 +161,21 @@ def sources(spark):
 )
 def test_registry_at_a_date(sources, day, flags):
     rows = {r.rinex_id: r for r in registry.registry_at(*sources, day).collect()}
-    assert set(rows) == {"0231", "1098", "0500", "0777"}
+    assert set(rows) == {"7301", "6415", "0500", "0777"}
     assert {k for k, r in rows.items() if r.is_eval} == flags
     assert rows["0777"].netid is None and not rows["0777"].isinside and not rows["0777"].is_southern
-    assert rows["0500"].is_southern and not rows["1098"].is_southern
+    assert rows["0500"].is_southern and not rows["6415"].is_southern
 
 
 def test_qualification_wins_where_present(spark, sources):
     base = registry.registry_at(*sources, dt.date(2024, 6, 30))
     q = spark.createDataFrame(
-        [("0500", False, False, True, False), ("0231", True, False, False, True)],
+        [("0500", False, False, True, False), ("7301", True, False, False, True)],
         "station string, qc_pass boolean, force_eval boolean, out_of_service boolean, qualified boolean",
     )
     rows = {r.rinex_id: r for r in registry.override_with_qualification(base, q).collect()}
     assert not rows["0500"].is_eval and not rows["0500"].qualified and rows["0500"].out_of_service
-    assert rows["0231"].qualified and rows["0231"].qc_pass and not rows["0231"].is_eval
+    assert rows["7301"].qualified and rows["7301"].qc_pass and not rows["7301"].is_eval
     assert rows["0777"].is_eval and rows["0777"].qc_pass is None and not rows["0777"].out_of_service
     with pytest.raises(ValueError, match="force_eval"):
         registry.override_with_qualification(base, q.drop("force_eval"))

@@ -194,11 +194,11 @@ def test_optional_numbers(spark):
         empty=fn.loose_int(F.lit("")),
         n=fn.loose_int(F.lit(" 36. ")),
         strict=fn.strict_int(F.lit("36.")),
-        ref=fn.reference_number(F.lit("see 20260302026017")),
+        ref=fn.reference_number(F.lit("see 20260772026017")),
         raw=fn.reference_number(F.lit("none yet")),
     )
     assert row.na is None and row.empty is None and row.strict is None
-    assert (row.n, row.ref, row.raw) == (36, "2026030", "none yet")
+    assert (row.n, row.ref, row.raw) == (36, "2026077", "none yet")
 
 
 def test_html_to_text(spark):

@@ -53,9 +53,9 @@ def events(spark):
         notice("2026003", ref="2026002", kind="L6_UNUNOREF", hours=9, stop=30, svn=4, naq_ss_signal="L6", condition="over"),
         notice("2026010", ref="2025999", hours=1, start=2, svn=9),
         notice("2026020", hours=2, const="gal", space_vehicle_id=36, signals_affected="E1, E5a", event_description="d"),
-        notice("2026030", hours=3, const="gps", kind="GENERAL"),
+        notice("2026077", hours=3, const="gps", kind="GENERAL"),
         # An earlier fetch of the same notice is superseded.
-        notice("2026030", hours=3, const="gps", kind="DECOM", fetched=-5, svn=77),
+        notice("2026077", hours=3, const="gps", kind="DECOM", fetched=-5, svn=77),
     )
     rows = outages.normalise(raw).collect()
     return rows, {r.event_id: r for r in rows}
@@ -64,7 +64,7 @@ def events(spark):
 def test_one_event_per_chain(events):
     rows, by_id = events
     assert [r.event_id for r in rows] == [
-        "qzs:003:20260101:2026001", "qzs:009:20260101:2026010", "gal:036:20260101:2026020", "gps:000:20260101:2026030",
+        "qzs:003:20260101:2026001", "qzs:009:20260101:2026010", "gal:036:20260101:2026020", "gps:000:20260101:2026077",
     ]
     e = by_id["qzs:003:20260101:2026001"]
     assert (e.start_at, e.end_at) == (T0 + dt.timedelta(hours=8), T0 + dt.timedelta(hours=30))
@@ -81,7 +81,7 @@ def test_open_missing_and_unanchored_events(events):
     galileo = by_id["gal:036:20260101:2026020"]
     assert galileo.start_at == T0 + dt.timedelta(hours=2) and galileo.affected_signals == ["E1", "E5A"]
     assert galileo.severity == "partial" and galileo.reason == "d"
-    general = by_id["gps:000:20260101:2026030"]
+    general = by_id["gps:000:20260101:2026077"]
     assert (general.svn, general.event_type, general.severity, general.reason) == (0, "other", "informational", None)
 
 

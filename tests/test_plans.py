@@ -36,7 +36,7 @@ def positions(folder, station, n=60):
 @pytest.fixture(scope="module")
 def registry(spark):
     return spark.createDataFrame(
-        [("0231", 7, True, False, True, True), ("0232", 1, False, True, False, False)],
+        [("7301", 7, True, False, True, True), ("7302", 1, False, True, False, False)],
         "rinex_id string, netid int, isinside boolean, is_southern boolean, is_eval boolean, qualified boolean",
     )
 
@@ -46,10 +46,10 @@ def test_positions_to_monthly_tables(spark, tmp_path, registry):
 
     pos = tmp_path / "pos"
     pos.mkdir()
-    for station in ("0231", "0232", "0999"):
+    for station in ("7301", "7302", "0999"):
         positions(pos, station)
     xyz = geodetic_to_ecef(F.lit(36.0), F.lit(140.0), F.lit(0.0))
-    reference = spark.createDataFrame([("0231",), ("0232",)], "rinex_id string").select(
+    reference = spark.createDataFrame([("7301",), ("7302",)], "rinex_id string").select(
         "rinex_id", F.lit(DAY).alias("target_date"), xyz.x.alias("x_m"), xyz.y.alias("y_m"), xyz.z.alias("z_m"), F.lit("f5_1").alias("variant")
     )
     worse = reference.withColumns({"x_m": F.col("x_m") + 50, "variant": F.lit("r5")})
@@ -70,7 +70,7 @@ def test_positions_to_monthly_tables(spark, tmp_path, registry):
     assert spark.read.parquet(f"{out}/accuracy").count() == 6
     assert spark.read.parquet(f"{out}/accuracy_network").count() == 468
     assert spark.read.parquet(f"{out}/ttff_network").count() == 468
-    fixed = spark.read.parquet(f"{out}/ttff").where("window = 'all' AND station = '0231'").first()
+    fixed = spark.read.parquet(f"{out}/ttff").where("window = 'all' AND station = '7301'").first()
     assert fixed.n_windows_fixed == 2 and fixed.completion == pytest.approx(60 / 2880)
     # A second run replaces its own partitions.
     run_daily_tables(spark, errors, registry, out, date=DAY, mode=MODE, limits=(2.0, 2.0))
@@ -99,10 +99,10 @@ def test_coordinates_to_reference(spark, tmp_path):
     targets = iso_week_targets("2026-W11")
     assert targets[0] == dt.date(2026, 3, 9) and len(targets) == 7
     days = [dt.date(2026, 3, 1) + dt.timedelta(days=i) for i in range(30)]
-    for station, shift in (("92110", 0.0), ("021098", 10.0)):
+    for station, shift in (("92110", 0.0), ("026415", 10.0)):
         head, _ = coordinate_text().split(" 2026 03 01", 1)
         body = "".join(f" {d:%Y %m %d} 12:00:00 " + "  ".join(f"{c + shift:.10E}" for c in ANCHOR_XYZ) + "  0.0  0.0  0.0\n" for d in days)
-        (src / f"{station}.26.pos").write_text(head.replace("021098", station).replace("1098", station[-4:]) + body + "-DATA\n")
+        (src / f"{station}.26.pos").write_text(head.replace("026415", station).replace("6415", station[-4:]) + body + "-DATA\n")
     out = str(tmp_path / "ref")
     run_reference_coords(spark, str(src), out, targets=targets, rapid=True, provenance=str(tmp_path / "log"))
     run_reference_coords(spark, str(src), out, targets=targets[:1], variant="f5_1")
@@ -119,20 +119,20 @@ def test_qc_text_to_qualification(spark, tmp_path):
         day = dt.date(2026, 4, d)
         folder = tmp_path / f"text{d}"
         folder.mkdir()
-        for station in ("0231", "0232"):
+        for station in ("7301", "7302"):
             (folder / f"{station}.26S").write_text(qc_summary(station))
         run_qc_summary(spark, str(folder), qc, date=day)
     assert spark.read.parquet(f"{qc}/long").count() == 2 * 2 * 57
     out = str(tmp_path / "qualification")
     run_qualification(
         spark, qc, out, ref_date=dt.date(2026, 4, 2),
-        periods=spark.createDataFrame([("0232", dt.date(2026, 1, 1), dt.date(2026, 12, 31), "a", 1)], "rinex_id string, `from` date, `to` date, fy_label string, netid int"),
+        periods=spark.createDataFrame([("7302", dt.date(2026, 1, 1), dt.date(2026, 12, 31), "a", 1)], "rinex_id string, `from` date, `to` date, fy_label string, netid int"),
         out_of_service=spark.createDataFrame([], "rinex_id string"),
-        assignments=spark.createDataFrame([("0231", 7, True)], "rinex_id string, netid int, isinside boolean"),
+        assignments=spark.createDataFrame([("7301", 7, True)], "rinex_id string, netid int, isinside boolean"),
         provenance=str(tmp_path / "log"),
     )
     rows = {r.station: r for r in spark.read.parquet(out).collect()}
-    assert rows["0232"].force_eval and rows["0231"].n_days_total == 2 and rows["0231"].netid == 7
+    assert rows["7302"].force_eval and rows["7301"].n_days_total == 2 and rows["7301"].netid == 7
     assert spark.read.parquet(out).schema["station"].metadata["ng_ratio"] == "0.038"
     (log,) = records(tmp_path / "log")
     assert log["n_stations"] == 2

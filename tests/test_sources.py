@@ -26,7 +26,7 @@ def gga(hms, q=4, n=16, lat="3827.924", geoid="36.5"):
 def test_positions_cross_midnight(spark, tmp_path):
     body = [gga("235912.00"), rmc("235942.00", "010426"), gga("235942.00", 1, 9), rmc("000012.00", "020426"), gga("000012.00", 5),
             rmc("000042.00", "020426"), gga("000042.00", geoid=""), gga("000112.00", lat=""), "$GPGGA,000142.00,1,N", "$GPRMC,short"]
-    (tmp_path / "0231091.pos").write_text("\n".join(body) + "\n")
+    (tmp_path / "7301091.pos").write_text("\n".join(body) + "\n")
     rows = nmea.parse_positions(text.lines(spark, str(tmp_path))).orderBy("line_no").collect()
     assert [r.epoch_idx for r in rows] == [0, 1, 2]
     assert [r.quality for r in rows] == [1, 5, 4] and rows[2].num_sat == 16
@@ -53,7 +53,7 @@ def test_quality_only_reading(spark, tmp_path):
     lines = text.lines(spark, str(tmp_path))
     assert {r.epoch_idx: r.quality for r in nmea.parse_qualities(lines).collect()} == {0: 1, 1: 4}
     assert {r.quality: r.n for r in nmea.quality_histogram(lines).collect()} == {1: 1, 4: 1, 5: 1}
-    assert lines.select(station_of(F.lit("/x/0231091.pos"))).first()[0] == "0231"
+    assert lines.select(station_of(F.lit("/x/7301091.pos"))).first()[0] == "7301"
 
 
 # --- coordinates ---------------------------------------------------------------------
@@ -61,7 +61,7 @@ def test_quality_only_reading(spark, tmp_path):
 
 def coordinate_text(frame="ITRF2014", extra=""):
     return (
-        "+SITE/INF\n ID           021098\n RINEX        1098\n J_NAME       北岬\n E_NAME       KITA MISAKI \n-SITE/INF\n"
+        "+SITE/INF\n ID           026415\n RINEX        6415\n J_NAME       北岬\n E_NAME       KITA MISAKI \n-SITE/INF\n"
         f"+SOLVER/INF\n SOLUTION_ID  X(GPS)\n{extra} COORDINATE   {frame}\n ELLIPSOID    GRS80\n-SOLVER/INF\n\n+DATA\n"
         "*yyyy mm dd HH:MM:SS  X (m)\n*----+--+--+\n"
         " 2026 03 01 12:00:00 -3.9000010000E+06   3.5000000000E+06   3.6000000000E+06   1.0   2.0   3.0\n"
@@ -71,13 +71,13 @@ def coordinate_text(frame="ITRF2014", extra=""):
 
 
 def test_station_coordinates(spark, tmp_path):
-    (tmp_path / "021098.26.pos").write_text(coordinate_text(extra=" HISTORY_ID   9\n"))
+    (tmp_path / "026415.26.pos").write_text(coordinate_text(extra=" HISTORY_ID   9\n"))
     (tmp_path / "bad.26.pos").write_text(coordinate_text().replace(" COORDINATE   ITRF2014\n", ""))
     docs = text.documents(spark, str(tmp_path))
     rows = coords.parse_coordinates(docs).orderBy("date").collect()
     assert [r.date.day for r in rows] == [1, 2]
     r = rows[1]
-    assert (r.f5_id, r.rinex_id, r.j_name, r.e_name, r.frame, r.ellipsoid) == ("021098", "1098", "北岬", "KITA MISAKI", "ITRF2014", "GRS80")
+    assert (r.f5_id, r.rinex_id, r.j_name, r.e_name, r.frame, r.ellipsoid) == ("026415", "6415", "北岬", "KITA MISAKI", "ITRF2014", "GRS80")
     assert (r.x_m, r.h_m) == (-3900002.0, 3.0)
     bad = coords.bad_coordinate_files(docs).collect()
     assert len(bad) == 1 and bad[0].file.endswith("bad.26.pos")
@@ -86,7 +86,7 @@ def test_station_coordinates(spark, tmp_path):
 # --- QC summaries --------------------------------------------------------------------
 
 
-def qc_summary(station="0231"):
+def qc_summary(station="7301"):
     def block(title, row):
         return title + "\n" + "\n".join(f" {label}{row(i)}" for i, label in enumerate(ELEVATION_LABELS)) + "\n\n"
 
@@ -104,15 +104,15 @@ def qc_summary(station="0231"):
 
 
 def test_qc_summary_day(spark, tmp_path):
-    (tmp_path / "02310910.26S").write_text(qc_summary())
-    (tmp_path / "02320910.26S").write_text(qc_summary("0232").replace("  500    0", "  5x0    0"))
+    (tmp_path / "73010910.26S").write_text(qc_summary())
+    (tmp_path / "02320910.26S").write_text(qc_summary("7302").replace("  500    0", "  5x0    0"))
     header, long, failed = qc_text.read_day(text.documents(spark, str(tmp_path)), F.lit(dt.date(2026, 4, 1)))
     h = header.collect()
     assert len(h) == 1
     h = h[0]
-    assert (h.station, h.rec_type, h.rec_num, h.rec_fw_ver, h.ant_type) == ("0231", "ACME R9", "00417", "1.4.2,02/Jan/2021", "ANT7700.00      NONE")
+    assert (h.station, h.rec_type, h.rec_num, h.rec_fw_ver, h.ant_type) == ("7301", "ACME R9", "00417", "1.4.2,02/Jan/2021", "ANT7700.00      NONE")
     assert h.visibility == pytest.approx(41800 / 44000) and h.epochs_w_obs == 2880 and h.approx_pos_z == 3887654.1250
-    assert h.source_file == "02310910.26S"
+    assert h.source_file == "73010910.26S"
     rows = {(r.metric, r.bin_label): r for r in long.collect()}
     assert len(rows) == 57
     assert tuple(rows["ION", "85 - 90"][5:]) == (500.0, 0.0, 0.0)
@@ -195,7 +195,7 @@ def test_qzss_pages(spark, tmp_path):
 
 FEED = """<?xml version="1.0"?><rss><channel>
 <item><title>NOTICE ADVISORY TO GALILEO USERS (NAGU) 2026031</title><link> http://x/1 </link><pubDate>Tue, 12 May 2026 15:36:58 +0000</pubDate>
-<description>&lt;p&gt;NAGU TYPE: USABLE&lt;br&gt;NAGU NUMBER: 2026031&lt;br&gt;NAGU SUBJECT: USABLE AS FROM&lt;br&gt;NAGU REFERENCED TO: &lt;a href="y"&gt;2026030&lt;/a&gt;&lt;br&gt;START DATE EVENT (UTC): 2026-02-03 04:05&lt;br&gt;END DATE EVENT (UTC): N/A&lt;br&gt;SATELLITE AFFECTED: GSAT0777&lt;br&gt;SPACE VEHICLE ID: 21&lt;br&gt;SIGNAL(S) AFFECTED: ALL&lt;/p&gt;&lt;p&gt;EVENT DESCRIPTION: IS USABLE.&lt;/p&gt;</description></item>
+<description>&lt;p&gt;NAGU TYPE: USABLE&lt;br&gt;NAGU NUMBER: 2026031&lt;br&gt;NAGU SUBJECT: USABLE AS FROM&lt;br&gt;NAGU REFERENCED TO: &lt;a href="y"&gt;2026077&lt;/a&gt;&lt;br&gt;START DATE EVENT (UTC): 2026-02-03 04:05&lt;br&gt;END DATE EVENT (UTC): N/A&lt;br&gt;SATELLITE AFFECTED: GSAT0777&lt;br&gt;SPACE VEHICLE ID: 21&lt;br&gt;SIGNAL(S) AFFECTED: ALL&lt;/p&gt;&lt;p&gt;EVENT DESCRIPTION: IS USABLE.&lt;/p&gt;</description></item>
 <item><title>Press release</title><description>x</description></item>
 <item><title>NOTICE ADVISORY TO GALILEO USERS (NAGU) 2026032</title><description>nothing useful</description></item>
 </channel></rss>"""
@@ -207,7 +207,7 @@ def test_galileo_feed(spark, tmp_path):
     p = nt.parse_nagu(items).collect()
     assert len(p) == 1
     p = p[0]
-    assert (p.notice_type, p.reference_id, p.satellite_affected, p.space_vehicle_id, p.signals_affected) == ("USABLE", "2026030", "GSAT0777", 21, "ALL")
+    assert (p.notice_type, p.reference_id, p.satellite_affected, p.space_vehicle_id, p.signals_affected) == ("USABLE", "2026077", "GSAT0777", 21, "ALL")
     assert (p.effective_at, p.expires_at) == (dt.datetime(2026, 2, 3, 4, 5), None)
     assert "NAGU NUMBER: 2026031" in p.body_text and "<" not in p.body_text
     r = nt.raw_nagu(items).first()
@@ -219,12 +219,12 @@ def test_galileo_feed(spark, tmp_path):
 
 
 def test_registry_files(spark, tmp_path):
-    (tmp_path / "a.toml").write_text('[stations."0231"]\nnetid = 7\nisinside = true\n[stations."1098"]\nisinside = false\n')
+    (tmp_path / "a.toml").write_text('[stations."7301"]\nnetid = 7\nisinside = true\n[stations."6415"]\nisinside = false\n')
     (tmp_path / "p.toml").write_text('[stations."0500"]\nperiods = [ { from = 2024-01-01, to = 2024-06-30, fy_label = "a", netid = 1 }, { from = "2025-01-01", to = "2025-06-30", fy_label = "b" } ]\n')
-    (tmp_path / "o.toml").write_text('[stations."1098"]\nreason = "far"\nsince = 2026-04-01\n')
+    (tmp_path / "o.toml").write_text('[stations."6415"]\nreason = "far"\nsince = 2026-04-01\n')
     (tmp_path / "j.toml").write_text('[[jumps]]\ndate = "2026-03-01"\nreason = "r"\n[[jumps]]\ndate = 2026-03-02\nfixed_station_id = "*"\n')
     a = {r.rinex_id: (r.netid, r.isinside) for r in registry.read_assignments(spark, str(tmp_path / "a.toml")).collect()}
-    assert a == {"0231": (7, True), "1098": (None, False)}
+    assert a == {"7301": (7, True), "6415": (None, False)}
     p = registry.read_periods(spark, str(tmp_path / "p.toml")).first().periods
     assert [(x["from"].year, x.netid) for x in p] == [(2024, 1), (2025, None)]
     assert registry.read_out_of_service(spark, str(tmp_path / "o.toml")).first().since == dt.date(2026, 4, 1)

@@ -11,7 +11,7 @@ SCHEMA = "f5_id string, rinex_id string, j_name string, e_name string, frame str
 JUMPS = "date date, fixed_station_id string"
 
 
-def series(spark, days, *, jump=None, ids=(("92110", ANCHOR_XYZ), ("021098", OTHER_XYZ))):
+def series(spark, days, *, jump=None, ids=(("92110", ANCHOR_XYZ), ("026415", OTHER_XYZ))):
     rows = []
     for station, xyz in ids:
         for i, day in enumerate(days):
@@ -27,9 +27,9 @@ def window(target=TARGET, n=7):
 def test_common_drift_is_removed(spark):
     rows = {r.f5_id: r for r in truth.reference_truth(series(spark, window()), [TARGET]).collect()}
     assert (rows["92110"].x_m, rows["92110"].y_m) == pytest.approx(ANCHOR_XYZ[:2], abs=1e-6)
-    assert (rows["021098"].x_m, rows["021098"].z_m) == pytest.approx((OTHER_XYZ[0], OTHER_XYZ[2]), abs=1e-6)
-    assert rows["92110"].rel_x_m == 0.0 and rows["021098"].n_days_used == 15 == rows["021098"].n_days_in_window
-    assert rows["021098"].frame == "ITRF2014" and rows["021098"].variant == "f5_1"
+    assert (rows["026415"].x_m, rows["026415"].z_m) == pytest.approx((OTHER_XYZ[0], OTHER_XYZ[2]), abs=1e-6)
+    assert rows["92110"].rel_x_m == 0.0 and rows["026415"].n_days_used == 15 == rows["026415"].n_days_in_window
+    assert rows["026415"].frame == "ITRF2014" and rows["026415"].variant == "f5_1"
 
 
 @pytest.mark.parametrize("name", ["92110", "*"])
@@ -38,8 +38,8 @@ def test_a_jump_drops_the_anchor_day_only(spark, name):
     jumps = spark.createDataFrame([(bad, name), (TARGET, "00000")], JUMPS)
     rows = {r.f5_id: r for r in truth.reference_truth(series(spark, window(), jump=bad), [TARGET], jumps=jumps).collect()}
     assert rows["92110"].n_days_used == 14
-    assert rows["021098"].n_days_used == 15
-    assert rows["021098"].rel_x_m == pytest.approx(OTHER_XYZ[0] - ANCHOR_XYZ[0], abs=1e-6)
+    assert rows["026415"].n_days_used == 15
+    assert rows["026415"].rel_x_m == pytest.approx(OTHER_XYZ[0] - ANCHOR_XYZ[0], abs=1e-6)
 
 
 def test_too_few_anchor_days(spark):
@@ -57,7 +57,7 @@ def test_batch_and_year_change(spark):
     days = [dt.date(2025, 12, 20) + dt.timedelta(days=i) for i in range(25)]
     rows = truth.reference_truth(series(spark, days), targets).collect()
     assert len(rows) == 6
-    assert {(r.target_date, r.f5_id) for r in rows} == {(t, s) for t in targets for s in ("92110", "021098")}
+    assert {(r.target_date, r.f5_id) for r in rows} == {(t, s) for t in targets for s in ("92110", "026415")}
     assert all(r.n_days_used == 15 for r in rows)
 
 
