@@ -38,9 +38,11 @@ BLOCKS = 6
 # Words that a key of a line with over eight blocks holds: of its many blocks, some with
 # fewer would hold nothing but frequent words.
 HELD = 6
-# Of 128 bits. Lines of similarity 0.9 in the tables were all within 30; lines that share
-# only a key are about 45 to 60 apart.
-RADIUS = 34
+# Of 128 bits. Of the pairs of similarity 0.9 in the tables 99.9 % are within it; lines that
+# share only a key are about 45 to 60 apart. In lines of few words one edit moves more bits
+# than that, so they are compared without a look at the fingerprint.
+RADIUS = 26
+GATED_WORDS = 20
 FEW_WORDS = range(3, 9)
 # (blocks in a key, fewest and most words of a line); a key holds three words at least.
 SHORT = ((3, 8, 12), (2, 11, 24))
@@ -528,13 +530,15 @@ def verified(members: DataFrame, radius: int, alike: Callable) -> DataFrame:
 def _families(rows: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Links inside the lists of over LONG lines: lines of a list meet only those of nearly
     the same length whose whole SimHashes are within RADIUS bits, in groups that `verified`
-    ties to hubs. Lines that share one block of frequent words are about 60 bits apart."""
+    ties to hubs. Lines that share one block of frequent words are about 60 bits apart; lines
+    under GATED_WORDS words count as 0 bits apart from each other, and as far from longer ones."""
     base = F.log(F.shiftrightunsigned("size", 32).cast("double")) / float(-np.log(least))
     # Lengths that allow a link lie in the same step or in the next one.
     steps = F.array(F.floor(base), F.floor(base) + 1)
     grouped = rows.select(F.col("a").alias("handle"), "block", F.explode(steps).alias("step"))
     members = grouped.select("handle", F.xxhash64("block", "step").alias("group")).distinct().join(texts, "handle")
-    members = members.select("group", "key", "fp", "line")
+    words = F.size(F.split("line", " "))
+    members = members.select("group", "key", F.when(words < GATED_WORDS, F.lit(bytes(16))).otherwise(F.col("fp")).alias("fp"), "line")
     return verified(cut(members, "families"), RADIUS, lambda a, b: similar(a, b, least))
 
 
@@ -551,7 +555,8 @@ def _links(docs: DataFrame, keyed: DataFrame, least: float) -> DataFrame:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = (matrix(batch.column(c).to_pylist()) for c in ("fa", "fb"))
-            batch = batch.filter(pa.array(np.bitwise_count(left ^ right).sum(axis=1) <= RADIUS))
+            few = np.array([a.count(" ") + 1 < GATED_WORDS for a in batch.column("left").to_pylist()], bool)
+            batch = batch.filter(pa.array(few | (np.bitwise_count(left ^ right).sum(axis=1) <= RADIUS)))
             left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
             good = pa.array([similar(a, b, least) for a, b in zip(left, right)], pa.bool_())
             yield batch.select(["a", "b"]).filter(good)
