@@ -60,3 +60,9 @@ def carry_forward(df: DataFrame, value: Column, name: str, keys: Sequence[str] =
 def field(text: Column, start: int, stop: int) -> Column:
     """Characters [start, stop) counted from 0."""
     return F.substring(text, start + 1, stop - start)
+
+
+def once(df: DataFrame, kept: Sequence[str | Column], name: str, value: Column) -> DataFrame:
+    """`kept` and `name`, a value that is computed once per row: the optimizer carries neither
+    later filters nor later uses of it through the explode of one element."""
+    return df.select(*kept, F.explode(F.array(value)).alias(name))
