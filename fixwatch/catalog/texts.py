@@ -266,9 +266,10 @@ def qc_day_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _summaries(spark, sf_dir)
     bad = F.regexp_replace("value", r"(?m)^( 10 - 15  ) *\d+", "$1     x")
     texts = docs.withColumn("value", F.when(F.col("file").cast("long") % 3 == 0, bad).otherwise(F.col("value")))
-    header, long, _ = qc_text.read_day(texts, F.lit(dt.date(2024, 5, 6)))
-    sums = long.groupBy("station", "metric").agg(F.count(F.lit(1)).alias("n_bins"), F.sum("tot").alias("tot"))
-    return header.select("station", "epochs_w_obs").join(sums, "station")
+    header, long, _ = qc_text.day_tables(texts, F.lit(dt.date(2024, 5, 6)))
+    sums = long.groupBy("file", "metric").agg(F.count(F.lit(1)).alias("n_bins"), F.sum("tot").alias("tot"))
+    # Several files may name one station.
+    return header.select("file", "station", "epochs_w_obs").join(sums, "file").drop("file")
 
 
 # --- notices -------------------------------------------------------------------------
