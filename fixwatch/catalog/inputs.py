@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixwatch.functions.gnss_time import gps_date, gps_epoch_index, is_day_epoch
+from fixwatch.operators.guards import WIDE_ROWS_PER_TASK, deal
 from fixwatch.session import ensure_checkpoint_dir
 
 MODE = "kinematic"
@@ -24,11 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A test file is one row group and would be parsed in one task; inputs that come in
-    enough partitions are left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A file may be one row group, which one task reads however many splits there are; rows
+    are dealt by a unique key before they are parsed."""
+    return deal(df, key)
 
 
 def landing(spark: SparkSession, what: str) -> str:
@@ -134,6 +134,12 @@ PERIODS = """periods AS (
 METRICS = ("ION", "MP12", "MP21", "MP15", "MP51", "MP17", "MP71", "SN1", "SN2", "SN5", "SN7")
 
 
+def _station_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their station and date, those of a station-day in one task."""
+    keys = {"station": F.col("l_suppkey").cast("string"), "date": F.to_date("l_shipdate")}
+    return deal(table(spark, sf_dir, "lineitem").withColumns(keys), "station", "date")
+
+
 def qc_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A QC row per line item. The odd divisors here and
     in the header keep averages away from rounding ties, where engines differ."""
@@ -158,7 +164,7 @@ def qc_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 def qc_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As `qc_long` with one row per (station, date, metric, bin)."""
     return (
-        qc_long(spark, sf_dir)
+        deal(qc_long(spark, sf_dir), "station", "date", per_task=WIDE_ROWS_PER_TASK)
         .groupBy("station", "date", "metric", "bin_label", "bin_lo")
         .agg(*[F.max(c).alias(c) for c in ("tot", "slps_or_sig", "rms_or_mean")])
     )
@@ -167,8 +173,8 @@ def qc_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 def qc_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per station-day."""
     return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_suppkey").cast("string").alias("station"), F.to_date("l_shipdate").alias("date"))
+        _station_days(spark, sf_dir)
+        .groupBy("station", "date")
         .agg(
             ((1 - F.max("l_discount")) / 1.0007).alias("visibility"),
             (2880 - F.count(F.lit(1)) * 10).cast("int").alias("epochs_w_obs"),

@@ -199,7 +199,7 @@ def _wide_column(name: str) -> str:
     + f" FROM (SELECT station, date, {', '.join(_wide_column(n) for n in _WIDE)} FROM qc_long GROUP BY ALL) AS w",
 )
 def qc_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qc_report.to_wide(qc_unique(spark, sf_dir))
+    return qc_report.to_wide(qc_unique(spark, sf_dir), dealt=True)
 
 
 @query(
@@ -212,4 +212,4 @@ def qc_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def qc_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide and back."""
-    return qc_report.to_long(qc_report.to_wide(qc_unique(spark, sf_dir))).drop("bin_label")
+    return qc_report.to_long(qc_report.to_wide(qc_unique(spark, sf_dir), dealt=True)).drop("bin_label")

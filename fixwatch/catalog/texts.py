@@ -37,7 +37,7 @@ def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(1).alias("part"), gga.alias("value")),
     )
     return (
-        spread(table(spark, sf_dir, "events"))
+        spread(table(spark, sf_dir, "events"), "event_id")
         .select(
             user.cast("string").alias("file"), F.floor(event / 1000).alias("block"), "event_id", F.explode(both).alias("l")
         )
@@ -193,7 +193,7 @@ def _summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(mp, "\n"), F.lit("\n\nmean rms        :  0.123 m\n\nelev (deg)  tot SN1 sig    mean          2|0\n"),
         F.array_join(sn, "\n"), F.lit("\n"),
     )
-    return spread(table(spark, sf_dir, "customer")).select(key.cast("string").alias("file"), text.alias("value"))
+    return spread(table(spark, sf_dir, "customer"), "c_custkey").select(key.cast("string").alias("file"), text.alias("value"))
 
 
 @query(
@@ -301,7 +301,7 @@ def notice_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.format_string("2.  CONDITION: SATELLITE SVN%d\n    WAS OUT: SVN: 99\n\n3.  POC: CIVILIAN\n", user),
     )
     ended = F.when(event % 2 == 0, F.replace(body, F.lit("\n"), F.lit("\r\n"))).otherwise(body)
-    parsed = notice_text.parse_navstar(spread(table(spark, sf_dir, "events")).select("event_id", ended.alias("body_text")))
+    parsed = notice_text.parse_navstar(spread(table(spark, sf_dir, "events"), "event_id").select("event_id", ended.alias("body_text")))
     return parsed.select(
         "event_id", "notice_id", "notice_type", "subject", "published_at", "reference_id", "svn", "prn", "effective_at", "expires_at",
         F.regexp_replace("condition", "^CONDITION: ", "").alias("condition"), F.regexp_replace("poc", "^POC: ", "").alias("poc"),
@@ -331,7 +331,7 @@ def nagu_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     escaped = F.replace(F.replace(html, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     published = F.date_format("o_orderdate", "EEE, d MMM yyyy '12:00:00 +0200'")
-    items = spread(table(spark, sf_dir, "orders")).select(
+    items = spread(table(spark, sf_dir, "orders"), "o_orderkey").select(
         "o_orderkey", F.concat(title, F.format_string("%07d", key)).alias("title"), F.lit("").alias("link"),
         published.alias("pubDate"), escaped.alias("description"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fixwatch.functions.geodesy import ecef_to_geodetic
 from fixwatch.functions.labels import data_availability
-from fixwatch.operators.guards import cut_lineage
+from fixwatch.operators.guards import WIDE_ROWS_PER_TASK, cut_lineage, deal
 from fixwatch.operators.qualification import MASK_DEG
 from fixwatch.operators.quantiles import exact_quantiles
 
@@ -45,8 +45,11 @@ def wide_names() -> list[str]:
     ]
 
 
-def to_wide(qc_long: DataFrame, keys: Sequence[str] = ("station", "date"), names: Sequence[str] | None = None) -> DataFrame:
-    """One row per station-day. The value list is given, so no pass looks for it."""
+def to_wide(
+    qc_long: DataFrame, keys: Sequence[str] = ("station", "date"), names: Sequence[str] | None = None, *, dealt: bool = False
+) -> DataFrame:
+    """One row per station-day. The value list is given, so no pass looks for it. `dealt`: the
+    rows of a station-day already lie in one task."""
     snr = F.col("metric").startswith("SN")
     token = F.concat(F.col("metric"), F.lit("_"), F.replace(F.col("bin_label"), F.lit(" "), F.lit("_")), F.lit("_"))
     cells = F.array(
@@ -57,7 +60,10 @@ def to_wide(qc_long: DataFrame, keys: Sequence[str] = ("station", "date"), names
             for axis, slip_axis, snr_axis in zip(LONG_AXES, SLIP_AXES, SNR_AXES, strict=True)
         ]
     )
-    narrow = qc_long.select(*keys, F.explode(cells).alias("c")).select(*keys, "c.name", "c.x")
+    # Dealt by station-day, so that its cells meet in one task: counted before the shuffle,
+    # every task would hold a row of all columns for nearly every station-day.
+    together = qc_long if dealt else deal(qc_long, *keys, per_task=WIDE_ROWS_PER_TASK)
+    narrow = together.select(*keys, F.explode(cells).alias("c")).select(*keys, "c.name", "c.x")
     return narrow.groupBy(*keys).pivot("name", list(names or wide_names())).agg(F.first("x"))
 
 
@@ -76,18 +82,16 @@ def to_long(wide: DataFrame, keys: Sequence[str] = ("station", "date")) -> DataF
                 for name, axis in zip(names, LONG_AXES, strict=True)
             ]
             digits = label[:2].strip()
-            entries.append(
-                F.struct(
-                    F.lit(metric).alias("metric"),
-                    F.lit(label).alias("bin_label"),
-                    F.lit(int(digits) if digits else -1).alias("bin_lo"),
-                    *values,
-                )
+            entry = F.struct(
+                F.lit(metric).alias("metric"),
+                F.lit(label).alias("bin_label"),
+                F.lit(int(digits) if digits else -1).alias("bin_lo"),
+                *values,
             )
+            entries.append(F.when(F.coalesce(*values).isNotNull(), entry))
     return (
-        wide.select(*keys, F.explode(F.array(*entries)).alias("c"))
+        wide.select(*keys, F.explode(F.array_compact(F.array(*entries))).alias("c"))
         .select(*keys, "c.*")
-        .where(F.coalesce(*LONG_AXES).isNotNull())
     )
 
 
@@ -105,7 +109,7 @@ def slip_total(metrics: Sequence[str]) -> Column:
 def station_days(header: DataFrame, qc_long: DataFrame) -> DataFrame:
     """Headline metrics per station-day, all from one grouping of the long table."""
     masked = F.col("bin_lo") >= MASK_DEG
-    metrics = qc_long.groupBy("station", "date").agg(
+    metrics = deal(qc_long, "station", "date").groupBy("station", "date").agg(
         *[
             obs_weighted_mean(F.col("rms_or_mean"), F.col("tot"), (F.col("metric") == m) & masked).alias(f"{m}_mean")
             for m in SIGNALS

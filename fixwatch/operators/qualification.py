@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fixwatch.functions.labels import excursion_text, nan_to_null
-from fixwatch.operators.guards import cut_lineage
+from fixwatch.operators.guards import cut_lineage, deal
 from fixwatch.operators.quantiles import index_rank, select_ranks
 from fixwatch.operators.registry import forced_stations
 
@@ -56,9 +56,9 @@ def slip_sums(header: DataFrame, qc_long: DataFrame) -> DataFrame:
     )
     # The one part of the QC cells that needs a shuffle is written once, before its bins
     # become rows; thresholds and excursions both read it.
-    totals = cut_lineage(
-        zero.unionByName(counted).groupBy("station", "date").agg(*[F.sum(n).alias(n) for n in names])
-    )
+    # A station-day has few rows, so they are dealt first and summed once.
+    both = deal(zero.unionByName(counted), "station", "date", n_rows=qc_long.count())
+    totals = cut_lineage(both.groupBy("station", "date").agg(*[F.sum(n).alias(n) for n in names]))
     cells = F.array(*[F.struct(F.lit(b).alias("bin_lo"), F.col(n).alias("slips")) for b, n in zip(_BINS, names, strict=True)])
     return totals.select("station", "date", F.explode(cells).alias("c")).select("station", "date", "c.*")
 
