@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import repeat
 from typing import NamedTuple
 
@@ -12,13 +13,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import cut
+from llm.common import cut, discard
 
 STEP = 16  # words; a passage is two steps
 RANK = 192
 EXTRA = 16
+ITEM_WEIGHT = 4
 ITEMS_PER_PASS = 2_000
-SAMPLE_DOCS = 500
+# Pairs of words (4 bytes each) that a task counts at a time, and that a row holds.
+PAIRS_PER_PASS = 1 << 24
+PAIRS_PER_BLOCK = 1 << 15
+STEPS_PER_PART = 1 << 19
+# Steps of several texts that are counted or projected together.
+GROUP_STEPS = 4_096
+BLOCK_STEPS = 256
 LEAST_COSINE = 0.38
 LEAST_MASS = 0.2
 # Items of fewer words are never found; those under LEAST_FUZZY count where they stand exactly.
@@ -67,29 +75,6 @@ def _windows(ids: list[int]) -> list[list[int]]:
     return [ids[k : k + 2 * STEP] for k in range(0, len(ids) - STEP, STEP)]
 
 
-def document_counts(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[int, np.ndarray]:
-    """Number of documents, and of those that hold each word of `vocabulary`. As many rows
-    come back as the vocabulary has words, whatever the size of `docs`."""
-    size = len(vocabulary)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(size + 1, np.int64)
-        known = vocabulary.keys()
-        for batch in batches:
-            for text in batch.column(0):
-                found = known & set(words(text.as_py()))
-                counts[np.fromiter((vocabulary[w] for w in found), np.int64, len(found))] += 1
-            counts[size] += batch.num_rows
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["word", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(size + 1, np.int64)
-    for r in rows:
-        counts[r["word"]] = r["n"]
-    return int(counts[size]), counts[:size]
-
-
 def _passages(text: str | None, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int]:
     """Word ids of a text (-1: not in the vocabulary) and its number of passages."""
     parts = words(text)
@@ -97,47 +82,200 @@ def _passages(text: str | None, vocabulary: dict[bytes, int]) -> tuple[np.ndarra
     return ids, max(1, -(-len(ids) // STEP) - 1) if len(ids) else 0
 
 
-def _gram(spark_rows: DataFrame, right: np.ndarray, left: np.ndarray | None) -> np.ndarray:
-    """Sum over the passages of a' (a right), or of (a left)' (a right): one partial matrix
-    a task, added up in the driver; its size is that of `right`, or rank x rank."""
+class Placed(NamedTuple):
+    """The known words of several texts on one line of steps."""
+
+    word: np.ndarray
+    text: np.ndarray  # which text
+    step: np.ndarray  # place on the line
+    held: np.ndarray  # number of passages that hold the word
+    base: np.ndarray  # first step of each text, and the end of the line
+
+
+def _place(texts: list[tuple[np.ndarray, int]], gap: int) -> Placed:
+    """Texts take one step more than they have passages, and `gap` empty ones."""
+    lengths = np.array([len(ids) for ids, _ in texts])
+    counts = np.array([count for _, count in texts])
+    ids = np.concatenate([ids for ids, _ in texts])
+    at = np.flatnonzero(ids >= 0)
+    ends = np.cumsum(lengths)
+    text = np.searchsorted(ends, at, "right")
+    own = (at - (ends - lengths)[text]) // STEP
+    base = np.concatenate([[0], np.cumsum(counts + 1 + gap)])
+    held = np.where((own == 0) | (own == counts[text]), 1, 2).astype(np.int32)
+    return Placed(ids[at], text, base[text] + own, held, base)
+
+
+def _groups(texts: Iterator[tuple[int, np.ndarray, int]]) -> Iterator[list[tuple[int, np.ndarray, int]]]:
+    """Texts with words, some GROUP_STEPS steps at a time."""
+    group, steps = [], 0
+    for row in texts:
+        if row[2]:
+            group.append(row)
+            steps += row[2] + 1
+        if steps >= GROUP_STEPS:
+            yield group
+            group, steps = [], 0
+    if group:
+        yield group
+
+
+def _row_blocks(first: int, last: int, entries: int) -> list[tuple[int, int]]:
+    """Rows `first` to `last` of a lower triangle in runs of at most `entries` entries (or one row)."""
+    out, at = [], first
+    for row in range(first, last):
+        if row > at and (row + 1) * (row + 2) // 2 - at * (at + 1) // 2 > entries:
+            out.append((at, row))
+            at = row
+    return [*out, (at, last)] if last > at else out
+
+
+def _count_pairs(placed: Placed, start: np.ndarray, first: int, last: int, pairs: np.ndarray) -> None:
+    """Add, for each two places of known words, the number of passages that hold both."""
+    word, step, held = placed.word.astype(np.int32), placed.step.astype(np.int32), placed.held
+    for d in range(1, 2 * STEP):
+        apart = step[d:] - step[:-d]
+        near = np.flatnonzero(apart <= 1)
+        if not len(near):
+            break
+        one, other = word[near], word[near + d]
+        high, low = np.maximum(one, other), np.minimum(one, other)
+        times = np.where(apart[near] == 0, held[near], np.int32(1))
+        if first or last < len(start) - 1:
+            mine = (high >= first) & (high < last)
+            high, low, times = high[mine], low[mine], times[mine]
+        np.add.at(pairs, start[high] + low - start[first], times)
+
+
+def cooccurrences(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[int, np.ndarray, DataFrame]:
+    """Number of documents, of those that hold each word of `vocabulary`, and a table of the
+    integers t't summed over every passage of every document, t being the times of the words
+    in a passage: (first, last, part), rows `first` to `last` of the lower triangle.
+
+    A task adds up what it reads and sends the sums, so a word pair costs the same whether the
+    corpus holds it once or always. Vocabularies with more than PAIRS_PER_PASS pairs take
+    several passes over the documents."""
+    size = len(vocabulary)
+    start = np.arange(size + 1, dtype=np.int64)
+    start = start * (start + 1) // 2
+
+    def counter(first: int, last: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        blocks = _row_blocks(first, last, PAIRS_PER_BLOCK)
+        diagonal = np.arange(first, last)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            counts = np.zeros(size + 1, np.int64)
+            pairs = np.zeros(start[last] - start[first], np.int32)
+            alone = np.zeros(size, np.int64)
+            steps = 0
+
+            def texts() -> Iterator[tuple[int, np.ndarray, int]]:
+                for batch in batches:
+                    counts[size] += batch.num_rows
+                    for text in batch.column(0):
+                        yield 0, *_passages(text.as_py(), vocabulary)
+
+            def rows() -> pa.RecordBatch:
+                # A place with itself counts once, two places of one word twice.
+                at = start[diagonal] + diagonal - start[first]
+                pairs[at] = 2 * pairs[at] + alone[first:last]
+                parts = [pairs[start[a] - start[first] : start[b] - start[first]].tobytes() for a, b in blocks]
+                out = pa.RecordBatch.from_arrays([pa.array([a for a, _ in blocks], pa.int32()), pa.array([b for _, b in blocks], pa.int32()), pa.array(parts, pa.binary())], names=["first", "last", "part"])
+                pairs[:] = 0
+                alone[:] = 0
+                return out
+
+            for group in _groups(texts()):
+                placed = _place([(ids, count) for _, ids, count in group], 1)
+                _count_pairs(placed, start, first, last, pairs)
+                alone += np.bincount(placed.word, placed.held, minlength=size).astype(np.int64)
+                counts[:size] += np.bincount(np.unique(placed.text * size + placed.word) % size, minlength=size)
+                steps += placed.base[-1]
+                # A passage adds at most its square of words to a pair.
+                if steps >= STEPS_PER_PART:
+                    yield rows()
+                    steps = 0
+            if steps:
+                yield rows()
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([-1], pa.int32()), pa.array([counts.tobytes()], pa.binary())], names=["first", "last", "part"])
+
+        return run
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for first, last, part in zip(*[c.to_pylist() for c in batch.columns]):
+                values = np.frombuffer(part, np.int64 if first < 0 else np.int32)
+                if (first, last) in total:
+                    total[first, last] += values
+                else:
+                    total[first, last] = values.astype(np.int64)
+        for (first, last), values in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([first], pa.int32()), pa.array([last], pa.int32()), pa.array([values.tobytes()], pa.binary())], names=["first", "last", "part"])
+
+    shape = "first int, last int, part binary"
+    parts = [docs.select("text").mapInArrow(counter(a, b), shape).repartition("first").mapInArrow(add, shape) for a, b in _row_blocks(0, size, PAIRS_PER_PASS)]
+    table = cut(reduce(DataFrame.unionByName, parts), "pairs")
+    # Each pass counts the documents; without any there is no row.
+    row = table.filter("first < 0").select("part").first()
+    counts = np.frombuffer(row[0], np.int64) if row else np.zeros(size + 1, np.int64)
+    return int(counts[size]), counts[:size], table
+
+
+def _product(table: DataFrame, right: np.ndarray) -> np.ndarray:
+    """The symmetric matrix of `cooccurrences` times `right`: one partial result a task, added
+    up in the driver; its size is that of `right`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((right.shape[0] if left is None else left.shape[1], right.shape[1]), np.float64)
+        total = np.zeros(right.shape)
         for batch in batches:
-            for ids, values in zip(batch.column(0), batch.column(1)):
-                at, v = np.array(ids.as_py(), np.int64), np.array(values.as_py(), np.float64)
-                y = v @ right[at]
-                if left is None:
-                    np.add.at(total, at, v[:, None] * y)
-                else:
-                    total += np.outer(v @ left[at], y)
+            for first, last, part in zip(*[c.to_pylist() for c in batch.columns]):
+                rows = np.zeros((last - first, last))
+                rows[np.arange(last) <= np.arange(first, last)[:, None]] = np.frombuffer(part, np.int64)
+                total[first:last] += rows @ right[:last]
+                rows[np.arange(last - first), np.arange(first, last)] = 0
+                total[:last] += rows.T @ right[first:last]
         yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["part"])
 
-    shape = (right.shape[0] if left is None else left.shape[1], right.shape[1])
-    total = np.zeros(shape)
-    for r in spark_rows.mapInArrow(run, "part binary").toLocalIterator():
-        total += np.frombuffer(r["part"], np.float32).reshape(shape)
+    total = np.zeros(right.shape)
+    for r in table.filter("first >= 0").mapInArrow(run, "part binary").toLocalIterator():
+        total += np.frombuffer(r["part"], np.float32).reshape(right.shape)
+    return total
+
+
+def _diagonal(table: DataFrame, size: int) -> np.ndarray:
+    """The diagonal of the matrix of `cooccurrences`: as many numbers as there are words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, part in zip(*[c.to_pylist() for c in batch.columns]):
+                ends = np.cumsum(np.arange(first, last) + 1) - 1
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, last)), pa.array(np.frombuffer(part, np.int64)[ends])], names=["word", "n"])
+
+    total = np.zeros(size)
+    for r in table.filter("first >= 0").mapInArrow(run, "word long, n long").collect():
+        total[r["word"]] = r["n"]
     return total
 
 
-def randomised_svd(passages: DataFrame, size: int, rank: int, rounds: int = 2) -> np.ndarray:
-    """Right singular vectors (size x rank) of the passages (word ids, weights) by a random
-    range finder with power iterations; each round is one pass of Spark over the passages."""
+def randomised_svd(gram: Callable[[np.ndarray], np.ndarray], size: int, rank: int, rounds: int = 2) -> np.ndarray:
+    """Right singular vectors (size x rank) of a matrix a by a random range finder with power
+    iterations; `gram` multiplies by a'a, in one pass of Spark over its blocks."""
     width = min(size, rank + EXTRA)
     basis = np.linalg.qr(np.random.default_rng(17).standard_normal((size, width)))[0]
     for _ in range(rounds):
-        basis = np.linalg.qr(_gram(passages, basis, None))[0]
-    values, vectors = np.linalg.eigh(_gram(passages, basis, basis))
+        basis = np.linalg.qr(gram(basis))[0]
+    values, vectors = np.linalg.eigh(basis.T @ gram(basis))
     order = np.argsort(-values)[: min(rank, width)]
     return basis @ vectors[:, order]
 
 
-def build(docs: DataFrame, rows: list[tuple[int, str]], sample_docs: int = SAMPLE_DOCS) -> Index:
+def build(docs: DataFrame, rows: list[tuple[int, str]]) -> Index:
     """The latent index of one block of benchmark items.
 
-    Words are those of the items; document frequencies are counted over all of `docs`. The
-    decomposition is fitted on the items' passages and those of the `sample_docs` documents
-    whose hashed ids come first; every passage of every document is searched later."""
+    Words are those of the items; document frequencies and the decomposition are those of all
+    passages of all of `docs`. In the decomposition the items' own windows together weigh
+    ITEM_WEIGHT times the corpus, so that the space tells items apart at any corpus size."""
     texts = [(i, t, words(t)) for i, t in rows if t is not None]
     texts = [(i, t, w) for i, t, w in texts if len(w) >= LEAST_WORDS]
     vocabulary = {w: k for k, w in enumerate(sorted({w for _, _, ws in texts for w in ws}))}
@@ -151,28 +289,25 @@ def build(docs: DataFrame, rows: list[tuple[int, str]], sample_docs: int = SAMPL
     for k, item in enumerate(items):
         if len(item.ids) < LEAST_FUZZY:
             short.setdefault(tuple(item.ids), []).append(k)
-    n, counts = document_counts(docs, vocabulary)
+    n, counts, pairs = cooccurrences(docs, vocabulary)
     idf = np.log((2 + n) / (1 + counts))
-    spark = docs.sparkSession
-
-    def weigh(ids: np.ndarray) -> tuple[list[int], list[float]]:
-        at, tf = np.unique(ids[ids >= 0], return_counts=True)
-        return at.tolist(), (tf * idf[at]).tolist()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text in batch.column(0):
-                ids, count = _passages(text.as_py(), vocabulary)
-                out += [weigh(ids[STEP * k : STEP * (k + 2)]) for k in range(count)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.list_(pa.int64())), pa.array([x[1] for x in out], pa.list_(pa.float64()))], names=["ids", "weights"])
-
-    shape = "ids array<long>, weights array<double>"
-    chosen = docs.select("doc_id").filter("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text").mapInArrow(run, shape)
-    own = spark.createDataFrame([weigh(np.array(ids)) for _, ids in windows] or [([], [])], shape)
-    passages = cut(own.unionByName(sample).filter("size(ids) > 0").repartition(8), "passages")
-    loadings = randomised_svd(passages, len(vocabulary), RANK) * idf[:, None]
+    flat = np.array([w for _, ids in windows for w in ids], np.int64)
+    firsts = np.cumsum([0, *(len(ids) for _, ids in windows)])
+    # Squared TF-IDF lengths, of all passages and of all windows.
+    heavy = (idf**2) @ _diagonal(pairs, len(vocabulary))
+    light = sum(float(((idf[at] * tf) ** 2).sum()) for at, tf in (np.unique(ids, return_counts=True) for _, ids in windows))
+    weight = ITEM_WEIGHT * heavy / light if heavy and light else 1.0
+
+    def gram(right: np.ndarray) -> np.ndarray:
+        weighted = idf[:, None] * right
+        total = _product(pairs, weighted)
+        if windows:
+            own = np.add.reduceat(weighted[flat], firsts[:-1], axis=0)
+            np.add.at(total, flat, weight * np.repeat(own, np.diff(firsts), axis=0))
+        return idf[:, None] * total
+
+    loadings = randomised_svd(gram, len(vocabulary), RANK) * idf[:, None]
+    discard(pairs)
     latent = np.stack([loadings[ids].sum(axis=0) for _, ids in windows]) if windows else np.zeros((0, loadings.shape[1]))
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
     mass = np.array([float((idf[ids] ** 2).sum()) for _, ids in windows])
@@ -193,52 +328,72 @@ def common_subsequence(item: list[int], ids: list[int]) -> int:
     return len(item) - row.bit_count()
 
 
-def search(index: Index, text: str | None) -> tuple[int, int, float, float, float] | None:
-    """(number of items found, best item, its word-order share, answer share, cosine)."""
-    ids, count = _passages(text, index.vocabulary)
-    if not count:
-        return None
-    hit = np.flatnonzero(ids >= 0)
-    if not len(hit):
-        return None
-    at = ids[hit]
-    step = hit // STEP
-    # Squared TF-IDF length of every step and passage, repeated words taken one by one.
-    mass = np.bincount(step, index.idf[at] ** 2, minlength=count + 1)
-    mass = mass[:count] + mass[1 : count + 1]
-    found: dict[int, tuple[float, float, float]] = {}
-    for length in {len(key) for key in index.short}:
-        for start in np.flatnonzero(np.isin(ids, [key[0] for key in index.short])).tolist():
-            for k in index.short.get(tuple(ids[start : start + length].tolist()), ()):
-                found[k] = (1.0, 1.0, 1.0)
-    for first in range(0, count, 256):
-        last = min(first + 256, count)
-        lo, hi = np.searchsorted(step, first), np.searchsorted(step, last + 1)
-        if lo == hi:
-            continue
-        present, starts = np.unique(step[lo:hi], return_index=True)
-        sums = np.zeros((last - first + 1, index.loadings.shape[1]), np.float32)
-        sums[present - first] = np.add.reduceat(index.loadings[at[lo:hi]], starts, axis=0)
-        vectors = sums[:-1] + sums[1:]
-        norms = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-        near = (vectors @ index.latent.T >= LEAST_COSINE * norms) & (mass[first:last, None] >= index.least_mass)
-        for p, window in zip(*map(np.ndarray.tolist, np.nonzero(near))):
-            k = int(index.owner[window])
-            item = index.items[k]
+Found = tuple[int, int, float, float, float]
+
+
+def search(index: Index, texts: Iterator[str | None]) -> Iterator[tuple[int, Found]]:
+    """(number of the text, (number of items found, best item, its word-order share, answer
+    share, cosine)) of the texts that hold an item; small texts are projected together."""
+    numbered = ((k, *_passages(text, index.vocabulary)) for k, text in enumerate(texts))
+    firsts = [key[0] for key in index.short]
+    lengths = {len(key) for key in index.short}
+    loadings = np.concatenate([index.loadings, np.zeros((1, index.loadings.shape[1]), np.float32)])
+    for group in _groups(numbered):
+        found: dict[int, dict[int, tuple[float, float, float]]] = {}
+        if index.short:
+            for g, (_, ids, _) in enumerate(group):
+                starts = np.flatnonzero(np.isin(ids, firsts)).tolist()
+                for start in starts:
+                    for length in lengths:
+                        for k in index.short.get(tuple(ids[start : start + length].tolist()), ()):
+                            found.setdefault(g, {})[k] = (1.0, 1.0, 1.0)
+        placed = _place([(ids, count) for _, ids, count in group], 0)
+        for g, k, p, cosine in _near(index, loadings, placed):
+            ids, item = group[g][1], index.items[k]
             n = len(item.ids)
-            start = (first + p) * STEP
-            region = ids[max(0, start - n) : start + 2 * STEP + n].tolist()
-            if sum(item.counts[w] for w in item.counts.keys() & set(region)) < WEAK * n or k in found and found[k][0] >= 1:
+            region = ids[max(0, p * STEP - n) : (p + 2) * STEP + n].tolist()
+            if sum(map(item.counts.__getitem__, item.counts.keys() & set(region))) < WEAK * n:
+                continue
+            old = found.get(g, {}).get(k, (0.0, 0.0, 0.0))
+            if old[0] >= 1:
                 continue
             share = common_subsequence(item.ids, region) / n
             answer = common_subsequence(item.answer, region) / max(len(item.answer), 1)
             if share >= STRONG or share >= WEAK and answer >= ANSWER:
-                cosine = float(vectors[p] @ index.latent[window] / norms[p, 0])
-                found[k] = max(found.get(k, (0.0, 0.0, 0.0)), (share, answer, cosine))
-    if not found:
-        return None
-    best = max(found, key=lambda k: (found[k][0], -index.items[k].item_id))
-    return len(found), index.items[best].item_id, *found[best]
+                found.setdefault(g, {})[k] = max(old, (share, answer, cosine))
+        for g, items in found.items():
+            best = max(items, key=lambda k: (items[k][0], -index.items[k].item_id))
+            yield group[g][0], (len(items), index.items[best].item_id, *items[best])
+
+
+def _near(index: Index, loadings: np.ndarray, placed: Placed) -> Iterator[tuple[int, int, int, float]]:
+    """(text, item, passage of the text, cosine) of passages near a window of an item;
+    `loadings` are those of the index and a row of zeros."""
+    step, steps = placed.step, int(placed.base[-1])
+    # Squared TF-IDF length of every step and passage, repeated words taken one by one; a
+    # text's last step begins no passage.
+    mass = np.bincount(step, index.idf[placed.word] ** 2, minlength=steps)
+    mass = mass[:-1] + mass[1:]
+    mass[placed.base[1:-1] - 1] = -1
+    for first in range(0, steps - 1, BLOCK_STEPS):
+        last = min(first + BLOCK_STEPS, steps - 1)
+        lo, hi = np.searchsorted(step, first), np.searchsorted(step, last + 1)
+        if lo == hi:
+            continue
+        # A step's words one below the other, the last row of `loadings` where it has fewer.
+        own = step[lo:hi] - first
+        order = np.arange(hi - lo) - np.searchsorted(own, own)
+        grid = np.full((order.max() + 1, last - first + 1), len(loadings) - 1)
+        grid[order, own] = placed.word[lo:hi]
+        sums = loadings[grid[0]]
+        for row in grid[1:]:
+            sums += loadings[row]
+        vectors = sums[:-1] + sums[1:]
+        norms = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+        dots = vectors @ index.latent.T
+        p, window = np.nonzero((dots >= LEAST_COSINE * norms) & (mass[first:last, None] >= index.least_mass))
+        g = np.searchsorted(placed.base, first + p, "right") - 1
+        yield from zip(g.tolist(), index.owner[window].tolist(), (first + p - placed.base[g]).tolist(), (dots[p, window] / norms[p, 0]).tolist())
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -280,11 +435,7 @@ def _searcher(index: Index, added: list[str]) -> Callable[[Iterator[pa.RecordBat
         for batch in batches:
             at = batch.schema.get_field_index("text")
             columns = {c: batch.column(c).to_pylist() for c in added}
-            for k, text in enumerate(batch.column(at)):
-                got = search(index, text.as_py())
-                if got is None:
-                    continue
-                n, *best = got
+            for k, (n, *best) in search(index, (text.as_py() for text in batch.column(at))):
                 columns["contaminated"][k] = True
                 columns["n_items"][k] += n
                 old = columns["lcs_share"][k]

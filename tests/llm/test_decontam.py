@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from llm.decontam import common_subsequence, decontaminate
+from llm import decontam
+from llm.decontam import STEP, build, common_subsequence, cooccurrences, decontaminate, words
 
 
 def test_common_subsequence():
@@ -58,3 +60,44 @@ def test_items_of_3_to_1000_words(spark, documents):
     want = {2 * k: k for k in range(len(sizes))} | {2 * len(sizes): len(sizes) - 2}
     assert {k: r["item_id"] for k, r in got.items() if r["contaminated"]} == want
     assert got[6]["n_items"] == 2 and got[0]["lcs_share"] == 1.0
+
+
+def test_pairs_of_all_passages_are_counted(spark, documents, monkeypatch):
+    rng = random.Random(3)
+    pool = [f"w{k}" for k in range(40)]
+    texts = [" ".join(rng.choices(pool, k=n)) for n in (0, 1, 15, 16, 17, 31, 32, 33, 48, 49, 200, 1000)] + [None, "w1 " * 300]
+    vocabulary = {w.encode(): k for k, w in enumerate(pool[:30])}
+    want, present = np.zeros((30, 30), np.int64), np.zeros(30, np.int64)
+    for text in texts:
+        ids = [vocabulary.get(w, -1) for w in words(text)]
+        present[sorted({w for w in ids if w >= 0})] += 1
+        for p in range(max(1, -(-len(ids) // STEP) - 1)):
+            t = np.bincount([w for w in ids[p * STEP : (p + 2) * STEP] if w >= 0], minlength=30)
+            want += np.outer(t, t)
+    for per_pass, per_part in ((1 << 24, 1 << 19), (100, 20)):
+        monkeypatch.setattr(decontam, "PAIRS_PER_PASS", per_pass)
+        monkeypatch.setattr(decontam, "STEPS_PER_PART", per_part)
+        monkeypatch.setattr(decontam, "PAIRS_PER_BLOCK", 50)
+        monkeypatch.setattr(decontam, "GROUP_STEPS", per_part)
+        n, counts, table = cooccurrences(documents(texts).repartition(3), vocabulary)
+        assert n == len(texts) and counts.tolist() == present.tolist()
+        assert np.array_equal(decontam._product(table, np.eye(30)), want)
+
+
+def test_model_depends_on_every_document(spark, documents):
+    rng = random.Random(5)
+    pool = [f"w{k}" for k in range(240)]
+    rows = [(k, " ".join(pool[6 * k : 6 * k + 6])) for k in range(40)]
+    texts = [" ".join(rng.choices(pool, k=20)) for _ in range(510)]
+    docs = documents(texts)
+    last = docs.orderBy(F.xxhash64("doc_id").desc()).first()["doc_id"]
+    tail = pool * 2
+
+    def subspace(order):
+        long = documents([*texts[:last], " ".join(order), *texts[last + 1 :]])
+        index = build(long, rows)
+        return (index.loadings / index.idf[:, None]) @ (index.loadings / index.idf[:, None]).T
+
+    # The same words in every document, in another order in one that no sample of 500 held.
+    one, other = subspace(tail), subspace(sorted(tail))
+    assert abs(one - other).max() > 1e-3
