@@ -71,6 +71,13 @@ def coordinate_text(frame="ITRF2014", extra=""):
     )
 
 
+def test_coordinate_lines_are_taken_apart_once(spark):
+    docs = spark.createDataFrame([("f", "x")], "file string, value string")
+    plan = coords.parse_coordinates(docs)._jdf.queryExecution().optimizedPlan().toString()
+    # The good rows are chosen by what was read, above the lines of a file.
+    assert "split(trim(" not in plan[: plan.index("Generate")]
+
+
 def test_station_coordinates(spark, tmp_path):
     (tmp_path / "026415.26.pos").write_text(coordinate_text(extra=" HISTORY_ID   9\n"))
     (tmp_path / "bad.26.pos").write_text(coordinate_text().replace(" COORDINATE   ITRF2014\n", ""))
