@@ -90,11 +90,7 @@ def registry_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def eval_flags_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = (
-        table(spark, sf_dir, "lineitem")
-        .select(F.col("l_suppkey").cast("string").alias("rinex_id"), F.to_date("l_shipdate").alias("date"))
-        .distinct()
-    )
+    days = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("rinex_id"), F.to_date("l_shipdate").alias("date"))
     return reg.eval_flags_by_date(days, periods(spark, sf_dir))
 
 

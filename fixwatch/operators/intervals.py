@@ -62,6 +62,20 @@ def carry_last(rows: DataFrame, keys: Sequence[str], block: int = DAY) -> DataFr
     return inner.join(carried, [*keys, "block"]).withColumn("last_mark", F.coalesce("inner", "carried")).drop("inner", "carried", "block")
 
 
+def largest_so_far(rows: DataFrame, keys: Sequence[str], marks: Sequence[str], block: int = DAY) -> DataFrame:
+    """`rows` (keys, at, marks; one row per place) where each of `marks` is its largest value
+    at or before the place, NULL where there is none yet. Rows without key or place stay."""
+    keys = list(keys)
+    dealt = rows.withColumn("block", _block("at", block))
+    inside = Window.partitionBy(*keys, "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = dealt.groupBy(*keys, "block").agg(*[F.max(m).alias(f"{m}_in_block") for m in marks])
+    carried = blocks.select(*keys, "block", *[F.max(f"{m}_in_block").over(before).alias(f"{m}_carried") for m in marks])
+    inner = dealt.withColumns({m: F.max(m).over(inside) for m in marks})
+    joined = inner.join(carried, [*keys, "block"], "left")
+    return joined.withColumns({m: F.greatest(m, f"{m}_carried") for m in marks}).drop("block", *[f"{m}_carried" for m in marks])
+
+
 def _changes(intervals: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, at, delta) of intervals (keys, start, end), summed per place. Intervals without
     a start, and those that end where or before they start, are none."""

@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fixwatch.operators.cells import SOUTHERN_NETIDS
 from fixwatch.operators.guards import require_columns
-from fixwatch.operators.intervals import stab, union_of, with_next
+from fixwatch.operators.intervals import largest_so_far, with_next
 
 # Preference of solution variants, final before rapid.
 VARIANT_ORDER = ("f5_1", "f5", "r5_1", "r5")
 
 DAYS_PER_BLOCK = 4096
-DAYS_PER_BUCKET = 32
 
 
 def explode_periods(stations: DataFrame) -> DataFrame:
@@ -30,15 +30,36 @@ def eval_flags(periods: DataFrame, target: dt.date) -> DataFrame:
 
 
 def eval_flags_by_date(dates: DataFrame, periods: DataFrame) -> DataFrame:
-    """Distinct `dates` (rinex_id, date) with `is_eval`, for many dates at once: the periods of
-    a station are merged into disjoint spans of days, and a date finds the span that holds it
-    by buckets. A period that ends before it starts covers nothing."""
-    days = F.unix_date(F.col("from")).cast("long"), F.unix_date(F.date_add("to", 1)).cast("long")
-    bounded = periods.where("from IS NOT NULL AND to IS NOT NULL")
-    covered = union_of(bounded.select("rinex_id", days[0].alias("start"), days[1].alias("end")), ["rinex_id"], DAYS_PER_BLOCK)
-    asked = dates.select("rinex_id", F.unix_date("date").cast("long").alias("at"))
-    found = stab(asked, covered, ["rinex_id"], DAYS_PER_BUCKET)
-    return found.select("rinex_id", F.date_from_unix_date(F.col("at").cast("int")).alias("date"), F.col("start").isNotNull().alias("is_eval"))
+    """Distinct `dates` (rinex_id, date) with `is_eval`, for many dates at once: a period
+    covers a day if the latest end of all that started by then is not before it. A period
+    that ends before it starts covers nothing."""
+    placed = largest_so_far(_by_day(_asked(dates), _period_ends(periods)), ["rinex_id"], ["last_day"], DAYS_PER_BLOCK).where("asked")
+    return placed.select("rinex_id", _date("at").alias("date"), _covered().alias("is_eval"))
+
+
+def _date(column: str) -> Column:
+    return F.date_from_unix_date(F.col(column).cast("int"))
+
+
+def _asked(dates: DataFrame) -> DataFrame:
+    return dates.select("rinex_id", F.unix_date("date").cast("long").alias("at"), F.lit(True).alias("asked"))
+
+
+def _period_ends(periods: DataFrame) -> DataFrame:
+    """(rinex_id, at, last_day): the ends of the periods at their starts."""
+    first, last = F.unix_date("from").cast("long"), F.unix_date("to").cast("long")
+    return periods.where("rinex_id IS NOT NULL").select("rinex_id", first.alias("at"), last.alias("last_day")).where("last_day >= at")
+
+
+def _covered() -> Column:
+    return F.coalesce(F.col("last_day") >= F.col("at"), F.lit(False))
+
+
+def _by_day(*parts: DataFrame) -> DataFrame:
+    """One row per station and day of all parts, with the largest value of their columns."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    marks = [c for c in rows.columns if c not in ("rinex_id", "at")]
+    return rows.groupBy("rinex_id", "at").agg(*[F.max(c).alias(c) for c in marks])
 
 
 def registry_at(assignments: DataFrame, periods: DataFrame, target: dt.date) -> DataFrame:
@@ -98,14 +119,15 @@ def registry_at_dates(dimension: DataFrame, periods: DataFrame, dates: DataFrame
     """One row per distinct (rinex_id, date) of `dates`: the assignment valid on that day, and
     whether an evaluation period covers it, for as many dates as there are. A day before a
     station's first change has no network and counts as outside."""
-    start = F.unix_date("valid_from").cast("long")
-    spans = dimension.select("rinex_id", start.alias("start"), F.unix_date("valid_to").cast("long").alias("end"))
-    asked = dates.select("rinex_id", F.unix_date("date").cast("long").alias("at"))
-    found = stab(asked, spans, ["rinex_id"], DAYS_PER_BUCKET).select("rinex_id", "at", "start")
-    valid = dimension.select("rinex_id", start.alias("start"), "netid", "isinside")
-    placed = found.join(valid, ["rinex_id", "start"], "left").withColumn("date", F.date_from_unix_date(F.col("at").cast("int")))
-    flags = eval_flags_by_date(dates, periods)
-    return placed.join(flags, ["rinex_id", "date"]).select(
+    start, end = F.unix_date("valid_from").cast("long"), F.unix_date("valid_to").cast("long")
+    row = F.struct(start.alias("start"), end.alias("end"), "netid", "isinside").alias("row")
+    held = dimension.where("rinex_id IS NOT NULL AND valid_from IS NOT NULL AND (valid_to IS NULL OR valid_to > valid_from)")
+    by_day = _by_day(_asked(dates), held.select("rinex_id", start.alias("at"), row), _period_ends(periods))
+    placed = largest_so_far(by_day, ["rinex_id"], ["row", "last_day"], DAYS_PER_BLOCK).where("asked")
+    # The row that started last; one that has ended without another is no longer valid.
+    valid = F.when(F.col("row.end").isNull() | (F.col("at") < F.col("row.end")), F.col("row"))
+    found = placed.select("rinex_id", _date("at").alias("date"), valid["netid"].alias("netid"), valid["isinside"].alias("isinside"), _covered().alias("is_eval"))
+    return found.select(
         "rinex_id",
         "date",
         F.col("netid").cast("int").alias("netid"),
