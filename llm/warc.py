@@ -28,6 +28,9 @@ DICTIONARY_BYTES = 64 * 1024
 SAMPLE_RECORDS = 1_000
 SAMPLE_BYTES = 8_000_000
 ARCHIVE_BYTES = 8_000_000
+# What a reader hands to the decoder at once: the decoder copies what it was given beyond a
+# record's end, so a whole archive at once would be copied for every record.
+READ_BYTES = 4096
 LEAST_PAYLOAD = 100
 _EDGE = b"\r\n\r\n"
 
@@ -86,9 +89,15 @@ def records(archive: bytes) -> Iterator[bytes]:
     view = memoryview(archive)
     while at < len(archive):
         one = codec.decompressobj()
-        out = one.decompress(view[at:])
-        at = len(archive) - len(one.unused_data)
-        yield out
+        parts = []
+        while not one.eof:
+            piece = view[at : at + READ_BYTES]
+            if not len(piece):
+                raise ValueError("the archive ends within a record")
+            parts.append(one.decompress(piece))
+            at += len(piece)
+        at -= len(one.unused_data)
+        yield b"".join(parts)
 
 
 def train(pages: DataFrame) -> bytes:
@@ -167,10 +176,10 @@ def write(pages: DataFrame, folder: str, level: int = 9, archive_bytes: int = AR
     return cut(plan(pages).mapInArrow(run, "archive string, records long, bytes long"), "archives")
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
+def read(spark: SparkSession, folder: str, content: bool = True) -> DataFrame:
     """(page_id, url, record_type, stated_digest, refers_to, payload_bytes, payload_digest,
     payload) of every record; sizes and digests are taken from the payload that was read and
-    are null for revisits."""
+    are null for revisits. Without `content`, url and payload stay in the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch_of(rows: list[dict]) -> pa.RecordBatch:
@@ -185,7 +194,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     row["payload_bytes"] = None if payload is None else len(payload)
                     row["payload_digest"] = None if payload is None else hashlib.sha256(payload).hexdigest()
                     rows.append(row)
-                    size += len(raw)
+                    size += len(raw) if content else 100
                     if size > 4_000_000:
                         yield batch_of(rows)
                         rows, size = [], 0
@@ -195,10 +204,11 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     schema = pa.schema(
         [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("stated_digest", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())]
     )
+    fields = {"page_id": "long", "url": "string", "record_type": "string", "stated_digest": "string", "refers_to": "long", "payload_bytes": "long", "payload_digest": "string", "payload": "binary"}
+    if not content:
+        schema = pa.schema([f for f in schema if f.name not in ("url", "payload")])
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("content")
-    return files.mapInArrow(
-        run, "page_id long, url string, record_type string, stated_digest string, refers_to long, payload_bytes long, payload_digest string, payload binary"
-    )
+    return files.mapInArrow(run, ", ".join(f"{name} {fields[name]}" for name in schema.names))
 
 
 def as_uri(path: str) -> str:
@@ -219,7 +229,8 @@ def archived(pages: DataFrame) -> DataFrame:
     folder = as_uri(shared_path(spark, "warc"))
     if write(pages, folder).isEmpty():
         return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-    rows = read(spark, folder).drop("payload", "url")
+    # Every archive is read once; responses, revisits and their join use what was found.
+    rows = cut(read(spark, folder, content=False), "records")
     same = F.when(F.col("stated_digest") == F.col("payload_digest"), F.col("payload_digest")).otherwise(F.raise_error(F.lit("payload digest differs")))
     whole = rows.filter("record_type = 'response'").withColumn("payload_digest", same)
     again = rows.filter("record_type = 'revisit'").select("page_id", "record_type", "stated_digest", "refers_to")

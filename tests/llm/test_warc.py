@@ -1,7 +1,10 @@
 import hashlib
 
+import pytest
+import zstandard
 from pyspark.sql import functions as F
 
+from llm import warc
 from llm.warc import archived, records
 
 
@@ -20,3 +23,44 @@ def test_round_trip_with_revisits(spark):
         assert (r["record_type"], r["refers_to"]) == (("revisit", 3) if again else ("response", None))
     assert archived(pages.limit(0)).count() == 0
     assert callable(records)
+
+
+def test_an_archive_is_read_in_steps_and_once(spark, monkeypatch):
+    given = []
+
+    class Decoder:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def decompress(self, piece):
+            given.append(len(piece))
+            return self.inner.decompress(piece)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+    real = zstandard.ZstdDecompressor
+
+    class Codec:
+        def __init__(self, **options):
+            self.inner = real(**options)
+
+        def decompressobj(self):
+            return Decoder(self.inner.decompressobj())
+
+    texts = [hashlib.sha256(str(k).encode()).digest() * (k % 7) + bytes(range(256)) * (k % 40) for k in range(2000)]
+    codec = zstandard.ZstdCompressor(level=1)
+    archive = warc.dictionary_frame(b"") + b"".join(map(codec.compress, texts))
+    with monkeypatch.context() as patch:
+        patch.setattr(warc.zstandard, "ZstdDecompressor", Codec)
+        assert list(records(archive)) == texts
+    assert sum(given) < len(archive) + len(texts) * 5000
+    with pytest.raises(ValueError):
+        list(records(archive[:-5]))
+    scans = []
+    whole = warc.read
+    monkeypatch.setattr(warc, "read", lambda *a, **k: scans.append(whole(*a, **k)) or scans[-1])
+    pages = spark.createDataFrame([(k, "http://e", f"<p>{k % 30}</p>" * 30) for k in range(60)], "page_id long, url string, html string")
+    found = archived(pages)
+    assert found.count() == 60 and "payload" not in scans[0].columns
+    assert "binaryFile" not in found._jdf.queryExecution().toString()
