@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
-from functools import reduce
-from itertools import islice
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import chain, islice
+from math import fsum
 from operator import eq
 from typing import NamedTuple
 
@@ -16,66 +17,93 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from llm.common import membership
+
 SLOTS = 1 << 18
-MAX_TRAINING_ROWS = 10_000
+GROUP_ROWS = 10_000
 LEAST_ROWS = 5
 LEAST_EVIDENCE = 3.0
 CACHED_TOKENS = 150_000
 STEM = 4
 _LETTERS = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1+", re.DOTALL)
+_WORD = zlib.crc32(b"w")
 
 
 def _slot(kind: str, name: str) -> int:
     return zlib.crc32((kind + name).encode("utf-8", "surrogatepass")) % SLOTS
 
 
+@lru_cache(CACHED_TOKENS)
+def _common_slot(kind: str, name: str) -> int:
+    return _slot(kind, name)
+
+
 def _word_slots(word: str) -> tuple[int, ...]:
     """The word and, in a longer one, its stem: forms too rare to be known share it."""
-    return (_slot("w", word), _slot("p", word[:STEM])) if len(word) > STEM else (_slot("w", word),)
+    own = zlib.crc32(word.encode("utf-8", "surrogatepass"), _WORD) % SLOTS
+    return (own, _common_slot("p", word[:STEM])) if len(word) > STEM else (own,)
+
+
+def _parts(token: str) -> tuple[int, tuple[int, ...]]:
+    """The slot of a token's shape and those of its lower-cased words. The shape has upper-case
+    letters as A, others as a, digits as 0, and runs merged."""
+    # Most tokens are a word, or a word and one mark.
+    last = token[-1]
+    word, mark = (token, "") if last.isalpha() or last.isdigit() else (token[:-1], last)
+    if word.isalpha():
+        if word.islower():
+            return _common_slot("s", "a" + mark), _word_slots(word)
+        if word.istitle() and len(word) > 1:
+            return _common_slot("s", "Aa" + mark), _word_slots(word.lower())
+    marks = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token)
+    return _common_slot("s", _RUN.sub(r"\1", marks)), tuple(s for w in _LETTERS.findall(token.lower()) for s in _word_slots(w))
 
 
 class _Tokens(dict):
-    """Token -> (slot of its shape, slots of its lower-cased words); bounded. The shape has
-    upper-case letters as A, others as a, digits as 0, and runs merged."""
+    """Token -> its `_parts`, of its words' slots only those in `known`, if given; bounded."""
+
+    def __init__(self, known: frozenset[int] | None = None):
+        self.known = known
 
     def __missing__(self, token: str) -> tuple[int, tuple[int, ...]]:
-        if token.isalpha() and (token.islower() or token.istitle() and len(token) > 1):
-            found = _LOWER if token.islower() else _TITLE, _word_slots(token.lower())
-        else:
-            found = self._other(token)
+        found = _parts(token)
+        if self.known is not None:
+            found = found[0], () if self.known.isdisjoint(found[1]) else tuple(s for s in found[1] if s in self.known)
         if len(self) < CACHED_TOKENS:
             self[token] = found
         return found
 
-    def _other(self, token: str) -> tuple[int, tuple[int, ...]]:
-        marks = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token)
-        return _slot("s", _RUN.sub(r"\1", marks)), tuple(s for w in _LETTERS.findall(token.lower()) for s in _word_slots(w))
 
-
-_LOWER, _TITLE = _slot("s", "a"), _slot("s", "Aa")
 _TOKENS = _Tokens()
 
 
-def features(text: str) -> dict[int, float]:
-    """Hashed features of a whole text: words and stems it has (1 each), the share of each word shape,
-    of words equal to the one before, and of different words among all (square roots)."""
+def _read(text: str, known: _Tokens) -> tuple[set[int], list[tuple[int, float]]]:
+    """Slots of the words and stems of a whole text, and (slot, square root of a share) of each
+    word shape, of words equal to the one before, and of different words among all."""
     tokens = text.split()
     if not tokens:
-        return {}
+        return set(), []
     counts = Counter(tokens)
-    shapes: Counter[int] = Counter()
+    shapes: dict[int, int] = {}
     words: set[int] = set()
     for token, n in counts.items():
-        shape, slots = _TOKENS[token]
-        shapes[shape] += n
-        words.update(slots)
-    out = dict.fromkeys(words, 1.0)
+        shape, slots = known[token]
+        shapes[shape] = shapes.get(shape, 0) + n
+        if slots:
+            words.update(slots)
     total = len(tokens)
     same = sum(map(eq, tokens, islice(tokens, 1, None)))
     shares = [*shapes.items(), (_slot("x", "same"), same), (_slot("x", "different"), len(counts)), (_slot("x", "top"), max(counts.values()))]
-    for slot, n in shares:
-        out[slot] = out.get(slot, 0.0) + 3 * (n / total) ** 0.5
+    return words, [(slot, 3 * (n / total) ** 0.5) for slot, n in shares]
+
+
+def features(text: str) -> dict[int, float]:
+    """Hashed features of a whole text: 1 for a word or stem it has, and the shares of `_read`."""
+    words, shares = _read(text, _TOKENS)
+    out = dict.fromkeys(words, 1.0)
+    for slot, share in shares:
+        out[slot] = out.get(slot, 0.0) + share
     return out
 
 
@@ -98,59 +126,76 @@ class Model(NamedTuple):
     weights: np.ndarray
     thresholds: np.ndarray
 
-    def tails(self, text: str) -> np.ndarray:
-        """P(grade > k) for every threshold k."""
-        found = features(text)
-        slots = np.fromiter(found, np.int64, len(found))
-        score = float(self.weights[slots] @ np.fromiter(found.values(), np.float64, len(found)))
-        return 1 / (1 + np.exp(np.clip(self.thresholds - score, -50, 50)))
+    def scorer(self) -> Callable[[str], np.ndarray]:
+        """P(grade > k) of a text for every threshold k; only words with a weight are looked at."""
+        at = np.flatnonzero(self.weights)
+        weights = dict(zip(at.tolist(), self.weights[at].tolist()))
+        known = _Tokens(frozenset(weights))
+
+        def tails(text: str) -> np.ndarray:
+            words, shares = _read(text, known)
+            score = fsum(map(weights.__getitem__, words)) + fsum(weights.get(slot, 0.0) * share for slot, share in shares)
+            return 1 / (1 + np.exp(np.clip(self.thresholds - score, -50, 50)))
+
+        return tails
 
 
-def fit(
-    slots: np.ndarray, values: np.ndarray, sizes: np.ndarray, grades: np.ndarray, levels: int, rounds: int = 300, ridge: float = 0.1, population: np.ndarray | None = None
-) -> Model:
+def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the runs of `values` that begin at `starts`, none of which is empty."""
+    return np.add.reduceat(values, starts) if len(starts) else np.zeros(0)
+
+
+def fit(slots: np.ndarray, values: np.ndarray, sizes: np.ndarray, grades: np.ndarray, levels: int, rounds: int = 300, ridge: float = 0.1) -> Model:
     """Penalised maximum likelihood by Adam; row k has the next sizes[k] slots and values.
-    `population` is the number of rows of each grade that the sample stands for; rows are
-    weighed so that grades count as there. Thresholds are a first value and positive steps,
-    so they stay ordered."""
+    Thresholds are a first value and positive steps, so they stay ordered. Slots that tell
+    nothing are left out of the arrays; entries lie once by row and once by slot."""
     rows = len(sizes)
     row = np.repeat(np.arange(rows, dtype=np.int32), sizes)
-    kept = _telling(slots, values, grades[row] if rows else grades, grades)[slots]
-    slots, values, row = slots[kept], values[kept], row[kept]
+    telling = _telling(slots, values, grades[row] if rows else grades, grades)
+    at = np.flatnonzero(telling)
+    kept = telling[slots]
+    place = np.zeros(SLOTS, np.int32)
+    place[at] = np.arange(len(at))
+    slots, values, row = place[slots[kept]], values[kept].astype(np.float64), row[kept]
+    order = np.argsort(slots, kind="stable")
+    values_by_slot, row_by_slot = values[order], row[order]
+    slot_starts = np.searchsorted(slots[order], np.arange(len(at)))
+    full, row_starts = np.unique(row, return_index=True)
     n = max(rows, 1)
-    taken = np.bincount(grades, minlength=levels) if len(grades) else np.ones(levels)
-    share = taken / taken.sum() if population is None else population / population.sum()
-    weight = (share / np.maximum(taken, 1) * n)[grades] if len(grades) else np.zeros(0)
+    share = np.bincount(grades, minlength=levels) / n if len(grades) else np.ones(levels) / levels
     below = np.cumsum(share)[:-1].clip(0.5 / n, 1 - 0.5 / n) if len(grades) else np.full(levels - 1, 0.5)
     start = np.log(below / (1 - below))
     steps = np.log(np.maximum(np.diff(start), 1e-2))
-    theta = np.concatenate([np.zeros(SLOTS), [start[0]], steps])
+    words = len(at)
+    theta = np.concatenate([np.zeros(words), [start[0]], steps])
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
     # Rare grades count as much as half of their even share would.
-    cost = (1 / np.maximum(share, 1 / n)) ** 0.5
-    cost = weight * cost[grades]
+    cost = ((1 / np.maximum(share, 1 / n)) ** 0.5)[grades]
     cost = cost / max(cost.mean(), 1e-12) if len(grades) else cost
+    score = np.zeros(rows)
     for t in range(1, rounds + 1 if rows else 1):
-        w = theta[:SLOTS]
-        cuts = np.concatenate([[-np.inf], theta[SLOTS] + np.concatenate([[0], np.cumsum(np.exp(theta[SLOTS + 1 :]))]), [np.inf]])
-        score = np.bincount(row, values * w[slots], minlength=rows)
+        w = theta[:words]
+        cuts = np.concatenate([[-np.inf], theta[words] + np.concatenate([[0], np.cumsum(np.exp(theta[words + 1 :]))]), [np.inf]])
+        score[full] = _sums(values * w[slots], row_starts)
         upper = 1 / (1 + np.exp(np.clip(score - cuts[grades + 1], -50, 50)))
         lower = 1 / (1 + np.exp(np.clip(score - cuts[grades], -50, 50)))
         p = np.maximum(upper - lower, 1e-9)
         du, dl = upper * (1 - upper), lower * (1 - lower)
         d_score = cost * (du - dl) / p / n
         g = np.zeros_like(theta)
-        g[:SLOTS] = np.bincount(slots, values * d_score[row], minlength=SLOTS) + ridge * w / n
+        g[:words] = _sums(values_by_slot * d_score[row_by_slot], slot_starts) + ridge * w / n
         for k in range(levels - 1):
             d_cut = (-(cost * du / p)[grades == k].sum() + (cost * dl / p)[grades == k + 1].sum()) / n
-            g[SLOTS] += d_cut
+            g[words] += d_cut
             for j in range(k):
-                g[SLOTS + 1 + j] += d_cut * np.exp(theta[SLOTS + 1 + j])
+                g[words + 1 + j] += d_cut * np.exp(theta[words + 1 + j])
         mean = 0.9 * mean + 0.1 * g
         square = 0.99 * square + 0.01 * g * g
         rate = 0.2 * (1 - 0.95 * t / rounds)
         theta = theta - rate * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.99**t)) + 1e-8)
-    return Model(theta[:SLOTS].astype(np.float64), theta[SLOTS] + np.concatenate([[0], np.cumsum(np.exp(theta[SLOTS + 1 :]))]))
+    weights = np.zeros(SLOTS)
+    weights[at] = theta[:words]
+    return Model(weights, theta[words] + np.concatenate([[0], np.cumsum(np.exp(theta[words + 1 :]))]))
 
 
 def grade(quality: Column, toxic: Column) -> Column:
@@ -158,60 +203,57 @@ def grade(quality: Column, toxic: Column) -> Column:
     return F.when(quality.isNull(), None).when(quality == 0, 0).when(F.coalesce(toxic, F.lit(0)) == 1, 1).otherwise(2)
 
 
-def _sample(ratings: DataFrame, levels: int, most: int) -> tuple[DataFrame, np.ndarray]:
-    """At most `most` rated (doc_id, grade), those of each grade whose hashed ids come first,
-    and the number of rated rows of each grade. Grades share the bound evenly; what a rare
-    one leaves goes to the others."""
+def train(docs: DataFrame, ratings: DataFrame, levels: int = 3, rows: int = GROUP_ROWS) -> Model:
+    """Fit on every rated document (ratings: doc_id, grade). They are dealt by hash to groups
+    of about `rows`; a task fits a model to each whole group, and the model is the mean of the
+    groups' weights and thresholds, each counted by its rows: what a group's model owes to
+    chance cancels out. Only weights reach the driver."""
     rated = ratings.filter(f"doc_id is not null and grade between 0 and {levels - 1}").groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
-    population = np.zeros(levels)
-    for r in rated.groupBy("grade").count().collect():
-        population[r["grade"]] = r["count"]
-    left, parts = most, []
-    for nth, g in enumerate(np.argsort(population, kind="stable").tolist()):
-        quota = int(min(population[g], left // (levels - nth)))
-        left -= quota
-        parts.append(rated.filter(F.col("grade") == g).orderBy(F.xxhash64("doc_id"), "doc_id").limit(quota))
-    return reduce(DataFrame.unionByName, parts), population
-
-
-def train(docs: DataFrame, ratings: DataFrame, levels: int = 3, most: int = MAX_TRAINING_ROWS) -> Model:
-    """Fit on at most `most` rated documents (ratings: doc_id, grade), as many of each grade as
-    there is room for. One task fits the model on their features, whose number bounds it;
-    only weights reach the driver."""
-    chosen, population = _sample(ratings, levels, most)
-    sample = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id")
+    groups = max(1, -(-docs.select("doc_id").join(rated, "doc_id", "left_semi").count() // rows))
+    # Texts are moved once: a rating goes to its group and meets its text there.
+    near = membership(docs.select("doc_id", "text").filter("text is not null"), "doc_id", rated.select("doc_id")).filter("maybe")
+    both = rated.select("doc_id", F.lit(None).cast("string").alias("text"), "grade").unionByName(near.select("doc_id", "text", F.lit(None).cast("int").alias("grade")))
+    sample = both.withColumn("group", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int"))
+
+    def learn(held: list[tuple[dict[int, float], int]]) -> pa.RecordBatch:
+        sizes = np.array([len(f) for f, _ in held], np.int64)
+        slots = np.fromiter(chain.from_iterable(f for f, _ in held), np.int32, int(sizes.sum()))
+        values = np.fromiter(chain.from_iterable(f.values() for f, _ in held), np.float32, int(sizes.sum()))
+        model = fit(slots, values, sizes, np.array([g for _, g in held], np.int64), levels)
+        at = np.flatnonzero(model.weights)
+        theta = np.concatenate([model.weights[at], model.thresholds, [1.0]]) * len(held)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([at, SLOTS + np.arange(levels)])), pa.array(theta)], names=["at", "value"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, open_group, rating = [], None, (None, None)
         for batch in batches:
-            found = [features(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.float32())), batch.column(2)],
-                names=["doc_id", "slots", "shares", "grade"],
-            )
-
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, shares, sizes, grades, rows = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
-        for batch in batches:
-            # A repeated doc_id would exceed the bound: the first rows in order are used.
-            batch = batch.slice(0, most - rows)
-            rows += batch.num_rows
-            slots.append(batch.column(0).flatten().to_numpy())
-            shares.append(batch.column(1).flatten().to_numpy())
-            sizes.append(batch.column(0).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
-            grades.append(batch.column(2).to_numpy().astype(np.int64))
-        model = fit(*map(np.concatenate, (slots, shares, sizes, grades)), levels, population=population if population.any() else None)
-        at = np.flatnonzero(model.weights)
-        values = np.concatenate([model.weights[at], model.thresholds])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([at, SLOTS + np.arange(levels - 1)])), pa.array(values)], names=["at", "value"])
-
-    rows = sample.select("doc_id", "text", "grade").mapInArrow(run, "doc_id long, slots array<int>, shares array<float>, grade int")
-    ordered = rows.repartition(1).sortWithinPartitions("doc_id", F.xxhash64("slots")).select("slots", "shares", "grade")
-    got = ordered.mapInArrow(learn, "at long, value double").toArrow()
-    theta = np.zeros(SLOTS + levels - 1)
-    theta[got.column("at").to_numpy()] = got.column("value").to_numpy()
+            for number, doc_id, text, level in zip(*(c.to_pylist() for c in batch.columns)):
+                if text is None:
+                    rating = doc_id, level
+                    continue
+                if doc_id != rating[0]:
+                    continue
+                # A group that repeated ids swell is fitted in parts.
+                if held and (number != open_group or len(held) >= 2 * rows):
+                    yield learn(held)
+                    held = []
+                open_group = number
+                held.append((features(text), rating[1]))
+        if held:
+            yield learn(held)
+
+    # A rating comes before the texts of its document.
+    ordered = sample.repartitionById(groups, "group").sortWithinPartitions("group", "doc_id", F.col("text").isNotNull(), F.xxhash64("text"))
+    dealt = ordered.select("group", "doc_id", "text", "grade")
+    # Added in order of their size, the groups' values give the same sum in every run.
+    total = F.expr("aggregate(array_sort(collect_list(value)), 0D, (a, x) -> a + x)")
+    got = dealt.mapInArrow(run, "at long, value double").groupBy("at").agg(total.alias("value")).toArrow()
     if not got.num_rows:
         return fit(*(np.zeros(0, np.int64) for _ in range(4)), levels)
-    return Model(theta[:SLOTS], theta[SLOTS:])
+    theta = np.zeros(SLOTS + levels)
+    theta[got.column("at").to_numpy()] = got.column("value").to_numpy()
+    theta /= theta[-1]
+    return Model(theta[:SLOTS], theta[SLOTS:-1])
 
 
 def score(docs: DataFrame, model: Model, least_tail: float = 0.5) -> DataFrame:
@@ -224,11 +266,12 @@ def score(docs: DataFrame, model: Model, least_tail: float = 0.5) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tails_of = model.scorer()
         for batch in batches:
             expected, top = [], []
             for text in batch.column(at):
                 text = text.as_py()
-                tails = model.tails(text) if text and not text.isspace() else None
+                tails = tails_of(text) if text and not text.isspace() else None
                 expected.append(None if tails is None else float(tails.sum()))
                 top.append(None if tails is None else float(tails[-1]))
             columns = [*batch.columns, pa.array(expected, pa.float64()), pa.array(top, pa.float64()), pa.array([p is not None and p >= least_tail for p in top], pa.bool_())]

@@ -3,7 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from llm.quality import features, fit, grade, score, train
+from llm.quality import SLOTS, Model, features, fit, grade, score, train
 
 
 def texts(rng, count):
@@ -47,3 +47,32 @@ def test_grades_and_features(spark):
     assert features("") == {} and set(features("The the")) & set(features("the"))
     model = fit(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64), 3)
     assert model.thresholds[0] < model.thresholds[1]
+
+
+def test_every_rated_row_is_learned_from(spark):
+    # Each toxic document has a word of its own kind; a sample of a twentieth would miss most.
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    rows = []
+    for k in range(3000):
+        body = rng.choices(words, k=40)
+        if k % 5 == 0:
+            body[rng.randrange(40)] = f"vile{k // 5 % 20:02d}"
+        rows.append((k, " ".join(body), 1 if k % 5 == 0 else 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, grade int")
+    learned = docs.filter("doc_id < 2400")
+    model = train(docs.drop("grade"), learned.select("doc_id", "grade"), rows=800)
+    got = score(docs.filter("doc_id >= 2400"), model).collect()
+    assert np.mean([r["keep"] for r in got if r["grade"] == 2]) > 0.97
+    assert np.mean([not r["keep"] for r in got if r["grade"] == 1]) > 0.9
+    again = train(docs.drop("grade"), learned.select("doc_id", "grade").repartition(7), rows=800)
+    assert (again.weights == model.weights).all()
+
+
+def test_a_score_looks_at_all_features():
+    rng = np.random.default_rng(4)
+    model = Model(np.where(rng.random(SLOTS) < 0.3, rng.normal(size=SLOTS), 0.0), np.array([-1.0, 0.5]))
+    tails = model.scorer()
+    for text in ("", "One two, two THREE!! four4 four4", "x " * 50 + "Straße ***a### überall"):
+        value = sum(model.weights[slot] * share for slot, share in features(text).items())
+        assert np.allclose(tails(text), 1 / (1 + np.exp(model.thresholds - value)))
