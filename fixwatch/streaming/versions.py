@@ -21,9 +21,11 @@ def bucket_of(column: str, buckets: int) -> Column:
 
 
 def write_buckets(rows: DataFrame, touched: DataFrame, path: str, batch: int) -> None:
-    """Write `rows` (with `bucket`) as the new content of the `touched` buckets."""
+    """Write `rows` (with `bucket`) as the new content of the `touched` buckets. A bucket's
+    rows are brought together first, or every task would write a file in every bucket; a
+    bucket too large for a task is split by the adaptive rebalance."""
     marked = rows.withColumn("held", F.lit(True)).unionByName(touched.select("bucket").distinct().withColumn("held", F.lit(False)), allowMissingColumns=True)
-    marked.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/batch={batch}")
+    marked.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/batch={batch}")
 
 
 def latest(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:

@@ -7,7 +7,7 @@ from fixwatch.operators.outages import normalise
 from fixwatch.schemas import RAW_NOTICES
 from fixwatch.streaming.chains import current_events, stream_chains
 from fixwatch.streaming.live import stream_fix_rate, stream_ttff
-from fixwatch.streaming.versions import latest
+from fixwatch.streaming.versions import latest, write_buckets
 from fixwatch.streaming.windows import closed_windows, late_rows, open_rows, placed, stream_windows, window_table
 from test_outages import notice
 
@@ -102,3 +102,11 @@ def test_replayed_batch_writes_the_same(spark, tmp_path):
     stream_chains(spark.readStream.schema(RAW_NOTICES).parquet(src), str(tmp_path / "ckpt"), out).awaitTermination()
     assert plain(current_events(spark, out)) == before
     assert latest(spark, f"{out}/chains").agg(F.count("*")).first()[0] == 2
+
+
+def test_a_bucket_is_not_written_by_every_task(spark, tmp_path):
+    out = str(tmp_path / "table")
+    rows = spark.range(400).repartition(8).withColumn("bucket", (F.col("id") % 4).cast("int"))
+    write_buckets(rows, rows.select("bucket"), out, 0)
+    assert sorted(r["id"] for r in latest(spark, out).collect()) == list(range(400))
+    assert len(list((tmp_path / "table").rglob("*.parquet"))) == 4
