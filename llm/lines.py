@@ -47,6 +47,8 @@ FEW_WORDS = range(3, 9)
 # (blocks in a key, fewest and most words of a line); a key holds three words at least.
 SHORT = ((3, 8, 12), (2, 11, 24))
 BITMAP_BITS = 1 << 23
+# Classes of characters and of pairs of them that are counted before an edit distance.
+LETTERS, PAIRED = 64, 128
 _GAP = re.compile(r"[^\w\n]+")
 
 
@@ -239,6 +241,29 @@ def similar(a: str, b: str, least: float) -> bool:
     return within(a, b, int((1 - least) * max(len(a), len(b)) + 1e-9))
 
 
+def letter_counts(lines: list[str]) -> np.ndarray:
+    """For each line the number of its characters in LETTERS classes and, after them, of its
+    pairs of neighbouring characters in PAIRED classes."""
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    owner = np.repeat(np.arange(len(lines)), [len(t) for t in lines])
+    inner = owner[1:] == owner[:-1]
+    both = (codes[:-1] * 31 + codes[1:]) % PAIRED
+    width = LETTERS + PAIRED
+    at = np.concatenate([owner * width + codes % LETTERS, (owner[1:] * width + LETTERS + both)[inner]])
+    return np.bincount(at, minlength=len(lines) * width).reshape(-1, width).astype(np.int32)
+
+
+def may_be_similar(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """False for rows of letter counts whose lines can't have similarity `least`: an edit takes
+    away or adds one character and two pairs at most."""
+    gap = b - a
+    more, less = np.maximum(gap, 0), np.maximum(-gap, 0)
+    letters = np.maximum(more[..., :LETTERS].sum(axis=-1), less[..., :LETTERS].sum(axis=-1))
+    pairs = np.maximum(more[..., LETTERS:].sum(axis=-1), less[..., LETTERS:].sum(axis=-1))
+    longer = np.maximum(a[..., :LETTERS].sum(axis=-1), b[..., :LETTERS].sum(axis=-1))
+    return np.maximum(letters, (pairs + 1) // 2) <= ((1 - least) * longer + 1e-9).astype(np.int64)
+
+
 def _digest(line: str) -> bytes:
     return xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
 
@@ -421,15 +446,18 @@ def _distances(fps: np.ndarray, fp: np.ndarray) -> np.ndarray:
     return np.bitwise_count(fps ^ fp).sum(axis=1, dtype=np.int32)
 
 
-def _connect(rows: list[tuple], radius: int, alike: Callable) -> tuple[np.ndarray, list[tuple[int, int]]]:
+def _connect(rows: list[tuple], radius: int, alike: Callable, least: float | None = None) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Component of each of the rows (key, fp, line, ...) and the links that make them. Rows
     already connected are not compared again, so a family of m variants costs about m
-    comparisons, not m * m."""
+    comparisons, not m * m. With `least`, lines are texts and their letters are counted first."""
     fps = matrix([r[1] for r in rows])
+    letters = letter_counts([r[2] for r in rows]) if least is not None and len(rows) > 1 else None
     root = np.arange(len(rows))
     links = []
     for i in range(1, len(rows)):
         close = np.flatnonzero(_distances(fps[:i], fps[i]) <= radius)
+        if letters is not None and len(close):
+            close = close[may_be_similar(letters[close], letters[i], least)]
         while len(close := close[root[close] != root[i]]):
             j = int(close[0])
             close = close[1:]
@@ -459,10 +487,10 @@ def _by_group(rows: DataFrame, columns: list[str], work: Callable[[list[tuple]],
     return dealt.select("unit", *columns).mapInArrow(run, fields)
 
 
-def verified(members: DataFrame, radius: int, alike: Callable) -> DataFrame:
+def verified(members: DataFrame, radius: int, alike: Callable, least: float | None = None) -> DataFrame:
     """Links (a, b) of keys that connect exactly the keys whose fingerprints are within
     `radius` bits and whose lines are `alike`. `members` is (group, key, fp, line), a line in
-    any form that `alike` takes.
+    any form that `alike` takes; with `least`, a text that is `alike` by that edit similarity.
 
     A group over MEMBERS lines is split into parts, each with the same few HUBS lines of the
     group added. Lines that reach the group's most reached hub are its main body, already
@@ -479,7 +507,7 @@ def verified(members: DataFrame, radius: int, alike: Callable) -> DataFrame:
 
     def reach(rows: list[tuple]) -> list[tuple]:
         rows = [(r[1], r[2], r[3], r[0], r[4]) for r in sorted(rows, key=lambda r: (r[4] is None, r[4] or 0, r[1]))]
-        root, links = _connect(rows, radius, alike)
+        root, links = _connect(rows, radius, alike, least)
         label: dict[int, int] = {}
         for k, r in enumerate(rows):
             if r[4] is not None:
@@ -514,10 +542,14 @@ def verified(members: DataFrame, radius: int, alike: Callable) -> DataFrame:
         fps = matrix([r[1] for r in main])
         out = []
         if not main:
-            _, found = _connect(strays, radius, alike)
+            _, found = _connect(strays, radius, alike, least)
             return [(strays[i][0], strays[j][0]) for i, j in found]
-        for r in strays:
-            for j in np.flatnonzero(_distances(fps, matrix([r[1]])) <= radius).tolist():
+        letters = letter_counts([r[2] for r in main + strays]) if least is not None else None
+        for k, r in enumerate(strays, len(main)):
+            close = np.flatnonzero(_distances(fps, matrix([r[1]])) <= radius)
+            if letters is not None and len(close):
+                close = close[may_be_similar(letters[close], letters[k], least)]
+            for j in close.tolist():
                 if alike(r[2], main[j][2]):
                     out.append((r[0], main[j][0]))
                     break
@@ -539,7 +571,7 @@ def _families(rows: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     members = grouped.select("handle", F.xxhash64("block", "step").alias("group")).distinct().join(texts, "handle")
     words = F.size(F.split("line", " "))
     members = members.select("group", "key", F.when(words < GATED_WORDS, F.lit(bytes(16))).otherwise(F.col("fp")).alias("fp"), "line")
-    return verified(cut(members, "families"), RADIUS, lambda a, b: similar(a, b, least))
+    return verified(cut(members, "families"), RADIUS, lambda a, b: similar(a, b, least), least)
 
 
 def _links(docs: DataFrame, keyed: DataFrame, least: float) -> DataFrame:
@@ -558,7 +590,8 @@ def _links(docs: DataFrame, keyed: DataFrame, least: float) -> DataFrame:
             few = np.array([a.count(" ") + 1 < GATED_WORDS for a in batch.column("left").to_pylist()], bool)
             batch = batch.filter(pa.array(few | (np.bitwise_count(left ^ right).sum(axis=1) <= RADIUS)))
             left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
-            good = pa.array([similar(a, b, least) for a, b in zip(left, right)], pa.bool_())
+            maybe = may_be_similar(letter_counts(left), letter_counts(right), least).tolist()
+            good = pa.array([m and similar(a, b, least) for m, a, b in zip(maybe, left, right)], pa.bool_())
             yield batch.select(["a", "b"]).filter(good)
 
     left, right = (texts.select(F.col("handle").alias(f"h{k}"), F.col("key").alias(k), F.col("fp").alias(f"f{k}"), F.col("line").alias(t)) for k, t in (("a", "left"), ("b", "right")))

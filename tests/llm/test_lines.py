@@ -3,7 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from llm.lines import block_keys, dedup_lines, keys_due, majorities, normalise, within
+from llm.lines import _connect, block_keys, dedup_lines, keys_due, letter_counts, majorities, may_be_similar, normalise, similar, within
 
 
 def plain_distance(a, b):
@@ -137,3 +137,21 @@ def test_nulls_repeats_and_empty_tables(spark, documents):
         (True, 0, text, 2, 0),
     ]
     assert dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_letter_counts_leave_out_no_similar_pair():
+    rng = random.Random(21)
+    lines = [" ".join("".join(rng.choice("abcñ漢") for _ in range(rng.randint(1, 7))) for _ in range(rng.randint(3, 9))) for _ in range(600)]
+    other = [edited(rng, line, rng.randint(0, 3)) if rng.random() < 0.7 else rng.choice(lines) for line in lines]
+    maybe = may_be_similar(letter_counts(lines), letter_counts(other), 0.9)
+    alike = np.array([similar(a, b, 0.9) for a, b in zip(lines, other)])
+    assert not (alike & ~maybe).any() and alike.sum() > 50
+    assert may_be_similar(letter_counts([""]), letter_counts([""]), 0.9).all()
+
+
+def test_lines_of_a_family_with_other_letters_are_not_compared():
+    rng = random.Random(22)
+    rows = [(bytes([k]), bytes(16), "one frequent block of words " + "".join(rng.choice("abcdefghijklmnop") for _ in range(40))) for k in range(60)]
+    asked = []
+    _connect(rows, 26, lambda a, b: asked.append(1) or similar(a, b, 0.9), 0.9)
+    assert len(asked) < 60 * 59 // 2 // 4
