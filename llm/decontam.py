@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import reduce
-from itertools import repeat
+from itertools import islice, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -23,6 +23,8 @@ ITEMS_PER_PASS = 2_000
 # Pairs of words (4 bytes each) that a task counts at a time, and that a row holds.
 PAIRS_PER_PASS = 1 << 24
 PAIRS_PER_BLOCK = 1 << 15
+# Rows that a task hands on at a time.
+ROWS_PER_BATCH = 32
 STEPS_PER_PART = 1 << 19
 # Steps of several texts that are counted or projected together.
 GROUP_STEPS = 4_096
@@ -120,6 +122,28 @@ def _groups(texts: Iterator[tuple[int, np.ndarray, int]]) -> Iterator[list[tuple
         yield group
 
 
+def _packed(rows: Iterator[tuple[int, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """(first, last, part) rows, parts compressed one by one: a batch of hundreds of parts
+    stays small on its way between tasks, and no more than one lies unpacked at a time."""
+    while chunk := list(islice(rows, ROWS_PER_BATCH)):
+        parts = [pa.compress(np.ascontiguousarray(values), codec="zstd", asbytes=True) for _, _, values in chunk]
+        firsts, lasts = (pa.array([r[k] for r in chunk], pa.int32()) for k in (0, 1))
+        sizes = pa.array([values.nbytes for _, _, values in chunk], pa.int64())
+        yield pa.RecordBatch.from_arrays([firsts, lasts, sizes, pa.array(parts, pa.binary())], names=["first", "last", "bytes", "part"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], small: type = np.int64) -> Iterator[tuple[int, int, np.ndarray]]:
+    """The rows of `_packed`; parts of pairs hold numbers of type `small`, counts 64-bit ones."""
+    for batch in batches:
+        for first, last, size, part in zip(*batch.columns):
+            first = first.as_py()
+            values = pa.decompress(part.as_buffer(), decompressed_size=size.as_py(), codec="zstd")
+            yield first, last.as_py(), np.frombuffer(values, np.int64 if first < 0 else small)
+
+
+_PACKED = "first int, last int, bytes long, part binary"
+
+
 def _row_blocks(first: int, last: int, entries: int) -> list[tuple[int, int]]:
     """Rows `first` to `last` of a lower triangle in runs of at most `entries` entries (or one row)."""
     out, at = [], first
@@ -150,7 +174,7 @@ def _count_pairs(placed: Placed, start: np.ndarray, first: int, last: int, pairs
 def cooccurrences(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[int, np.ndarray, DataFrame]:
     """Number of documents, of those that hold each word of `vocabulary`, and a table of the
     integers t't summed over every passage of every document, t being the times of the words
-    in a passage: (first, last, part), rows `first` to `last` of the lower triangle.
+    in a passage: rows `first` to `last` of the lower triangle, in the form of `_packed`.
 
     A task adds up what it reads and sends the sums, so a word pair costs the same whether the
     corpus holds it once or always. Vocabularies with more than PAIRS_PER_PASS pairs take
@@ -175,15 +199,13 @@ def cooccurrences(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[int, n
                     for text in batch.column(0):
                         yield 0, *_passages(text.as_py(), vocabulary)
 
-            def rows() -> pa.RecordBatch:
+            def rows() -> Iterator[pa.RecordBatch]:
                 # A place with itself counts once, two places of one word twice.
                 at = start[diagonal] + diagonal - start[first]
                 pairs[at] = 2 * pairs[at] + alone[first:last]
-                parts = [pairs[start[a] - start[first] : start[b] - start[first]].tobytes() for a, b in blocks]
-                out = pa.RecordBatch.from_arrays([pa.array([a for a, _ in blocks], pa.int32()), pa.array([b for _, b in blocks], pa.int32()), pa.array(parts, pa.binary())], names=["first", "last", "part"])
+                yield from _packed((a, b, pairs[start[a] - start[first] : start[b] - start[first]]) for a, b in blocks)
                 pairs[:] = 0
                 alone[:] = 0
-                return out
 
             for group in _groups(texts()):
                 placed = _place([(ids, count) for _, ids, count in group], 1)
@@ -193,32 +215,28 @@ def cooccurrences(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[int, n
                 steps += placed.base[-1]
                 # A passage adds at most its square of words to a pair.
                 if steps >= STEPS_PER_PART:
-                    yield rows()
+                    yield from rows()
                     steps = 0
             if steps:
-                yield rows()
-            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([-1], pa.int32()), pa.array([counts.tobytes()], pa.binary())], names=["first", "last", "part"])
+                yield from rows()
+            yield from _packed(iter([(-1, -1, counts)]))
 
         return run
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            for first, last, part in zip(*[c.to_pylist() for c in batch.columns]):
-                values = np.frombuffer(part, np.int64 if first < 0 else np.int32)
-                if (first, last) in total:
-                    total[first, last] += values
-                else:
-                    total[first, last] = values.astype(np.int64)
-        for (first, last), values in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([first], pa.int32()), pa.array([last], pa.int32()), pa.array([values.tobytes()], pa.binary())], names=["first", "last", "part"])
-
-    shape = "first int, last int, part binary"
-    parts = [docs.select("text").mapInArrow(counter(a, b), shape).repartition("first").mapInArrow(add, shape) for a, b in _row_blocks(0, size, PAIRS_PER_PASS)]
+        for first, last, values in _unpacked(batches, np.int32):
+            if (first, last) in total:
+                total[first, last] += values
+            else:
+                total[first, last] = values.astype(np.int64)
+        yield from _packed((first, last, values) for (first, last), values in total.items())
+
+    parts = [docs.select("text").mapInArrow(counter(a, b), _PACKED).repartition("first").mapInArrow(add, _PACKED) for a, b in _row_blocks(0, size, PAIRS_PER_PASS)]
     table = cut(reduce(DataFrame.unionByName, parts), "pairs")
     # Each pass counts the documents; without any there is no row.
-    row = table.filter("first < 0").select("part").first()
-    counts = np.frombuffer(row[0], np.int64) if row else np.zeros(size + 1, np.int64)
+    row = table.filter("first < 0").limit(1).toArrow()
+    counts = next((values for _, _, values in _unpacked(iter(row.to_batches()))), np.zeros(size + 1, np.int64))
     return int(counts[size]), counts[:size], table
 
 
@@ -228,13 +246,12 @@ def _product(table: DataFrame, right: np.ndarray) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(right.shape)
-        for batch in batches:
-            for first, last, part in zip(*[c.to_pylist() for c in batch.columns]):
-                rows = np.zeros((last - first, last))
-                rows[np.arange(last) <= np.arange(first, last)[:, None]] = np.frombuffer(part, np.int64)
-                total[first:last] += rows @ right[:last]
-                rows[np.arange(last - first), np.arange(first, last)] = 0
-                total[:last] += rows.T @ right[first:last]
+        for first, last, values in _unpacked(batches):
+            rows = np.zeros((last - first, last))
+            rows[np.arange(last) <= np.arange(first, last)[:, None]] = values
+            total[first:last] += rows @ right[:last]
+            rows[np.arange(last - first), np.arange(first, last)] = 0
+            total[:last] += rows.T @ right[first:last]
         yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["part"])
 
     total = np.zeros(right.shape)
@@ -247,10 +264,9 @@ def _diagonal(table: DataFrame, size: int) -> np.ndarray:
     """The diagonal of the matrix of `cooccurrences`: as many numbers as there are words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, last, part in zip(*[c.to_pylist() for c in batch.columns]):
-                ends = np.cumsum(np.arange(first, last) + 1) - 1
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, last)), pa.array(np.frombuffer(part, np.int64)[ends])], names=["word", "n"])
+        for first, last, values in _unpacked(batches):
+            ends = np.cumsum(np.arange(first, last) + 1) - 1
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, last)), pa.array(values[ends])], names=["word", "n"])
 
     total = np.zeros(size)
     for r in table.filter("first >= 0").mapInArrow(run, "word long, n long").collect():

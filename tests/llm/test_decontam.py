@@ -101,3 +101,16 @@ def test_model_depends_on_every_document(spark, documents):
     # The same words in every document, in another order in one that no sample of 500 held.
     one, other = subspace(tail), subspace(sorted(tail))
     assert abs(one - other).max() > 1e-3
+
+
+def test_pair_counts_travel_packed_and_few_at_a_time(spark, documents):
+    """A task gets the sums of hundreds of others: raw, a batch of them took its memory."""
+    pool = [f"w{k}" for k in range(1500)]
+    texts = [" ".join(pool[k : k + 40]) for k in range(0, 1460, 20)]
+    _, _, table = cooccurrences(documents(texts).repartition(3), {w.encode(): k for k, w in enumerate(pool)})
+    raw = 8 * 1500 * 1501 // 2
+    assert table.agg(F.sum(F.octet_length("part"))).first()[0] < raw / 20
+    parts = [(k, k + 1, np.zeros(1 << 15, np.int32)) for k in range(100)]
+    batches = list(decontam._packed(iter(parts)))
+    assert max(b.num_rows for b in batches) <= decontam.ROWS_PER_BATCH and max(b.nbytes for b in batches) < 1 << 15
+    assert all(np.array_equal(p[2], q[2]) and p[:2] == q[:2] for p, q in zip(parts, decontam._unpacked(iter(batches), np.int32), strict=True))
