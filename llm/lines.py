@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import cache
 from itertools import chain, combinations
 
 import numpy as np
@@ -33,7 +34,11 @@ HUBS = 8
 # Lists of a key up to this length are paired; longer ones are families, tied to hubs.
 LONG = 64
 FLUSH_LINES = 20_000
-PAIRS = 1 << 20
+KEYED_LINES = 4_000
+LETTERS_PER_STEP = 1 << 19
+PAIRS = 1 << 19
+# Keys that a task gets, and that it deals out at a time.
+KEYS = 1 << 18
 BLOCKS = 6
 # Words that a key of a line with over eight blocks holds: of its many blocks, some with
 # fewer would hold nothing but frequent words.
@@ -47,14 +52,32 @@ FEW_WORDS = range(3, 9)
 # (blocks in a key, fewest and most words of a line); a key holds three words at least.
 SHORT = ((3, 8, 12), (2, 11, 24))
 BITMAP_BITS = 1 << 23
+# Letters, pairs and columns of the tables that are filled together for edit distances, and
+# bits of a band.
+GRID, MOST_PAIRED, COLUMNS, BITS = 1 << 19, 4_096, 16, 64
 # Classes of characters and of pairs of them that are counted before an edit distance.
 LETTERS, PAIRED = 64, 128
+# Numbers up to which a class is told by bits, where lines of a group are all compared.
+MOST_LETTERS, MOST_PAIRS = 32, 8
 _GAP = re.compile(r"[^\w\n]+")
 
 
+@cache
+def _spaced() -> np.ndarray:
+    """For each code point itself, or a space for those that are no part of a word."""
+    every = np.arange(0x110000, dtype="<u4")
+    text = every.tobytes().decode("utf-32-le", "surrogatepass")
+    return np.frombuffer(_GAP.sub(lambda gap: " " * len(gap[0]), text).encode("utf-32-le", "surrogatepass"), "<u4")
+
+
 def normalise(text: str) -> list[str]:
     """The lines of a text in lower case, words only, with single spaces."""
-    return [line.strip(" ") for line in _GAP.sub(" ", text.lower()).split("\n")]
+    codes = _spaced()[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")]
+    space, end = codes == 32, codes == 10
+    kept = ~space
+    kept[1:] |= ~(space | end)[:-1]
+    words = codes[kept].tobytes().decode("utf-32-le", "surrogatepass")
+    return [line.strip(" ") for line in words.split("\n")]
 
 
 def majorities(hashes: np.ndarray, slots: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,15 +91,20 @@ def majorities(hashes: np.ndarray, slots: np.ndarray, size: int) -> tuple[np.nda
     hashes = hashes[np.argsort(slots, kind="stable")]
     counts_full = counts[full]
     starts = np.cumsum(counts_full) - counts_full
-    for i in range(16):  # four 16-bit counters at a time
-        lanes = (hashes >> np.uint64(i)) & np.uint64(0x0001000100010001)
-        sums = np.add.reduceat(lanes, starts) if counts_full.max() < 65536 else None
-        for k in range(4):
-            if sums is None:
-                ones = np.add.reduceat((lanes >> np.uint64(16 * k)) & np.uint64(1), starts).astype(np.int64)
-            else:
-                ones = ((sums >> np.uint64(16 * k)) & np.uint64(0xFFFF)).astype(np.int64)
-            out[full] |= (ones * 2 > counts_full).astype(np.uint64) << np.uint64(16 * k + i)
+    # Counters of 8 or 16 bits, as many at a time as a word holds.
+    kind = np.uint8 if counts_full.max() < 256 else np.uint16 if counts_full.max() < 65536 else None
+    if kind is None:
+        for k in range(64):
+            ones = np.add.reduceat((hashes >> np.uint64(k)) & np.uint64(1), starts).astype(np.int64)
+            out[full] |= (ones * 2 > counts_full).astype(np.uint64) << np.uint64(k)
+        return out, counts
+    width = 8 * np.dtype(kind).itemsize
+    lane, half = np.uint64(sum(1 << k for k in range(0, 64, width))), (counts_full // 2).astype(kind)[:, None]
+    bits = np.zeros((len(full), 64 // width), kind)
+    for i in range(width):
+        sums = np.add.reduceat((hashes >> np.uint64(i)) & lane, starts)
+        bits |= (sums.view(kind).reshape(len(full), -1) > half).astype(kind) << kind(i)
+    out[full] = bits.view(np.uint64).ravel()
     return out, counts
 
 
@@ -88,19 +116,50 @@ def _mix(key: np.ndarray | int, value: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
+def _hashed(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of lines that single spaces part, and the line of each."""
+    codes = np.frombuffer("\n".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
+    ends = np.flatnonzero((codes == 32) | (codes == 10))
+    line = np.concatenate([[0], np.cumsum(codes[ends] == 10)])
+    starts = np.concatenate([[0], ends + 1])
+    sizes = np.append(ends, len(codes)) - starts
+    full = sizes > 0
+    starts, sizes, line = starts[full], sizes[full], line[full]
+    if not len(starts):
+        return np.zeros(0, np.uint64), line
+    # The letters' codes, each times an odd number of its place, added up and mixed; gaps count
+    # nothing.
+    odd = _mix(7, np.arange(sizes.max() + 1, dtype=np.uint64)) | np.uint64(1)
+    place = np.arange(starts[0], len(codes)) - np.repeat(starts, np.diff(np.append(starts, len(codes))))
+    value = np.zeros(len(codes), np.uint64)
+    value[starts[0] :] = odd[np.minimum(place, sizes.max())] * codes[starts[0] :]
+    value[ends] = 0
+    return _mix(sizes.astype(np.uint64), np.add.reduceat(value, starts)), line
+
+
 def _words(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the words of all lines, the line of each, and the words in each line."""
-    split = [line.encode("utf-8", "surrogatepass").split(b" ") if line else [] for line in lines]
-    counts = np.fromiter(map(len, split), np.int64, len(split))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(split)), np.uint64, int(counts.sum()))
-    owner = np.repeat(np.arange(len(lines)), counts)
+    ends = np.cumsum([len(line) for line in lines])
+    found, first = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
+    while first < len(lines):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + LETTERS_PER_STEP)))
+        hashes, line = _hashed(lines[first:last])
+        found.append((hashes, line + first))
+        first = last
+    hashes, owner = (np.concatenate(c) for c in zip(*found))
+    counts = np.bincount(owner, minlength=len(lines))
     # The second time a word comes it is another feature, so no frequent word outvotes a block.
-    order = np.lexsort((hashes, owner))
-    new = np.ones(len(order), bool)
-    new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+    mixed = _mix(owner.astype(np.uint64), hashes)
+    order = np.argsort(mixed)
+    # Words of one line and hash lie together, others only by chance; few of them come twice.
+    twice = mixed[order][1:] == mixed[order][:-1]
+    some = order[np.append(twice, False) | np.concatenate([[False], twice])[: len(order)]] if len(order) else order
+    some = some[np.lexsort((some, hashes[some], owner[some]))]
+    new = np.ones(len(some), bool)
+    new[1:] = (hashes[some][1:] != hashes[some][:-1]) | (owner[some][1:] != owner[some][:-1])
     first = np.flatnonzero(new)
-    time = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
-    again = order[time > 0]
+    time = np.arange(len(some)) - np.repeat(first, np.diff(np.append(first, len(some))))
+    again = some[time > 0]
     hashes[again] = _mix(time[time > 0], hashes[again])
     return hashes, owner, counts
 
@@ -241,16 +300,96 @@ def similar(a: str, b: str, least: float) -> bool:
     return within(a, b, int((1 - least) * max(len(a), len(b)) + 1e-9))
 
 
+def similar_pairs(left: list[str], right: list[str], least: float) -> np.ndarray:
+    """`similar` of many pairs. Shared ends are cut off; what is left is taken in groups of
+    nearly the same length. Pairs that more edits than a word has bits may separate, and that
+    so many do, go by `within`."""
+    good = np.zeros(len(left), bool)
+    rest = []
+    for p, (a, b) in enumerate(zip(left, right)):
+        if len(a) > len(b):
+            a, b = b, a
+        most = int((1 - least) * len(b) + 1e-9)
+        if len(b) - len(a) > most:
+            continue
+        x, y = (np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<i4") for t in (a, b))
+        n = len(x)
+        differ = x != y[:n]
+        head = int(differ.argmax()) if n else 0
+        head = head if n and differ[head] else n
+        differ = x[head:][::-1] != y[len(y) - n + head :][::-1]
+        tail = int(differ.argmax()) if len(differ) else 0
+        tail = tail if len(differ) and differ[tail] else n - head
+        x, y = x[head : n - tail], y[head : len(y) - tail]
+        if len(y) <= most:
+            good[p] = True
+        elif len(x):
+            rest.append((len(x), most, p, x, y))
+    rest.sort(key=lambda r: r[0])
+    tried = [r for r in rest if len(r[4]) - len(r[3]) < BITS]
+    while tried:
+        # The last pair is the longest of its group.
+        group = tried[-max(1, min(GRID // tried[-1][0], MOST_PAIRED)) :]
+        tried = tried[: -len(group)]
+        good[[r[2] for r in group]] = _near_pairs([r[3] for r in group], [r[4] for r in group], np.array([min(r[1], BITS - 1) for r in group]))
+    for _, most, p, x, y in rest:
+        if most >= BITS and not good[p]:
+            good[p] = within(*(t.tobytes().decode("utf-32-le", "surrogatepass") for t in (x, y)), most)
+    return good
+
+
+def _near_pairs(xs: list[np.ndarray], ys: list[np.ndarray], most: np.ndarray) -> np.ndarray:
+    """True where the edit distance of x and y, y being as long or longer, is at most `most`
+    (under BITS). The table of distances is filled a column at a time for all pairs, a bit per
+    row of a band around the diagonal that moves down with the columns."""
+    one = np.uint64(1)
+    n, m = np.array([len(x) for x in xs]), np.array([len(y) for y in ys])
+    # No path within `most` leaves the diagonals -side to m - n + side.
+    side = (most - (m - n)) // 2
+    low = m - n + side
+    length = int(n.max())
+    text = np.full((len(xs), length), -1, np.int32)
+    # Row r of the band at column i is letter i + r - (BITS - 1 - low) of y.
+    rows = np.full((len(xs), length + BITS), -2, np.int32)
+    for p, (x, y) in enumerate(zip(xs, ys)):
+        text[p, : len(x)] = x
+        before = BITS - 1 - low[p]
+        rows[p, before : before + len(y)] = y[: length + BITS - before]
+    plus = ~np.uint64(0) << (BITS - 1 - low).astype(np.uint64)
+    minus = np.zeros(len(xs), np.uint64)
+    distance, last = low.copy(), m - low
+    for first in range(0, length, COLUMNS):
+        columns = min(COLUMNS, length - first)
+        window = np.lib.stride_tricks.sliding_window_view(rows[:, first : first + columns + BITS - 1], BITS, axis=1)
+        matches = np.packbits(window == text[:, first : first + columns, None], axis=2, bitorder="little").view(np.uint64)[..., 0].T
+        for i, match in enumerate(np.ascontiguousarray(matches), first):
+            zero = ((match & plus) + plus ^ plus) | match | minus
+            up = minus | ~(zero | plus)
+            down = zero & plus
+            # Along the lower edge of the band, and from where it meets y's end along that.
+            edge = (~zero >> np.uint64(BITS - 1)).astype(np.int64)
+            if i >= last.min():
+                at = np.clip(BITS - 2 - (i - last), 0, BITS - 2).astype(np.uint64)
+                along = (up >> at & one).astype(np.int64) - (down >> at & one).astype(np.int64)
+                edge = np.where(i < last, edge, along)
+            distance += np.where(i < n, edge, 0)
+            zero >>= one
+            plus = down | ~(zero | up)
+            minus = zero & up
+    return distance <= most
+
+
 def letter_counts(lines: list[str]) -> np.ndarray:
     """For each line the number of its characters in LETTERS classes and, after them, of its
     pairs of neighbouring characters in PAIRED classes."""
-    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    owner = np.repeat(np.arange(len(lines)), [len(t) for t in lines])
-    inner = owner[1:] == owner[:-1]
-    both = (codes[:-1] * 31 + codes[1:]) % PAIRED
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<i4")
     width = LETTERS + PAIRED
-    at = np.concatenate([owner * width + codes % LETTERS, (owner[1:] * width + LETTERS + both)[inner]])
-    return np.bincount(at, minlength=len(lines) * width).reshape(-1, width).astype(np.int32)
+    first = np.repeat(np.arange(len(lines)) * width, [len(t) for t in lines])
+    inner = first[1:] == first[:-1]
+    both = (codes[:-1] * 31 + codes[1:]) & (PAIRED - 1)
+    counts = np.bincount(first + (codes & (LETTERS - 1)), minlength=len(lines) * width)
+    counts += np.bincount((first[1:] + (LETTERS + both))[inner], minlength=len(lines) * width)
+    return counts.reshape(-1, width).astype(np.int32)
 
 
 def may_be_similar(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
@@ -293,7 +432,9 @@ def _keyed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
                     first = np.zeros(len(kept), bool)
                     first[np.unique(handles, return_index=True)[1]] = True
                     keyed = [n for n in np.flatnonzero(first).tolist() if len(kept[n]) >= min_chars]
-                    at, keys = block_keys([kept[n] for n in keyed])
+                    # Their words are hashed by some thousand lines, which bounds the arrays.
+                    parts = [(a, *block_keys([kept[n] for n in keyed[a : a + KEYED_LINES]])) for a in range(0, max(len(keyed), 1), KEYED_LINES)]
+                    at, keys = np.concatenate([a + p for a, p, _ in parts]), np.concatenate([q for _, _, q in parts])
                     counts = np.zeros(len(kept), np.int64)
                     counts[keyed] = np.bincount(at, minlength=len(keyed))
                     offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), mask=np.append(counts == 0, False))
@@ -356,42 +497,97 @@ def _candidates(keyed: DataFrame, least: float) -> DataFrame:
             empty = pa.nulls(len(block), pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(handle), empty, empty, empty, pa.array(block), pa.array(size)], names=names)
 
-        held = [np.zeros(0, np.int64)] * 3
-        out, n, open_family = [], 0, None
-        for batch in batches:
-            held = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns)]
+        def settled(held: list[list[np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
+            """The rows of keys that more than one line has, sorted and once each, and which of
+            them are of families."""
+            block, handle, size = (np.concatenate(h) for h in held)
+            order = np.argsort(block)
+            same = block[order][1:] == block[order][:-1]
+            order = order[np.append(same, False) | np.concatenate([[False], same])] if len(order) else order
+            order = order[np.lexsort((handle[order], block[order]))]
             # A line comes once for each batch of lines that holds it.
-            new = np.ones(len(held[0]), bool)
-            new[1:] = (held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1])
-            held = [h[new] for h in held]
-            if not len(held[0]):
-                continue
-            starts = _runs(held[0])
-            lengths = np.diff(np.append(starts, len(held[0])))
-            big = lengths > LONG
-            if open_family is not None:
-                big |= held[0][starts] == open_family
-            rows = np.repeat(big, lengths)
-            # The last list may go on in the next batch; a family need not wait for its end.
-            ready = (np.arange(len(rows)) < starts[-1]) | rows
-            open_family = held[0][-1] if big[-1] else None
-            if rows.any():
-                yield family(*(h[rows] for h in held))
-            short = ready & ~rows
-            for found in _pair_lists(*(h[short] for h in held), 1 - least) if short.any() else ():
-                out.append(found)
-                n += len(found[0])
-                if n >= PAIRS:
-                    yield paired(out)
-                    out, n = [], 0
-            held = [h[~ready] for h in held]
-        if len(held[0]):
-            out += _pair_lists(*held, 1 - least)
+            new = np.ones(len(order), bool)
+            new[1:] = (block[order][1:] != block[order][:-1]) | (handle[order][1:] != handle[order][:-1])
+            order = order[new]
+            block = block[order]
+            if not len(block):
+                return [block] * 3, np.zeros(0, bool)
+            lengths = np.diff(np.append(_runs(block), len(block)))
+            return [block, handle[order], size[order]], np.repeat(lengths > LONG, lengths)
+
+        held: list[list[np.ndarray]] = [[], [], []]
+        families, many = np.zeros(0, np.int64), 4 * KEYS
+        for batch in batches:
+            for row in zip(*(batch.columns[1:])):
+                rows = [np.frombuffer(c.as_buffer(), np.int64) for c in row]
+                for h, values in zip(held, rows):
+                    h.append(values)
+            if sum(map(len, held[0])) >= many:
+                # Families need not wait for their last line; the lists that are left are short.
+                block, handle, size = (np.concatenate(h) for h in held)
+                known = np.isin(block, families)
+                (found, big) = settled(held)
+                families = np.union1d(families, found[0][big])
+                if known.any():
+                    yield family(block[known], handle[known], size[known])
+                if big.any():
+                    yield family(*(f[big] for f in found))
+                rest = ~np.isin(block, families)
+                held = [[block[rest]], [handle[rest]], [size[rest]]]
+                many = max(many, 2 * int(rest.sum()))
+        if not held[0]:
+            return
+        found, big = settled(held)
+        if len(families):
+            block, handle, size = (np.concatenate(h) for h in held)
+            known = np.isin(block, families)
+            if known.any():
+                yield family(block[known], handle[known], size[known])
+            apart = ~np.isin(found[0], families)
+            found, big = [f[apart] for f in found], big[apart]
+        if big.any():
+            yield family(*(f[big] for f in found))
+        out, n = [], 0
+        for some in _pair_lists(*(f[~big] for f in found), 1 - least) if not big.all() else ():
+            out.append(some)
+            n += len(some[0])
+            if n >= PAIRS:
+                yield paired(out)
+                out, n = [], 0
         if out:
             yield paired(out)
 
-    spread = keyed.filter("blocks is not null").select(F.explode("blocks").alias("block"), "handle", "size")
-    spread = spread.repartition(tasks(keyed.sparkSession), "block").sortWithinPartitions("block", "handle")
+    lists = keyed.filter("blocks is not null").select("handle", "size", "blocks")
+    total = lists.agg(F.sum(F.size("blocks"))).first()[0] or 0
+    buckets = max(tasks(keyed.sparkSession), -(-total // KEYS))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def dealt(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+            block, handle, size = (np.concatenate(h) for h in held)
+            bucket = (block.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            starts = _runs(bucket[order])
+            offsets = pa.py_buffer((8 * np.append(starts, len(order))).astype(np.int32))
+            columns = [pa.Array.from_buffers(pa.binary(), len(starts), [None, offsets, pa.py_buffer(c[order])]) for c in (block, handle, size)]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[order][starts]), *columns], names=["bucket", "blocks", "handles", "sizes"])
+
+        held, n = [[], [], []], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                some = batch.slice(at, 4096)
+                times = some.column(2).value_lengths().to_numpy()
+                held[0].append(some.column(2).flatten().to_numpy())
+                for h, c in zip(held[1:], some.columns):
+                    h.append(np.repeat(c.to_numpy(), times))
+                n += len(held[0][-1])
+                if n >= KEYS:
+                    yield dealt(held)
+                    held, n = [[], [], []], 0
+        if n:
+            yield dealt(held)
+
+    # Every line has some twenty keys, so they travel as arrays, one for each task and batch.
+    spread = lists.mapInArrow(deal, "bucket int, blocks binary, handles binary, sizes binary").repartitionById(buckets, "bucket")
     return spread.mapInArrow(run, "a long, b long, shared long, due long, block long, size long")
 
 
@@ -442,29 +638,74 @@ def matrix(fps: list) -> np.ndarray:
     return np.array(fps, np.int64).view(np.uint64).reshape(-1, 1)
 
 
-def _distances(fps: np.ndarray, fp: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(fps ^ fp).sum(axis=1, dtype=np.int32)
-
-
-def _connect(rows: list[tuple], radius: int, alike: Callable, least: float | None = None) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Component of each of the rows (key, fp, line, ...) and the links that make them. Rows
+def _tallies(letters: np.ndarray) -> np.ndarray:
+    """Letter counts as bits, a bit per letter up to MOST_LETTERS and pair up to MOST_PAIRS of
+    a class: rows of two lines differ in as many bits as their counts do, or fewer."""
+    parts = ((letters[:, :LETTERS], MOST_LETTERS), (letters[:, LETTERS:], MOST_PAIRS))
+    return np.concatenate([np.packbits((c[..., None] > np.arange(most)).reshape(len(c), -1), axis=1).view(np.uint64) for c, most in parts], axis=1)
+
+
+def _candidates_of(own: np.ndarray, others: np.ndarray, fps: np.ndarray, radius: int, letters: np.ndarray | None, least: float | None) -> tuple[np.ndarray, np.ndarray]:
+    """For rows `own` against `others`: which pairs must be compared, and how far apart they
+    seem to be."""
+    apart = np.zeros((len(own), len(others)), np.int32)
+    for k in range(fps.shape[1]):
+        apart += np.bitwise_count(fps[own, None, k] ^ fps[None, others, k])
+    near = apart <= radius
+    if letters is None:
+        return near, apart
+    tallies, split = _tallies(letters), LETTERS * MOST_LETTERS // 64
+    sides = []
+    for columns in (range(split), range(split, tallies.shape[1])):
+        bits = np.zeros((len(own), len(others)), np.int32)
+        for k in columns:
+            bits += np.bitwise_count(tallies[own, None, k] ^ tallies[None, others, k])
+        sides.append(bits)
+    sizes = letters[:, :LETTERS].sum(axis=1)
+    longer = np.maximum(sizes[own, None], sizes[None, others])
+    gap = np.abs(sizes[own, None] - sizes[None, others])
+    # An edit changes two letters at most, or one and the length, and four pairs.
+    edits = np.maximum((sides[0] + gap + 1) // 2, (sides[1] + 3) // 4)
+    return near & (edits <= ((1 - least) * longer + 1e-9).astype(np.int32)), sides[0] + sides[1]
+
+
+def _compared(pairs: np.ndarray, rows: list[tuple], alike: Callable | None, letters: np.ndarray | None, least: float | None) -> np.ndarray:
+    """Which of the pairs (i, j) of rows are alike."""
+    good = np.ones(len(pairs), bool) if letters is None else may_be_similar(letters[pairs[:, 0]], letters[pairs[:, 1]], least)
+    at = np.flatnonzero(good)
+    texts = [[rows[k][2] for k in side] for side in pairs[at].T.tolist()]
+    good[at] = [alike(a, b) for a, b in zip(*texts)] if alike else similar_pairs(*texts, least)
+    return good
+
+
+def _connect(rows: list[tuple], radius: int, alike: Callable | None, least: float | None = None) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Component of each of the rows (key, fp, line, ...) and the links that make them. In
+    rounds, each row is compared with those that seem nearest of the rows before it; rows
     already connected are not compared again, so a family of m variants costs about m
-    comparisons, not m * m. With `least`, lines are texts and their letters are counted first."""
-    fps = matrix([r[1] for r in rows])
-    letters = letter_counts([r[2] for r in rows]) if least is not None and len(rows) > 1 else None
+    comparisons, not m * m. With `least`, lines are texts and their letters are counted first;
+    without `alike`, they are alike by that edit similarity."""
     root = np.arange(len(rows))
-    links = []
-    for i in range(1, len(rows)):
-        close = np.flatnonzero(_distances(fps[:i], fps[i]) <= radius)
-        if letters is not None and len(close):
-            close = close[may_be_similar(letters[close], letters[i], least)]
-        while len(close := close[root[close] != root[i]]):
-            j = int(close[0])
-            close = close[1:]
-            if alike(rows[i][2], rows[j][2]):
+    links: list[tuple[int, int]] = []
+    if len(rows) < 2:
+        return root, links
+    letters = letter_counts([r[2] for r in rows]) if least is not None else None
+    open_pairs, apart = _candidates_of(root, root, matrix([r[1] for r in rows]), radius, letters, least)
+    open_pairs = np.tril(open_pairs, -1)
+    taken = 1
+    while True:
+        open_pairs &= root[:, None] != root[None, :]
+        at = np.flatnonzero(open_pairs.any(axis=1))
+        if not len(at):
+            return root, links
+        order = np.argsort(np.where(open_pairs[at], apart[at], 1 << 30), axis=1, kind="stable")[:, :taken]
+        pairs = np.stack([np.repeat(at, order.shape[1]), order.ravel()], axis=1)
+        pairs = pairs[open_pairs[pairs[:, 0], pairs[:, 1]]]
+        open_pairs[pairs[:, 0], pairs[:, 1]] = False
+        for i, j in pairs[_compared(pairs, rows, alike, letters, least)].tolist():
+            if root[i] != root[j]:
                 root[root == root[i]] = root[j]
                 links.append((i, j))
-    return root, links
+        taken = min(2 * taken, 64)
 
 
 def _by_group(rows: DataFrame, columns: list[str], work: Callable[[list[tuple]], list[tuple]], schema: pa.Schema, fields: str) -> DataFrame:
@@ -487,10 +728,11 @@ def _by_group(rows: DataFrame, columns: list[str], work: Callable[[list[tuple]],
     return dealt.select("unit", *columns).mapInArrow(run, fields)
 
 
-def verified(members: DataFrame, radius: int, alike: Callable, least: float | None = None) -> DataFrame:
+def verified(members: DataFrame, radius: int, alike: Callable | None, least: float | None = None) -> DataFrame:
     """Links (a, b) of keys that connect exactly the keys whose fingerprints are within
     `radius` bits and whose lines are `alike`. `members` is (group, key, fp, line), a line in
-    any form that `alike` takes; with `least`, a text that is `alike` by that edit similarity.
+    any form that `alike` takes; with `least`, a text, and without `alike`, alike by that edit
+    similarity.
 
     A group over MEMBERS lines is split into parts, each with the same few HUBS lines of the
     group added. Lines that reach the group's most reached hub are its main body, already
@@ -539,20 +781,26 @@ def verified(members: DataFrame, radius: int, alike: Callable, least: float | No
     def settle(rows: list[tuple]) -> list[tuple]:
         main = [r for r in rows if not r[3]]
         strays = sorted((r for r in rows if r[3]), key=lambda r: r[0])
-        fps = matrix([r[1] for r in main])
-        out = []
         if not main:
             _, found = _connect(strays, radius, alike, least)
             return [(strays[i][0], strays[j][0]) for i, j in found]
-        letters = letter_counts([r[2] for r in main + strays]) if least is not None else None
-        for k, r in enumerate(strays, len(main)):
-            close = np.flatnonzero(_distances(fps, matrix([r[1]])) <= radius)
-            if letters is not None and len(close):
-                close = close[may_be_similar(letters[close], letters[k], least)]
-            for j in close.tolist():
-                if alike(r[2], main[j][2]):
-                    out.append((r[0], main[j][0]))
-                    break
+        rows = main + strays
+        letters = letter_counts([r[2] for r in rows]) if least is not None else None
+        own = np.arange(len(main), len(rows))
+        open_pairs, apart = _candidates_of(own, np.arange(len(main)), matrix([r[1] for r in rows]), radius, letters, least)
+        out: list[tuple] = []
+        taken = 1
+        while len(at := np.flatnonzero(open_pairs.any(axis=1))):
+            order = np.argsort(np.where(open_pairs[at], apart[at], 1 << 30), axis=1, kind="stable")[:, :taken]
+            pairs = np.stack([np.repeat(at, order.shape[1]), order.ravel()], axis=1)
+            pairs = pairs[open_pairs[pairs[:, 0], pairs[:, 1]]]
+            open_pairs[pairs[:, 0], pairs[:, 1]] = False
+            good = pairs[_compared(pairs + [len(main), 0], rows, alike, letters, least)]
+            # One link ties a stray to the main body.
+            found, first = np.unique(good[:, 0], return_index=True)
+            open_pairs[found] = False
+            out += [(strays[k][0], main[j][0]) for k, j in zip(found.tolist(), good[first, 1].tolist())]
+            taken = min(2 * taken, 64)
         return out
 
     pair = pa.schema([("a", pa.binary()), ("b", pa.binary())])
@@ -571,7 +819,7 @@ def _families(rows: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     members = grouped.select("handle", F.xxhash64("block", "step").alias("group")).distinct().join(texts, "handle")
     words = F.size(F.split("line", " "))
     members = members.select("group", "key", F.when(words < GATED_WORDS, F.lit(bytes(16))).otherwise(F.col("fp")).alias("fp"), "line")
-    return verified(cut(members, "families"), RADIUS, lambda a, b: similar(a, b, least), least)
+    return verified(cut(members, "families"), RADIUS, None, least)
 
 
 def _links(docs: DataFrame, keyed: DataFrame, least: float) -> DataFrame:
@@ -590,9 +838,10 @@ def _links(docs: DataFrame, keyed: DataFrame, least: float) -> DataFrame:
             few = np.array([a.count(" ") + 1 < GATED_WORDS for a in batch.column("left").to_pylist()], bool)
             batch = batch.filter(pa.array(few | (np.bitwise_count(left ^ right).sum(axis=1) <= RADIUS)))
             left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
-            maybe = may_be_similar(letter_counts(left), letter_counts(right), least).tolist()
-            good = pa.array([m and similar(a, b, least) for m, a, b in zip(maybe, left, right)], pa.bool_())
-            yield batch.select(["a", "b"]).filter(good)
+            maybe = np.flatnonzero(may_be_similar(letter_counts(left), letter_counts(right), least))
+            good = np.zeros(len(left), bool)
+            good[maybe] = similar_pairs([left[k] for k in maybe], [right[k] for k in maybe], least)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
 
     left, right = (texts.select(F.col("handle").alias(f"h{k}"), F.col("key").alias(k), F.col("fp").alias(f"f{k}"), F.col("line").alias(t)) for k, t in (("a", "left"), ("b", "right")))
     both = pairs.select(F.col("a").alias("ha"), F.col("b").alias("hb")).join(left, "ha").join(right, "hb")

@@ -155,3 +155,40 @@ def test_lines_of_a_family_with_other_letters_are_not_compared():
     asked = []
     _connect(rows, 26, lambda a, b: asked.append(1) or similar(a, b, 0.9), 0.9)
     assert len(asked) < 60 * 59 // 2 // 4
+
+
+def test_many_pairs_at_once_agree_with_one_by_one(monkeypatch):
+    import llm.lines as module
+
+    rng = random.Random(31)
+    lines = ["".join(rng.choice("ab ñ漢") for _ in range(rng.randint(0, rng.choice([5, 60, 900])))) for _ in range(400)]
+    other = [edited(rng, line, rng.randint(0, len(line) // 8 + 1)) if line else "x" for line in lines]
+    for least in (0.9, 0.7, 0.0):
+        want = [similar(a, b, least) for a, b in zip(lines, other)]
+        assert module.similar_pairs(lines, other, least).tolist() == want
+    # Nearly all of them are settled without a table of their own.
+    asked = []
+    monkeypatch.setattr(module, "within", lambda a, b, most: asked.append(most) or within(a, b, most))
+    module.similar_pairs(lines, other, 0.9)
+    assert len(asked) < 40 and min(asked, default=64) >= 64
+
+
+def test_keys_of_a_line_travel_as_arrays(spark, documents, monkeypatch):
+    """A row for each of a line's twenty keys cost more than the comparisons."""
+    import llm.lines as module
+
+    rng = random.Random(32)
+    lines = [" ".join(rng.choices([f"w{k}" for k in range(3000)], k=30)) for _ in range(300)]
+    frequent = [f"one block of very frequent words here {k}" for k in range(300)]
+    docs = documents([*lines, *(line.replace("w1", "w2", 1) for line in lines), *frequent])
+    keyed = module._keyed_lines(docs, 10).cache()
+    plans = module._candidates(keyed, 0.9)
+    assert "Generate" not in plans._jdf.queryExecution().executedPlan().toString()
+    want = sorted(map(tuple, plans.filter("b is not null").groupBy("a", "b").agg(F.sum("shared")).collect()))
+    family = {tuple(r) for r in plans.filter("b is null").select("a", "block").collect()}
+    assert want and family
+    # More tasks with fewer keys find the same.
+    monkeypatch.setattr(module, "KEYS", 50)
+    plans = module._candidates(keyed, 0.9)
+    assert sorted(map(tuple, plans.filter("b is not null").groupBy("a", "b").agg(F.sum("shared")).collect())) == want
+    assert {tuple(r) for r in plans.filter("b is null").select("a", "block").collect()} == family
