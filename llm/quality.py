@@ -7,7 +7,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import islice
 from math import fsum
 from operator import eq
 from typing import NamedTuple
@@ -215,11 +215,10 @@ def train(docs: DataFrame, ratings: DataFrame, levels: int = 3, rows: int = GROU
     both = rated.select("doc_id", F.lit(None).cast("string").alias("text"), "grade").unionByName(near.select("doc_id", "text", F.lit(None).cast("int").alias("grade")))
     sample = both.withColumn("group", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int"))
 
-    def learn(held: list[tuple[dict[int, float], int]]) -> pa.RecordBatch:
-        sizes = np.array([len(f) for f, _ in held], np.int64)
-        slots = np.fromiter(chain.from_iterable(f for f, _ in held), np.int32, int(sizes.sum()))
-        values = np.fromiter(chain.from_iterable(f.values() for f, _ in held), np.float32, int(sizes.sum()))
-        model = fit(slots, values, sizes, np.array([g for _, g in held], np.int64), levels)
+    def learn(held: list[tuple[np.ndarray, np.ndarray, int]]) -> pa.RecordBatch:
+        sizes = np.array([len(s) for s, _, _ in held], np.int64)
+        slots, values = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+        model = fit(slots, values, sizes, np.array([g for _, _, g in held], np.int64), levels)
         at = np.flatnonzero(model.weights)
         theta = np.concatenate([model.weights[at], model.thresholds, [1.0]]) * len(held)
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate([at, SLOTS + np.arange(levels)])), pa.array(theta)], names=["at", "value"])
@@ -238,7 +237,9 @@ def train(docs: DataFrame, ratings: DataFrame, levels: int = 3, rows: int = GROU
                     yield learn(held)
                     held = []
                 open_group = number
-                held.append((features(text), rating[1]))
+                # Arrays take a tenth of what thousands of dicts would hold until the fit.
+                found = features(text)
+                held.append((np.fromiter(found, np.int32, len(found)), np.fromiter(found.values(), np.float32, len(found)), rating[1]))
         if held:
             yield learn(held)
 
